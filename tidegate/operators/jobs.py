@@ -22,7 +22,7 @@ STATUSES = ("pending", "running", "sent", "failed", "cancelled")
 TERMINAL = ("sent", "failed", "cancelled")
 
 
-def _usable(df: DataFrame, result: str | None, error: str | None) -> Column:
+def _usable(result: str | None, error: str | None) -> Column:
     """A ``sent`` step needs a result and a ``failed`` step an error text."""
     ok = F.col("status").isin(*STATUSES)
     if result:
@@ -32,6 +32,11 @@ def _usable(df: DataFrame, result: str | None, error: str | None) -> Column:
     return ok
 
 
+def usable_steps(events: DataFrame, result: str | None = None, error: str | None = None) -> DataFrame:
+    """Steps that could move a job: a known status with what it requires."""
+    return events.where(_usable(result, error)).select("job", "seq", "status")
+
+
 def _first_step(events: DataFrame, statuses: tuple[str, ...], after: DataFrame | None, name: str) -> DataFrame:
     """Per job, the first event with one of the statuses later than the step before."""
     wanted = events.where(F.col("status").isin(*statuses))
@@ -42,7 +47,7 @@ def _first_step(events: DataFrame, statuses: tuple[str, ...], after: DataFrame |
 
 def accepted_steps(events: DataFrame, result: str | None = None, error: str | None = None) -> DataFrame:
     """Per job the steps its history takes: ``created``, ``started`` and ``ended``, each ``(seq, status)``."""
-    usable = events.where(_usable(events, result, error)).select("job", "seq", "status")
+    usable = usable_steps(events, result, error)
     created = _first_step(usable, ("pending",), None, "created")
     started = _first_step(
         usable, ("running", "cancelled"), created.select("job", F.col("created.seq").alias("after")), "started")
@@ -67,7 +72,7 @@ def job_transitions(events: DataFrame, result: str | None = None, error: str | N
         accepted = accepted | F.coalesce(hit, F.lit(False))
     reason = (
         F.when(F.col("accepted"), F.lit(None).cast("string"))
-        .when(~_usable(events, result, error), F.lit("incomplete_step"))
+        .when(~_usable(result, error), F.lit("incomplete_step"))
         .when(F.col("state_before").isNull(), F.lit("job_not_found"))
         .when(F.col("status") == "pending", F.lit("duplicate_job"))
         .otherwise(F.lit("invalid_transition"))

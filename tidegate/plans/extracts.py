@@ -59,7 +59,7 @@ def identify(
 def finished(spark: SparkSession, markers_path: str, fingerprints: list[str]) -> set[str]:
     """Which of these fingerprints already have a marker."""
     try:
-        markers = spark.read.schema(MARKER_SCHEMA).parquet(markers_path)
+        markers = spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true").parquet(markers_path)
     except Exception as exc:
         if "PATH_NOT_FOUND" in str(exc):
             return set()
@@ -86,7 +86,8 @@ def _run_one(
             fp, marker, status="failed", error=f"{type(exc).__name__}: {exc}"[:500],
             duration_seconds=time.time() - started)
     body = [(fp, spec.template_id, output, spec.row_limit, spec.timeout_seconds)]
-    spark.createDataFrame(body, MARKER_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/markers")
+    # Each marker has a folder of its own, so extracts that end together do not share a commit.
+    spark.createDataFrame(body, MARKER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{root}/markers/{fp}")
     return done
 
 

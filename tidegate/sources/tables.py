@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import ContractError
+from ..session import shared_root
 
 # Fixed value: the database engines a JDBC source may use.
 JDBC_ENGINES = {"postgres": "postgresql"}
@@ -34,6 +36,18 @@ def scan_table(spark: SparkSession, schema: str, table: str) -> DataFrame:
     return spark.table(f"`{schema}`.`{table}`")
 
 
+def attach_folder(spark: SparkSession, root: str, tables: list[str], schema: str | None = None) -> str:
+    """Make ``root/name.parquet`` tables available in the catalog under one schema and return its name.
+
+    The tables stay where they are; only their location is recorded.
+    """
+    schema = schema or f"folder_{zlib.crc32(root.encode()):08x}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{shared_root(spark)}/schemas/{schema}'")
+    for table in tables:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{schema}`.`{table}` USING parquet LOCATION '{root.rstrip('/')}/{table}.parquet'")
+    return schema
+
+
 def scan_parquet(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table stored as ``root/table.parquet``."""
     return spark.read.parquet(f"{root.rstrip('/')}/{table}.parquet")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.jobs import STATUSES
+from ..operators.jobs import STATUSES, usable_steps
 
 # What each state accepts next; "" is a job not seen yet.
 ALLOWED = {"": ("pending",), "pending": ("running", "cancelled"), "running": ("sent", "failed", "cancelled")}
@@ -66,7 +66,7 @@ def use_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def job_state_stream(events: DataFrame) -> DataFrame:
+def job_state_stream(events: DataFrame, result: str | None = None, error: str | None = None) -> DataFrame:
     """A row for every job whose state moved in a micro-batch."""
-    return events.select("job", "seq", "status").groupBy("job").transformWithStateInPandas(
+    return usable_steps(events, result, error).groupBy("job").transformWithStateInPandas(
         JobProcessor(), outputStructType=OUTPUT_SCHEMA, outputMode="update", timeMode="none")
