@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidegate.operators.audit import merge_timelines
 from tidegate.session import run_folder
 from tidegate.streaming import batches, jobs as job_stream
 
@@ -46,7 +47,7 @@ def stream_dedup_requests(t: Tables):
     return batches.read_batches(t.spark, f"{out}/table", batches.ddl(rows)).select("fingerprint", "c_custkey")
 
 
-@check("stream_session_timeline", "SELECT * EXCLUDE (duration_us) FROM timeline")
+@check("stream_session_timeline", "SELECT * FROM timeline")
 def stream_session_timeline(t: Tables):
     events = t.audit(batches.table_stream(t.spark, t.root, "events"))
     timeline = batches.timeline_stream(events, "30 days")
@@ -54,8 +55,8 @@ def stream_session_timeline(t: Tables):
     store = batches.store_batches(lambda df: df, f"{out}/table")
     _drain(batches.start(timeline.writeStream.outputMode("update").foreachBatch(store), f"{out}/checkpoint"))
     changes = batches.read_batches(t.spark, f"{out}/table", batches.ddl(timeline))
-    latest = batches.latest_per_key(changes, ["transfer_session_id"])
-    return latest.withColumns({"first_ts": text_time("first_ts"), "last_ts": text_time("last_ts")})
+    latest = batches.latest_per_key(changes, ["transfer_session_id", "part"])
+    return merge_timelines(latest).withColumns({"first_ts": text_time("first_ts"), "last_ts": text_time("last_ts")})
 
 
 @check("stream_store_idempotent", "SELECT agency, session, count(*) AS members, CAST(sum(size) AS BIGINT) AS bytes FROM files GROUP BY agency, session")

@@ -71,23 +71,37 @@ def audit_event_check(events: DataFrame) -> DataFrame:
 
 
 def timeline_columns(order: list[str]) -> list[Column]:
-    """Aggregates of one session; batch and stream share them."""
+    """Aggregates of one session. They can be merged, so a part of a session has the same columns."""
+    position = F.struct(*order)
     return [
         F.min("timestamp").alias("first_ts"),
         F.max("timestamp").alias("last_ts"),
         F.count("*").alias("events"),
         F.count_if(F.col("outcome") == "failure").alias("failures"),
         F.sum("bytes_transferred").alias("bytes"),
-        F.max_by("outcome", F.struct(*order)).alias("final_outcome"),
+        F.max(position).alias("last_position"),
+        F.max_by("outcome", position).alias("final_outcome"),
     ]
 
 
+def _with_duration(timeline: DataFrame) -> DataFrame:
+    micros = lambda name: F.unix_micros(F.col(name).cast("timestamp"))
+    return timeline.drop("last_position").withColumn("duration_us", micros("last_ts") - micros("first_ts"))
+
+
 def session_timeline(events: DataFrame, order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
     """First and last time, duration, counts, bytes and final outcome of each session."""
-    grouped = events.groupBy("transfer_session_id").agg(*timeline_columns(list(order)))
-    return grouped.withColumn(
-        "duration_us", F.unix_micros(F.col("last_ts").cast("timestamp")) - F.unix_micros(F.col("first_ts").cast("timestamp"))
+    return _with_duration(events.groupBy("transfer_session_id").agg(*timeline_columns(list(order))))
+
+
+def merge_timelines(parts: DataFrame) -> DataFrame:
+    """Timelines of sessions from the timelines of their parts."""
+    merged = parts.groupBy("transfer_session_id").agg(
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("events").alias("events"),
+        F.sum("failures").alias("failures"), F.sum("bytes").alias("bytes"),
+        F.max_by("final_outcome", "last_position").alias("final_outcome"),
     )
+    return _with_duration(merged)
 
 
 def session_completeness(events: DataFrame, expected: tuple[str, ...] = tuple(EVENT_STAGES)) -> DataFrame:

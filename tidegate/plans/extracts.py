@@ -16,7 +16,7 @@ from ..contracts import ExtractSpec
 from ..functions.hashing import SourceIdentity, fingerprint
 from ..functions.naming import extract_key, query_marker_key
 from ..operators.extract import governed_extract
-from ..session import time_limit
+from ..session import path_exists, time_limit
 from ..sinks.extracts import write_extract, written_bytes
 
 MARKER_SCHEMA = "fingerprint string, template_id string, output_key string, row_limit bigint, timeout_seconds bigint"
@@ -58,12 +58,9 @@ def identify(
 
 def finished(spark: SparkSession, markers_path: str, fingerprints: list[str]) -> set[str]:
     """Which of these fingerprints already have a marker."""
-    try:
-        markers = spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true").parquet(markers_path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc):
-            return set()
-        raise
+    if not path_exists(spark, markers_path):
+        return set()
+    markers = spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true").parquet(markers_path)
     wanted = spark.createDataFrame([(f,) for f in set(fingerprints)], "fingerprint string")
     return {r["fingerprint"] for r in wanted.join(markers, "fingerprint", "left_semi").collect()}
 

@@ -1,94 +1,153 @@
-"""The two ends of a file exchange, each as one run over everything that is pending."""
+"""The two ends of a file exchange, each as one run over everything that is pending.
+
+Both ends decide from listings, which are small, and read file contents only
+for pending work. The work goes in waves of a bounded number of transfers: a
+wave's paths are handed to the reader, so files that are done are never read
+again, and what a wave has finished stays finished if the run is lost.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import sha256_hex
-from ..operators.aggregates import status_counts
-from ..operators.idempotency import plan_transfers, unprocessed_files
+from ..functions.naming import file_marker_key, outgoing_prefix, session_id
 from ..operators.integrity import build_manifests, quarantine_content, route_transfers, validate_manifests
+from ..operators.idempotency import already_processed, plan_transfers, unprocessed_files
 from ..session import run_folder
-from ..sinks.transfers import pack_archives, read_markers, store_to_target, write_manifests, write_markers
-from ..sources.files import expand_archives, list_files, read_files, read_manifests
+from ..sinks.objects import write_objects
+from ..sinks.transfers import manifest_json, pack_archives, read_markers, store_to_target, write_markers
+from ..sources.files import expand_archives, list_files, read_files, read_manifests, scan_files
 
 KEY = ["agency", "session"]
+WAVE_TRANSFERS = 5_000
+ARCHIVE_NAME = "transfer.tar.gz"
+MANIFEST_NAME = "manifest.json"
 
 
-def stage_transfers(files: DataFrame, markers: DataFrame, receiver: str, path: str) -> DataFrame:
-    """Sender run: pack every file without a marker, and write archives and manifests.
-
-    ``files`` has (agency, session, file_name, content), one file per session.
-    The archives are written once and the manifests are built from what was
-    written, so both agree after any retry. Returns the manifests.
-    """
-    spark = files.sparkSession
-    pending = unprocessed_files(files, markers, KEY)
-    packed = pack_archives(pending.withColumn("source", F.col("content").cast("binary")).withColumn(
-        "source_sha256", sha256_hex(F.col("source"))).withColumn(
-        "source_size", F.octet_length("source").cast("bigint")), [*KEY, "source_sha256", "source_size"], "file_name", "source")
-    packed.write.mode("overwrite").parquet(f"{path}/archives")
-    staged = spark.read.parquet(f"{path}/archives").select(
-        *KEY, F.col("file_name").alias("source_name"), "source_sha256", "source_size",
-        F.lit("transfer.tar.gz").alias("archive_name"),
-        F.octet_length("archive").cast("bigint").alias("archive_size"),
-        sha256_hex(F.col("archive")).alias("archive_sha256"),
-    )
-    manifests = build_manifests(staged, receiver)
-    write_manifests(manifests, f"{path}/manifests")
-    return manifests
-
-
-def _folder(path, depth: int):
+def _folder(path: Column, depth: int) -> Column:
     """Path component counted from the file name, which is depth 1."""
     return F.try_element_at(F.split(path, "/"), F.lit(-depth))
 
 
-def landed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sessions, manifests and archives of a landing area ``agency/session/file``."""
-    listing = list_files(spark, path).where(F.col("key").endswith("/manifest.json") | F.col("key").endswith(".tar.gz"))
-    sessions = listing.select(_folder(F.col("key"), 3).alias("agency"), _folder(F.col("key"), 2).alias("session")).distinct()
-    documents = read_manifests(spark, f"{path}/*/*/manifest.json").select("*", "_metadata.file_path")
-    manifests = documents.withColumns(
-        {"agency": _folder(F.col("file_path"), 3), "session": _folder(F.col("file_path"), 2)}).drop("file_path")
-    archives = read_files(spark, path, "*.tar.gz").withColumns(
-        {"agency": _folder(F.col("key"), 3), "session": _folder(F.col("key"), 2)})
-    return sessions, manifests, archives
+def _keyed(files: DataFrame, path: str) -> DataFrame:
+    return files.withColumns({"agency": _folder(F.col(path), 3), "session": _folder(F.col(path), 2)})
 
 
-def receive_transfers(
-    spark: SparkSession, landing: str, target: str, markers_path: str, blocklist: DataFrame, receiver: str
+def _waves(work: DataFrame, keys: list[str], folder: str, size: int) -> Iterator[tuple[int, DataFrame]]:
+    """Fix the work of a run in a table and yield it in parts of about ``size`` keys."""
+    work.write.parquet(folder)
+    fixed = work.sparkSession.read.parquet(folder)
+    waves = max(1, math.ceil(fixed.select(*keys).distinct().count() / size))
+    for wave in range(waves):
+        yield wave, fixed.where(F.pmod(F.xxhash64(*keys), F.lit(waves)) == wave)
+
+
+def _paths(files: DataFrame, suffix: str = "") -> list[str]:
+    """Paths of one wave's files; a wave is bounded, so the list is."""
+    return [row["key"] for row in files.where(F.col("key").endswith(suffix)).select("key").collect()]
+
+
+def send_files(
+    spark: SparkSession, source: str, staging: str, markers_path: str, agency: str, receiver: str,
+    wave_transfers: int = WAVE_TRANSFERS,
 ) -> DataFrame:
-    """Receiver run over all pending sessions; returns the routed sessions.
+    """Sender run: pack every outgoing file that has no marker.
 
-    Errors are rows with a status and a reason. The expanded members are
-    written to the shared folder before they are checked, so that losing an
-    executor later does not unpack the archives again, and what is stored is
-    exactly what was scanned. Markers follow the data.
+    Each file becomes one transfer: an archive and a manifest below
+    ``staging/agency/session``. The session id comes from the file itself, so
+    a retry writes the same objects again. Returns the manifests of the run.
     """
-    markers = read_markers(spark, markers_path)
-    sessions, manifests, archives = landed(spark, landing)
-    pending = plan_transfers(sessions, markers)
-    work = archives.join(pending, KEY, "left_semi")
-    checksums = work.select(*KEY, sha256_hex(F.col("content")).alias("sha256"))
-    folder = run_folder(spark, "receive")
-    validate_manifests(manifests.join(pending, KEY, "left_semi"), checksums, receiver).write.parquet(f"{folder}/checked")
+    listing = list_files(spark, f"{source}/{outgoing_prefix('file')}")
+    relative = F.substring_index(F.col("key"), f"/{outgoing_prefix('file')}", -1)
+    outgoing = listing.withColumn("object", F.concat(F.lit(outgoing_prefix("file")), relative))
+    named = scan_files(outgoing, outgoing_prefix("file"), "object").withColumns({
+        "agency": F.lit(agency), "session": session_id(F.col("modificationTime"), F.col("object")),
+        "marker": file_marker_key(F.col("object")),
+    })
+    done = read_markers(spark, markers_path).where("kind = 'sent'").select(F.col("detail").alias("marker"))
+    pending = unprocessed_files(named, done, ["marker"]).select("key", "file_name", "marker", *KEY)
+    folder = run_folder(spark, "send")
+    for wave, files in _waves(pending, ["key"], f"{folder}/pending", wave_transfers):
+        paths = _paths(files)
+        if not paths:
+            continue
+        content = read_files(spark, paths).where("status = 'ok'").select("key", "content")
+        sources = content.join(files, "key").withColumns(
+            {"source_sha256": sha256_hex(F.col("content")), "source_size": F.octet_length("content").cast("bigint")})
+        packed = pack_archives(sources, [*KEY, "marker", "source_sha256", "source_size"], "file_name", "content")
+        packed.write.parquet(f"{folder}/archives/wave={wave}")
+        archives = spark.read.parquet(f"{folder}/archives/wave={wave}")
+        manifests = build_manifests(archives.select(
+            *KEY, F.col("file_name").alias("source_name"), "source_sha256", "source_size",
+            F.lit(ARCHIVE_NAME).alias("archive_name"), F.octet_length("archive").cast("bigint").alias("archive_size"),
+            sha256_hex(F.col("archive")).alias("archive_sha256")), receiver)
+        manifests.write.parquet(f"{folder}/manifests/wave={wave}")
+        manifests = spark.read.parquet(f"{folder}/manifests/wave={wave}")
+        place = F.concat_ws("/", F.lit(agency), "session")
+        write_objects(archives.select(
+            F.concat_ws("/", place, F.lit(ARCHIVE_NAME)).alias("key"), F.col("archive").alias("content")), staging)
+        documents = manifest_json(manifests.withColumn("session", F.col("transfer_session_id")), keep=["session"])
+        write_objects(documents.select(
+            F.concat_ws("/", place, F.lit(MANIFEST_NAME)).alias("key"),
+            F.col("value").cast("binary").alias("content")), staging)
+        write_markers(archives.select(*KEY, F.lit("sent").alias("kind"), F.col("marker").alias("detail")), markers_path)
+    if not spark.read.parquet(f"{folder}/pending").head(1):
+        return build_manifests(spark.createDataFrame([], (
+            "agency string, session string, source_name string, source_size bigint, source_sha256 string, "
+            "archive_name string, archive_size bigint, archive_sha256 string")), receiver)
+    return spark.read.parquet(f"{folder}/manifests").drop("wave")
+
+
+def _receive_wave(
+    spark: SparkSession, files: DataFrame, folder: str, target: str, markers_path: str, blocklist: DataFrame,
+    receiver: str,
+) -> None:
+    sessions = files.select(*KEY).distinct()
+    archives = _keyed(read_files(spark, _paths(files, f"/{ARCHIVE_NAME}")), "key")
+    checksums = archives.select(*KEY, sha256_hex(F.col("content")).alias("sha256"))
+    manifests = _keyed(read_manifests(spark, _paths(files, f"/{MANIFEST_NAME}")), "path")
+    validate_manifests(manifests, checksums, receiver).write.parquet(f"{folder}/checked")
     checked = spark.read.parquet(f"{folder}/checked")
-    valid = checked.where("valid").select(*KEY)
-    expand_archives(work.join(valid, KEY, "left_semi"), KEY).write.parquet(f"{folder}/members")
+    valid = checked.where("valid").select("agency", "session")
+    expand_archives(archives.join(valid, KEY, "left_semi"), KEY).write.parquet(f"{folder}/members")
     members = spark.read.parquet(f"{folder}/members")
-    verdicts = quarantine_content(members.withColumn("sha256", F.when(F.col("status") == "ok", F.col("sha256"))), blocklist)
-    routed = route_transfers(sessions, markers, checked, verdicts)
-    routed.write.parquet(f"{folder}/routed")
+    readable = members.withColumn("sha256", F.when(F.col("status") == "ok", F.col("sha256")))
+    markers = read_markers(spark, markers_path)
+    route_transfers(sessions, markers, checked, quarantine_content(readable, blocklist)).write.parquet(f"{folder}/routed")
     routed = spark.read.parquet(f"{folder}/routed")
     accepted = members.join(routed.where("status = 'processed'").select(*KEY), KEY, "left_semi")
     store_to_target(accepted.select(*KEY, "member", "size", "sha256", "content"), target)
     kind = F.when(F.col("status") == "processed", "done").when(F.col("status") == "rejected", "rejected")
     fresh = routed.select(*KEY, kind.alias("kind"), F.col("reason").alias("detail")).where("kind IS NOT NULL")
     write_markers(fresh, markers_path)
-    return routed
 
 
-def run_summary(routed: DataFrame) -> DataFrame:
-    return status_counts(routed)
+def receive_transfers(
+    spark: SparkSession, landing: str, target: str, markers_path: str, blocklist: DataFrame, receiver: str,
+    wave_transfers: int = WAVE_TRANSFERS,
+) -> DataFrame:
+    """Receiver run over all pending sessions of a landing area; returns every session's outcome.
+
+    Errors are rows with a status and a reason. Expanded members are written to
+    the shared folder before they are checked, so that losing an executor later
+    does not unpack an archive again and what is stored is what was scanned.
+    Markers follow the data; a failed session gets none and is tried again.
+    """
+    listing = _keyed(list_files(spark, landing), "key").select("key", *KEY)
+    markers = read_markers(spark, markers_path).where("kind IN ('done', 'rejected')").select(*KEY, "kind")
+    folder = run_folder(spark, "receive")
+    sessions = listing.select(*KEY).distinct()
+    route = already_processed(sessions, markers, KEY).join(markers.groupBy(*KEY).agg(F.max("kind").alias("reason")), KEY)
+    route.select(*KEY, F.lit("already_processed").alias("status"), "reason").write.parquet(f"{folder}/known")
+    pending = listing.join(plan_transfers(sessions, markers), KEY, "left_semi")
+    outcome = spark.read.parquet(f"{folder}/known")
+    for wave, files in _waves(pending, KEY, f"{folder}/pending", wave_transfers):
+        if files.head(1):
+            _receive_wave(spark, files, f"{folder}/wave-{wave}", target, markers_path, blocklist, receiver)
+            outcome = outcome.unionByName(spark.read.parquet(f"{folder}/wave-{wave}/routed"))
+    return outcome

@@ -50,6 +50,12 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/tidegate/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on whatever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 class ActionTimeout(RuntimeError):
     """A Spark action ran longer than its contract allows."""
 
@@ -61,15 +67,15 @@ def time_limit(spark: SparkSession, seconds: float):
     The jobs carry a tag, so only they are interrupted and other work of the
     session goes on.
     """
-    tag = f"limit-{uuid.uuid4().hex}"
+    context, tag = spark.sparkContext, f"limit-{uuid.uuid4().hex}"
     fired = threading.Event()
 
     def cancel() -> None:
         fired.set()
-        spark.interruptTag(tag)
+        context.cancelJobsWithTag(tag)
 
     timer = threading.Timer(seconds, cancel)
-    spark.addTag(tag)
+    context.addJobTag(tag)
     timer.start()
     try:
         yield
@@ -79,4 +85,4 @@ def time_limit(spark: SparkSession, seconds: float):
         raise
     finally:
         timer.cancel()
-        spark.removeTag(tag)
+        context.removeJobTag(tag)

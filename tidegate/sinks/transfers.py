@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import target_path
+from ..session import path_exists
 from ..sources.files import archive_field_names_out
 
 MARKER_SCHEMA = "agency string, session string, kind string, detail string"
@@ -38,11 +39,12 @@ def pack_archives(files: DataFrame, keys: list[str], name: str = "file_name", co
     return narrow.mapInPandas(pack_batches, schema)
 
 
-def manifest_json(manifests: DataFrame) -> DataFrame:
+def manifest_json(manifests: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Manifest documents as text, the archive entry under its ``zip_`` names."""
-    fields = [F.col(name) for name in manifests.columns if name not in ("files", "sender_agency")]
+    keep = keep or []
+    fields = [F.col(name) for name in manifests.columns if name != "files" and name not in keep]
     files = archive_field_names_out(F.col("files")).alias("files")
-    return manifests.select("sender_agency", F.to_json(F.struct("sender_agency", *fields, files)).alias("value"))
+    return manifests.select(*keep, "sender_agency", F.to_json(F.struct(*fields, files)).alias("value"))
 
 
 def write_manifests(manifests: DataFrame, path: str) -> None:
@@ -53,12 +55,9 @@ def write_manifests(manifests: DataFrame, path: str) -> None:
 
 def read_markers(spark: SparkSession, path: str) -> DataFrame:
     """The marker table, empty before its first write."""
-    try:
-        return spark.read.schema(MARKER_SCHEMA).parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc):
-            return spark.createDataFrame([], MARKER_SCHEMA)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], MARKER_SCHEMA)
+    return spark.read.schema(MARKER_SCHEMA).parquet(path)
 
 
 def write_markers(markers: DataFrame, path: str) -> None:

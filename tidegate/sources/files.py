@@ -30,25 +30,33 @@ MAX_MEMBER_BYTES = 256 << 20
 _BATCH_BYTES = 64 << 20
 
 
-def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Every object below a path with its size; the bytes are not read."""
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def _binary_files(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
+    if not path:
+        return spark.createDataFrame([], FILE_SCHEMA)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(F.col("path").alias("key"), F.col("length").alias("size"), "modificationTime")
+    return reader.load(path)
 
 
-def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """Every object below a path with its size; the bytes are not read."""
+    return _binary_files(spark, path, glob).select(
+        F.col("path").alias("key"), F.col("length").alias("size"), "modificationTime")
+
+
+def read_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """Files with their bytes; a file too large for one row keeps its size and a null content."""
-    listing = list_files(spark, path, glob)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    small = reader.load(path).where(F.col("length") <= MAX_FILE_BYTES).select(
+    files = _binary_files(spark, path, glob)
+    small = files.where(F.col("length") <= MAX_FILE_BYTES).select(
         F.col("path").alias("key"), F.col("length").alias("size"), "content", F.lit("ok").alias("status")
     )
-    large = listing.where(F.col("size") > MAX_FILE_BYTES).select(
-        "key", "size", F.lit(None).cast("binary").alias("content"), F.lit("too_large").alias("status")
+    large = files.where(F.col("length") > MAX_FILE_BYTES).select(
+        F.col("path").alias("key"), F.col("length").alias("size"), F.lit(None).cast("binary").alias("content"),
+        F.lit("too_large").alias("status"),
     )
     return small.unionByName(large)
 
@@ -117,8 +125,11 @@ def archive_field_names_out(files):
     return F.transform(files, renamed)
 
 
-def read_manifests(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_manifests(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Manifests below a path under standard entry names; unreadable ones keep their text in ``corrupt``."""
+    if not path:
+        return spark.createDataFrame([], MANIFEST_SCHEMA).withColumns(
+            {"files": archive_field_names(F.col("files")), "path": F.lit(None).cast("string")})
     raw = (
         spark.read.schema(MANIFEST_SCHEMA)
         .option("multiLine", multi_line)
@@ -126,7 +137,7 @@ def read_manifests(spark: SparkSession, path: str, multi_line: bool = True) -> D
         .option("columnNameOfCorruptRecord", "corrupt")
         .json(path)
     )
-    return raw.withColumn("files", archive_field_names(F.col("files")))
+    return raw.withColumns({"files": archive_field_names(F.col("files")), "path": F.col("_metadata.file_path")})
 
 
 def escapes_root(name: str) -> bool:

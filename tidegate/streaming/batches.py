@@ -14,6 +14,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.audit import timeline_columns
 from ..operators.idempotency import first_of_duplicates
+from ..session import path_exists
+from ..sources.files import FILE_SCHEMA
 
 
 def table_stream(spark: SparkSession, root: str, table: str, files_per_batch: int = 1_000) -> DataFrame:
@@ -35,6 +37,7 @@ def new_file_stream(spark: SparkSession, path: str, glob: str = "*", files_per_b
     """Files of a folder as they arrive; the checkpoint remembers which were handled."""
     return (
         spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -54,12 +57,10 @@ def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     """All batches with their id; an empty table before the first batch."""
-    try:
-        return spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return spark.createDataFrame([], f"{schema}, batch_id bigint")
-        raise
+    full = f"{schema}, batch_id bigint"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(path)
 
 
 def ddl(df: DataFrame) -> str:
@@ -95,9 +96,17 @@ def dedup_within_watermark(requests: DataFrame, key: str, time: str, delay: str)
     return requests.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def timeline_stream(events: DataFrame, delay: str, order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
-    """Running timeline per session. ``timestamp`` must be an instant, not a zoneless time."""
-    return events.withWatermark("timestamp", delay).groupBy("transfer_session_id").agg(*timeline_columns(list(order)))
+def timeline_stream(
+    events: DataFrame, delay: str, order: tuple[str, ...] = ("timestamp", "event_id"), part: str = "1 day"
+) -> DataFrame:
+    """Running timeline of each session's part in a time window.
+
+    Grouping by window as well as session lets the watermark drop old state;
+    sessions alone would be kept for ever. ``merge_timelines`` puts the parts
+    together. ``timestamp`` must be an instant, not a zoneless time.
+    """
+    return events.withWatermark("timestamp", delay).groupBy("transfer_session_id", F.window("timestamp", part)).agg(
+        *timeline_columns(list(order))).withColumn("part", F.col("window.start")).drop("window")
 
 
 def latest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:
