@@ -64,7 +64,7 @@ def _flat(definitions):
         ('operations.schedule_constraints:window', 'b = 7'), ('operations.notifications:missing', 'b = 14'))} AS violations
     FROM (SELECT *, path_no % 30 AS b FROM definitions)""")
 def definition_schema_check(t: Tables):
-    checked = registry.definition_schema_check(t.definition_docs(broken=True), raw="raw")
+    checked = registry.definition_schema_check(t.definition_texts(broken=True), raw="raw")
     return checked.select("path", joined("violations"))
 
 

@@ -18,12 +18,11 @@ def _drain(query) -> None:
     query.awaitTermination()
 
 
-def _parts(t: Tables, df, label: str, key: str, parts: int = 3) -> str:
-    """The rows of a table as several files, which arrive as several micro-batches in key order."""
-    path = run_folder(t.spark, label)
+def _arrive(t: Tables, rows, key: str, path: str, run, parts: int = 3) -> None:
+    """Let the rows arrive in parts: write one, drain the stream, write the next."""
     for part in range(parts):
-        df.where(F.expr(f"{key} % {parts} = {part}")).coalesce(1).write.mode("append").parquet(path)
-    return path
+        rows.where(F.expr(f"{key} % {parts} = {part}")).write.mode("append").parquet(path)
+        _drain(run())
 
 
 @check("stream_new_files", "SELECT doc_id, sha256(text) AS sha256 FROM documents")
@@ -39,11 +38,14 @@ def stream_new_files(t: Tables):
 @check("stream_dedup_requests", """
     SELECT fingerprint, min(c_custkey % 3 * 1000000000 + c_custkey) % 1000000000 AS c_custkey FROM fingerprints GROUP BY fingerprint""")
 def stream_dedup_requests(t: Tables):
-    rows = t.fingerprints().select("fingerprint", "c_custkey")
-    source = batches.folder_stream(t.spark, _parts(t, rows, "requests", "c_custkey"), rows.schema, files_per_batch=1)
-    out = run_folder(t.spark, "dedup")
+    rows, out = t.fingerprints().select("fingerprint", "c_custkey"), run_folder(t.spark, "dedup")
     keep = batches.dedup_batches(f"{out}/table", "fingerprint", ["c_custkey"], batches.ddl(rows))
-    _drain(batches.start(source.writeStream.foreachBatch(keep), f"{out}/checkpoint"))
+
+    def run():
+        source = batches.folder_stream(t.spark, f"{out}/arrived", rows.schema)
+        return batches.start(source.writeStream.foreachBatch(keep), f"{out}/checkpoint")
+
+    _arrive(t, rows, "c_custkey", f"{out}/arrived", run)
     return batches.read_batches(t.spark, f"{out}/table", batches.ddl(rows)).select("fingerprint", "c_custkey")
 
 
@@ -61,13 +63,14 @@ def stream_session_timeline(t: Tables):
 
 @check("stream_store_idempotent", "SELECT agency, session, count(*) AS members, CAST(sum(size) AS BIGINT) AS bytes FROM files GROUP BY agency, session")
 def stream_store_idempotent(t: Tables):
-    out = run_folder(t.spark, "store")
-    files = t.files().select("doc_id", "agency", "session", "size")
-    source = batches.folder_stream(t.spark, _parts(t, files, "landed", "doc_id"), files.schema, files_per_batch=1)
+    files, out = t.files().select("doc_id", "agency", "session", "size"), run_folder(t.spark, "store")
     store = batches.store_batches(lambda df: df, f"{out}/table")
-    for attempt in range(2):
-        # A second run with a lost checkpoint replays every batch onto the same folders.
-        _drain(batches.start(source.writeStream.foreachBatch(store), f"{out}/checkpoint-{attempt}"))
+
+    def run(checkpoint: str = "checkpoint"):
+        source = batches.folder_stream(t.spark, f"{out}/arrived", files.schema)
+        return batches.start(source.writeStream.foreachBatch(store), f"{out}/{checkpoint}")
+
+    _arrive(t, files, "doc_id", f"{out}/arrived", run)
     stored = batches.read_batches(t.spark, f"{out}/table", batches.ddl(files))
     return stored.groupBy("agency", "session").agg(F.count("*").alias("members"), F.sum("size").alias("bytes"))
 

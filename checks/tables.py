@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.functions.hashing import fingerprint
 from tidegate.operators.integrity import file_checksums
 from tidegate.operators.registry import active_definition, flatten_definitions, registry_lookup
+from tidegate.session import path_exists
 from tidegate.sources.documents import DEFINITION_SCHEMA
 from tidegate.sources.tables import scan_parquet
 
@@ -37,7 +36,7 @@ class Tables:
         return scan_parquet(self.spark, self.root, name)
 
     def base_tables(self) -> dict[str, DataFrame]:
-        return {name: self.base(name) for name in BASE_TABLES if os.path.exists(f"{self.root}/{name}.parquet")}
+        return {name: self.base(name) for name in BASE_TABLES if path_exists(self.spark, f"{self.root}/{name}.parquet")}
 
     def contracts(self) -> DataFrame:
         joined = self.base("orders").join(self.base("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -167,6 +166,13 @@ class Tables:
                  'notifications', CASE WHEN b = 14 THEN NULL ELSE named_struct('on_request', CAST(array() AS array<string>),
                    'on_success', CAST(array() AS array<string>), 'on_failure', array('ops@example.com')) END) AS operations""",
             "concat('definitions/', lpad(CAST(p_partkey AS STRING), 12, '0'), '.json') AS path", "b")
+        return documents if broken else documents.drop("b")
+
+    def definition_texts(self, broken: bool = False) -> DataFrame:
+        """The documents as JSON text and as read back from it."""
+        documents = self.definition_docs(broken)
+        if not broken:
+            documents = documents.withColumn("b", F.lit(-1))
         fields = [name for name in documents.columns if name not in ("path", "b")]
         text = F.to_json(F.struct(*fields))
         raw = F.when(F.col("b") == 15, F.concat(F.lit('{"color":1,'), F.substring(text, 2, 1 << 30))).otherwise(text)

@@ -120,6 +120,15 @@ def test_wide_limit_equals_sorting(spark, monkeypatch, descending, distinct):
         assert [tuple(r) for r in result] == expected
 
 
+@pytest.mark.parametrize("limit", [101, 3_000, 5_000, 9_000])
+def test_wide_unordered_limit(spark, monkeypatch, limit):
+    monkeypatch.setattr(extract, "WIDE_LIMIT", 100)
+    df = spark.range(0, 5_000, 1, 9).withColumn("same", (extract.F.col("id") % 2))
+    rows = extract.limit_rows(df, limit)
+    assert rows.count() == min(limit, 5_000) == rows.distinct().count()
+    assert extract.limit_rows(df.select("same"), limit).count() == min(limit, 5_000)
+
+
 def test_filters_reach_the_scan(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     chosen = extract.governed_extract(orders, ExtractSpec.from_dict({"row_limit": 10, "params": {

@@ -44,3 +44,11 @@ def test_dedup_within_watermark(spark, tmp_path):
     out = str(tmp_path / "out")
     drain(kept.writeStream.foreachBatch(batches.store_batches(lambda d: d, out)), str(tmp_path / "cp"))
     assert batches.read_batches(spark, out, "fingerprint string, at timestamp").count() == 4
+
+
+def test_replayed_batches_do_not_add_rows(spark, tmp_path):
+    out = str(tmp_path / "out")
+    store = batches.store_batches(lambda df: df, out)
+    for batch_id in (0, 1, 1, 0):
+        store(spark.range(batch_id * 10, batch_id * 10 + 5), batch_id)
+    assert batches.read_batches(spark, out, "id bigint").count() == 10

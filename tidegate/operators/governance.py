@@ -24,7 +24,8 @@ NUMBER_JSON = "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
 SCALAR_JSON = "^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
 CONTRACT_API_VERSION = "v3.1.0"
 
-_PARAMS = "__params"
+# Columns the checks share: parsed values, their JSON types and texts, and a product's param names.
+_PARAMS, _KINDS, _TEXTS, _REQUIRED, _ALLOWED = "__params", "__kinds", "__texts", "__required", "__allowed"
 
 
 def _string_list(values) -> Column:
@@ -79,26 +80,37 @@ def request_schema_check(requests: DataFrame) -> DataFrame:
 
 
 def with_param_map(df: DataFrame, params: str = "params") -> DataFrame:
-    """Parse the params text once; the checks below read the parsed column."""
+    """Parse the params text once into values, JSON types and texts by name, which all checks read."""
     if _PARAMS in df.columns:
         return df
-    return df.withColumn(_PARAMS, F.try_variant_get(F.try_parse_json(F.col(params)), "$", "map<string,variant>"))
+    parsed = F.try_variant_get(F.try_parse_json(F.col(params)), "$", "map<string,variant>")
+    names = {}
+    if "required_params" in df.columns and _REQUIRED not in df.columns:
+        names = param_names()
+    return df.withColumns({_PARAMS: parsed, **names}).withColumns({
+        _KINDS: F.transform_values(_PARAMS, lambda _, value: F.schema_of_variant(value)),
+        _TEXTS: F.transform_values(_PARAMS, lambda _, value: F.try_variant_get(value, "$", "string")),
+    })
+
+
+def param_names() -> dict[str, Column]:
+    """Names of a product's required params and of all its params."""
+    return {
+        _REQUIRED: _param_names(F.col("required_params")),
+        _ALLOWED: F.array_union(_param_names(F.col("required_params")), _param_names(F.col("optional_params"))),
+    }
 
 
 def drop_param_map(df: DataFrame) -> DataFrame:
-    return df.drop(_PARAMS)
+    return df.drop(_PARAMS, _KINDS, _TEXTS, _REQUIRED, _ALLOWED)
 
 
 def _has(name: str) -> Column:
     return F.map_contains_key(F.col(_PARAMS), name)
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def _text_of(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+def _kind(name: Column | str) -> Column:
+    return F.col(_KINDS)[name]
 
 
 def _param_names(definitions: Column) -> Column:
@@ -106,17 +118,17 @@ def _param_names(definitions: Column) -> Column:
 
 
 def unknown_param_names() -> Column:
-    allowed = F.array_union(_param_names(F.col("required_params")), _param_names(F.col("optional_params")))
-    return F.sort_array(F.array_except(F.map_keys(_PARAMS), allowed))
+    return F.sort_array(F.array_except(F.map_keys(_PARAMS), F.col(_ALLOWED)))
 
 
-def _absent(value: Column) -> Column:
+def _absent(name: Column) -> Column:
     """Null, JSON null or blank text; an empty list, zero and false are present."""
-    return value.isNull() | (_kind(value) == "VOID") | ((_kind(value) == "STRING") & is_blank(_text_of(value)))
+    kind = F.coalesce(_kind(name), F.lit("VOID"))
+    return (kind == "VOID") | ((kind == "STRING") & is_blank(F.col(_TEXTS)[name]))
 
 
 def missing_param_names(required: Column) -> Column:
-    return F.array_sort(F.filter(required, lambda name: _absent(F.col(_PARAMS)[name])))
+    return F.sort_array(F.filter(required, _absent))
 
 
 def bad_param_values() -> Column:
@@ -127,9 +139,9 @@ def bad_param_values() -> Column:
     broken = F.filter(definitions, lambda p: (
         (F.size(p["allowed_values"]) > 0)
         & F.map_contains_key(F.col(_PARAMS), p["name"])
-        & ~F.coalesce(F.array_contains(p["allowed_values"], _text_of(F.col(_PARAMS)[p["name"]])), F.lit(False))
+        & ~F.coalesce(F.array_contains(p["allowed_values"], F.col(_TEXTS)[p["name"]]), F.lit(False))
     ))
-    return F.array_sort(F.transform(broken, lambda p: p["name"]))
+    return F.sort_array(F.transform(broken, lambda p: p["name"]))
 
 
 def select_violations() -> Column:
@@ -140,8 +152,8 @@ def select_violations() -> Column:
     none = F.array().cast("array<string>")
     return (
         F.when(~F.coalesce(restricted, F.lit(False)), none)
-        .when(~F.coalesce(_kind(value).startswith("ARRAY"), F.lit(False)), _string_list(["not_array"]))
-        .otherwise(F.array_sort(F.array_except(fields, "allowed_select_fields")))
+        .when(~F.coalesce(_kind("select_fields").startswith("ARRAY"), F.lit(False)), _string_list(["not_array"]))
+        .otherwise(F.sort_array(F.array_except(fields, "allowed_select_fields")))
     )
 
 
@@ -165,8 +177,8 @@ def filter_violations() -> Column:
     none = F.array().cast("array<string>")
     return (
         F.when(~F.coalesce(restricted, F.lit(False)), none)
-        .when(~F.coalesce(_kind(value).startswith("OBJECT"), F.lit(False)), _string_list(["not_object"]))
-        .otherwise(F.array_sort(F.flatten(F.transform(requested, of_field))))
+        .when(~F.coalesce(_kind("filters").startswith("OBJECT"), F.lit(False)), _string_list(["not_object"]))
+        .otherwise(F.sort_array(F.flatten(F.transform(requested, of_field))))
     )
 
 
@@ -209,7 +221,7 @@ def unknown_params(df: DataFrame) -> DataFrame:
 
 
 def missing_params(df: DataFrame) -> DataFrame:
-    names = missing_param_names(_param_names(F.col("required_params")))
+    names = missing_param_names(F.col(_REQUIRED))
     return drop_param_map(with_param_map(df).withColumn("missing_params", names))
 
 
@@ -295,15 +307,15 @@ def request_decision(
     registry, and all checks are expressions over the joined row. Requests that
     carry ``schema_violations`` keep them in front.
     """
-    joined = with_param_map(registry_lookup(requests, active))
+    joined = with_param_map(registry_lookup(requests, active.withColumns(param_names())))
     resolved = limit_resolution(joined, row_cap, timeout_cap, templates)
     known = F.col("known_product")
     none = F.array().cast("array<string>")
-    single = lambda code: F.when(code.isNotNull(), F.array(code)).otherwise(none)
+    single = lambda code: F.array_compact(F.array(code))
     product_checks = F.concat(
         single(source_type_violation()),
         _coded("unknown_param", unknown_param_names()),
-        _coded("missing_param", missing_param_names(_param_names(F.col("required_params")))),
+        _coded("missing_param", missing_param_names(F.col(_REQUIRED))),
         _coded("param_value", bad_param_values()),
         _coded("select_field", select_violations()),
         _coded("filter", filter_violations()),
@@ -372,8 +384,7 @@ def param_type_check(df: DataFrame) -> DataFrame:
     definitions = F.concat(F.coalesce("required_params", F.array()), F.coalesce("optional_params", F.array()))
 
     def codes(p: Column) -> Column:
-        value = F.col(_PARAMS)[p["name"]]
-        kind, text = _kind(value), _text_of(value)
+        kind, text = _kind(p["name"]), F.col(_TEXTS)[p["name"]]
         is_text = kind == "STRING"
         fits = (
             F.when(p["type"] == "string", is_text)
@@ -392,7 +403,7 @@ def param_type_check(df: DataFrame) -> DataFrame:
         return F.array_compact(F.array(*[F.when(broken, F.concat(name, F.lit(code))) for code, broken in rules]))
 
     present = F.filter(definitions, lambda p: F.map_contains_key(F.col(_PARAMS), p["name"]))
-    found = F.array_sort(F.flatten(F.transform(present, codes)))
+    found = F.sort_array(F.flatten(F.transform(present, codes)))
     return drop_param_map(with_param_map(df).withColumn("type_violations", found))
 
 
@@ -406,7 +417,7 @@ def scoped_fingerprint(df: DataFrame) -> DataFrame:
 
 def manifest_required_fields(df: DataFrame, present: str, required: str = "manifest_requirements") -> DataFrame:
     """Adds ``missing_manifest_fields``: names a product requires and a manifest lacks."""
-    return df.withColumn("missing_manifest_fields", F.array_sort(F.array_except(required, present)))
+    return df.withColumn("missing_manifest_fields", F.sort_array(F.array_except(required, present)))
 
 
 def retention_expired(df: DataFrame, stored_at: str, as_of: Column, days: str = "retention_policy_days") -> DataFrame:

@@ -19,14 +19,9 @@ from ..sources.files import FILE_SCHEMA
 
 
 def table_stream(spark: SparkSession, root: str, table: str, files_per_batch: int = 1_000) -> DataFrame:
-    """The files of a parquet table as a stream; each file is handled once."""
-    schema = spark.read.parquet(f"{root}/{table}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{table}*.parquet")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(root)
-    )
+    """The files of ``root/table.parquet`` as a stream; each file is handled once."""
+    path = f"{root.rstrip('/')}/{table}.parquet"
+    return folder_stream(spark, path, spark.read.parquet(path).schema, files_per_batch)
 
 
 def folder_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1_000) -> DataFrame:
