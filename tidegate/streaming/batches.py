@@ -21,7 +21,8 @@ from ..sources.files import FILE_SCHEMA
 def table_stream(spark: SparkSession, root: str, table: str, files_per_batch: int = 1_000) -> DataFrame:
     """The files of ``root/table.parquet`` as a stream; each file is handled once."""
     path = f"{root.rstrip('/')}/{table}.parquet"
-    return folder_stream(spark, path, spark.read.parquet(path).schema, files_per_batch)
+    # A one-letter pattern matches the table whether it is a folder or a single file.
+    return folder_stream(spark, path.removesuffix("t") + "[t]", spark.read.parquet(path).schema, files_per_batch)
 
 
 def folder_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1_000) -> DataFrame:
