@@ -67,20 +67,23 @@ def test_wrong_types_and_missing_sections(load):
     assert "operations.idempotency_scope:missing" in codes and "delivery.output_format:missing" in codes
 
 
+REQUEST_COLUMNS = (
+    "request_id string, dataproduct_id string, requesting_agency string, params string, "
+    "requested_row_limit bigint, requested_timeout_seconds bigint")
+
+
 def decide(spark, load, params, definition_doc=None, **columns):
     active = registry.active_definition(registry.flatten_definitions(load(definition_doc or definition())))
     request = {"request_id": "REQ-1", "dataproduct_id": " DP_ONE ", "requesting_agency": "north", "params": params,
                "requested_row_limit": None, "requested_timeout_seconds": None, **columns}
-    df = spark.createDataFrame([tuple(request.values())], (
-        "request_id string, dataproduct_id string, requesting_agency string, params string, "
-        "requested_row_limit bigint, requested_timeout_seconds bigint"))
+    df = spark.createDataFrame([tuple(request.values())], REQUEST_COLUMNS)
     return governance.request_decision(df, active).first()
 
 
 GOOD = {"schema": "dot", "table": "t"}
 
 
-@pytest.mark.parametrize("params, expected", [
+PARAM_CASES = [
     (GOOD, []),
     ({**GOOD, "select_fields": ["a"], "filters": {"a": {"min": 1}}}, []),
     ({**GOOD, "filters": {}}, []),
@@ -92,16 +95,22 @@ GOOD = {"schema": "dot", "table": "t"}
     ({"schema": "x", "table": "t"}, ["param_value:schema"]),
     ({**GOOD, "z": 1, "y": 2}, ["unknown_param:y", "unknown_param:z"]),
     ({**GOOD, "select_fields": "a"}, ["select_field:not_array"]),
+    ({**GOOD, "select_fields": None}, ["select_field:not_array"]),
     ({**GOOD, "select_fields": ["c", "a", "b2"]}, ["select_field:b2", "select_field:c"]),
     ({**GOOD, "filters": [1]}, ["filter:not_object"]),
     ({**GOOD, "filters": {"b": {"min": 1}}}, ["filter:b"]),
     ({**GOOD, "filters": {"a": 5}}, ["filter:a:not_object"]),
     ({**GOOD, "filters": {"a": {"max": 5, "in": [1]}}}, ["filter:a.in", "filter:a.max"]),
-])
-def test_param_rules(spark, load, params, expected):
-    row = decide(spark, load, json.dumps(params))
-    assert row["violations"] == expected
-    assert row["decision"] == ("rejected" if expected else "accepted")
+]
+
+
+def test_param_rules(spark, load):
+    active = registry.active_definition(registry.flatten_definitions(load(definition())))
+    rows = [(str(i), "dp_one", "north", json.dumps(params), None, None) for i, (params, _) in enumerate(PARAM_CASES)]
+    decided = governance.request_decision(spark.createDataFrame(rows, REQUEST_COLUMNS), active).collect()
+    got = {int(r["request_id"]): (r["violations"], r["decision"]) for r in decided}
+    for i, (params, expected) in enumerate(PARAM_CASES):
+        assert got[i] == (expected, "rejected" if expected else "accepted"), params
 
 
 def test_empty_allow_lists_are_no_restriction(spark, load):
@@ -134,7 +143,7 @@ def request(**changes):
     return {k: v for k, v in {**base, **changes}.items() if v is not ...}
 
 
-@pytest.mark.parametrize("changes, expected", [
+SCHEMA_CASES = [
     ({}, []),
     ({"justification": "  "}, ["justification:type"]),
     ({"justification": None}, ["justification:type"]),
@@ -154,10 +163,15 @@ def request(**changes):
     ({"request_id": "  R-1 "}, ["request_id:length"]),
     ({"request_id": "REQ 0001"}, ["request_id:pattern"]),
     ({"color": 1}, ["document:unexpected_key"]),
-])
-def test_request_schema(spark, changes, expected):
-    raw = spark.createDataFrame([(json.dumps(request(**changes)),)], "raw string")
-    assert governance.request_schema_check(documents.read_requests(raw)).first()["schema_violations"] == expected
+]
+
+
+def test_request_schema(spark):
+    rows = [(i, json.dumps(request(**changes))) for i, (changes, _) in enumerate(SCHEMA_CASES)]
+    raw = spark.createDataFrame(rows, "i int, raw string")
+    got = {r["i"]: r["schema_violations"] for r in governance.request_schema_check(documents.read_requests(raw)).collect()}
+    for i, (changes, expected) in enumerate(SCHEMA_CASES):
+        assert got[i] == expected, changes
 
 
 def test_request_normalization(spark):
@@ -172,3 +186,32 @@ def test_window_wraps_midnight(spark, time, inside):
     moment = F.lit(f"2024-05-05 {time}:00").cast("timestamp")
     column = governance.in_schedule_window(moment, F.array(F.lit("22:00-02:00")), F.lit(True))
     assert spark.range(1).select(column.alias("x")).first()["x"] is inside
+
+
+FILE_CASES = [
+    ({"s3_path": " s3://b/in/x.csv "}, [], ("b", "in/x.csv", "x.csv", "s3://b/in/")),
+    ({"s3_path": "s3://b/x.csv", "file_name": " y.csv "}, [], ("b", "x.csv", "y.csv", "s3://b/")),
+    ({"s3_path": "s3://b/x.csv", "file_name": 7}, [], ("b", "x.csv", "x.csv", "s3://b/")),
+    ({"s3_path": "s3://b"}, ["s3_path:invalid"], None),
+    ({"s3_path": "/tmp/x"}, ["s3_path:other_scheme"], None),
+    ({"s3_path": 5}, ["s3_path:missing_path"], None),
+    ({}, ["missing_param:s3_path", "s3_path:missing_path"], None),
+    ({"s3_path": "s3://b/x", "rogue": 1}, ["unknown_param:rogue"], None),
+]
+
+
+def test_file_requests(spark, load):
+    doc = definition(
+        source_type="file", engine="s3-file", required_params=[{"name": "s3_path", "type": "string"}],
+        optional_params=[{"name": "file_name", "type": "string"}])
+    active = registry.active_definition(registry.flatten_definitions(load(doc, definition("dp_sql"))))
+    rows = [(str(i), "dp_one", "north", json.dumps(p), None, None) for i, (p, _, _) in enumerate(FILE_CASES)]
+    rows += [("sql", "dp_sql", "north", json.dumps(GOOD), None, None), ("no", "dp_no", "north", "{}", None, None)]
+    decided = governance.file_request_decision(spark.createDataFrame(rows, REQUEST_COLUMNS), active).collect()
+    got = {r["request_id"]: r for r in decided}
+    for i, (params, violations, resolved) in enumerate(FILE_CASES):
+        row = got[str(i)]
+        assert row["violations"] == violations, params
+        where = (row["bucket"], row["object_key"], row["file_name"], row["marker_directory"])
+        assert where == (resolved or (None,) * 4)
+    assert got["sql"]["first_violation"] == "source_type_mismatch" and got["no"]["violations"] == ["unknown_dataproduct"]

@@ -16,6 +16,7 @@ from ..functions.hashing import scoped_fingerprint as scoped_fingerprint_column
 from ..functions.rules import first_violation, violations
 from ..functions.text import clean, is_blank
 from ..sources.documents import REQUEST_OPTIONAL, REQUEST_REQUIRED
+from ..sources.files import resolve_file_request
 from .registry import ID_PATTERN, registry_lookup
 
 REQUEST_ID_PATTERN = "^[A-Za-z0-9._-]+$"
@@ -339,6 +340,39 @@ def request_decision(
     })
 
 
+def file_request_decision(requests: DataFrame, active: DataFrame) -> DataFrame:
+    """Accept or reject every request for a file product, and resolve the object it names.
+
+    Params are held to the same rules; ``s3_path`` must be a non-blank text that
+    names a bucket and a key, and ``file_name`` may rename the file.
+    """
+    joined = with_param_map(registry_lookup(requests, active.withColumns(param_names())))
+    is_text = lambda name: F.when(_kind(name) == "STRING", F.col(_TEXTS)[name])
+    named = joined.withColumns({"__uri": is_text("s3_path"), "__override": is_text("file_name")})
+    located = resolve_file_request(named, "__uri", "__override", "path_status")
+    none = F.array().cast("array<string>")
+    path_code = F.when(F.col("path_status") != "ok", F.concat(F.lit("s3_path:"), F.col("path_status")))
+    checks = F.concat(
+        F.array_compact(F.array(source_type_violation("file"))),
+        _coded("unknown_param", unknown_param_names()),
+        _coded("missing_param", missing_param_names(F.col(_REQUIRED))),
+        _coded("param_value", bad_param_values()),
+        F.array_compact(F.array(path_code)),
+    )
+    unreadable = F.when(F.col(_PARAMS).isNull(), F.array(F.lit("params_not_object"))).otherwise(none)
+    codes = F.concat(
+        unreadable, F.when(F.col("known_product"), F.coalesce(checks, none)).otherwise(F.array(F.lit("unknown_dataproduct"))))
+    if "schema_violations" in requests.columns:
+        codes = F.concat(F.coalesce("schema_violations", none), codes)
+    decided = located.withColumn("violations", codes)
+    accepted = F.size("violations") == 0
+    return drop_param_map(decided).drop("__uri", "__override", "path_status").withColumns({
+        "first_violation": first_violation(F.col("violations")),
+        "decision": F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected")),
+        **{name: F.when(accepted, F.col(name)) for name in ("bucket", "object_key", "file_name", "marker_directory")},
+    })
+
+
 # Checks that product definitions declare. They extend the executed ones above.
 
 

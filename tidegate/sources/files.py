@@ -78,20 +78,20 @@ def landing_sessions(listing: DataFrame, key: str = "key") -> DataFrame:
     )
 
 
-def resolve_file_request(requests: DataFrame, uri: str, override: str) -> DataFrame:
+def resolve_file_request(requests: DataFrame, uri: str, override: str, status: str = "status") -> DataFrame:
     """Bucket, key, file name and marker folder of requested objects, with a status per row."""
     parsed = parse_object_uri(clean(F.col(uri)))
     named = F.when(is_blank(F.col(override)), base_name(F.col("__p.key"))).otherwise(clean(F.col(override)))
-    status = (
+    outcome = (
         F.when(is_blank(F.col(uri)), F.lit("missing_path"))
         .when((F.col("__p.status") == "ok") & (F.col("__name") == ""), F.lit("invalid"))
         .otherwise(F.col("__p.status"))
     )
-    ok = F.col("status") == "ok"
+    ok = F.col(status) == "ok"
     return (
         requests.withColumn("__p", parsed)
         .withColumn("__name", named)
-        .withColumn("status", status)
+        .withColumn(status, outcome)
         .withColumns({
             "bucket": F.when(ok, F.col("__p.bucket")),
             "object_key": F.when(ok, F.col("__p.key")),
