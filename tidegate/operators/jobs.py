@@ -138,8 +138,8 @@ def concurrent_jobs(runs: DataFrame) -> DataFrame:
     starts = timed.groupBy("agent", "day", "second", "start_ts").agg(
         F.max("end_ts").alias("group_end"), F.min(lasting).alias("first_lasting")
     )
-    seconds = starts.groupBy("agent", "day", "second").agg(F.max("group_end").alias("second_end"))
-    days = seconds.groupBy("agent", "day").agg(F.max("second_end").alias("day_end"))
+    seconds = timed.groupBy("agent", "day", "second").agg(F.max("end_ts").alias("second_end"))
+    days = timed.groupBy("agent", "day").agg(F.max("end_ts").alias("day_end"))
     before_day = _carry(days, "day_end", ["agent"], "day", "day_carry").select("agent", "day", "day_carry")
     before_second = _carry(seconds, "second_end", ["agent", "day"], "second", "second_carry").join(
         before_day, ["agent", "day"]

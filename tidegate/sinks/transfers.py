@@ -22,7 +22,7 @@ def pack_archives(files: DataFrame, keys: list[str], name: str = "file_name", co
     """A tar.gz per file, byte-equal on every run because it carries no time."""
     def pack(body: bytes, member: str) -> bytes:
         buffer = io.BytesIO()
-        with gzip.GzipFile(fileobj=buffer, mode="wb", mtime=0) as packed, tarfile.open(fileobj=packed, mode="w") as tar:
+        with gzip.GzipFile(fileobj=buffer, mode="wb", compresslevel=6, mtime=0) as packed, tarfile.open(fileobj=packed, mode="w") as tar:
             info = tarfile.TarInfo(member)
             info.size = len(body)
             tar.addfile(info, io.BytesIO(body))

@@ -172,14 +172,18 @@ def _archive_rows(content: bytes | None, max_member: int) -> Iterator[tuple]:
 
 
 def expand_archives(
-    archives: DataFrame, keys: list[str], content: str = "content", max_member_bytes: int = MAX_MEMBER_BYTES
+    archives: DataFrame, keys: list[str], content: str = "content", max_member_bytes: int = MAX_MEMBER_BYTES,
+    spread: int | None = None,
 ) -> DataFrame:
     """Regular files of each tar.gz: member name, size, checksum, bytes and status.
 
     An archive is not splittable, so the work is parallel across archives;
     output batches are cut by bytes, which bounds a worker's memory however
-    many members an archive has.
+    many members an archive has. ``spread`` deals the archives out over that many
+    tasks first, for a table whose few files hold many archives.
     """
+    if spread:
+        archives = archives.repartition(spread)
     columns = [*keys, "member", "size", "sha256", "content", "status"]
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
