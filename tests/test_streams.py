@@ -52,3 +52,13 @@ def test_replayed_batches_do_not_add_rows(spark, tmp_path):
     for batch_id in (0, 1, 1, 0):
         store(spark.range(batch_id * 10, batch_id * 10 + 5), batch_id)
     assert batches.read_batches(spark, out, "id bigint").count() == 10
+
+
+def test_compaction_keeps_the_newest_state(spark, tmp_path):
+    out, small, schema = str(tmp_path / "out"), str(tmp_path / "small"), "k string, v bigint"
+    store = batches.store_batches(lambda df: df, out)
+    store(spark.createDataFrame([("a", 1), ("b", 1)], schema), 0)
+    store(spark.createDataFrame([("a", 2)], schema), 1)
+    batches.compact_batches(spark, out, schema, ["k"], small)
+    rows = batches.read_batches(spark, small, schema).collect()
+    assert {(r["k"], r["v"], r["batch_id"]) for r in rows} == {("a", 2, 1), ("b", 1, 1)}

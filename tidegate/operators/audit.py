@@ -70,6 +70,31 @@ def audit_event_check(events: DataFrame) -> DataFrame:
     return events.withColumn("violations", violations(*rules))
 
 
+def routing_events(routed: DataFrame, receiver: str) -> DataFrame:
+    """The audit events a receiver run leaves for each session, from its outcome.
+
+    The steps that were passed succeed, the one that ended the session fails.
+    """
+    def step(name: str, ok: bool = True):
+        return F.struct(F.lit(name).alias("event_type"), F.lit("success" if ok else "failure").alias("outcome"))
+
+    passed = [step("extract_data"), step("validate_manifest"), step("decompress"), step("virus_scan"), step("store_data")]
+    status, reason = F.col("status"), F.col("reason")
+    steps = (
+        F.when(status == "already_processed", F.array(step("store_data")))
+        .when(status == "processed", F.array(*passed))
+        .when(status == "rejected", F.array(*passed[:3], step("virus_scan", False), step("store_data", False)))
+        .when(reason == "scan_error", F.array(*passed[:2], step("decompress", False)))
+        .otherwise(F.array(passed[0], step("validate_manifest", False)))
+    )
+    rows = routed.select("agency", "session", "status", "reason", F.inline(steps)).withColumns({
+        "transfer_session_id": F.col("session"), "sender_agency": F.col("agency"), "receiver_agency": F.lit(receiver),
+        "timestamp": F.current_timestamp(),
+    })
+    return audit_events(rows, F.map_filter(
+        F.create_map(F.lit("status"), F.col("status"), F.lit("reason"), F.col("reason")), lambda _, v: v.isNotNull()))
+
+
 def timeline_columns(order: list[str]) -> list[Column]:
     """Aggregates of one session. They can be merged, so a part of a session has the same columns."""
     position = F.struct(*order)

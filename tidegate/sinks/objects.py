@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.large_files import open_store
+
 
 def write_objects(objects: DataFrame, root: str) -> int:
     """Write each ``(key, content)`` row as the file ``root/key`` and return how many were written.
@@ -18,8 +19,7 @@ def write_objects(objects: DataFrame, root: str) -> int:
     a retried task writes the same bytes to the same name.
     """
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (
-            fs.LocalFileSystem(), root)
+        store, base = open_store(root)
         for batch in batches:
             for key, content in zip(batch["key"], batch["content"]):
                 path = f"{base}/{key}"

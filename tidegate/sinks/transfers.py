@@ -66,9 +66,11 @@ def write_markers(markers: DataFrame, path: str) -> None:
     A failed transfer gets no marker and is tried again. The first marker of a
     session stands.
     """
-    known = read_markers(markers.sparkSession, path).select("agency", "session")
     fresh = markers.select("agency", "session", "kind", F.col("detail").cast("string").alias("detail"))
-    fresh.join(known, ["agency", "session"], "left_anti").write.mode("append").partitionBy("kind").parquet(path)
+    # The marker table only grows; cut it to the sessions in hand, the small side, before comparing.
+    key = ["agency", "session"]
+    known = read_markers(markers.sparkSession, path).join(fresh.select(*key), key, "left_semi").select(*key)
+    fresh.join(known, key, "left_anti").write.mode("append").partitionBy("kind").parquet(path)
 
 
 def store_to_target(members: DataFrame, path: str) -> None:

@@ -110,3 +110,15 @@ def latest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:
     rest = [name for name in changes.columns if name not in (*keys, "batch_id")]
     newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("__row"))
     return newest.select(*keys, *[F.col(f"__row.`{name}`").alias(name) for name in rest])
+
+
+def compact_batches(spark: SparkSession, path: str, schema: str, keys: list[str], target: str) -> None:
+    """Write the newest state of each key as one batch of a new folder.
+
+    The batch keeps the id of the last one read, so the stream can go on in the
+    new folder where it stopped in the old one.
+    """
+    changes = read_batches(spark, path, schema)
+    last = changes.agg(F.max("batch_id")).first()[0]
+    if last is not None:
+        _replace_batch(latest_per_key(changes, keys), target, last)
