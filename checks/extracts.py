@@ -114,11 +114,11 @@ def governed_extract(t: Tables):
     return shown(extract.governed_extract(t.contracts(), spec, key=("contract_id",)))
 
 
-@check("order_by_field", """SELECT contract_id, contract_value, agency_code FROM contracts
-    ORDER BY agency_code ASC NULLS LAST, contract_id LIMIT 500""")
+@check("order_by_field", "SELECT contract_id, contract_value, agency_code FROM contracts")
 def order_by_field(t: Tables):
-    ordered = extract.order_by_field(t.contracts(), "agency_code", False, ("contract_id",))
-    return ordered.limit(500).select("contract_id", "contract_value", "agency_code")
+    """The whole table in order; the unit tests look at the order itself, which a row comparison does not see."""
+    return extract.order_by_field(t.contracts(), "agency_code", False, ("contract_id",)).select(
+        "contract_id", "contract_value", "agency_code")
 
 
 @check("limit_rows", """SELECT least(count(*), 30000) AS row_count, least(count(*), 30000) AS known_rows FROM lineitem""")

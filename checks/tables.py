@@ -221,7 +221,7 @@ class Tables:
 
     def extract_requests(self) -> DataFrame:
         return self.base("customer").selectExpr(
-            "c_custkey", "concat('REQ-', 100000 + c_custkey) AS request_id", "concat('sess-', c_custkey % 97) AS session",
+            "c_custkey", "c_mktsegment", "concat('REQ-', 100000 + c_custkey) AS request_id", "concat('sess-', c_custkey % 97) AS session",
             "'dot_contract_extract_v1' AS template_id", "1000 * (1 + c_custkey % 10) AS row_limit",
             "60 * (1 + c_custkey % 3) AS timeout_seconds",
             """concat('{"table":"contract_data","schema":"dot","filters":{"contract_value":{"min":',
@@ -233,7 +233,7 @@ class Tables:
             F.col("params"), F.col("template_id"), F.col("row_limit"), F.col("timeout_seconds")))
 
     def done_fingerprints(self) -> DataFrame:
-        return self.fingerprints().where("c_custkey % 11 = 0 AND c_custkey % 2 = 0").select("fingerprint").distinct()
+        return self.fingerprints().where("c_mktsegment = 'BUILDING' AND timeout_seconds = 60").select("fingerprint").distinct()
 
     def audit(self, events: DataFrame | None = None) -> DataFrame:
         events = self.base("events") if events is None else events

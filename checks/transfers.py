@@ -82,12 +82,13 @@ def marker_union(t: Tables):
 
 @check("insert_if_absent", """
     SELECT o_custkey, o_orderkey, o_totalprice FROM (
-      SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders WHERE o_orderkey % 2 = 1)
-    WHERE rn = 1 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 40 = 0)""")
+      SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders)
+    WHERE rn = 1 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
 def insert_if_absent(t: Tables):
+    """All orders as the batch; the target already has the customers of one segment."""
     orders = t.base("orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    return idempotency.insert_if_absent(
-        orders.where("o_orderkey % 2 = 1"), orders.where("o_orderkey % 40 = 0"), ["o_custkey"], ["o_orderkey"])
+    target = t.base("customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return idempotency.insert_if_absent(orders, target, ["o_custkey"], ["o_orderkey"])
 
 
 @check("bytes_per_session", """
@@ -124,11 +125,11 @@ _CLAIMED_SIZE = "size + CASE WHEN doc_id % 23 = 0 THEN 1 ELSE 0 END"
              claimed_size, a.size AS actual_size, [x FOR x IN [CASE WHEN a.sha IS NULL THEN 'missing_member' END, CASE WHEN c.sha IS NULL THEN 'extra_member' END,
                CASE WHEN claimed_size <> a.size THEN 'size_mismatch' END, CASE WHEN c.sha <> a.sha THEN 'checksum_mismatch' END] IF x IS NOT NULL] AS codes
       FROM (SELECT agency, session, CASE WHEN doc_id % 37 = 0 THEN concat('ghost-', file_name) ELSE file_name END AS file_name, {_CLAIMED_SIZE} AS claimed_size,
-                   CASE WHEN doc_id % 29 = 0 THEN sha256('other') ELSE sha256(content) END AS sha FROM files WHERE doc_id % 31 <> 0) c
+                   CASE WHEN doc_id % 29 = 0 THEN sha256('other') ELSE sha256(content) END AS sha FROM files) c
       FULL OUTER JOIN (SELECT agency, session, file_name, size, sha256(content) AS sha FROM files) a
         ON c.agency = a.agency AND c.session = a.session AND c.file_name = a.file_name) WHERE len(codes) > 0""")
 def validate_manifest_members(t: Tables):
-    claimed = t.files().where("doc_id % 31 <> 0").selectExpr(
+    claimed = t.files().selectExpr(
         "agency", "session", "CASE WHEN doc_id % 37 = 0 THEN concat('ghost-', file_name) ELSE file_name END AS file_name",
         f"{_CLAIMED_SIZE} AS size", "CASE WHEN doc_id % 29 = 0 THEN sha2('other', 256) ELSE upper(sha2(content, 256)) END AS sha256")
     actual = integrity.file_checksums(t.files())

@@ -133,7 +133,7 @@ VIEWS = {
                    WHEN 24 THEN ',"justification":" audit "' ELSE ',"requested_row_limit":500' END, '}') END AS raw
         FROM customer""",
     "extract_requests": """
-        SELECT c_custkey, concat('REQ-', 100000 + c_custkey) AS request_id,
+        SELECT c_custkey, c_mktsegment, concat('REQ-', 100000 + c_custkey) AS request_id,
                concat('sess-', c_custkey % 97) AS session, 'dot_contract_extract_v1' AS template_id,
                1000 * (1 + c_custkey % 10) AS row_limit, 60 * (1 + c_custkey % 3) AS timeout_seconds,
                concat('{"table":"contract_data","schema":"dot","filters":{"contract_value":{"min":',
@@ -149,7 +149,8 @@ VIEWS = {
         SELECT *, sha256(CAST(to_json(['fp1', 'parquet', '', '', '', '', template_id, CAST(row_limit AS VARCHAR),
                    CAST(timeout_seconds AS VARCHAR), canonical]) AS VARCHAR)) AS fingerprint
         FROM extract_requests""",
-    "done_fingerprints": "SELECT DISTINCT fingerprint FROM fingerprints WHERE c_custkey % 11 = 0 AND c_custkey % 2 = 0",
+    "done_fingerprints": """
+        SELECT DISTINCT fingerprint FROM fingerprints WHERE c_mktsegment = 'BUILDING' AND timeout_seconds = 60""",
     "audit": """
         SELECT event_id, ts AS timestamp, concat('transfer-', user_id) AS transfer_session_id,
                CASE event_type WHEN 'signup' THEN 'pipeline_start' WHEN 'view' THEN 'extract_data'

@@ -59,7 +59,7 @@ def plan_extracts(requests: DataFrame, markers: DataFrame, order: list[str], ses
     rows = join_back(requests, decided, ["fingerprint"])
     action = (
         F.when(F.coalesce("__done", F.lit(False)), F.lit("skip_done"))
-        .when(F.struct(*order) == F.col("__first"), F.lit("run"))
+        .when(F.struct(*order).eqNullSafe(F.col("__first")), F.lit("run"))
         .otherwise(F.lit("skip_duplicate"))
     )
     marker = query_marker_key(F.col("template_id"), F.col("fingerprint"))
