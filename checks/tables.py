@@ -31,9 +31,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._base: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return scan_parquet(self.spark, self.root, name)
+        """A test table; its schema is read from the files once per query."""
+        if name not in self._base:
+            self._base[name] = scan_parquet(self.spark, self.root, name)
+        return self._base[name]
 
     def base_tables(self) -> dict[str, DataFrame]:
         return {name: self.base(name) for name in BASE_TABLES if path_exists(self.spark, f"{self.root}/{name}.parquet")}

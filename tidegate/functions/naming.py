@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 from .text import clean, clean_lower, is_blank
 
 # The storage layout both sides of an exchange agree on.
-MODES = ("file", "query")
 MARKER_SUFFIX = ".done"
-REJECTED_SUFFIX = ".rejected"
 BUCKET_PURPOSES = ("staging", "landing", "target")
 RECEIVER_PURPOSES = ("landing", "target")
 

@@ -11,9 +11,5 @@ def violations(*rules: tuple[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(broken, F.lit(code)) for code, broken in rules]))
 
 
-def join_violations(*groups: Column) -> Column:
-    return F.concat(*groups)
-
-
 def first_violation(codes: Column) -> Column:
     return F.get(codes, F.lit(0))

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The states a transfer or a receiver run can end in.
-TRANSFER_STATUSES = ("processed", "already_processed", "failed", "rejected")
-
-
 def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"))
 

@@ -16,6 +16,8 @@ _SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    # Call sites are captured per column expression otherwise, which dominates the building of wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
