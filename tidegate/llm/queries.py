@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import pii, repetition
+from . import language, neighbours, pii, repetition, toxicity
 from .tables import read
 
 QUERIES = {
+    "op2_cross_parsing": lambda spark, sf_dir: language.language_id(read(spark, sf_dir, "documents")),
     "op4_pii_anchors": lambda spark, sf_dir: pii.personal_data(read(spark, sf_dir, "documents")),
+    "op6_noisy_or": lambda spark, sf_dir: toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
     "op8_repetition": lambda spark, sf_dir: repetition.quality_rules(read(spark, sf_dir, "documents")),
+    "op10_neighbour_vote": lambda spark, sf_dir: neighbours.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
 }
 ORACLES: dict[str, str] = {}

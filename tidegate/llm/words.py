@@ -73,9 +73,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every ascending, non-overlapping span of bytes."""
-    out = np.empty(len(starts), np.uint64)
+def hash_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: tuple[int | None, ...]) -> list[np.ndarray]:
+    """64-bit hashes of the first ``size`` bytes (None: all) of ascending, non-overlapping spans, one array a size."""
+    out = [np.empty(len(starts), np.uint64) for _ in sizes]
     if not len(starts):
         return out
     table = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -89,9 +89,16 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         sums = np.zeros(len(block) + 1, np.uint64)
         np.cumsum(table[block] * up[:len(block)], out=sums[1:])
         low, high = starts[first:last] - origin, ends[first:last] - origin
-        out[first:last] = (sums[high] - sums[low]) * down[low]
+        for made, size in zip(out, sizes):
+            stop = high if size is None else np.minimum(high, low + size)
+            made[first:last] = mix((sums[stop] - sums[low]) * down[low] + (stop - low).astype(np.uint64))
         first = last
-    return mix(out + (ends - starts).astype(np.uint64))
+    return out
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of every ascending, non-overlapping span of bytes."""
+    return hash_prefixes(data, starts, ends, (None,))[0]
 
 
 class Words:
