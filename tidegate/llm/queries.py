@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import language, neighbours, pii, repetition, toxicity
+import public_tokenizers
+
+from . import html_blocks, language, neighbours, packing, pii, repetition, toxicity
 from .tables import read
 
 QUERIES = {
     "op2_cross_parsing": lambda spark, sf_dir: language.language_id(read(spark, sf_dir, "documents")),
+    "op3_vector_packing": lambda spark, sf_dir: packing.packed_digest(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
     "op4_pii_anchors": lambda spark, sf_dir: pii.personal_data(read(spark, sf_dir, "documents")),
+    "op5_block_rules": lambda spark, sf_dir: html_blocks.extract_text(read(spark, sf_dir, "pages")),
     "op6_noisy_or": lambda spark, sf_dir: toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
     "op8_repetition": lambda spark, sf_dir: repetition.quality_rules(read(spark, sf_dir, "documents")),
     "op10_neighbour_vote": lambda spark, sf_dir: neighbours.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
