@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import html_blocks, language, neighbours, packing, pii, repetition, toxicity
+from . import html_blocks, language, neighbours, packing, pii, repetition, toxicity, winnowing
 from .tables import read
 
 QUERIES = {
@@ -14,7 +14,8 @@ QUERIES = {
     "op4_pii_anchors": lambda spark, sf_dir: pii.personal_data(read(spark, sf_dir, "documents")),
     "op5_block_rules": lambda spark, sf_dir: html_blocks.extract_text(read(spark, sf_dir, "pages")),
     "op6_noisy_or": lambda spark, sf_dir: toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
+    "op7_winnowing": lambda spark, sf_dir: winnowing.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
     "op8_repetition": lambda spark, sf_dir: repetition.quality_rules(read(spark, sf_dir, "documents")),
     "op10_neighbour_vote": lambda spark, sf_dir: neighbours.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_winnowing": winnowing.ORACLE}
