@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import html_blocks, language, neighbours, odd_sketch, packing, pii, repetition, toxicity, winnowing
+from . import html_blocks, language, neighbours, ngram_trie, odd_sketch, packing, pii, repetition, toxicity, winnowing
 from .tables import read
 
 QUERIES = {
+    "op1_ngram_trie": lambda spark, sf_dir: ngram_trie.language_model_scores(read(spark, sf_dir, "documents")),
     "op2_cross_parsing": lambda spark, sf_dir: language.language_id(read(spark, sf_dir, "documents")),
     "op3_vector_packing": lambda spark, sf_dir: packing.packed_digest(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
