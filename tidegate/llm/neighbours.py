@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import labelled_sample
-from .tables import crc_rest, map_slices
+from .tables import crc_rest, free_name, map_slices
 from .words import SPACES, Words
 
 SAMPLE = {0: 1500, 1: 1500}
 WORD_BITS, SHAPE_BITS = 13, 12
 RANK, K, POWER = 48, 25, 4
+#: Least share of votes of a text that is not rejected.
+ACCEPTED = 0.7
 BLOCK = 512
 FEATURES = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 
@@ -89,14 +91,12 @@ class Model:
         """Unit vectors of the texts in the latent space; zero where nothing is known."""
         row, feature, value, rows = features(texts)
         out = np.zeros((rows, self.directions.shape[1]), np.float32)
-        bounds = np.searchsorted(row, np.arange(rows + 1))
         step = 1 << 17
         for begin in range(0, len(row), step):  # blocks of features bound the memory of a long text
             part = slice(begin, begin + step)
             made = value[part, None].astype(np.float32) * self.directions[feature[part]]
             first = np.flatnonzero(np.diff(row[part], prepend=-1))
             out[row[part][first]] += np.add.reduceat(made, first, axis=0)
-        del bounds
         size = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, size, out=np.zeros_like(out), where=size > 0)
 
@@ -139,4 +139,12 @@ def quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
     rest = crc_rest("doc_id", 4)
     found = score_documents(documents.select("doc_id", "text"), train(documents, labels.where(rest != 2)))
     return found.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "score",
-                        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+                        (F.col("score") >= ACCEPTED).cast("int").alias("predicted"))
+
+
+def accepted(documents: DataFrame, model: Model) -> DataFrame:
+    """The documents, all columns, that their neighbours do not reject; all of them without labels."""
+    if not len(model.labels):
+        return documents
+    name = free_name(documents, "vote")
+    return score_documents(documents, model, name=name).where(F.col(name) >= ACCEPTED).select(*documents.columns)

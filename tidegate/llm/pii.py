@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from .tables import map_slices
+from .tables import free_name, map_slices
 
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("email", "ip", "card", "phone", "iban", "key", "secret", "userinfo")
@@ -155,8 +155,9 @@ def find_spans(df: DataFrame, text: str = "text", name: str = "pii_spans") -> Da
 
 def redact_documents(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with every span in ``text`` replaced by ``<KIND>``; a null stays null."""
-    made = _mapped(df, text, "_redacted_text", "string", pa.string(), lambda t, a: redact(t, text_spans(t, a)))
-    return made.select(*(made["_redacted_text"].alias(c) if c == text else made[c] for c in df.columns if c != "_redacted_text"))
+    name = free_name(df, "redacted")
+    made = _mapped(df, text, name, "string", pa.string(), lambda t, a: redact(t, text_spans(t, a)))
+    return made.select(*(made[name].alias(c) if c == text else made[c] for c in df.columns))
 
 
 def spans_text(spans: str, kinds: tuple[str, ...] = KINDS):

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import run_folder
+from .tables import free_name
 
 SPAN, GRAM = 10, 6
 WINDOW = SPAN - GRAM + 1
@@ -124,9 +125,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns, that share no window with the benchmark."""
-    keyed = documents.withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")))
-    hits = find_hits(documents, benchmark).select(F.col("doc_id").alias("_hit_id"), F.col("row_key").alias("_hit_key"))
-    same = F.col("_row_key").eqNullSafe(F.col("_hit_key")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_hit_id"))
+    key = free_name(documents, "row_key")
+    keyed = documents.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))).alias("d")
+    hits = find_hits(documents, benchmark).select(F.col("doc_id").alias("hit_id"), F.col("row_key").alias("hit_key")).alias("h")
+    same = F.col(f"d.{key}").eqNullSafe(F.col("h.hit_key")) & F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("h.hit_id"))
     return keyed.join(hits, same, "left_anti").select(*documents.columns)
 
 
