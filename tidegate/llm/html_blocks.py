@@ -89,15 +89,16 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []
     linked = at = 0
-    in_link = False
+    in_link = own = False
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, own
         text = " ".join("".join(parts).split())
+        never, article = stack[-1][1:] if stack else (False, False)
         if text:
-            found.append(Block(text, linked, bool(stack) and stack[-1][1], bool(stack) and stack[-1][2]))
+            found.append(Block(text, linked, never or own, article))
         parts.clear()
-        linked = 0
+        linked, own = 0, False
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -119,16 +120,16 @@ def blocks_of(page: str) -> list[Block]:
             parts.append(" ")
         elif tag in _BREAKS or tag == "button":
             flush()
-            in_link = in_link and tag in ("span",)
+            in_link = False
+            never, article = stack[-1][1:] if stack else (False, False)
             if tag not in _CONTAINERS and tag != "button" or token["attrs"].rstrip().endswith("/"):
-                continue
-            if token["close"]:
+                own = not token["close"] and _never(tag, token["attrs"], article)
+            elif token["close"]:
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == tag:
                         del stack[depth:]
                         break
             else:
-                never, article = stack[-1][1:] if stack else (False, False)
                 stack.append((tag, never or _never(tag, token["attrs"], article), article or tag in _ARTICLE))
     add(page[at:])
     flush()

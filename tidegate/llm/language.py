@@ -90,12 +90,15 @@ def suffix_automaton(text: np.ndarray, symbols: int) -> np.ndarray:
 def parser(table: np.ndarray) -> np.ndarray:
     """The parsing steps of an automaton: row offset of the next state, flagged where a new phrase begins.
 
-    The last symbol pads a piece: it changes nothing.
+    One more state, the last, stands before the first symbol and behind a symbol that the sample
+    lacks: every symbol begins a phrase there. The last symbol pads a piece and changes nothing.
     """
     states, symbols = table.shape
-    restart = np.maximum(table[0], 0)
-    steps = np.where(table >= 0, table, restart) * symbols + np.where(table >= 0, 0, _FLAG)
-    steps[:, symbols - 1] = np.arange(states) * symbols
+    restart = np.where(table[0] >= 0, table[0], states)
+    steps = np.empty((states + 1, symbols), np.int64)
+    steps[:states] = np.where(table >= 0, table * symbols, restart * symbols + _FLAG)
+    steps[states] = restart * symbols + _FLAG
+    steps[:, symbols - 1] = np.arange(states + 1) * symbols
     return steps.astype(np.int32).ravel()
 
 
@@ -124,7 +127,7 @@ class Model:
         codes[inside] = self.symbol[data[place[inside]]]
         out = np.zeros((len(size), len(self.languages)), np.int64)
         for k, steps in enumerate(self.steps):
-            state, count = np.zeros(len(row), np.int32), np.ones(len(row), np.int32)
+            state, count = np.full(len(row), len(steps) - self.symbols, np.int32), np.zeros(len(row), np.int32)
             for symbol in codes:
                 moved = steps[state + symbol]
                 count += moved >> 30

@@ -51,7 +51,7 @@ DISCOUNT = 0.75
 LM_SLICE = 8 << 20
 FLUSH = 3 << 20
 _END = np.uint64(0x2545F4914F6CDD1D)
-_CODES = 256
+_CODES = 4096
 _LOW32 = np.uint64(0xFFFFFFFF)
 
 
@@ -89,14 +89,14 @@ def open_sections(path: str) -> list[np.ndarray]:
 
 
 def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One-byte codes and their codebook of positive values; few distinct values are kept as they are."""
+    """Two-byte codes and their codebook of positive values; few distinct values are kept as they are."""
     if not len(values):
-        return np.zeros(0, np.uint8), np.zeros(1, np.float32)
+        return np.zeros(0, np.uint16), np.zeros(1, np.float32)
     book = np.unique(values.astype(np.float32))
     if len(book) > _CODES:
         book = np.unique(np.quantile(values, np.linspace(0, 1, _CODES)).astype(np.float32))
     middle = np.sqrt(book[1:].astype(float) * book[:-1])
-    return np.searchsorted(middle, values).astype(np.uint8), book
+    return np.searchsorted(middle, values).astype(np.uint16), book
 
 
 # Counting: sorted keys with counts, summed per task, dealt to shards as compressed rows.
@@ -190,7 +190,7 @@ class Level:
 
     def __init__(self, pointers: np.ndarray, values: np.ndarray, codes: np.ndarray, book: np.ndarray):
         self.pointers, self.values = Sequence(pointers), Sequence(values)
-        self.codes, self.book = codes.view(np.uint8), book.view(np.float32)
+        self.codes, self.book = codes.view(np.uint16), book.view(np.float32)
 
     def find(self, parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each child below its parent (-1: none) and the start of the parent's range; parents ascend."""
@@ -305,7 +305,7 @@ class Trie:
         for shard, part in _segments(self.pair_shard(ids.astype(np.uint64) << np.uint64(32))):
             if self.has_pairs(shard):
                 _, codes, book = self.sections("pairs", shard)[:3]
-                out[part] = book.view(np.float32)[codes.view(np.uint8)[ids[part] - self.parents(shard)[0]]]
+                out[part] = book.view(np.float32)[codes.view(np.uint16)[ids[part] - self.parents(shard)[0]]]
         for i, word in enumerate(ids.tolist()) if self.spread else ():
             if word in self.spread:
                 out[i] = self.spread[word][1]
@@ -316,7 +316,7 @@ class Trie:
         out = np.ones(len(pairs))
         for shard, part in _segments(np.searchsorted(self.first_pair, pairs, "right") - 1):
             _, codes, book = self.sections("triples", shard)[:3]
-            out[part] = book.view(np.float32)[codes.view(np.uint8)[pairs[part] - self.first_pair[shard]]]
+            out[part] = book.view(np.float32)[codes.view(np.uint16)[pairs[part] - self.first_pair[shard]]]
         return out
 
     def find_triples(self, pairs: np.ndarray, ranks: np.ndarray) -> np.ndarray:
