@@ -13,11 +13,15 @@ from .registry import check
 from .tables import Tables
 from .transfers import _entries, _MANIFEST_SQL, _routed
 
-_DOC_SQL = "SELECT doc_id, source, text, n_chars * 1000000.5 AS weight FROM documents"
+# Blanks around, tabs, a lone blank, quotes, line breaks, and doubles of 17 digits from 1e-12 to 1e15.
+_DOC_SQL = """SELECT doc_id, concat('  ', source, chr(9)) AS source, text, CASE WHEN doc_id % 2 = 0 THEN ' ' ELSE '"a"' || chr(10) || ',' END AS odd,
+    CAST('1.2345678901234567e' || CAST(doc_id % 28 - 12 AS VARCHAR) AS DOUBLE) AS weight FROM documents"""
 
 
 def _rows(t: Tables):
-    return t.base("documents").selectExpr("doc_id", "source", "text", "CAST(n_chars * 1000000.5 AS DOUBLE) AS weight")
+    return t.base("documents").selectExpr(
+        "doc_id", "concat('  ', source, chr(9)) AS source", "text", """CASE WHEN doc_id % 2 = 0 THEN ' ' ELSE concat('"a"', chr(10), ',') END AS odd""",
+        "CAST(concat('1.2345678901234567e', CAST(doc_id % 28 - 12 AS STRING)) AS DOUBLE) AS weight")
 
 
 @check("write_csv_extract", _DOC_SQL)
@@ -27,13 +31,15 @@ def write_csv_extract(t: Tables):
     return extracts.read_csv_extract(t.spark, path, rows.schema)
 
 
-@check("write_extract", " UNION ALL ".join(f"SELECT '{kind}' AS kind, * FROM ({_DOC_SQL})" for kind in ("jsonl", "parquet")))
+@check("write_extract", " UNION ALL ".join(f"SELECT '{kind}' AS kind, * FROM ({_DOC_SQL})" for kind in ("csv", "jsonl", "parquet")))
 def write_extract(t: Tables):
     path, rows = run_folder(t.spark, "extract"), _rows(t)
     extracts.write_extract(rows, f"{path}/parquet", "parquet")
     extracts.write_extract(rows, f"{path}/jsonl", "jsonl")
+    extracts.write_extract(rows, f"{path}/csv", "csv")
+    as_csv = extracts.read_csv_extract(t.spark, f"{path}/csv", rows.schema).select(F.lit("csv").alias("kind"), "*")
     as_json = t.spark.read.schema(rows.schema).json(f"{path}/jsonl").select(F.lit("jsonl").alias("kind"), "*")
-    return as_json.unionByName(t.spark.read.parquet(f"{path}/parquet").select(F.lit("parquet").alias("kind"), "*"))
+    return as_csv.unionByName(as_json).unionByName(t.spark.read.parquet(f"{path}/parquet").select(F.lit("parquet").alias("kind"), "*"))
 
 
 @check("write_gzip_payload", _DOC_SQL)

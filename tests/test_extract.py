@@ -49,11 +49,12 @@ def test_equal_and_in(rows):
     assert ids(extract.filter_equal(rows, "flag", True)) == [1, 4]
 
 
-def test_long_list_is_a_join_and_agrees(rows):
-    wanted = list(range(2, 4_000))
-    result = extract.filter_in(rows, "id", wanted)
-    assert ids(result) == [2, 3, 4]
-    assert "LeftSemi" in result._jdf.queryExecution().optimizedPlan().toString()
+def test_long_lists_agree_with_short_ones(rows):
+    assert ids(extract.filter_in(rows, "id", list(range(2, 4_000)))) == [2, 3, 4]
+    # A value with more digits than the column holds matches nothing, however long the list.
+    for more in (0, 1_500):
+        wanted = ["1.105", "2.20", 1e30, "1" * 20] + [f"{i}.005" for i in range(more)]
+        assert ids(extract.filter_in(rows, "amount", wanted)) == [2]
 
 
 @pytest.mark.parametrize("name, value", [
@@ -107,22 +108,19 @@ def test_empty_result(rows):
 
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("distinct", [3, 1000, 10**9])
-def test_wide_limit_equals_sorting(spark, monkeypatch, descending, distinct):
-    """The narrowed top-k keeps exactly the rows a full sort would, also with heavy ties and nulls."""
-    monkeypatch.setattr(extract, "WIDE_LIMIT", 100)
-    monkeypatch.setattr(extract, "_SAMPLE_TARGET", 50)
+def test_topk_equals_sorting(spark, descending, distinct):
+    """The top-k is what a full sort would give, also with heavy ties and nulls."""
     rng = random.Random(distinct)
     data = [(i, rng.randrange(distinct) if rng.random() > 0.1 else None) for i in range(5_000)]
     df = spark.createDataFrame(data, "id int, v bigint").repartition(7)
-    for limit in (101, 2_000, 4_900):
+    for limit in (1, 101, 2_000, 4_900, 6_000):
         result = extract.topk_extract(df, "v", limit, descending, ("id",)).collect()
         expected = sorted(data, key=lambda r: (r[1] is None, -(r[1] or 0) if descending else (r[1] or 0), r[0]))[:limit]
         assert [tuple(r) for r in result] == expected
 
 
 @pytest.mark.parametrize("limit", [101, 3_000, 5_000, 9_000])
-def test_wide_unordered_limit(spark, monkeypatch, limit):
-    monkeypatch.setattr(extract, "WIDE_LIMIT", 100)
+def test_unordered_limit(spark, limit):
     df = spark.range(0, 5_000, 1, 9).withColumn("same", (extract.F.col("id") % 2))
     rows = extract.limit_rows(df, limit)
     assert rows.count() == min(limit, 5_000) == rows.distinct().count()
@@ -131,9 +129,29 @@ def test_wide_unordered_limit(spark, monkeypatch, limit):
 
 def test_filters_reach_the_scan(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    chosen = extract.governed_extract(orders, ExtractSpec.from_dict({"row_limit": 10, "params": {
+    spec = ExtractSpec.from_dict({"row_limit": 10, "params": {
         "schema": "s", "table": "orders", "filters": {"o_totalprice": {"min": 1000}, "o_custkey": {"max": 50.5}},
-        "select_fields": ["o_orderkey", "o_totalprice"], "order_by": "o_totalprice desc"}}))
+        "select_fields": ["o_orderkey", "o_totalprice"], "order_by": "o_totalprice desc"}})
+    chosen = extract.project_fields(extract.filter_ranges(orders, spec.filters), spec.select_fields)
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_totalprice,1000.0)" in plan and "LessThanOrEqual(o_custkey,50)" in plan
-    assert "TakeOrderedAndProject" in plan and "o_orderpriority" not in plan
+    assert "o_orderpriority" not in plan
+    got = [tuple(r) for r in extract.governed_extract(orders, spec, ("o_orderkey",)).collect()]
+    assert got == [tuple(r) for r in chosen.orderBy(extract.F.desc("o_totalprice"), "o_orderkey").limit(10).collect()]
+
+
+@pytest.mark.parametrize("limit", [100, 30_000])
+def test_caps_take_nested_maps_and_hot_values(spark, limit):
+    df = spark.range(0, 60_000, 1, 6).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 3 END AS hot", "struct(map('a', id) AS m) AS nested", "array(map(id, 'x')) AS listed")
+    assert extract.limit_rows(df, limit).count() == limit
+    got = extract.topk_extract(df, "hot", limit, tie_break=("id",)).collect()
+    expected = sorted(((7 if i % 3 == 0 else i % 3), i) for i in range(60_000))[:limit]
+    assert [(r["hot"], r["id"]) for r in got] == expected and got[0]["nested"]["m"] == {"a": got[0]["id"]}
+    assert extract.topk_extract(df.select("hot"), "hot", limit).where("hot = 1").count() == min(limit, 20_000)
+
+
+def test_an_unprojected_key_breaks_ties(spark):
+    df = spark.range(0, 900, 1, 5).selectExpr("899 - id AS key", "0 AS level", "id AS shown")
+    rows = extract.governed_extract(df, spec(select_fields=("level", "shown"), order_field="level", row_limit=10), ("key",))
+    assert [tuple(r) for r in rows.collect()] == [(0, 899 - i) for i in range(10)]

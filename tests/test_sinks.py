@@ -28,6 +28,20 @@ def test_csv_text(spark, tmp_path):
     assert float(read[3][2]) == 1e-5 and "E" not in read[3][2]
 
 
+def test_csv_keeps_every_value(spark, tmp_path):
+    texts = ["  lead", "trail  ", "\ttab\t", " ", "\t", 'q"q', '"', "a,b", "l1\nl2", "l1\r\nl2", "\r", "#x", "\\", "'", "ü €", "''"]
+    numbers = [float(f"{sign}{digits}e{power}") for digits in ("1.2345678901234567", "9.999999999999999", "1", "3.5", "1.25")
+               for power in range(-12, 16) for sign in ("", "-")] + [0.0, -0.0, 1e300, 5e-324, 1e16, 123456789.0]
+    rows = [(i, texts[i % len(texts)], value) for i, value in enumerate(numbers)]
+    df = spark.createDataFrame(rows, "id int, note string, value double")
+    extracts.write_csv_extract(df, str(tmp_path / "out"))
+    back = extracts.read_csv_extract(spark, str(tmp_path / "out"), df.schema).collect()
+    assert sorted((r["id"], r["note"], repr(r["value"])) for r in back) == sorted((i, t, repr(v)) for i, t, v in rows)
+    shown = spark.createDataFrame([(v,) for _, _, v in rows if v == 0 or 1e-12 <= abs(v) < 1e16], "value double").select(
+        extracts.plain_number(F.col("value")).alias("text"), "value").collect()
+    assert all("E" not in r["text"] and float(r["text"]) == r["value"] for r in shown)
+
+
 def test_empty_csv_has_only_a_header(spark, tmp_path):
     extracts.write_csv_extract(spark.createDataFrame([], "a int, b string"), str(tmp_path / "out"))
     text = "".join(open(p).read() for p in glob.glob(str(tmp_path / "out" / "part-*.csv")))
@@ -91,6 +105,16 @@ def test_time_limit_cancels_the_job(spark):
     assert spark.range(3).count() == 3
 
 
+def test_narrowing_inside_the_time_limit(spark):
+    """A contract whose order alone takes too long is stopped, whole error and no marker."""
+    slow = F.udf(lambda x: (time.sleep(60), x)[1], "bigint")
+    contract = ExtractSpec.from_dict({"template_id": "dot_contract_extract_v1", "row_limit": 5, "timeout_seconds": 2, "params": {
+        "schema": "s", "table": "t", "order_by": "id"}})
+    root, started = run_folder(spark, "test-extracts"), time.time()
+    done = run_extracts(spark, [contract], lambda schema, name: spark.range(3).select(slow("id").alias("id")), root, "s").collect()
+    assert time.time() - started < 40 and [r["status"] for r in done] == ["failed"] and "ActionTimeout" in done[0]["error"]
+
+
 def test_jdbc_options():
     source = tables.JdbcSource("db", "core", "reader", partition_column="id", lower_bound=0, upper_bound=10**9, num_partitions=200)
     options = source.options("dot", "contract_data", 120)

@@ -7,18 +7,14 @@ from decimal import Decimal
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import ContractError, ExtractSpec, FieldFilter, typed_value
+from ..session import run_folder
 
-# Above this cap a top-k is first narrowed by a cutoff, see topk_extract.
-WIDE_LIMIT = 20_000
-# Longer value lists are matched by a semi join, so the plan stays small.
-LONG_LIST = 1_000
-_SAMPLE_TARGET = 2_000
-_HASH_SLOTS = 1 << 40
+_ROW_BITS = 33
 
 
 def _column_type(df: DataFrame, name: str, code: str = "unknown_field") -> T.DataType:
@@ -35,7 +31,7 @@ def _literal(value: Any, dtype: T.DataType, rounding=None) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return F.lit(float(value)).cast(dtype)
     if isinstance(value, Decimal):
-        return F.lit(value)
+        return F.lit(value).cast(dtype) if _fits(value, dtype) else F.lit(value)
     if isinstance(dtype, T.TimestampNTZType):
         return F.lit(value.replace(tzinfo=None).isoformat()).cast(dtype)
     return F.lit(value)
@@ -67,11 +63,13 @@ def max_predicate(df: DataFrame, name: str, value: Any) -> Column:
 
 
 def _fits(value: Any, dtype: T.DataType) -> bool:
-    """An integral column can equal a number only when it is whole and in range."""
-    if not isinstance(dtype, T.IntegralType):
-        return True
-    limit = 1 << _INTEGRAL_RANGE[type(dtype)]
-    return value == value.to_integral_value() and -limit <= value < limit
+    """Whether a column can hold the number: whole and in range, or within the decimal's digits."""
+    if isinstance(dtype, T.IntegralType):
+        limit = 1 << _INTEGRAL_RANGE[type(dtype)]
+        return value == value.to_integral_value() and -limit <= value < limit
+    if isinstance(dtype, T.DecimalType):
+        return value.is_finite() and value.adjusted() < dtype.precision - dtype.scale and value == round(value, dtype.scale)
+    return True
 
 
 def _member_values(df: DataFrame, name: str, values: list[Any]) -> tuple[T.DataType, list[Any]]:
@@ -103,30 +101,17 @@ def filter_equal(df: DataFrame, name: str, value: Any) -> DataFrame:
 
 
 def filter_in(df: DataFrame, name: str, values: list[Any]) -> DataFrame:
-    """Rows whose value is in the list; a long list becomes a semi join."""
-    dtype, typed = _member_values(df, name, values)
-    if len(typed) <= LONG_LIST:
-        return df.filter(in_predicate(df, name, values))
-    if isinstance(dtype, T.IntegralType):
-        typed = [int(value) for value in typed]
-    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
-        typed = [float(value) for value in typed]
-    listed = df.sparkSession.createDataFrame([(value,) for value in typed], T.StructType([T.StructField(name, dtype)]))
-    return df.join(listed, name, "left_semi").select(*df.columns)
+    """Rows whose value is in the list; values the column cannot hold match nothing."""
+    return df.filter(in_predicate(df, name, values))
 
 
 _PREDICATES = {"min": min_predicate, "max": max_predicate, "equal": equal_predicate, "in": in_predicate}
 
 
 def filter_ranges(df: DataFrame, filters: tuple[FieldFilter, ...]) -> DataFrame:
-    """All filters of a contract as one conjunction, plus a semi join per long value list."""
-    long_lists = [f for f in filters if f.operator == "in" and len(f.value) > LONG_LIST]
-    predicates = [_PREDICATES[f.operator](df, f.field, f.value) for f in filters if f not in long_lists]
-    if predicates:
-        df = df.filter(reduce(lambda left, right: left & right, predicates))
-    for item in long_lists:
-        df = filter_in(df, item.field, item.value)
-    return df
+    """All filters of a contract as one conjunction."""
+    predicates = [_PREDICATES[f.operator](df, f.field, f.value) for f in filters]
+    return df.filter(reduce(lambda left, right: left & right, predicates)) if predicates else df
 
 
 def project_fields(df: DataFrame, fields: tuple[str, ...] | list[str]) -> DataFrame:
@@ -153,104 +138,61 @@ def order_by_field(
 
 
 def limit_rows(df: DataFrame, row_limit: int) -> DataFrame:
-    """Any ``row_limit`` rows.
-
-    A bare limit sends that many rows of every task to one task. Above
-    ``WIDE_LIMIT`` the table is therefore first thinned by a row hash to little
-    more than the rows wanted, which a count over the whole table confirms.
-    """
-    if row_limit <= WIDE_LIMIT:
-        return df.limit(row_limit)
-    total = df.count()
-    if total <= row_limit:
-        return df
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    slot = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in hashable]), F.lit(_HASH_SLOTS))
-    share = row_limit / total * 1.02 + 1e-6
-    while share < 1:
-        thinned = df.where(slot < int(share * _HASH_SLOTS))
-        if thinned.count() >= row_limit:
-            return thinned.limit(row_limit)
-        share *= 1.5
+    """Any ``row_limit`` rows; each task stops at the cap, and so does the task that joins them."""
     return df.limit(row_limit)
 
 
-def _not_after(field: str, descending: bool, tie: str | None, cutoff) -> Column:
-    """True for rows that sort at or before the cutoff row."""
-    column = F.col(f"`{field}`")
-    better = column > F.lit(cutoff[0]) if descending else column < F.lit(cutoff[0])
-    level = column == F.lit(cutoff[0])
-    if tie is not None:
-        level = level & (F.col(f"`{tie}`") <= F.lit(cutoff[1]))
-    return better | level
-
-
-def _cutoff_filter(
-    df: DataFrame, field: str, descending: bool, row_limit: int, tie: str | None
-) -> DataFrame:
-    """Drop rows that cannot be among the first ``row_limit``, keeping all that can.
-
-    The cutoff comes from a sample but is accepted only once a count over the
-    whole table shows that at least ``row_limit`` rows sort at or before it, so
-    the result is exact whatever the sample says.
-    """
-    keys = df.select(field, tie) if tie else df.select(field)
-    keys = keys.filter(F.col(f"`{field}`").isNotNull())
-    fraction = min(1.0, _SAMPLE_TARGET / row_limit)
-    rank = int(row_limit * fraction * 1.25) + 64
-    order = _sort_columns(field, descending, (tie,) if tie else ())
-    for _ in range(3):
-        head = keys.sample(fraction, seed=17).orderBy(*order).limit(rank)
-        last = head.orderBy(*[_reverse(c, d) for c, d in _order_spec(field, descending, tie)]).limit(1).collect()
-        if not last or (tie and last[0][1] is None):
-            return df
-        keep = _not_after(field, descending, tie, tuple(last[0]))
-        if keys.filter(keep).count() >= row_limit:
-            return df.filter(keep)
-        rank *= 2
-    return df
-
-
-def _order_spec(field: str, descending: bool, tie: str | None) -> list[tuple[str, bool]]:
-    return [(field, descending)] + ([(tie, False)] if tie else [])
-
-
-def _reverse(name: str, descending: bool) -> Column:
-    column = F.col(f"`{name}`")
-    return column.asc_nulls_last() if descending else column.desc_nulls_first()
+def _place(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` sorted inside its partitions, with the place of each row in its partition."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return df.sortWithinPartitions(*order).withColumn(name, place)
 
 
 def topk_extract(
     df: DataFrame, field: str, row_limit: int, descending: bool = False, tie_break: tuple[str, ...] = ()
 ) -> DataFrame:
-    """The first ``row_limit`` rows of an order.
+    """The first ``row_limit`` rows of an order, in that order.
 
-    A small cap is one ``TakeOrderedAndProject``: every task keeps its best k
-    rows and one task merges them. With a large cap that merge would receive k
-    rows from each of thousands of tasks, so the table is first narrowed to the
-    rows at or before a checked cutoff, which the scan can also prune by.
+    Every task keeps its first k rows; what is left is dealt out by range of the order and each
+    range gives as many rows as the ranges before it leave of the cap, so no task merges the k rows of
+    all the others. Rows that tie in the whole order keep the order of the scan, which also
+    lets the ranges split a value that many rows share.
     """
     _column_type(df, field, "unknown_order_field")
     for name in tie_break:
         _column_type(df, name, "unknown_order_field")
-    if row_limit > WIDE_LIMIT:
-        tie = next((name for name in tie_break if name != field), None)
-        df = _cutoff_filter(df, field, descending, row_limit, tie)
-    return df.orderBy(*_sort_columns(field, descending, tie_break)).limit(row_limit)
+    rows = df.select(F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("kept"), *[
+        F.col(f"`{name}`").alias(f"by_{i}") for i, name in enumerate((field, *[n for n in tie_break if n != field]))])
+    names = [name for name in rows.columns if name != "kept"]
+    lead = F.col("by_0").desc_nulls_last() if descending else F.col("by_0").asc_nulls_last()
+    order = [lead, *[F.col(name).asc_nulls_last() for name in names[1:]], F.col("scanned").asc()]
+    first = _place(rows.withColumn("scanned", F.monotonically_increasing_id()), order, "place").where(F.col("place") < row_limit)
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _place(first.drop("place").repartitionByRange(ranges, *order), order, "place").withColumn("part", F.spark_partition_id())
+    # Range bounds come from a sample and would differ in a second run of the plan, so the ranges are written once.
+    folder = run_folder(df.sparkSession, "ranges")
+    dealt.write.parquet(folder)
+    dealt = df.sparkSession.read.parquet(folder)
+    sizes = dealt.groupBy("part").count().withColumn("all", F.lit(1))
+    before = F.sum("count").over(Window.partitionBy("all").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    # One line a range.
+    quota = sizes.select(F.col("part").alias("of_part"), (F.lit(row_limit) - F.coalesce(before, F.lit(0))).alias("quota"))
+    cut = dealt.join(F.broadcast(quota), F.col("part") == F.col("of_part")).where(F.col("place") < F.col("quota"))
+    return cut.orderBy(*order).select("kept.*")
 
 
 def governed_extract(df: DataFrame, spec: ExtractSpec, key: tuple[str, ...] = ()) -> DataFrame:
     """Filters, then projection, then order, then cap.
 
     A filter may use a column that is not projected; the order field must be
-    projected. ``key`` names the table's unique key: it breaks ties at the cap
-    where it is projected, and orders a large unordered cut.
+    projected. ``key`` names the table's unique key: it breaks ties at the cap,
+    whether it is projected or not.
     """
-    df = project_fields(filter_ranges(df, spec.filters), spec.select_fields)
-    tie_break = tuple(name for name in key if name in df.columns)
-    if spec.order_field is not None:
-        return topk_extract(df, spec.order_field, spec.row_limit, spec.descending, tie_break)
-    if tie_break and spec.row_limit > WIDE_LIMIT:
-        # Any rows will do, but a bare limit would send that many rows of every task to one.
-        return topk_extract(df, tie_break[0], spec.row_limit, False, tie_break)
-    return limit_rows(df, spec.row_limit)
+    rows = filter_ranges(df, spec.filters)
+    shown = project_fields(rows, spec.select_fields)
+    if spec.order_field is None:
+        return limit_rows(shown, spec.row_limit)
+    _column_type(shown, spec.order_field, "unknown_order_field")
+    tie_break = tuple(name for name in key if name in rows.columns)
+    carried = project_fields(rows, list(dict.fromkeys([*shown.columns, *tie_break])))
+    return project_fields(topk_extract(carried, spec.order_field, spec.row_limit, spec.descending, tie_break), spec.select_fields)

@@ -73,14 +73,14 @@ def _run_one(
     started, path = time.time(), f"{root}/{output}"
     try:
         seen = Observation()
-        rows = governed_extract(table(spec.schema, spec.table), spec, table_key(spec.schema, spec.table))
         with time_limit(spark, spec.timeout_seconds):
+            rows = governed_extract(table(spec.schema, spec.table), spec, table_key(spec.schema, spec.table))
             write_extract(rows.observe(seen, F.count(F.lit(1)).alias("n")), path, output_format)
         done = ExtractSummary(
             fp, marker, output, seen.get["n"], written_bytes(spark, path), time.time() - started)
     except Exception as exc:  # one failed contract must not stop the others
         return ExtractSummary(
-            fp, marker, status="failed", error=f"{type(exc).__name__}: {exc}"[:500],
+            fp, marker, status="failed", error=f"{type(exc).__name__}: {exc}",
             duration_seconds=time.time() - started)
     body = [(fp, spec.template_id, output, spec.row_limit, spec.timeout_seconds)]
     # Each marker has a folder of its own, so extracts that end together do not share a commit.

@@ -6,18 +6,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Doubled quotes inside quoted fields; null and empty text are both written empty.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "", "encoding": "UTF-8"}
+# Doubled quotes inside quoted fields, blanks kept; null and empty text are both written empty.
+CSV_OPTIONS = {
+    "header": "true", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "", "encoding": "UTF-8",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 EXTRACT_FORMATS = ("csv", "parquet", "jsonl")
 
 
 def plain_number(value: Column) -> Column:
-    """Shortest decimal text of a double without an exponent; extreme magnitudes keep theirs."""
+    """Shortest decimal text of a double with every digit and no exponent; extreme magnitudes keep theirs."""
     text = value.cast("string")
-    digits = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), "(\\.\\d*?)0+$", "$1")
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    exponent = F.substring_index(text, "E", -1).try_cast("int")
+    digits = F.regexp_replace(F.regexp_replace(F.substring_index(text, "E", 1), "[-.]", ""), "0+$", "")
+    whole = F.when(F.length(digits) <= exponent + 1, F.concat(F.rpad(digits, exponent + 1, "0"), F.lit(".0"))).otherwise(
+        F.concat(digits.substr(F.lit(1), exponent + 1), F.lit("."), digits.substr(exponent + 2, F.length(digits))))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    sign = F.when(text.startswith("-"), "-").otherwise("")
     in_range = (F.abs(value) >= 1e-12) & (F.abs(value) < 1e16)
-    return F.when(text.contains("E") & in_range, F.coalesce(plain, text)).otherwise(text)
+    return F.when(text.contains("E") & in_range, F.concat(sign, F.when(exponent < 0, small).otherwise(whole))).otherwise(text)
 
 
 def csv_ready(df: DataFrame) -> DataFrame:
