@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegate.operators.audit import merge_timelines
+from tidegate.operators import audit
 from tidegate.session import run_folder
 from tidegate.streaming import batches, jobs as job_stream
 
@@ -18,10 +18,10 @@ def _drain(query) -> None:
     query.awaitTermination()
 
 
-def _arrive(t: Tables, rows, key: str, path: str, run, parts: int = 3) -> None:
+def _arrive(rows, part: str, path: str, run, parts: int = 4) -> None:
     """Let the rows arrive in parts: write one, drain the stream, write the next."""
-    for part in range(parts):
-        rows.where(F.expr(f"{key} % {parts} = {part}")).write.mode("append").parquet(path)
+    for i in range(parts):
+        rows.where(F.expr(f"{part} = {i}")).write.mode("append").parquet(path)
         _drain(run())
 
 
@@ -36,29 +36,35 @@ def stream_new_files(t: Tables):
 
 
 @check("stream_dedup_requests", """
-    SELECT fingerprint, min(c_custkey % 3 * 1000000000 + c_custkey) % 1000000000 AS c_custkey FROM fingerprints GROUP BY fingerprint""")
+    SELECT fingerprint, min(c_custkey % 4 * 1000000000 + c_custkey) % 1000000000 AS c_custkey FROM fingerprints GROUP BY fingerprint""")
 def stream_dedup_requests(t: Tables):
+    job_stream.use_state_store(t.spark)
     rows, out = t.fingerprints().select("fingerprint", "c_custkey"), run_folder(t.spark, "dedup")
-    keep = batches.dedup_batches(f"{out}/table", "fingerprint", ["c_custkey"], batches.ddl(rows))
+    store = batches.store_batches(lambda df: df, f"{out}/table")
 
     def run():
         source = batches.folder_stream(t.spark, f"{out}/arrived", rows.schema)
-        return batches.start(source.writeStream.foreachBatch(keep), f"{out}/checkpoint")
+        firsts = batches.first_arrivals(source, "fingerprint", ["c_custkey"])
+        return batches.start(firsts.writeStream.outputMode("update").foreachBatch(store), f"{out}/checkpoint")
 
-    _arrive(t, rows, "c_custkey", f"{out}/arrived", run)
+    _arrive(rows, "c_custkey % 4", f"{out}/arrived", run)
     return batches.read_batches(t.spark, f"{out}/table", batches.ddl(rows)).select("fingerprint", "c_custkey")
 
 
 @check("stream_session_timeline", "SELECT * FROM timeline")
 def stream_session_timeline(t: Tables):
-    events = t.audit(batches.table_stream(t.spark, t.root, "events"))
-    timeline = batches.timeline_stream(events, "30 days")
-    out = run_folder(t.spark, "timeline")
-    store = batches.store_batches(lambda df: df, f"{out}/table")
-    _drain(batches.start(timeline.writeStream.outputMode("update").foreachBatch(store), f"{out}/checkpoint"))
-    changes = batches.read_batches(t.spark, f"{out}/table", batches.ddl(timeline))
-    latest = batches.latest_per_key(changes, ["transfer_session_id", "part"])
-    return merge_timelines(latest).withColumns({"first_ts": text_time("first_ts"), "last_ts": text_time("last_ts")})
+    """Newest events first, so most of them come late."""
+    events, out = t.audit(), run_folder(t.spark, "timeline")
+    store = batches.timeline_batches(f"{out}/table")
+
+    def run():
+        source = batches.folder_stream(t.spark, f"{out}/arrived", events.schema)
+        return batches.start(source.writeStream.foreachBatch(store), f"{out}/checkpoint")
+
+    _arrive(events, "CAST(3 - least(3, day(timestamp) div 8) AS INT)", f"{out}/arrived", run)
+    parts = batches.read_batches(t.spark, f"{out}/table", batches.ddl(events.groupBy("transfer_session_id").agg(
+        *audit.timeline_columns(["timestamp", "event_id"]))))
+    return audit.merge_timelines(parts).withColumns({"first_ts": text_time("first_ts"), "last_ts": text_time("last_ts")})
 
 
 @check("stream_store_idempotent", "SELECT agency, session, count(*) AS members, CAST(sum(size) AS BIGINT) AS bytes FROM files GROUP BY agency, session")
@@ -70,17 +76,19 @@ def stream_store_idempotent(t: Tables):
         source = batches.folder_stream(t.spark, f"{out}/arrived", files.schema)
         return batches.start(source.writeStream.foreachBatch(store), f"{out}/{checkpoint}")
 
-    _arrive(t, files, "doc_id", f"{out}/arrived", run)
+    _arrive(files, "doc_id % 4", f"{out}/arrived", run)
     stored = batches.read_batches(t.spark, f"{out}/table", batches.ddl(files))
     return stored.groupBy("agency", "session").agg(F.count("*").alias("members"), F.sum("size").alias("bytes"))
 
 
 @check("stream_job_state", f"SELECT job, status, seq FROM ({_STATE_SQL})", with_replay)
 def stream_job_state(t: Tables):
-    job_stream.use_state_store(t.spark)
-    out = run_folder(t.spark, "job-state")
-    events = t.job_events(batches.table_stream(t.spark, t.root, "conversations"))
-    changes = job_stream.job_state_stream(events, "result", "error")
-    store = batches.store_batches(lambda df: df, f"{out}/table")
-    _drain(batches.start(changes.writeStream.outputMode("update").foreachBatch(store), f"{out}/checkpoint"))
-    return batches.latest_per_key(batches.read_batches(t.spark, f"{out}/table", job_stream.OUTPUT_SCHEMA), ["job"])
+    events, out = t.job_events(), run_folder(t.spark, "job-state")
+    advance = job_stream.job_state_batches(f"{out}/table", "result", "error")
+
+    def run():
+        source = batches.folder_stream(t.spark, f"{out}/arrived", events.schema)
+        return batches.start(source.writeStream.foreachBatch(advance), f"{out}/checkpoint")
+
+    _arrive(events, "CAST(least(seq, 3) AS INT)", f"{out}/arrived", run)
+    return batches.latest_per_key(batches.read_batches(t.spark, f"{out}/table", job_stream.STATE_SCHEMA), ["job"])

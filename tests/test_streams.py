@@ -4,7 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidegate.streaming import batches
+from tidegate.operators import audit
+from tidegate.streaming import batches, jobs
 
 
 def drain(writer, checkpoint):
@@ -25,14 +26,51 @@ def test_new_files_are_handled_once(spark, tmp_path):
     assert sorted(r["path"].rsplit("/", 1)[1] for r in stored) == ["a.txt", "b.txt"]
 
 
-def test_dedup_remembers_and_replays(spark, tmp_path):
+def arrivals(spark, tmp_path, schema, parts, writer):
+    """Drain a stream after each part arrives; the writer takes the streaming rows."""
+    folder = str(tmp_path / "arrived")
+    for rows in parts:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(folder)
+        drain(writer(batches.folder_stream(spark, folder, spark.createDataFrame([], schema).schema)), str(tmp_path / "cp"))
+
+
+def test_first_arrivals_are_remembered(spark, tmp_path):
+    jobs.use_state_store(spark)
     out, schema = str(tmp_path / "out"), "fingerprint string, at bigint"
-    keep = batches.dedup_batches(out, "fingerprint", ["at"], schema)
-    one = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], schema)
-    two = spark.createDataFrame([("b", 4), ("c", 5), ("c", 6)], schema)
-    for batch_id, batch in ((0, one), (1, two), (0, one), (1, two)):
-        keep(batch, batch_id)
-    assert {(r["fingerprint"], r["at"]) for r in batches.read_batches(spark, out, schema).collect()} == {("a", 1), ("b", 3), ("c", 5)}
+    store = batches.store_batches(lambda df: df, out)
+    arrivals(spark, tmp_path, schema, [[("a", 2), ("a", 1), ("b", 3)], [("b", 1), ("c", 5), ("c", 6)], [("a", 0)]], lambda s: batches.first_arrivals(
+        s, "fingerprint", ["at"]).writeStream.outputMode("update").foreachBatch(store))
+    assert sorted((r["fingerprint"], r["at"]) for r in batches.read_batches(spark, out, schema).collect()) == [("a", 1), ("b", 3), ("c", 5)]
+
+
+def test_late_events_count(spark, tmp_path):
+    out, schema = str(tmp_path / "out"), "transfer_session_id string, timestamp timestamp, event_id bigint, outcome string, bytes_transferred bigint"
+    day = lambda d: dt.datetime(2024, 1, d)
+    parts = [[("s", day(30 - i), i, "success" if i else "failure", 1), ("t", day(1), 100 + i, "success", None)] for i in range(5)]
+    arrivals(spark, tmp_path, schema, parts, lambda s: s.writeStream.foreachBatch(batches.timeline_batches(out)))
+    rows = [r for part in parts for r in part]
+    whole = spark.createDataFrame(rows, schema)
+    columns = batches.ddl(whole.groupBy("transfer_session_id").agg(*audit.timeline_columns(["timestamp", "event_id"])))
+    merged = audit.merge_timelines(batches.read_batches(spark, out, columns))
+    assert sorted(merged.collect()) == sorted(audit.session_timeline(whole).collect())
+    assert merged.agg(F.sum("events")).first()[0] == 10
+
+
+def test_job_state_over_batches_with_a_hot_job(spark, tmp_path):
+    out, schema = str(tmp_path / "out"), "job bigint, seq bigint, status string"
+    hot = [(7, 1_000 + i, "running") for i in range(5_000)]
+    parts = [
+        [(1, 0, "pending"), (2, 0, "running"), (3, 0, "pending"), (3, 1, "cancelled"), (7, 0, "pending"), *hot],
+        [(1, 1, "running"), (2, 1, "pending"), (3, 2, "running"), (7, 9_000, "failed"), *hot],
+        [(1, 2, "pending"), (2, 2, "sent"), (1, 3, "sent"), (7, 9_001, "sent")], [(2, 3, "running"), (2, 4, "other"), (2, 5, "sent")]]
+    advance = jobs.job_state_batches(out)
+    arrivals(spark, tmp_path, schema, parts, lambda s: s.writeStream.foreachBatch(advance))
+    state = lambda: {r["job"]: (r["status"], r["seq"]) for r in batches.latest_per_key(
+        batches.read_batches(spark, out, jobs.STATE_SCHEMA), ["job"]).collect()}
+    expected = {1: ("sent", 3), 2: ("sent", 5), 3: ("cancelled", 1), 7: ("failed", 9_000)}
+    assert state() == expected
+    advance(spark.createDataFrame(parts[1], schema), 1)  # a replayed batch decides as it did
+    assert state() == expected
 
 
 def test_dedup_within_watermark(spark, tmp_path):

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.audit import timeline_columns
-from ..operators.idempotency import first_of_duplicates
 from ..session import path_exists
 from ..sources.files import FILE_SCHEMA
 
@@ -70,21 +69,20 @@ def store_batches(transform: Callable[[DataFrame], DataFrame], path: str) -> Cal
     return store
 
 
-def dedup_batches(path: str, key: str, order: list[str], schema: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that keeps the first request of each fingerprint, for all time.
+def first_arrivals(requests: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The first request of each key, for all time, as it arrives; of one micro-batch the first in ``order``.
 
-    The kept rows are the memory of the past. Only earlier batches are
-    consulted, so a replay decides as the first attempt did. The memory is first
-    cut down to the batch's keys, a join in which the small batch is the side
-    that is copied.
+    The state store remembers the first row of each key and is read by key, so
+    a micro-batch costs what it holds and not what came before. Copies are
+    combined on the map side.
     """
-    def keep(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        firsts = first_of_duplicates(batch, key, order).drop("copies")
-        past = read_batches(spark, path, schema).where(F.col("batch_id") < batch_id).select(key)
-        seen = past.join(firsts.select(key), key, "left_semi")
-        _replace_batch(firsts.join(seen, key, "left_anti"), path, batch_id)
-    return keep
+    stamped = requests.withColumn("arrived", F.current_timestamp())
+    position = F.struct("arrived", *order)
+    firsts = stamped.groupBy(key).agg(
+        F.min_by(F.struct(*[name for name in requests.columns if name != key]), position).alias("first"), F.min("arrived").alias("arrived"))
+    # A key that was known before keeps its earlier time.
+    return firsts.where(F.col("arrived") == F.current_timestamp()).select(
+        *[F.col(key) if name == key else F.col(f"first.`{name}`").alias(name) for name in requests.columns])
 
 
 def dedup_within_watermark(requests: DataFrame, key: str, time: str, delay: str) -> DataFrame:
@@ -92,17 +90,13 @@ def dedup_within_watermark(requests: DataFrame, key: str, time: str, delay: str)
     return requests.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def timeline_stream(
-    events: DataFrame, delay: str, order: tuple[str, ...] = ("timestamp", "event_id"), part: str = "1 day"
-) -> DataFrame:
-    """Running timeline of each session's part in a time window.
+def timeline_batches(path: str, order: tuple[str, ...] = ("timestamp", "event_id")) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that stores each micro-batch's part of every session's timeline.
 
-    Grouping by window as well as session lets the watermark drop old state;
-    sessions alone would be kept for ever. ``merge_timelines`` puts the parts
-    together. ``timestamp`` must be an instant, not a zoneless time.
+    ``merge_timelines`` puts the parts together when they are read. There is no
+    watermark, so an event counts however late it comes.
     """
-    return events.withWatermark("timestamp", delay).groupBy("transfer_session_id", F.window("timestamp", part)).agg(
-        *timeline_columns(list(order))).withColumn("part", F.col("window.start")).drop("window")
+    return store_batches(lambda batch: batch.groupBy("transfer_session_id").agg(*timeline_columns(list(order))), path)
 
 
 def latest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,71 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import functions as F
 
-from ..operators.jobs import STATUSES, usable_steps
+from ..operators.jobs import accepted_steps, usable_steps
+from .batches import _replace_batch, latest_per_key, read_batches
 
-# What each state accepts next; "" is a job not seen yet.
-ALLOWED = {"": ("pending",), "pending": ("running", "cancelled"), "running": ("sent", "failed", "cancelled")}
-OUTPUT_SCHEMA = "job bigint, status string, seq bigint"
+STATE_SCHEMA = "job bigint, status string, seq bigint"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PAST = -(1 << 62)
 
 
-def advance(state: str, seqs: np.ndarray, codes: np.ndarray) -> tuple[str, int | None]:
-    """State after the events of one micro-batch, and the step that led there.
-
-    Each move is a search for the first acceptable event after the last move,
-    so at most three searches are made however many events there are.
-    """
-    order = np.argsort(seqs, kind="stable")
-    seqs, codes = seqs[order], codes[order]
-    position, moved = 0, None
-    while state in ALLOWED:
-        wanted = np.isin(codes[position:], [STATUSES.index(name) for name in ALLOWED[state]])
-        hits = np.flatnonzero(wanted)
-        if not len(hits):
-            break
-        at = position + int(hits[0])
-        state, moved, position = STATUSES[codes[at]], int(seqs[at]), at + 1
-    return state, moved
-
-
-class JobProcessor(StatefulProcessor):
-    """Keeps the state name of each job; events of a micro-batch are taken in ``seq`` order."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getValueState("state", "status string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = self._state.get()[0] if self._state.exists() else ""
-        if state and state not in ALLOWED:
-            return
-        seqs, codes = [], []
-        for chunk in rows:
-            known = chunk[chunk["status"].isin(STATUSES)]
-            seqs.append(known["seq"].to_numpy(dtype=np.int64))
-            codes.append(pd.Categorical(known["status"], categories=STATUSES).codes)
-        if not seqs:
-            return
-        after, moved = advance(state, np.concatenate(seqs), np.concatenate(codes))
-        if moved is not None:
-            self._state.update((after,))
-            yield pd.DataFrame({"job": [key[0]], "status": [after], "seq": [moved]})
+def use_state_store(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
-    def close(self) -> None:
-        pass
 
+def _steps_so_far(states: DataFrame) -> DataFrame:
+    """A history, before all events, that leads to each job's state."""
+    steps = F.when(F.col("status") == "pending", F.array(F.lit("pending"))).when(
+        F.col("status") == "running", F.array(F.lit("pending"), F.lit("running"))).otherwise(
+        F.array(F.lit("pending"), F.lit("running"), F.col("status")))
+    return states.select("job", F.posexplode(steps)).select("job", (F.lit(_PAST) + F.col("pos")).alias("seq"), F.col("col").alias("status"))
 
-def use_state_store(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
+def job_state_batches(path: str, result: str | None = None, error: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that stores the jobs whose state moved in each micro-batch.
 
-def job_state_stream(events: DataFrame, result: str | None = None, error: str | None = None) -> DataFrame:
-    """A row for every job whose state moved in a micro-batch."""
-    return usable_steps(events, result, error).groupBy("job").transformWithStateInPandas(
-        JobProcessor(), outputStructType=OUTPUT_SCHEMA, outputMode="update", timeMode="none")
+    The events of a micro-batch are taken in ``seq`` order after all earlier
+    batches. They are replayed by the same aggregations as whole histories, behind
+    a short history that stands for the job's state, so a job that owns most events
+    is combined on the map side. The stored changes are the memory: at most three
+    rows a job, whatever the number of events, and only earlier batches are
+    consulted, so a replay changes nothing.
+    """
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        usable = usable_steps(batch, result, error)
+        earlier = read_batches(spark, path, STATE_SCHEMA).where(F.col("batch_id") < batch_id)
+        known = latest_per_key(earlier.join(usable.select("job").distinct(), "job", "left_semi"), ["job"])
+        steps = accepted_steps(_steps_so_far(known).unionByName(usable.select("job", "seq", "status")))
+        latest = F.coalesce("ended", "started", "created")
+        moved = steps.select("job", latest["status"].alias("status"), latest["seq"].alias("seq")).where(F.col("seq") > _PAST + 2)
+        _replace_batch(moved, path, batch_id)
+    return advance
