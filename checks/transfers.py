@@ -55,11 +55,10 @@ def read_manifests(t: Tables):
 @check("expand_archives", """
     SELECT agency, session, doc_id, file_name AS member, size, sha256(content) AS sha256, 'ok' AS status FROM files""")
 def expand_archives(t: Tables):
-    files, cores = t.files(), t.spark.sparkContext.defaultParallelism
-    # One table file would mean one task; a table of many files is spread already.
-    files = files.repartition(cores) if len(files.inputFiles()) < cores else files
+    # Archives are the unit of work; deal them out whatever the number of table files.
+    files = t.files().repartition(t.spark.sparkContext.defaultParallelism)
     packed = sinks.pack_archives(files, ["agency", "session", "doc_id"])
-    members = file_sources.expand_archives(packed, ["agency", "session", "doc_id"], "archive")
+    members = file_sources.whole_members(file_sources.expand_archives(packed, ["agency", "session", "doc_id"], "archive"))
     return members.select("agency", "session", "doc_id", "member", "size", "sha256", "status")
 
 

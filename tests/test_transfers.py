@@ -12,7 +12,7 @@ import pytest
 from tidegate.operators.aggregates import status_counts
 from tidegate.plans.transfers import receive_transfers, send_files
 from tidegate.sinks.transfers import read_markers
-from tidegate.sources import files as sources
+from tidegate.sources import files as sources, large_files
 
 
 def archive(members, symlink=False):
@@ -125,14 +125,31 @@ def test_member_escape(name, escapes):
     assert sources.escapes_root(name) is escapes
 
 
-def test_large_members_are_hashed_without_content(spark):
-    body = archive([("big", b"x" * 1000), ("small", b"y")])
+def test_members_come_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sources, "PART_BYTES", 300)
+    body = archive([("big", b"x" * 1000), ("small", b"y"), ("even", b"z" * 600), ("none", b"")])
     df = spark.createDataFrame([("s", bytearray(body)), ("n", None), ("bad", bytearray(gzip.compress(b"no tar")))], "k string, content binary")
-    rows = {(r["k"], r["member"]): r for r in sources.expand_archives(df, ["k"], max_member_bytes=100).collect()}
-    assert rows["s", "big"]["status"] == "too_large" and rows["s", "big"]["content"] is None
-    assert rows["s", "big"]["sha256"] == hashlib.sha256(b"x" * 1000).hexdigest()
-    assert bytes(rows["s", "small"]["content"]) == b"y"
-    assert rows["n", None]["status"] == "no_content" and rows["bad", None]["status"] == "unreadable"
+    rows = sources.expand_archives(df, ["k"])
+    joined = {}
+    for r in sorted((r for r in rows.collect() if r["member"]), key=lambda r: r["part"]):
+        joined[r["member"]] = joined.get(r["member"], b"") + bytes(r["content"])
+    assert joined == {"big": b"x" * 1000, "small": b"y", "even": b"z" * 600, "none": b""}
+    whole = {(r["k"], r["member"]): r for r in sources.whole_members(rows).collect()}
+    assert {m: (r["size"], r["sha256"]) for (k, m), r in whole.items() if m} == {
+        m: (len(b), hashlib.sha256(b).hexdigest()) for m, b in joined.items()}
+    assert whole["n", None]["status"] == "no_content" and whole["bad", None]["status"] == "unreadable"
+
+
+@pytest.mark.parametrize("agency, session", [("north east", "s 2"), ("a+b", "50% off"), ("büro", "%41 é")])
+def test_folders_with_odd_names(spark, tmp_path, agency, session):
+    landing, target, markers = (str(tmp_path / name) for name in ("landing", "target", "markers"))
+    body = archive([("data.csv", b"a,b\n")])
+    put(landing, agency, session, body, manifest(session, body, sender_agency=agency))
+    none = spark.createDataFrame([], "sha256 string")
+    for outcome in ("processed", "already_processed"):
+        rows = receive_transfers(spark, landing, target, markers, none, "hub").collect()
+        assert [(r["agency"], r["session"], r["status"]) for r in rows] == [(agency, session, outcome)]
+    assert [(r["agency"], r["session"], r["member"]) for r in spark.read.parquet(target).collect()] == [(agency, session, "data.csv")]
 
 
 def test_files_listing_and_too_large(spark, tmp_path, monkeypatch):
@@ -143,12 +160,9 @@ def test_files_listing_and_too_large(spark, tmp_path, monkeypatch):
     assert got["a.bin"] == (5, bytearray(b"12345"), "ok") and got["b.bin"] == (50, None, "too_large")
 
 
-@pytest.mark.parametrize("limits", [{"MAX_FILE_BYTES": 60}, {"MAX_MEMBER_BYTES": 30}])
-def test_what_a_row_cannot_hold_goes_through_streams(spark, tmp_path, monkeypatch, limits):
-    """With tiny limits every step takes the path of very large files, and nothing is lost."""
-    for name, value in limits.items():
-        monkeypatch.setattr(sources, name, value)
-    monkeypatch.setattr(sources.expand_archives, "__defaults__", ("content", sources.MAX_MEMBER_BYTES, None))
+@pytest.mark.parametrize("part_bytes", [7, 32 << 20])
+def test_one_layout_for_every_size(spark, tmp_path, monkeypatch, part_bytes):
+    monkeypatch.setattr(sources, "PART_BYTES", part_bytes)
     outgoing, staging, target = (str(tmp_path / name) for name in ("out", "landing", "target"))
     folder = os.path.join(outgoing, "file_mode", "outgoing")
     os.makedirs(folder)
@@ -163,6 +177,12 @@ def test_what_a_row_cannot_hold_goes_through_streams(spark, tmp_path, monkeypatc
     routed = receive_transfers(spark, staging, target, str(tmp_path / "received"), none, "hub")
     assert [r["status"] for r in routed.collect()] == ["processed"] * 3
     stored = {}
-    for r in spark.read.parquet(target).collect():
-        stored[r["member"]] = bytes(r["content"]) if r["stored_object"] is None else open(r["stored_object"], "rb").read()
+    for r in spark.read.parquet(target).orderBy("part").collect():
+        stored[r["member"]] = stored.get(r["member"], b"") + bytes(r["content"])
     assert stored == bodies
+
+
+def test_a_location_without_a_scheme_is_resolved_by_spark(spark):
+    assert large_files.qualified(spark, "/landing/x").startswith("file:/")
+    with pytest.raises(ValueError):
+        large_files.open_store("/landing/x")

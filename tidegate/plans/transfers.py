@@ -14,18 +14,15 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hashing import sha256_hex
-from ..functions.naming import file_marker_key, outgoing_prefix, session_id, target_path
+from ..functions.naming import file_marker_key, outgoing_prefix, session_id
 from ..operators.audit import routing_events
 from ..operators.integrity import build_manifests, quarantine_content, route_transfers, validate_manifests
 from ..operators.idempotency import already_processed, plan_transfers, unprocessed_files
 from ..session import run_folder
 from ..sinks.objects import write_objects
-from ..sinks.transfers import (
-    manifest_json, pack_archives, read_markers, store_to_target, write_audit_log, write_markers,
-)
-from ..sources.files import expand_archives, list_files, read_files, read_manifests, scan_files
-from ..sources.large_files import copy_objects, expand_large_archives, hash_files, pack_large_files
+from ..sinks.transfers import manifest_json, read_markers, store_to_target, write_audit_log, write_markers
+from ..sources.files import list_files, read_manifests, scan_files, whole_members
+from ..sources.large_files import hash_files, pack_files, qualified, unpack_archives
 
 KEY = ["agency", "session"]
 WAVE_TRANSFERS = 5_000
@@ -66,6 +63,7 @@ def send_files(
     ``staging/agency/session``. The session id comes from the file itself, so
     a retry writes the same objects again. Returns the manifests of the run.
     """
+    staging = qualified(spark, staging)
     listing = list_files(spark, f"{source}/{outgoing_prefix('file')}")
     relative = F.substring_index(F.col("key"), f"/{outgoing_prefix('file')}", -1)
     outgoing = listing.withColumn("object", F.concat(F.lit(outgoing_prefix("file")), relative))
@@ -80,22 +78,10 @@ def send_files(
         paths = _paths(files)
         if not paths:
             continue
-        content = read_files(spark, paths)
         place = F.concat_ws("/", F.lit(agency), "session")
-        sources = content.where("status = 'ok'").select("key", "content").join(files, "key").withColumns(
-            {"source_sha256": sha256_hex(F.col("content")), "source_size": F.octet_length("content").cast("bigint")})
-        packed = pack_archives(sources, [*KEY, "marker", "source_sha256", "source_size"], "file_name", "content")
-        packed.write.parquet(f"{folder}/archives/wave={wave}")
-        archives = spark.read.parquet(f"{folder}/archives/wave={wave}")
-        write_objects(archives.select(
-            F.concat_ws("/", place, F.lit(ARCHIVE_NAME)).alias("key"), F.col("archive").alias("content")), staging)
-        measured = archives.select(
-            *KEY, "marker", "file_name", "source_size", "source_sha256",
-            F.octet_length("archive").cast("bigint").alias("archive_size"), sha256_hex(F.col("archive")).alias("archive_sha256"))
-        large = content.where("status = 'too_large'").select("key", "size").join(files, "key").withColumn(
+        sources = list_files(spark, paths).select("key", "size").join(files, "key").withColumn(
             "target", F.concat_ws("/", F.lit(staging), place, F.lit(ARCHIVE_NAME)))
-        streamed = pack_large_files(large, [*KEY, "marker", "file_name"], "file_name", "target")
-        measured.unionByName(streamed).write.parquet(f"{folder}/measured/wave={wave}")
+        pack_files(sources, [*KEY, "marker", "file_name"], "file_name", "target").write.parquet(f"{folder}/measured/wave={wave}")
         measured = spark.read.parquet(f"{folder}/measured/wave={wave}")
         manifests = build_manifests(measured.select(
             *KEY, F.col("file_name").alias("source_name"), "source_sha256", "source_size",
@@ -119,32 +105,19 @@ def _receive_wave(
     receiver: str,
 ) -> None:
     sessions = files.select(*KEY).distinct()
-    archives = _keyed(read_files(spark, _paths(files, f"/{ARCHIVE_NAME}")), "key")
-    small, large = archives.where("status = 'ok'"), archives.where("status = 'too_large'").select("key", *KEY)
-    checksums = small.select(*KEY, sha256_hex(F.col("content")).alias("sha256")).unionByName(hash_files(large, KEY))
+    archives = files.where(F.col("key").endswith(f"/{ARCHIVE_NAME}")).select("key", *KEY)
     manifests = _keyed(read_manifests(spark, _paths(files, f"/{MANIFEST_NAME}")), "path")
-    validate_manifests(manifests, checksums, receiver).write.parquet(f"{folder}/checked")
+    validate_manifests(manifests, hash_files(archives, KEY), receiver).write.parquet(f"{folder}/checked")
     checked = spark.read.parquet(f"{folder}/checked")
     valid = checked.where("valid").select("agency", "session")
-    # A member too large for a row has its archive unpacked as a stream as well.
-    expand_archives(small.join(valid, KEY, "left_semi"), KEY).withColumn(
-        "object", F.lit(None).cast("string")).write.parquet(f"{folder}/small")
-    unpacked = spark.read.parquet(f"{folder}/small")
-    outgrown = unpacked.where("status = 'too_large'").select(*KEY).distinct()
-    streamed = large.unionByName(small.select("key", *KEY).join(outgrown, KEY, "left_semi")).join(valid, KEY, "left_semi")
-    expand_large_archives(streamed, KEY, f"{folder}/objects").withColumn(
-        "content", F.lit(None).cast("binary")).write.parquet(f"{folder}/large")
-    members = unpacked.join(outgrown, KEY, "left_anti").unionByName(spark.read.parquet(f"{folder}/large"))
-    readable = members.withColumn("sha256", F.when(F.col("status") == "ok", F.col("sha256")))
+    unpack_archives(archives.join(valid, KEY, "left_semi"), KEY).write.parquet(f"{folder}/parts")
+    parts = spark.read.parquet(f"{folder}/parts")
+    members = whole_members(parts)
     markers = read_markers(spark, markers_path)
-    route_transfers(sessions, markers, checked, quarantine_content(readable, blocklist)).write.parquet(f"{folder}/routed")
+    route_transfers(sessions, markers, checked, quarantine_content(members, blocklist)).write.parquet(f"{folder}/routed")
     routed = spark.read.parquet(f"{folder}/routed")
-    accepted = members.join(routed.where("status = 'processed'").select(*KEY), KEY, "left_semi")
-    placed = F.concat_ws("/", F.lit(f"{target}-objects"), target_path(F.col("agency"), F.col("session"), F.col("member")))
-    accepted = accepted.withColumn("stored_object", F.when(F.col("object").isNotNull(), placed))
-    copied = copy_objects(accepted.where("object IS NOT NULL"), [*KEY, "member"], "object", "stored_object")
-    copied.write.parquet(f"{folder}/copied")
-    store_to_target(accepted.select(*KEY, "member", "size", "sha256", "content", "stored_object"), target)
+    accepted = parts.join(routed.where("status = 'processed'").select(*KEY), KEY, "left_semi")
+    store_to_target(accepted.select(*KEY, "member", "part", "size", "sha256", "content"), target)
     kind = F.when(F.col("status") == "processed", "done").when(F.col("status") == "rejected", "rejected")
     fresh = routed.select(*KEY, kind.alias("kind"), F.col("reason").alias("detail")).where("kind IS NOT NULL")
     write_markers(fresh, markers_path)
@@ -159,9 +132,8 @@ def receive_transfers(
     Errors are rows with a status and a reason. Expanded members are written to
     the shared folder before they are checked, so that losing an executor later
     does not unpack an archive again and what is stored is what was scanned.
-    Markers follow the data; a failed session gets none and is tried again. What
-    a row cannot hold is unpacked as a stream and stored as an object next to
-    the target table, which then names its place.
+    Markers follow the data; a failed session gets none and is tried again. A
+    member is stored as one row per part of bounded size, whatever its own size.
     """
     listing = _keyed(list_files(spark, landing), "key").select("key", *KEY)
     markers = read_markers(spark, markers_path).where("kind IN ('done', 'rejected')").select(*KEY, "kind")

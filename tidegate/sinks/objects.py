@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.large_files import open_store
+from ..sources.large_files import open_store, qualified
 
 
 def write_objects(objects: DataFrame, root: str) -> int:
@@ -18,6 +18,8 @@ def write_objects(objects: DataFrame, root: str) -> int:
     expect a named file. Files are written by the tasks that hold the rows and
     a retried task writes the same bytes to the same name.
     """
+    root = qualified(objects.sparkSession, root)
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, base = open_store(root)
         for batch in batches:

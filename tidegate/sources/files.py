@@ -6,6 +6,7 @@ import hashlib
 import io
 import posixpath
 import tarfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,9 +26,11 @@ MANIFEST_SCHEMA = (
 
 # binaryFile holds one file per row; larger files are routed as too_large.
 MAX_FILE_BYTES = (1 << 31) - 1 - (1 << 20)
-# Members above this size are hashed as a stream and listed without content.
-MAX_MEMBER_BYTES = 256 << 20
+# A member is a run of rows of at most this many bytes each.
+PART_BYTES = 32 << 20
 _BATCH_BYTES = 64 << 20
+MEMBER_COLUMNS = ["member", "part", "size", "sha256", "content", "status"]
+MEMBER_SCHEMA = "member string, part bigint, size bigint, sha256 string, content binary, status string"
 
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -137,7 +140,8 @@ def read_manifests(spark: SparkSession, path: str | list[str], multi_line: bool
         .option("columnNameOfCorruptRecord", "corrupt")
         .json(path)
     )
-    return raw.withColumns({"files": archive_field_names(F.col("files")), "path": F.col("_metadata.file_path")})
+    return raw.withColumns({"files": archive_field_names(F.col("files")), "path": F.url_decode(F.replace(
+        F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))})  # a listing has paths as they are, this one is percent-encoded
 
 
 def escapes_root(name: str) -> bool:
@@ -146,59 +150,71 @@ def escapes_root(name: str) -> bool:
     return posixpath.isabs(name) or flat == ".." or flat.startswith("../")
 
 
-def _archive_rows(content: bytes | None, max_member: int) -> Iterator[tuple]:
-    """``(member, size, sha256, content, status)`` of one archive; a bad archive gives one error row."""
-    if content is None:
-        yield None, None, None, None, "no_content"
-        return
+def member_rows(stream) -> Iterator[tuple]:
+    """The members of a tar.gz read front to back, as rows of ``MEMBER_COLUMNS``.
+
+    A member is one row per ``PART_BYTES``, numbered from 0; its last row carries
+    size and checksum. A bad archive ends in a row without a member whose status
+    says why.
+    """
     try:
-        with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
-            members = [member for member in tar.getmembers() if member.isfile()]
-            if any(escapes_root(member.name) for member in members):
-                yield None, None, None, None, "path_traversal"
-                return
-            for member in members:
-                body = tar.extractfile(member)
-                if member.size <= max_member:
-                    data = body.read()
-                    yield member.name, member.size, hashlib.sha256(data).hexdigest(), data, "ok"
-                else:
-                    digest = hashlib.sha256()
-                    while chunk := body.read(8 << 20):
-                        digest.update(chunk)
-                    yield member.name, member.size, digest.hexdigest(), None, "too_large"
-    except (tarfile.TarError, OSError, EOFError):
-        yield None, None, None, None, "unreadable"
-
-
-def expand_archives(
-    archives: DataFrame, keys: list[str], content: str = "content", max_member_bytes: int = MAX_MEMBER_BYTES,
-    spread: int | None = None,
-) -> DataFrame:
-    """Regular files of each tar.gz: member name, size, checksum, bytes and status.
-
-    An archive is not splittable, so the work is parallel across archives;
-    output batches are cut by bytes, which bounds a worker's memory however
-    many members an archive has. ``spread`` deals the archives out over that many
-    tasks first, for a table whose few files hold many archives.
+        with tarfile.open(fileobj=stream, mode="r|gz") as tar:
+            for member in tar:
+                if not member.isfile():
+                    continue
+                if escapes_root(member.name):
+                    yield None, None, None, None, None, "path_traversal"
+                    return
+                body, digest, size, part = tar.extractfile(member), hashlib.sha256(), 0, 0
+                data = body.read(PART_BYTES)
+                while True:
+                    digest.update(data)
+                    size += len(data)
+                    more = body.read(PART_BYTES) if data else b""
+                    if not more:
+                        yield member.name, part, size, digest.hexdigest(), data, "ok"
+                        break
+                    yield member.name, part, None, None, data, "ok"
+                    data, part = more, part + 1
+    except (tarfile.TarError, OSError, EOFError, zlib.error):
+        yield None, None, None, None, None, "unreadable"
+
+
+def batched_rows(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Batches cut by bytes, which bounds a worker's memory however many members an archive has."""
+    kept, held, content = [], 0, columns.index("content")
+    for row in rows:
+        kept.append(row)
+        held += len(row[content]) if row[content] is not None else 100
+        if held >= _BATCH_BYTES:
+            yield pd.DataFrame(kept, columns=columns)
+            kept, held = [], 0
+    if kept:
+        yield pd.DataFrame(kept, columns=columns)
+
+
+def member_schema(archives: DataFrame, keys: list[str]) -> str:
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in archives.select(*keys).schema.fields)
+    return f"{kept}, {MEMBER_SCHEMA}"
+
+
+def expand_archives(archives: DataFrame, keys: list[str], content: str = "content") -> DataFrame:
+    """Regular files of each tar.gz held in a column, as rows of ``member_rows``.
+
+    An archive is not splittable, so the work is parallel across archives.
     """
-    if spread:
-        archives = archives.repartition(spread)
-    columns = [*keys, "member", "size", "sha256", "content", "status"]
-
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, held = [], 0
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for batch in batches:
             for *key, data in batch[[*keys, content]].itertuples(index=False, name=None):
-                for row in _archive_rows(data, max_member_bytes):
-                    rows.append((*key, *row))
-                    held += len(row[3]) if row[3] is not None else 100
-                    if held >= _BATCH_BYTES:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows, held = [], 0
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
-
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in archives.select(*keys).schema.fields)
-    schema = f"{key_schema}, member string, size bigint, sha256 string, content binary, status string"
-    return archives.select(*keys, content).mapInPandas(expand, schema)
+                found = member_rows(io.BytesIO(data)) if data is not None else [(None, None, None, None, None, "no_content")]
+                for row in found:
+                    yield *key, *row
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from batched_rows(rows(batches), [*keys, *MEMBER_COLUMNS])
+    return archives.select(*keys, content).mapInPandas(expand, member_schema(archives, keys))
+
+
+def whole_members(rows: DataFrame) -> DataFrame:
+    """One row per member, or per bad archive: the last part's size, checksum and status."""
+    return rows.where("sha256 IS NOT NULL OR status <> 'ok'").drop("part", "content")

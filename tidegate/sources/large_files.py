@@ -1,9 +1,8 @@
-"""Files too large for one row, read and written as streams inside tasks.
+"""Files of any size, read and written as streams inside tasks.
 
-``binaryFile`` puts a file into one row and so ends at 2 GB. Larger files are
-handled by path: a task opens the file itself, works through it in chunks and
-writes what comes out as named objects. Only names, sizes and checksums become
-rows. One file is one task's work, as an archive cannot be split.
+``binaryFile`` puts a file into one row and so ends at 2 GB. Transfers are
+handled by path instead: a task opens the file itself and works through it in
+chunks. One file is one task's work, as an archive cannot be split.
 """
 
 from __future__ import annotations
@@ -15,19 +14,25 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from .files import escapes_root
+from .files import MEMBER_COLUMNS, batched_rows, member_rows, member_schema
 
 _CHUNK = 8 << 20
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the file system on which Spark would find it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def open_store(path: str) -> tuple[fs.FileSystem, str]:
-    """File system and inner path of a location as Spark writes it."""
+    """File system and inner path of a qualified location."""
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
     if "://" not in path:
-        return fs.LocalFileSystem(), path
+        raise ValueError(f"location '{path}' names no file system")
     scheme, rest = path.split("://", 1)
     return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
 
@@ -58,11 +63,6 @@ class _Counted:
         return self._digest.hexdigest()
 
 
-def _copy(source, target) -> None:
-    while chunk := source.read(_CHUNK):
-        target.write(chunk)
-
-
 def _output(path: str):
     store, inner = open_store(path)
     store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
@@ -95,42 +95,24 @@ def hash_files(files: DataFrame, keys: list[str], path: str = "key") -> DataFram
     return files.select(*keys, files[path].alias("__path")).mapInPandas(work, _schema(files, keys, "sha256 string"))
 
 
-def expand_large_archives(archives: DataFrame, keys: list[str], folder: str, path: str = "key") -> DataFrame:
-    """Regular files of each tar.gz, written below ``folder`` as they are unpacked.
-
-    Rows carry name, size, checksum, status and the object's location; a bad
-    archive ends in a row whose status says why.
-    """
-    def members(name: str, place: str) -> Iterator[tuple]:
-        try:
-            with _input(name) as stream, tarfile.open(fileobj=stream, mode="r|gz") as tar:
-                for member in tar:
-                    if not member.isfile():
-                        continue
-                    if escapes_root(member.name):
-                        yield None, None, None, None, "path_traversal"
-                        return
-                    target = f"{place}/{member.name}"
-                    with _output(target) as out:
-                        counted = _Counted(out)
-                        _copy(tar.extractfile(member), counted)
-                    yield member.name, counted.size, counted.sha256, target, "ok"
-        except (tarfile.TarError, OSError, EOFError):
-            yield None, None, None, None, "unreadable"
+def unpack_archives(archives: DataFrame, keys: list[str], path: str = "key") -> DataFrame:
+    """Regular files of each tar.gz given by path, as rows of ``member_rows``."""
+    def found(name: str) -> Iterator[tuple]:
+        with _input(name) as stream:
+            yield from member_rows(stream)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for batch in batches:
             for *key, name in batch[[*keys, "__path"]].itertuples(index=False, name=None):
-                place = f"{folder}/{'/'.join(str(part) for part in key)}"
-                for row in members(name, place):
-                    yield pd.DataFrame([(*key, *row)], columns=[*keys, "member", "size", "sha256", "object", "status"])
+                for row in found(name):
+                    yield *key, *row
 
-    narrow = archives.select(*keys, archives[path].alias("__path"))
-    return narrow.mapInPandas(work, _schema(
-        archives, keys, "member string, size bigint, sha256 string, object string, status string"))
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from batched_rows(rows(batches), [*keys, *MEMBER_COLUMNS])
+    return archives.select(*keys, archives[path].alias("__path")).mapInPandas(work, member_schema(archives, keys))
 
 
-def pack_large_files(files: DataFrame, keys: list[str], name: str, target: str, path: str = "key") -> DataFrame:
+def pack_files(files: DataFrame, keys: list[str], name: str, target: str, path: str = "key") -> DataFrame:
     """A tar.gz per file, written to the location in ``target``; sizes and checksums of both as rows."""
     def pack(source: str, member: str, size: int, place: str) -> tuple:
         with _input(source) as stream, _output(place) as out:
@@ -155,19 +137,3 @@ def pack_large_files(files: DataFrame, keys: list[str], name: str, target: str,
         files[target].alias("__target"))
     return narrow.mapInPandas(work, _schema(
         files, keys, "source_size bigint, source_sha256 string, archive_size bigint, archive_sha256 string"))
-
-
-def copy_objects(objects: DataFrame, keys: list[str], source: str, target: str) -> DataFrame:
-    """Copy files from one location to another; returns the size of each copy."""
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes = []
-            for origin, place in zip(batch["__source"], batch["__target"]):
-                with _input(origin) as stream, _output(place) as out:
-                    counted = _Counted(out)
-                    _copy(stream, counted)
-                sizes.append(counted.size)
-            yield batch[keys].assign(copied=sizes)
-
-    narrow = objects.select(*keys, objects[source].alias("__source"), objects[target].alias("__target"))
-    return narrow.mapInPandas(work, _schema(objects, keys, "copied bigint"))
