@@ -42,7 +42,9 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Estimated similarity below which a pair is not confirmed: five deviations of 128 samples below 0.8, and more for bits that meet.
 ESTIMATE_LIMIT = 0.55
-BLOCK = 2048
+#: Members, and shingles, of one block.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+STRIP = 64
 
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -124,33 +126,32 @@ def join_block(block: np.ndarray, bits: np.ndarray, sets: list[np.ndarray]) -> n
     """Component, as the place of its first member, of every member of one block or pair of blocks.
 
     Members of a pair of blocks are compared across it, those of a single block with each
-    other. Pairs are confirmed in falling order of estimated similarity, and only while the
-    two are in different components.
+    other. ``STRIP`` members at a time meet all later ones; their pairs are confirmed in falling
+    order of estimated similarity, and only while the two are in different components.
     """
     size = np.array([len(s) for s in sets])
     label = np.arange(len(sets))
     across = block.min() != block.max()
-    found = []
-    for a in range(len(sets) - 1):
-        near = estimate(np.bitwise_count(bits[a + 1:] ^ bits[a]).sum(axis=1, dtype=np.int64))
-        low, high = np.minimum(size[a + 1:], size[a]), np.maximum(size[a + 1:], size[a])
-        fit = (near >= ESTIMATE_LIMIT) & (100 * low >= SIMILARITY * high)
-        if across:
-            fit &= block[a + 1:] != block[a]
-        b = np.flatnonzero(fit)
-        if len(b):
-            found.append((near[b].astype(np.float32), np.full(len(b), a, np.int32), (b + a + 1).astype(np.int32)))
-    if not found:
-        return label
-    near, left, right = (np.concatenate(x) for x in zip(*found))
-    order = np.argsort(-near, kind="stable")
-    left, right = left[order], right[order]
-    for begin in range(0, len(left), 4096):
-        part = slice(begin, begin + 4096)
-        for k in np.flatnonzero(label[left[part]] != label[right[part]]) + begin:
-            a, b = label[left[k]], label[right[k]]
-            if a != b and _linked(sets[left[k]], sets[right[k]]):
-                label[label == max(a, b)] = min(a, b)
+    for begin in range(0, len(sets) - 1, STRIP):
+        found = []
+        for a in range(begin, min(begin + STRIP, len(sets) - 1)):
+            b = np.flatnonzero(label[a + 1:] != label[a]) + a + 1
+            if across:
+                b = b[block[b] != block[a]]
+            low, high = np.minimum(size[b], size[a]), np.maximum(size[b], size[a])
+            b = b[100 * low >= SIMILARITY * high]
+            near = estimate(np.bitwise_count(bits[b] ^ bits[a]).sum(axis=1, dtype=np.int64))
+            b, near = b[near >= ESTIMATE_LIMIT], near[near >= ESTIMATE_LIMIT]
+            found.append((near.astype(np.float32), np.full(len(b), a, np.int32), b.astype(np.int32)))
+        near, left, right = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(-near, kind="stable")
+        left, right = left[order], right[order]
+        for first in range(0, len(left), 4096):
+            part = slice(first, first + 4096)
+            for k in np.flatnonzero(label[left[part]] != label[right[part]]) + first:
+                a, b = label[left[k]], label[right[k]]
+                if a != b and _linked(sets[left[k]], sets[right[k]]):
+                    label[label == max(a, b)] = min(a, b)
     return label
 
 
@@ -228,11 +229,13 @@ def _small(ids: DataFrame, column: str) -> DataFrame:
 
 def find_links(documents: DataFrame, sketched: DataFrame) -> DataFrame:
     """Confirmed links (a, b) between class representatives, enough to connect every component."""
-    banded = sketched.select("doc_id", F.posexplode("bands")).select("doc_id", F.xxhash64("pos", "col").alias("band"))
+    banded = sketched.select("doc_id", "n_shingles", F.posexplode("bands")).select(
+        "doc_id", "n_shingles", F.xxhash64("pos", "col").alias("band"))
     leaders = banded.groupBy("band").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader <> last")
-    met = banded.join(leaders.select("band", "leader"), "band").select("leader", "doc_id").distinct()
+    met = banded.join(leaders.select("band", "leader"), "band").select("leader", "doc_id", "n_shingles").distinct()
     met = _written(met, "groups")
-    blocks = met.groupBy("leader").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = met.groupBy("leader").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     dealt = met.join(blocks, "leader").select(
         "leader", "doc_id", "blocks", F.expr("CAST(pmod(xxhash64(doc_id), blocks) AS INT)").alias("block"))
     dealt = dealt.select("leader", "doc_id", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).select(
