@@ -250,7 +250,7 @@ def param_type_check(t: Tables):
     params = F.expr("""concat('{"schema":"dot","amount":', CASE WHEN c_custkey % 7 = 0 THEN '"x"' ELSE CAST(c_custkey % 50 AS STRING) END,
         ',"day":', CASE WHEN c_custkey % 6 = 0 THEN '"soon"' ELSE '"2026-01-31"' END,
         ',"filters":', CASE WHEN c_custkey % 5 = 0 THEN '[1]' ELSE '{"a":1}' END, '}')""")
-    p = "named_struct('name', '{0}', 'type', '{1}', 'description', '', 'allowed_values', CAST(array() AS array<string>), 'min', {2}, 'max', {3})"
+    p = "named_struct('name', '{0}', 'type', '{1}', 'description', '', 'allowed_values', '[]', 'min', {2}, 'max', {3})"
     none = "CAST(NULL AS DOUBLE)"
     rows = t.requests().withColumn("params", params).withColumns({
         "required_params": F.expr(f"array({p.format('schema', 'string', none, none)})"),

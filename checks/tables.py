@@ -119,11 +119,11 @@ class Tables:
         parts = self.base("part").selectExpr("*", "p_partkey % 40 AS n", f"{'p_partkey % 30' if broken else '-1'} AS b")
         param = "named_struct('name', '{0}', 'type', '{1}', 'description', '', 'allowed_values', {2}, 'min', {3}, 'max', {4})"
 
-        def p(name: str, kind: str, allowed: str = "CAST(array() AS array<string>)", low: str = "CAST(NULL AS DOUBLE)",
+        def p(name: str, kind: str, allowed: str = "'[]'", low: str = "CAST(NULL AS DOUBLE)",
               high: str = "CAST(NULL AS DOUBLE)") -> str:
             return param.format(name, kind, allowed, low, high)
 
-        schema, table = p("schema", "string", "array('dot')"), p("table", "string", "array('contract_data')")
+        schema, table = p("schema", "string", "'[\"dot\"]'"), p("table", "string", "array('contract_data')")
         optional = f"{p('select_fields', 'array')}, {p('order_by', 'string')}"
         value_filter = "named_struct('field', 'contract_value', 'operators', array('min', 'max'))"
         date_filter = "named_struct('field', 'award_date', 'operators', array('min', 'max'))"

@@ -53,6 +53,54 @@ def test_active_definition(load):
     assert {r["dataproduct_id"]: r["version"] for r in chosen} == {"dp_one": "v1.10.0", "dp_two": "0.2", "dp_tie": "1.2"}
 
 
+def test_definitions_are_closed_and_typed_at_every_level(spark):
+    def change(path, value):
+        doc = definition()
+        *parents, last = path
+        place = doc
+        for key in parents:
+            place = place[key]
+        place[last] = value
+        return doc
+
+    broken = {
+        "document:unexpected_key": change(["more"], 1), "data_owner:unexpected_key": change(["data_owner", "x"], 1),
+        "operations.notifications:unexpected_key": change(["operations", "notifications", "on_skip"], []),
+        "operations.schedule_constraints:unexpected_key": change(["operations", "schedule_constraints"], {"enabled": True, "allowed_utc_windows": [], "x": 1}),
+        "extraction.required_params:item_unexpected_key": change(["extraction", "required_params", 0, "x"], 1),
+        "extraction.optional_params:item_unexpected_key": change(["extraction", "optional_params", 1, "x"], None),
+        "extraction.allowed_filters:item_unexpected_key": change(["extraction", "allowed_filters", 0, "x"], 1),
+        "delivery.delivery_targets:item_unexpected_key": change(["delivery", "delivery_targets", 0, "x"], 1),
+        "extraction.max_row_limit:type": change(["extraction", "max_row_limit"], "1000"),
+        "access.retention_policy_days:type": change(["access", "retention_policy_days"], 1.5),
+        "access.classification_tags:type": change(["access", "classification_tags"], ["CUI", 5]),
+        "name:type": change(["name"], 12345), "delivery:type": change(["delivery"], "csv"),
+        "operations.schedule_constraints.enabled:type": change(["operations", "schedule_constraints"], {"enabled": "yes", "allowed_utc_windows": []}),
+        "extraction.required_params:item_kind": change(["extraction", "required_params", 0, "name"], 5),
+    }
+    rows = [("ok", json.dumps(definition())), ("mixed", json.dumps(change(["extraction", "required_params", 0, "allowed_values"], ["a", 1, True, 2.5])))]
+    df = spark.createDataFrame(rows + [(code, json.dumps(doc)) for code, doc in broken.items()], "code string, raw string")
+    typed = df.select("code", "raw", F.from_json("raw", documents.DEFINITION_SCHEMA).alias("d")).select("code", "raw", "d.*")
+    found = {r["code"]: r["violations"] for r in registry.definition_schema_check(typed, "raw").collect()}
+    assert found["ok"] == [] == found["mixed"]
+    for code in broken:
+        assert code in found[code], (code, found[code])
+        assert not code.endswith(":type") or code.replace(":type", ":missing") not in found[code]
+
+
+@pytest.mark.parametrize("allowed, value, fine", [
+    ('["5"]', "5", False), ('["5"]', '"5"', True), ("[5]", "5", True), ("[5]", "5.0", True), ("[5]", '"5"', False), ("[0.5, 1]", "0.50", True),
+    ("[true]", "true", True), ("[true]", '"true"', False), ("[false]", "0", True), ("[]", '"any"', True), ('["a"]', "null", False),
+    ('["a"]', '["a"]', False), ('["a", 1, true]', '"a"', True), ("[12345678901234567890]", "12345678901234567890", True),
+])
+def test_allowed_values_keep_their_types(spark, load, allowed, value, fine):
+    doc = definition(required_params=[{"name": "schema", "type": "string", "allowed_values": json.loads(allowed)}])
+    active = registry.flatten_definitions(load(doc))
+    rows = spark.createDataFrame([("dp_one", '{"schema": %s}' % value)], "dataproduct_id string, params string")
+    checked = governance.param_values(registry.registry_lookup(rows, active)).first()
+    assert checked["bad_values"] == ([] if fine else ["schema"])
+
+
 def test_valid_definition_has_no_violations(load):
     checked = registry.definition_schema_check(load(definition()))
     assert checked.first()["violations"] == []

@@ -26,7 +26,7 @@ SCALAR_JSON = "^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
 CONTRACT_API_VERSION = "v3.1.0"
 
 # Columns the checks share: parsed values, their JSON types and texts, and a product's param names.
-_PARAMS, _KINDS, _TEXTS, _REQUIRED, _ALLOWED = "__params", "__kinds", "__texts", "__required", "__allowed"
+_PARAMS, _KINDS, _TEXTS, _REQUIRED, _ALLOWED, _VALUES = "__params", "__kinds", "__texts", "__required", "__allowed", "__values"
 
 
 def _string_list(values) -> Column:
@@ -99,11 +99,32 @@ def param_names() -> dict[str, Column]:
     return {
         _REQUIRED: _param_names(F.col("required_params")),
         _ALLOWED: F.array_union(_param_names(F.col("required_params")), _param_names(F.col("optional_params"))),
+        _VALUES: _value_rules(),
     }
 
 
+def _comparable(value: Column) -> Column:
+    """A JSON value as text under which equal values are equal: types differ, ``1``, ``1.0`` and ``true`` do not."""
+    kind, text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+    digits = F.regexp_replace(F.try_variant_get(value, "$", "decimal(38,18)").cast("string"), "\\.?0+$", "")
+    return (
+        F.when(kind == "STRING", F.concat(F.lit("text "), text))
+        .when(kind == "BOOLEAN", F.when(text == "true", "number 1").otherwise("number 0"))
+        .when(kind.rlike(NUMBER_JSON), F.concat(F.lit("number "), F.coalesce(digits, text)))
+        .otherwise(F.concat(F.lit("json "), F.coalesce(text, F.lit("null"))))
+    )
+
+
+def _value_rules() -> Column:
+    """Params with a non-empty list of allowed values, as ``(name, allowed)``."""
+    definitions = F.concat(F.coalesce("required_params", F.array()), F.coalesce("optional_params", F.array()))
+    listed = F.transform(definitions, lambda p: F.struct(p["name"].alias("name"), F.transform(
+        F.try_variant_get(F.try_parse_json(p["allowed_values"]), "$", "array<variant>"), _comparable).alias("allowed")))
+    return F.filter(listed, lambda p: F.size(p["allowed"]) > 0)
+
+
 def drop_param_map(df: DataFrame) -> DataFrame:
-    return df.drop(_PARAMS, _KINDS, _TEXTS, _REQUIRED, _ALLOWED)
+    return df.drop(_PARAMS, _KINDS, _TEXTS, _REQUIRED, _ALLOWED, _VALUES)
 
 
 def _has(name: str) -> Column:
@@ -133,15 +154,9 @@ def missing_param_names(required: Column) -> Column:
 
 
 def bad_param_values() -> Column:
-    """Names of params whose value is outside their non-empty list of allowed values."""
-    definitions = F.concat(
-        F.coalesce("required_params", F.array()), F.coalesce("optional_params", F.array())
-    )
-    broken = F.filter(definitions, lambda p: (
-        (F.size(p["allowed_values"]) > 0)
-        & F.map_contains_key(F.col(_PARAMS), p["name"])
-        & ~F.coalesce(F.array_contains(p["allowed_values"], F.col(_TEXTS)[p["name"]]), F.lit(False))
-    ))
+    """Names of params whose value, type included, is outside their non-empty list of allowed values."""
+    broken = F.filter(_VALUES, lambda p: F.map_contains_key(F.col(_PARAMS), p["name"]) & ~F.coalesce(
+        F.array_contains(p["allowed"], _comparable(F.col(_PARAMS)[p["name"]])), F.lit(False)))
     return F.sort_array(F.transform(broken, lambda p: p["name"]))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,38 @@ SECTION_FIELDS = {
     "$.operations": ("schedule_constraints", "idempotency_scope", "audit_level", "notifications"),
 }
 
+# Fields of the objects nested in sections, and the JSON type of every field.
+_TEXT, _WHOLE, _NUMBER, _FLAG = "^STRING$", "^(BIGINT|DECIMAL\\([0-9]+,0\\))$", "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$", "^BOOLEAN$"
+_TEXTS, _OBJECTS, _OBJECT = "^ARRAY<(STRING|VOID)>$", "^ARRAY<(OBJECT.*|VOID)>$", "^OBJECT"
+_SCALARS = "^ARRAY<(STRING|BIGINT|DOUBLE|FLOAT|DECIMAL.*|BOOLEAN|VOID|VARIANT)>$"
+_PARAM_KINDS = {"name": _TEXT, "type": _TEXT, "description": _TEXT, "allowed_values": _SCALARS, "min": _NUMBER, "max": _NUMBER}
+LIST_KINDS = {
+    "extraction.required_params": _PARAM_KINDS,
+    "extraction.optional_params": _PARAM_KINDS,
+    "extraction.allowed_filters": {"field": _TEXT, "operators": _TEXTS},
+    "delivery.delivery_targets": {"target_id": _TEXT, "type": _TEXT, "description": _TEXT},
+}
+OBJECT_KINDS = {
+    "operations.schedule_constraints": {"enabled": _FLAG, "allowed_utc_windows": _TEXTS},
+    "operations.notifications": {"on_request": _TEXTS, "on_success": _TEXTS, "on_failure": _TEXTS},
+}
+FIELD_KINDS = {
+    **{name: _TEXT for name in (
+        "dataproduct_id", "name", "version", "status", "owner_agency", "data_owner.name", "data_owner.team", "data_owner.contact_email",
+        "access.approval_policy", "extraction.source_type", "extraction.engine", "extraction.template_id", "delivery.output_format",
+        "delivery.naming_convention", "operations.idempotency_scope", "operations.audit_level")},
+    **{name: _OBJECT for name in (
+        "data_owner", "access", "extraction", "delivery", "operations", "operations.schedule_constraints", "operations.notifications")},
+    **{name: _TEXTS for name in (
+        "access.allowed_requesting_agencies", "access.allowed_requesting_roles", "access.classification_tags",
+        "extraction.allowed_select_fields", "delivery.manifest_requirements")},
+    **{name: _OBJECTS for name in LIST_KINDS},
+    **{name: _WHOLE for name in (
+        "access.retention_policy_days", "extraction.default_row_limit", "extraction.max_row_limit",
+        "extraction.default_timeout_seconds", "extraction.max_timeout_seconds")},
+    **{f"{path}.{name}": kind for path, fields in OBJECT_KINDS.items() for name, kind in fields.items()},
+}
+
 
 def flatten_definitions(definitions: DataFrame) -> DataFrame:
     """The parts of a definition that governance reads, one column each."""
@@ -123,20 +158,42 @@ def _params(name: str, col: Column, at_least: int) -> list[tuple[str, Column]]:
     ]
 
 
+def _kind(document: Column, path: str) -> Column:
+    """JSON type of a field; null where it is absent."""
+    return F.schema_of_variant(F.try_variant_get(document, f"$.{path}", "variant"))
+
+
+def _extra_keys(value: Column, allowed) -> Column:
+    keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+    return F.coalesce(F.size(F.array_except(keys, F.array(*[F.lit(name) for name in allowed]))) > 0, F.lit(False))
+
+
+def _document_rules(document: Column) -> list[tuple[str, Column]]:
+    """Unexpected keys and wrong types of every section, nested object and list item of a document."""
+    at = lambda path: F.try_variant_get(document, f"$.{path}", "variant")
+    rules = [(f"{'document' if path == '$' else path[2:]}:unexpected_key", _extra_keys(document if path == "$" else at(path[2:]), allowed))
+             for path, allowed in SECTION_FIELDS.items()]
+    rules += [(f"{path}:unexpected_key", _extra_keys(at(path), fields)) for path, fields in OBJECT_KINDS.items()]
+    for path, fields in LIST_KINDS.items():
+        items = F.try_variant_get(document, f"$.{path}", "array<variant>")
+        rules.append((f"{path}:item_unexpected_key", F.exists(items, lambda item: _extra_keys(item, fields))))
+        rules.append((f"{path}:item_kind", F.exists(items, lambda item: reduce(or_, [
+            ~F.coalesce(_kind(item, name).rlike(kind), F.lit(True)) for name, kind in fields.items()]))))
+    return rules + [(f"{path}:type", ~_kind(document, path).rlike(f"{kind}|^VOID$")) for path, kind in FIELD_KINDS.items()]
+
+
 def definition_schema_check(definitions: DataFrame, raw: str | None = None) -> DataFrame:
     """Definitions with ``violations``: every schema rule a document breaks.
 
-    ``raw`` names a column with the document text; with it unexpected keys are
-    found too, which a typed reader would silently drop.
+    ``raw`` names a column with the document text; with it unexpected keys and
+    wrong JSON types are found at every level, which a typed reader would drop
+    or convert. A field of the wrong type is not reported as missing.
     """
     c = F.col
     rules: list[tuple[str, Column]] = []
     if raw is not None:
-        for path, allowed in SECTION_FIELDS.items():
-            section = c(raw) if path == "$" else F.get_json_object(c(raw), path)
-            extra = F.array_except(F.json_object_keys(section), F.array(*[F.lit(name) for name in allowed]))
-            label = "document" if path == "$" else path[2:]
-            rules.append((f"{label}:unexpected_key", F.size(extra) > 0))
+        definitions = definitions.withColumn("__doc", F.try_parse_json(c(raw)))
+        rules += _document_rules(c("__doc"))
     rules += _length("dataproduct_id", c("dataproduct_id"), 3)
     rules += [("dataproduct_id:pattern", ~c("dataproduct_id").rlike(ID_PATTERN))]
     rules += _length("name", c("name"), 3, 200)
@@ -205,4 +262,7 @@ def definition_schema_check(definitions: DataFrame, raw: str | None = None) -> D
             (f"operations.notifications.{name}:format", F.exists(
                 notices[name], lambda address: ~address.rlike(EMAIL_PATTERN))),
         ]
-    return definitions.withColumn("violations", violations(*rules))
+    if raw is not None:
+        rules = [(code, broken & F.coalesce(_kind(c("__doc"), code[:-8]) == "VOID", F.lit(True)))
+                 if code.endswith(":missing") and code[:-8] in FIELD_KINDS else (code, broken) for code, broken in rules]
+    return definitions.withColumn("violations", violations(*rules)).drop("__doc")

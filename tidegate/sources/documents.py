@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, normalize_request
 
-PARAM_TYPE = "struct<name:string,type:string,description:string,allowed_values:array<string>,min:double,max:double>"
+# Allowed values stay JSON text, which keeps the type of each.
+PARAM_TYPE = "struct<name:string,type:string,description:string,allowed_values:string,min:double,max:double>"
 DEFINITION_SCHEMA = f"""
     dataproduct_id string, name string, version string, status string, owner_agency string,
     data_owner struct<name:string,team:string,contact_email:string>,
