@@ -11,7 +11,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
     """About ``per_class`` texts of each label, drawn by a hash of the id, and the share drawn of each label.
 
     Returns doc_id, text and label sorted by id. The ids are drawn from the narrow label
-    table first, so only the texts of the sample move. Null ids and labels are left out.
+    table first and sent to every executor, which their number bounds; only the texts of the sample move. Null ids and labels are left out.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id IS NOT NULL").where(
         F.col("label").isin(*per_class)).distinct()
@@ -22,5 +22,5 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
         return schema.empty_table(), {}
     wanted = F.create_map(*(F.lit(x) for pair in share.items() for x in pair))
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(label)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < wanted[F.col("label")])
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL").join(drawn, "doc_id")
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text IS NOT NULL").join(F.broadcast(drawn), "doc_id")
     return rows.select("doc_id", "text", "label").toArrow().cast(schema).sort_by([("doc_id", "ascending"), ("text", "ascending")]), share

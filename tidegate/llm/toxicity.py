@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .labelled import labelled_sample
 from .tables import crc_rest, map_slices
-from .words import NOT_ALNUM, Words, char_counts, hash_prefixes, mix
+from .words import NOT_ALNUM, Words, char_counts, hash_prefixes, mix, slices
 
 BUCKET_BITS = 20
 PREFIXES = (4, 5, 6, 7)
@@ -32,6 +32,7 @@ SAMPLE = {0: 3000, 1: 1500}
 MIN_DOCUMENTS, EVIDENCE = 4, 3.0
 STEPS, RATE, DECAY = 200, 0.1, 2e-3
 START_BIAS = -7.0
+FIT_SLICE = 1 << 20
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?\n")] = True
@@ -77,27 +78,41 @@ def fit(texts, labels: np.ndarray, importance: np.ndarray) -> Model:
     weights = np.zeros(1 << BUCKET_BITS, np.float32)
     if len(np.unique(labels)) < 2:
         return Model(weights, -np.inf)
-    bags = Sentences(texts)
-    document = np.unique((bags.row[bags.sentence] << BUCKET_BITS) | bags.bucket)
-    owner, bucket = document >> BUCKET_BITS, document & ((1 << BUCKET_BITS) - 1)
-    hits = np.bincount(bucket, minlength=1 << BUCKET_BITS)
-    toxic = np.bincount(bucket, weights=labels[owner], minlength=1 << BUCKET_BITS)
+    size = 1 << BUCKET_BITS
+    hits, toxic = np.zeros(size, np.int64), np.zeros(size)
+    batch = pa.RecordBatch.from_pydict({"text": texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts})
+    parts = list(slices(batch, limit=FIT_SLICE))
+    first = 0
+    for part in parts:
+        bags = Sentences(part.column(0))
+        document = np.unique((bags.row[bags.sentence] << BUCKET_BITS) | bags.bucket)
+        owner, bucket = (document >> BUCKET_BITS) + first, document & (size - 1)
+        hits += np.bincount(bucket, minlength=size)
+        toxic += np.bincount(bucket, weights=labels[owner], minlength=size)
+        first += part.num_rows
     base = labels.mean()
     # Features that toxic texts hold more often than chance explains; few texts cannot show it.
     used = (hits >= MIN_DOCUMENTS) & (toxic - hits * base > EVIDENCE * np.sqrt(hits * base * (1 - base)))
     # Start from the smoothed log odds of each feature against the share of toxic texts.
     start = np.log((toxic + base) / (hits - toxic + 1 - base)) - np.log(base / (1 - base))
     w = np.where(used, np.maximum(0, start), 0.0)
-    keep = used[bags.bucket]
-    sentence, bucket = bags.sentence[keep], bags.bucket[keep]
+    sentences, buckets, rows, first, count = [], [], [], 0, 0
+    for part in parts:
+        bags = Sentences(part.column(0))
+        keep = used[bags.bucket]
+        sentences.append(bags.sentence[keep] + count)
+        buckets.append(bags.bucket[keep])
+        rows.append(bags.row + first)
+        first, count = first + part.num_rows, count + bags.count
+    sentence, bucket, row = np.concatenate(sentences), np.concatenate(buckets), np.concatenate(rows)
     bias, rate_w, rate_b = START_BIAS, np.full(len(w), 1e-8), 1e-8
     scale = importance / importance.sum()
     for _ in range(STEPS):
-        logit = bias + np.bincount(sentence, weights=w[bucket], minlength=bags.count)
+        logit = bias + np.bincount(sentence, weights=w[bucket], minlength=count)
         s = 1 / (1 + np.exp(-logit))
-        total = np.bincount(bags.row, weights=np.logaddexp(0, logit), minlength=bags.rows)
+        total = np.bincount(row, weights=np.logaddexp(0, logit), minlength=len(labels))
         slope = scale * np.where(labels == 1, -1 / np.maximum(np.expm1(np.minimum(total, 500)), 1e-6), 1.0)
-        back = slope[bags.row] * s
+        back = slope[row] * s
         grad = np.bincount(bucket, weights=back[sentence], minlength=len(w)) + DECAY * scale.mean() * w
         grad_b = back.sum()
         rate_w += grad * grad
