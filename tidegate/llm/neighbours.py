@@ -26,7 +26,7 @@ from .tables import crc_rest, free_name, map_slices
 from .words import SPACES, Words
 
 SAMPLE = {0: 1500, 1: 1500}
-WORD_BITS, SHAPE_BITS = 13, 12
+WORD_BITS, SHAPE_BITS = 12, 12
 RANK, K, POWER = 48, 25, 4
 #: Least share of votes of a text that is not rejected.
 ACCEPTED = 0.7
