@@ -93,36 +93,40 @@ class Sequence:
         high = (self._select1(index) - index).astype(np.uint64)
         return (high << _U(self.width)) | _unpack(self.low, index, self.width)
 
+    def _bucket(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First index and end of the values with the given high bits."""
+        beyond = high >= len(self.bitmap) * 64 - self.n
+        inside = np.where(beyond, 0, high)
+        begin = np.where(inside > 0, self._select0(np.maximum(inside - 1, 0)) + 1 - inside, 0)
+        end = np.minimum(self._select0(inside) - inside, self.n)
+        return np.where(beyond, self.n, begin), np.where(beyond, self.n, end)
+
+    def _search(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the first value at or above each target, the end of its bucket, and its low bits."""
+        index, end = self._bucket((target >> _U(self.width)).astype(np.int64))
+        low = target & _U((1 << self.width) - 1)
+        stop = end.copy()
+        open_ = np.flatnonzero(index < stop)
+        while len(open_):  # halve what is left of each bucket
+            middle = (index[open_] + stop[open_]) >> 1
+            above = _unpack(self.low, middle, self.width) < low[open_]
+            index[open_] = np.where(above, middle + 1, index[open_])
+            stop[open_] = np.where(above, stop[open_], middle)
+            open_ = open_[index[open_] < stop[open_]]
+        return index, end, low
+
     def successor(self, target: np.ndarray) -> np.ndarray:
         """Index of the first value at or above each target; ``n`` where there is none."""
-        target = target.astype(np.uint64)
         if not len(target) or not self.n:
             return np.zeros(len(target), np.int64)
-        high = (target >> _U(self.width)).astype(np.int64)
-        buckets = len(self.bitmap) * 64 - self.n
-        beyond = high >= buckets
-        high = np.where(beyond, 0, high)
-        place = np.where(high > 0, self._select0(np.maximum(high - 1, 0)) + 1, 0)
-        index = np.where(beyond, self.n, place - high)
-        # Walk the few values that share the high bits until their low bits reach the target's.
-        low = target & _U((1 << self.width) - 1)
-        open_ = np.flatnonzero(~beyond)
-        while len(open_):
-            spot = place[open_]
-            inside = (spot < len(self.bitmap) * 64) & (index[open_] < self.n)
-            open_, spot = open_[inside], spot[inside]
-            one = (self.bitmap[spot >> 6] >> (spot & 63).astype(np.uint64)) & _U(1) == 1
-            open_ = open_[one]
-            open_ = open_[_unpack(self.low, index[open_], self.width) < low[open_]]
-            index[open_] += 1
-            place[open_] += 1
-        return index
+        return self._search(target.astype(np.uint64))[0]
 
     def find(self, target: np.ndarray) -> np.ndarray:
         """Index of each target in a strictly ascending sequence; -1 where it is missing."""
-        index = self.successor(target)
-        there = np.flatnonzero(index < self.n)
-        hit = there[self.access(index[there]) == target[there].astype(np.uint64)]
         out = np.full(len(target), -1, np.int64)
-        out[hit] = index[hit]
+        if len(target) and self.n:
+            index, end, low = self._search(target.astype(np.uint64))
+            there = np.flatnonzero(index < end)
+            hit = there[_unpack(self.low, index[there], self.width) == low[there]]
+            out[hit] = index[hit]
         return out

@@ -36,6 +36,7 @@ from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +49,8 @@ from .words import Words, slices
 SHARD_BYTES = 16 << 20
 MIN_COUNT = 2
 DISCOUNT = 0.75
-LM_SLICE = 8 << 20
-FLUSH = 3 << 20
+LM_SLICE = 6 << 20
+FLUSH = 2 << 20
 _END = np.uint64(0x2545F4914F6CDD1D)
 _CODES = 4096
 _LOW32 = np.uint64(0xFFFFFFFF)
@@ -154,6 +155,15 @@ def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _summed(np.concatenate(keys), np.concatenate(counts))
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct values and the place of each value among them."""
+    codes, found = pd.factorize(values)
+    order = np.argsort(found)
+    place = np.empty(len(found), np.int64)
+    place[order] = np.arange(len(found))
+    return found[order], place[codes]
+
+
 def _segments(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
     """Runs of equal shards."""
     edges = np.flatnonzero(np.diff(shard, prepend=-1)).tolist() if len(shard) else []
@@ -194,7 +204,8 @@ class Level:
 
     def find(self, parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each child below its parent (-1: none) and the start of the parent's range; parents ascend."""
-        distinct, inverse = np.unique(parent, return_inverse=True)
+        new = np.diff(parent, prepend=parent[:1] - 1) != 0
+        distinct, inverse = parent[new], np.cumsum(new) - 1
         start = self.pointers.access(distinct).astype(np.int64)
         stop = self.pointers.access(distinct + 1).astype(np.int64)
         base = np.zeros(len(distinct), np.uint64)
@@ -333,7 +344,7 @@ class Trie:
     def resolve(self, column) -> dict[str, np.ndarray]:
         """Tokens of a text column with word id and count, and their pairs with the token before."""
         tokens = Tokens(column)
-        distinct, inverse = np.unique(tokens.hash, return_inverse=True)
+        distinct, inverse = _distinct(tokens.hash)
         ids, counts = self.look_up(distinct)
         return {"rows": tokens.rows, "row": tokens.row, "id": ids[inverse], "count": counts[inverse]}
 
@@ -342,7 +353,7 @@ class Trie:
         ids, row = found["id"], found["row"]
         at = np.flatnonzero((row[1:] == row[:-1]) & (ids[1:] >= 0) & (ids[:-1] >= 0)) + 1
         keys = (ids[at - 1].astype(np.uint64) << np.uint64(32)) | ids[at].astype(np.uint64)
-        return at, *np.unique(keys, return_inverse=True)
+        return at, *_distinct(keys)
 
     def triples_of(self, found: dict, at: np.ndarray, pair: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of tokens that end two kept pairs, the pair before and the rank of the token; ``pair``, ``start`` by place in ``at``."""
@@ -366,7 +377,7 @@ class Trie:
         if self.words:
             follows = np.flatnonzero(row[1:] == row[:-1]) + 1
             follows = follows[ids[follows - 1] >= 0]
-            words, inverse = np.unique(ids[follows - 1], return_inverse=True)
+            words, inverse = _distinct(ids[follows - 1])
             p[follows] *= self.word_backoff(words)[inverse]
             at, keys, inverse = self.pairs_of(found)
             pair, probability, start = (x[inverse] for x in self.find_pairs(keys))
@@ -374,7 +385,7 @@ class Trie:
             before = np.zeros(len(ids), np.int64) - 1
             before[at] = pair
             context = np.flatnonzero((before[:-1] >= 0) & (row[1:] == row[:-1])) + 1
-            pairs, inverse = np.unique(before[context - 1], return_inverse=True)
+            pairs, inverse = _distinct(before[context - 1])
             p[context] *= self.pair_backoff(pairs)[inverse]
             third, pairs, ranks = self.triples_of(found, at, pair, start)
             order = np.lexsort((ranks, pairs))
