@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions import hashing
 from tidegate.operators import governance, registry
+from tidegate.plans.requests import run_requests as run_all
 from tidegate.session import run_folder
 from tidegate.sources import documents as docs
 
@@ -221,6 +222,57 @@ def request_decision(t: Tables):
         "request_id", "decision", "first_violation", joined("violations"), "effective_row_limit", "effective_template_id")
 
 
+_PATH_PARAMS = """CASE c_custkey % 6 WHEN 0 THEN '{"s3_path":"s3://drop/in/f.csv"}' WHEN 1 THEN '{"s3_path":"s3://drop/in/f.csv","file_name":" new.csv "}'
+    WHEN 2 THEN '{}' WHEN 3 THEN '{"s3_path":5}' WHEN 4 THEN '{"s3_path":"s3://drop","extra":1}' ELSE '[1]' END"""
+_FILE_CODES = """CASE WHEN d.dataproduct_id IS NULL THEN list_concat(CASE WHEN k = 5 THEN ['params_not_object'] ELSE [] END, ['unknown_dataproduct'])
+    WHEN k = 5 THEN ['params_not_object'] ELSE [c FOR c IN [CASE WHEN d.source_type <> 'file' THEN 'source_type_mismatch' WHEN d.engine <> 's3-file' THEN 'engine_mismatch' END,
+        CASE WHEN k = 4 THEN 'unknown_param:extra' END, CASE WHEN k = 2 THEN 'missing_param:s3_path' END,
+        CASE WHEN k IN (2, 3) THEN 's3_path:missing_path' WHEN k = 4 THEN 's3_path:invalid' END] IF c IS NOT NULL] END"""
+
+
+@check("file_request_decision", f"""
+    SELECT request_id, CASE WHEN len(codes) = 0 THEN 'accepted' ELSE 'rejected' END AS decision, array_to_string(codes, ',') AS violations,
+           CASE WHEN len(codes) = 0 THEN 'in/f.csv' END AS object_key,
+           CASE WHEN len(codes) = 0 THEN CASE WHEN k = 1 THEN 'new.csv' ELSE 'f.csv' END END AS file_name
+    FROM (SELECT r.request_id, r.c_custkey % 6 AS k, {_FILE_CODES} AS codes
+          FROM requests r LEFT JOIN active d ON lower(trim(r.dataproduct_id)) = d.dataproduct_id)""")
+def file_request_decision(t: Tables):
+    p = "named_struct('name', '{0}', 'type', 'string', 'description', '', 'allowed_values', '[]', 'min', CAST(NULL AS DOUBLE), 'max', CAST(NULL AS DOUBLE))"
+    products = t.active().withColumns({
+        "required_params": F.expr(f"array({p.format('s3_path')})"), "optional_params": F.expr(f"array({p.format('file_name')})")})
+    decided = governance.file_request_decision(t.requests().withColumn("params", F.expr(_PATH_PARAMS)), products)
+    return decided.select("request_id", "decision", joined("violations"), "object_key", "file_name")
+
+
+_FEW_LIMITS = {"requested_row_limit": "CASE WHEN c_custkey % 2 = 0 THEN 40 ELSE 700 END", "requested_timeout_seconds": "60"}
+
+
+_FEW_SQL = f"""(SELECT r.c_custkey, r.request_id, r.params, {_ROWS} AS row_limit, {_ALL_CODES} AS codes
+    FROM (SELECT * REPLACE (CAST({_FEW_LIMITS['requested_row_limit']} AS BIGINT) AS requested_row_limit, CAST(60 AS BIGINT) AS requested_timeout_seconds)
+          FROM requests) r LEFT JOIN active d ON lower(trim(r.dataproduct_id)) = d.dataproduct_id)"""
+
+
+@check("run_requests", f"""
+    SELECT d.request_id, CASE WHEN len(codes) = 0 THEN 'accepted' ELSE 'rejected' END AS decision, codes[1] AS first_violation,
+           CASE WHEN len(codes) = 0 THEN CASE WHEN f.first_id = d.request_id THEN 'run' ELSE 'skip_duplicate' END END AS action,
+           CASE WHEN len(codes) = 0 THEN CASE WHEN c_custkey % 8 = 0 OR c_custkey % 12 = 0 THEN 'failed' ELSE 'done' END END AS status,
+           CASE WHEN len(codes) = 0 THEN CASE WHEN c_custkey % 8 = 0 OR c_custkey % 12 = 0 THEN 0
+                ELSE least(d.row_limit, (SELECT count(*) FROM contracts WHERE contract_value >= 1000)) END END AS row_count,
+           CASE WHEN len(codes) = 0 THEN CASE WHEN f.first_id = d.request_id THEN 'extract_data,pipeline_start,policy_check' ELSE 'pipeline_start,policy_check' END
+                ELSE 'pipeline_start' END AS events
+    FROM {_FEW_SQL} d LEFT JOIN (SELECT params, row_limit, min(request_id) AS first_id FROM {_FEW_SQL} WHERE len(codes) = 0 GROUP BY params, row_limit) f
+      ON d.params = f.params AND d.row_limit = f.row_limit""")
+def run_requests(t: Tables):
+    """Requests of a few distinct limits, so that each contract is asked for many times."""
+    few = t.requests().withColumns({name: F.expr(f"CAST({value} AS BIGINT)") for name, value in _FEW_LIMITS.items()})
+    root = run_folder(t.spark, "request-extracts")
+    outcome = run_all(t.spark, few, t.active(), lambda schema, table: t.contracts(), root, "run-1", "dot", "hub", audit_path=f"{root}/audit")
+    log = t.spark.read.schema("transfer_session_id string, event_type string, outcome string").json(f"{root}/audit")
+    events = log.groupBy(F.col("transfer_session_id").alias("request_id")).agg(joined(F.array_sort(F.collect_set("event_type")), "events"))
+    return outcome.join(events, "request_id").select(
+        "request_id", "decision", "first_violation", "action", "status", "row_count", "events")
+
+
 @check("access_check", """
     SELECT request_id, CASE WHEN NOT list_contains(agencies, requesting_agency) THEN 'agency_not_allowed'
                             WHEN c_custkey % 5 = 0 THEN 'role_not_allowed' ELSE 'allowed' END AS access FROM governed""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,7 +125,7 @@ class Tables:
               high: str = "CAST(NULL AS DOUBLE)") -> str:
             return param.format(name, kind, allowed, low, high)
 
-        schema, table = p("schema", "string", "'[\"dot\"]'"), p("table", "string", "array('contract_data')")
+        schema, table = p("schema", "string", "'[\"dot\"]'"), p("table", "string", "'[\"contract_data\"]'")
         optional = f"{p('select_fields', 'array')}, {p('order_by', 'string')}"
         value_filter = "named_struct('field', 'contract_value', 'operators', array('min', 'max'))"
         date_filter = "named_struct('field', 'award_date', 'operators', array('min', 'max'))"
@@ -179,6 +181,8 @@ class Tables:
             documents = documents.withColumn("b", F.lit(-1))
         fields = [name for name in documents.columns if name not in ("path", "b")]
         text = F.to_json(F.struct(*fields))
+        for allowed in ('["dot"]', '["contract_data"]', "[]"):  # lists, not their text
+            text = F.replace(text, F.lit(f'"allowed_values":{json.dumps(allowed)}'), F.lit(f'"allowed_values":{allowed}'))
         raw = F.when(F.col("b") == 15, F.concat(F.lit('{"color":1,'), F.substring(text, 2, 1 << 30))).otherwise(text)
         return documents.select("path", raw.alias("raw")).withColumn("doc", F.from_json("raw", DEFINITION_SCHEMA)).select(
             "path", "raw", "doc.*")

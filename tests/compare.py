@@ -34,17 +34,15 @@ def rows_of(columns, rows):
 
 
 def differences(spark_df, con, sql: str) -> str | None:
-    """None when equal, else a short description."""
+    """None when equal, ``empty result`` when both have no rows, else a short description."""
     result = con.execute(sql)
     sql_columns = [c[0] for c in result.description]
     expected = rows_of(sql_columns, result.fetchall())
     actual = rows_of(spark_df.columns, spark_df.collect())
     if sorted(sql_columns) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} vs {sorted(sql_columns)}"
-    if not expected:
-        return "empty result"
     if actual == expected:
-        return None
+        return None if expected else "empty result"
     only_spark = [r for r in actual if r not in set(expected)][:3]
     only_sql = [r for r in expected if r not in set(actual)][:3]
     return f"{len(actual)} rows vs {len(expected)}; only spark {str(only_spark)[:600]}; only sql {str(only_sql)[:600]}"

@@ -1,5 +1,6 @@
 """Both ends of an exchange over real files, run more than once."""
 
+import datetime as dt
 import gzip
 import hashlib
 import io
@@ -10,6 +11,7 @@ import tarfile
 import pytest
 
 from tidegate.operators.aggregates import status_counts
+from tidegate.operators.integrity import build_manifests
 from tidegate.plans.transfers import receive_transfers, send_files
 from tidegate.sinks.transfers import read_markers
 from tidegate.sources import files as sources, large_files
@@ -119,6 +121,21 @@ def test_send_then_receive(spark, tmp_path):
         "processed": 0, "already_processed": 5, "failed": 0, "outcome": "success"}
 
 
+def test_manifests_carry_their_times(spark):
+    row = ("dot", "s", "a.csv", 1, "aa", "a.tar.gz", 2, "bb", dt.datetime(2026, 3, 4, 5, 6, 7, 8), "2026-03-05", None)
+    names = "agency string, session string, source_name string, source_size bigint, source_sha256 string, archive_name string, " \
+            "archive_size bigint, archive_sha256 string, created_at timestamp, transfer_date string, business_date date"
+    made = build_manifests(spark.createDataFrame([row], names))
+    assert made.first()["created_at"] == "2026-03-04T05:06:07.000008Z" and made.first()["transfer_date"] == "2026-03-05"
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        now = build_manifests(spark.createDataFrame([row], names).drop("created_at")).first()["created_at"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert abs((dt.datetime.fromisoformat(now) - dt.datetime.now(dt.UTC)).total_seconds()) < 120
+
+
 @pytest.mark.parametrize("name, escapes", [
     ("../x", True), ("/x", True), ("a/../b", False), (".", False), ("a/../../b", True), ("a/..b", False), ("..", True)])
 def test_member_escape(name, escapes):

@@ -20,12 +20,21 @@ def file_checksums(files: DataFrame, content: str = "content") -> DataFrame:
     ).drop(content)
 
 
+def _optional(df: DataFrame, name: str):
+    return (F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")).alias(name)
+
+
 def build_manifests(transfers: DataFrame, receiver: str = "", version: str = "1.0") -> DataFrame:
     """A manifest per transfer: source entry, then archive entry.
 
     A transfer carries one source and its archive, so the entry list is built
-    from the row itself and nothing is grouped.
+    from the row itself and nothing is grouped. ``created_at`` is a UTC time, the
+    transfer's own where it has a column of that name; ``transfer_date`` and
+    ``business_date`` are taken over where there are.
     """
+    created = F.col("created_at") if "created_at" in transfers.columns else F.current_timestamp()
+    utc = F.to_utc_timestamp(created.cast("timestamp"), F.current_timezone())
+
     def entry(prefix: str):
         return F.struct(
             F.col(f"{prefix}_name").alias("file_name"),
@@ -38,9 +47,12 @@ def build_manifests(transfers: DataFrame, receiver: str = "", version: str = "1.
         F.col("session").alias("transfer_session_id"),
         F.col("agency").alias("sender_agency"),
         F.lit(receiver).alias("receiver_agency"),
+        F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("created_at"),
         F.lit("sha256").alias("checksum_algorithm"),
         F.size(files).alias("total_file_count"),
         F.lit("gzip").alias("compression_type"),
+        _optional(transfers, "transfer_date"),
+        _optional(transfers, "business_date"),
         files.alias("files"),
     )
 

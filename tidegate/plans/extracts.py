@@ -56,36 +56,68 @@ def identify(
     return [(r["fp"], r["marker"], r["output"]) for r in named.orderBy("i").collect()]
 
 
-def finished(spark: SparkSession, markers_path: str, fingerprints: list[str]) -> set[str]:
+@dataclass(frozen=True)
+class Contract:
+    """A contract with its names; without a spec it cannot be run, and ``error`` says why."""
+
+    fingerprint: str
+    marker_key: str
+    output_key: str
+    spec: ExtractSpec | None
+    error: str = ""
+
+
+def read_extract_markers(spark: SparkSession, root: str) -> DataFrame:
+    """Markers of finished extracts, empty before the first."""
+    if not path_exists(spark, f"{root}/markers"):
+        return spark.createDataFrame([], MARKER_SCHEMA)
+    return spark.read.schema(MARKER_SCHEMA).parquet(f"{root}/markers")
+
+
+def finished(spark: SparkSession, root: str, fingerprints: list[str]) -> set[str]:
     """Which of these fingerprints already have a marker."""
-    if not path_exists(spark, markers_path):
-        return set()
-    markers = spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true").parquet(markers_path)
     wanted = spark.createDataFrame([(f,) for f in set(fingerprints)], "fingerprint string")
-    return {r["fingerprint"] for r in wanted.join(markers, "fingerprint", "left_semi").collect()}
+    return {r["fingerprint"] for r in wanted.join(read_extract_markers(spark, root), "fingerprint", "left_semi").collect()}
 
 
 def _run_one(
-    spark: SparkSession, spec: ExtractSpec, keys: tuple[str, str, str], table: Callable[[str, str], DataFrame],
-    root: str, table_key: Callable[[str, str], tuple[str, ...]], output_format: str,
+    spark: SparkSession, contract: Contract, table: Callable[[str, str], DataFrame], root: str,
+    table_key: Callable[[str, str], tuple[str, ...]], output_format: str,
 ) -> ExtractSummary:
-    fp, marker, output = keys
-    started, path = time.time(), f"{root}/{output}"
+    spec, started, path = contract.spec, time.time(), f"{root}/{contract.output_key}"
+    names = (contract.fingerprint, contract.marker_key)
+    if spec is None:
+        return ExtractSummary(*names, status="failed", error=contract.error)
     try:
         seen = Observation()
         with time_limit(spark, spec.timeout_seconds):
             rows = governed_extract(table(spec.schema, spec.table), spec, table_key(spec.schema, spec.table))
             write_extract(rows.observe(seen, F.count(F.lit(1)).alias("n")), path, output_format)
-        done = ExtractSummary(
-            fp, marker, output, seen.get["n"], written_bytes(spark, path), time.time() - started)
+        return ExtractSummary(
+            *names, contract.output_key, seen.get["n"], written_bytes(spark, path), time.time() - started)
     except Exception as exc:  # one failed contract must not stop the others
         return ExtractSummary(
-            fp, marker, status="failed", error=f"{type(exc).__name__}: {exc}",
-            duration_seconds=time.time() - started)
-    body = [(fp, spec.template_id, output, spec.row_limit, spec.timeout_seconds)]
-    # Each marker has a folder of its own, so extracts that end together do not share a commit.
-    spark.createDataFrame(body, MARKER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{root}/markers/{fp}")
-    return done
+            *names, status="failed", error=f"{type(exc).__name__}: {exc}", duration_seconds=time.time() - started)
+
+
+def run_contracts(
+    spark: SparkSession, contracts: list[Contract], table: Callable[[str, str], DataFrame], root: str,
+    table_key: Callable[[str, str], tuple[str, ...]], output_format: str, parallel: int,
+) -> DataFrame:
+    """Run contracts side by side and return a summary row for each, in order.
+
+    Markers of those that succeeded are written in one commit after all data; if
+    that is never reached, the same files are written again.
+    """
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        run = inheritable_thread_target(spark)(_run_one)
+        futures = [pool.submit(run, spark, c, table, root, table_key, output_format) for c in contracts]
+        summaries = [future.result() for future in futures]
+    markers = [(c.fingerprint, c.spec.template_id, c.output_key, c.spec.row_limit, c.spec.timeout_seconds)
+               for c, s in zip(contracts, summaries) if s.status == "done"]
+    if markers:
+        spark.createDataFrame(markers, MARKER_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/markers")
+    return spark.createDataFrame([tuple(asdict(s).values()) for s in summaries], SUMMARY_SCHEMA)
 
 
 def run_extracts(
@@ -101,23 +133,19 @@ def run_extracts(
     """Run contracts that have no marker yet and return one summary row per contract.
 
     Rows are counted while they are written. A contract listed twice, or run in
-    an earlier call, is skipped.
+    an earlier call, is skipped. For contracts that come from a table of
+    requests, however many, see ``plans.requests``.
     """
     keys = identify(spark, specs, session)
-    done = finished(spark, f"{root}/markers", [k[0] for k in keys])
-    summaries: dict[int, ExtractSummary] = {}
-    todo: dict[str, int] = {}
-    for i, (fp, marker, _) in enumerate(keys):
+    done = finished(spark, root, [k[0] for k in keys])
+    todo: dict[str, Contract] = {}
+    rows: list = []
+    for spec, (fp, marker, output) in zip(specs, keys):
         if fp in done or fp in todo:
-            summaries[i] = ExtractSummary(fp, marker, skipped=True, status="skipped")
+            rows.append(tuple(asdict(ExtractSummary(fp, marker, skipped=True, status="skipped")).values()))
         else:
-            todo[fp] = i
-
-    def run(i: int) -> ExtractSummary:
-        return _run_one(spark, specs[i], keys[i], table, root, table_key, output_format)
-
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        futures = {i: pool.submit(inheritable_thread_target(spark)(run), i) for i in todo.values()}
-        summaries |= {i: future.result() for i, future in futures.items()}
-    rows = [tuple(asdict(summaries[i]).values()) for i in range(len(specs))]
-    return spark.createDataFrame(rows, SUMMARY_SCHEMA)
+            todo[fp] = Contract(fp, marker, output, spec)
+            rows.append(fp)
+    ran = run_contracts(spark, list(todo.values()), table, root, table_key, output_format, parallel)
+    by_key = {r["fingerprint"]: tuple(r) for r in ran.collect()}
+    return spark.createDataFrame([by_key.get(row, row) for row in rows], SUMMARY_SCHEMA)
