@@ -54,7 +54,8 @@ _ORDER_COLUMNS = [
         count(*) - count({name}) AS null_count, count(DISTINCT {name}) AS distinct_count FROM orders"""
     for i, (name, kind) in enumerate(_ORDER_COLUMNS, start=1)))
 def column_profile(t: Tables):
-    return sources.column_profile(t.base("orders"))
+    orders = t.base("orders")
+    return sources.column_profile(orders, exact=orders.columns)
 
 
 @check("enum_domain", "SELECT DISTINCT event_type AS label FROM events WHERE event_type IS NOT NULL")

@@ -3,11 +3,11 @@
 import datetime as dt
 import random
 
-import numpy as np
 import pytest
 
 from tidegate.operators import jobs
-from tidegate.streaming.jobs import advance
+from tidegate.streaming.batches import latest_per_key, read_batches
+from tidegate.streaming.jobs import STATE_SCHEMA, job_state_batches
 
 MOVES = {None: {"pending"}, "pending": {"running", "cancelled"}, "running": {"sent", "failed", "cancelled"}}
 
@@ -57,17 +57,21 @@ def test_state_shows_result_or_error_of_its_step(spark):
     assert got == {1: ("sent", "sum", None), 2: ("failed", None, "boom")}
 
 
-def test_advance_over_split_batches():
-    rng = random.Random(3)
-    for _ in range(200):
+def test_state_over_split_batches(spark, tmp_path):
+    """Random histories cut at two random places reach the state of the whole history."""
+    rng, expected, parts = random.Random(3), {}, ([], [], [])
+    for job in range(150):
         steps = [(seq, rng.choice(jobs.STATUSES), "r", "e") for seq in range(rng.randrange(1, 15))]
-        expected, _ = replay(steps)
-        state, cut = "", rng.randrange(0, len(steps))
-        for part in (steps[:cut], steps[cut:]):
-            shuffled = rng.sample(part, len(part))
-            seqs = np.array([s[0] for s in shuffled], dtype=np.int64)
-            state, _ = advance(state, seqs, np.array([jobs.STATUSES.index(s[1]) for s in shuffled], dtype=np.int8))
-        assert (state or None) == expected
+        expected[job] = replay(steps)[0]
+        cuts = sorted(rng.randrange(0, len(steps) + 1) for _ in range(2))
+        for part, chosen in zip(parts, (steps[:cuts[0]], steps[cuts[0]:cuts[1]], steps[cuts[1]:])):
+            part += [(job, seq, status) for seq, status, _, _ in rng.sample(chosen, len(chosen))]
+    out = str(tmp_path / "out")
+    advance = job_state_batches(out)
+    for batch_id, part in enumerate(parts):
+        advance(spark.createDataFrame(part, "job bigint, seq bigint, status string"), batch_id)
+    got = {r["job"]: r["status"] for r in latest_per_key(read_batches(spark, out, STATE_SCHEMA), ["job"]).collect()}
+    assert got == {job: state for job, state in expected.items() if state}
 
 
 def overlap(runs):
@@ -91,3 +95,21 @@ def test_concurrent_runs(spark, spread):
                      start + dt.timedelta(seconds=rng.choice([0, 0, 1, 30, spread // 50]))))
     df = spark.createDataFrame(runs, "agent string, run_id bigint, start_ts timestamp_ntz, end_ts timestamp_ntz").repartition(6)
     assert {r["run_id"] for r in jobs.concurrent_jobs(df).collect()} == overlap(runs)
+
+
+def scans(df, table):
+    """How often a finished plan reads a table; reused exchanges read nothing."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum("FileScan" in line and table in line for line in plan.splitlines())
+
+
+def test_two_scans_are_enough(spark, tmp_path):
+    events = spark.range(200).selectExpr("id % 20 AS job", "id AS seq", "element_at(array('pending', 'running', 'sent'), CAST(id % 3 + 1 AS INT)) AS status")
+    events.write.parquet(str(tmp_path / "jobevents"))
+    stored = spark.read.parquet(str(tmp_path / "jobevents"))
+    assert scans(jobs.job_state(stored), "jobevents") == 0 and scans(jobs.job_transitions(stored), "jobevents") == 1  # and one to write the steps
+    runs = spark.range(300).selectExpr(
+        "id % 3 AS agent", "id AS run_id", "timestamp_seconds(id * 40) AS start_ts", "timestamp_seconds(id * 40 + id % 100) AS end_ts")
+    runs.write.parquet(str(tmp_path / "agentruns"))
+    assert scans(jobs.concurrent_jobs(spark.read.parquet(str(tmp_path / "agentruns"))), "agentruns") == 1

@@ -139,7 +139,7 @@ def test_table_names(spark):
 def test_profile_sketch_agrees_on_small_data(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (None, "b")], "n int, s string")
     shown = lambda exact: {r["column_name"]: (r["null_count"], r["distinct_count"]) for r in tables.column_profile(df, exact).collect()}
-    assert shown(True) == shown(False) == {"n": (1, 2), "s": (0, 2)}
+    assert shown(("n", "s")) == shown(()) == shown(("s",)) == {"n": (1, 2), "s": (0, 2)}
 
 
 def test_synthetic_rows_do_not_depend_on_partitioning(spark):

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..plans.skew import join_back
+from ..session import run_folder
 
 # Job states.
 STATUSES = ("pending", "running", "sent", "failed", "cancelled")
@@ -46,8 +47,14 @@ def _first_step(events: DataFrame, statuses: tuple[str, ...], after: DataFrame |
 
 
 def accepted_steps(events: DataFrame, result: str | None = None, error: str | None = None) -> DataFrame:
-    """Per job the steps its history takes: ``created``, ``started`` and ``ended``, each ``(seq, status)``."""
-    usable = usable_steps(events, result, error)
+    """Per job the steps its history takes: ``created``, ``started`` and ``ended``, each ``(seq, status)``.
+
+    The usable steps are read three times, so they are written once, without the
+    rest of the events, to the shared folder.
+    """
+    folder = run_folder(events.sparkSession, "steps")
+    usable_steps(events, result, error).write.parquet(folder)
+    usable = events.sparkSession.read.parquet(folder)
     created = _first_step(usable, ("pending",), None, "created")
     started = _first_step(
         usable, ("running", "cancelled"), created.select("job", F.col("created.seq").alias("after")), "started")
@@ -133,13 +140,18 @@ def concurrent_jobs(runs: DataFrame) -> DataFrame:
     at the same instant are ordered by id, and the smallest id among those that
     last any time decides for its group.
     """
+    spark, folder = runs.sparkSession, run_folder(runs.sparkSession, "starts")
     timed = runs.withColumn("second", F.date_trunc("second", "start_ts")).withColumn("day", F.date_trunc("day", "start_ts"))
+    timed = timed.select("agent", "run_id", "start_ts", "end_ts", "second", "day")
     lasting = F.when(F.col("end_ts") > F.col("start_ts"), F.col("run_id"))
     starts = timed.groupBy("agent", "day", "second", "start_ts").agg(
         F.max("end_ts").alias("group_end"), F.min(lasting).alias("first_lasting")
     )
-    seconds = timed.groupBy("agent", "day", "second").agg(F.max("end_ts").alias("second_end"))
-    days = timed.groupBy("agent", "day").agg(F.max("end_ts").alias("day_end"))
+    # One line per start, read three times: written once, so that the runs are scanned twice in all.
+    starts.write.parquet(folder)
+    starts = spark.read.parquet(folder)
+    seconds = starts.groupBy("agent", "day", "second").agg(F.max("group_end").alias("second_end"))
+    days = seconds.groupBy("agent", "day").agg(F.max("second_end").alias("day_end"))
     before_day = _carry(days, "day_end", ["agent"], "day", "day_carry").select("agent", "day", "day_carry")
     before_second = _carry(seconds, "second_end", ["agent", "day"], "second", "second_carry").join(
         before_day, ["agent", "day"]

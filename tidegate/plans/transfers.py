@@ -140,13 +140,13 @@ def receive_transfers(
     folder = run_folder(spark, "receive")
     sessions = listing.select(*KEY).distinct()
     route = already_processed(sessions, markers, KEY).join(markers.groupBy(*KEY).agg(F.max("kind").alias("reason")), KEY)
-    route.select(*KEY, F.lit("already_processed").alias("status"), "reason").write.parquet(f"{folder}/known")
+    route.select(*KEY, F.lit("already_processed").alias("status"), "reason").write.parquet(f"{folder}/outcome/wave=-1")
     pending = listing.join(plan_transfers(sessions, markers), KEY, "left_semi")
-    outcome = spark.read.parquet(f"{folder}/known")
     for wave, files in _waves(pending, KEY, f"{folder}/pending", wave_transfers):
         if files.head(1):
             _receive_wave(spark, files, f"{folder}/wave-{wave}", target, markers_path, blocklist, receiver)
-            outcome = outcome.unionByName(spark.read.parquet(f"{folder}/wave-{wave}/routed"))
+            spark.read.parquet(f"{folder}/wave-{wave}/routed").write.parquet(f"{folder}/outcome/wave={wave}")
+    outcome = spark.read.parquet(f"{folder}/outcome").drop("wave")
     if audit_path:
         write_audit_log(routing_events(outcome, receiver), audit_path)
     return outcome

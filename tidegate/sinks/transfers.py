@@ -64,9 +64,10 @@ def write_markers(markers: DataFrame, path: str) -> None:
     """Append markers that are not there yet; call it only after the data is committed.
 
     A failed transfer gets no marker and is tried again. The first marker of a
-    session stands.
+    session stands; of several in one batch, the first by kind and detail.
     """
-    fresh = markers.select("agency", "session", "kind", F.col("detail").cast("string").alias("detail"))
+    fresh = markers.groupBy("agency", "session").agg(F.min(F.struct("kind", F.col("detail").cast("string").alias("detail"))).alias("m"))
+    fresh = fresh.select("agency", "session", "m.kind", "m.detail")
     # The marker table only grows; cut it to the sessions in hand, the small side, before comparing.
     key = ["agency", "session"]
     known = read_markers(markers.sparkSession, path).join(fresh.select(*key), key, "left_semi").select(*key)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
+import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,10 +42,14 @@ def attach_folder(spark: SparkSession, root: str, tables: list[str], schema: str
 
     The tables stay where they are; only their location is recorded.
     """
-    schema = schema or f"folder_{zlib.crc32(root.encode()):08x}"
+    schema = schema or f"folder_{hashlib.sha256(root.encode()).hexdigest()}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}` LOCATION '{shared_root(spark)}/schemas/{schema}'")
     for table in tables:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{schema}`.`{table}` USING parquet LOCATION '{root.rstrip('/')}/{table}.parquet'")
+        place = f"{root.rstrip('/')}/{table}.parquet"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{schema}`.`{table}` USING parquet LOCATION '{place}'")
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED `{schema}`.`{table}`").where("col_name = 'Location'").first()["data_type"]
+        if described.split(":", 1)[-1].replace("///", "/") != place.split(":", 1)[-1].replace("///", "/"):
+            raise ContractError("table_elsewhere", f"table '{schema}.{table}' is at '{described}', not at '{place}'")
     return schema
 
 
@@ -125,12 +130,12 @@ def table_preview(df: DataFrame, key: list[str], n: int) -> DataFrame:
     return df.orderBy(*key).limit(n).withColumn("total_rows", total)
 
 
-def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
+def column_profile(df: DataFrame, exact: Sequence[str] = ()) -> DataFrame:
     """Position, type, nullability, null count and distinct count of every column.
 
-    Exact distinct counts unpivot to (column, value) and combine on the map
-    side, so repeated values never travel; with ``exact_distinct=False`` one
-    pass of sketches is enough for any number of columns.
+    One pass of sketches counts all columns. The columns named in ``exact`` are
+    counted exactly, each by a scan of that column alone, whose repeated values
+    are combined on the map side.
     """
     fields = list(enumerate(df.schema.fields, start=1))
     facts = F.create_map(*[
@@ -144,27 +149,27 @@ def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
             ),
         )
     ])
-    if exact_distinct:
-        pairs = F.array(*[
-            F.struct(F.lit(f.name).alias("column_name"), _comparable(f).alias("value")) for _, f in fields
-        ])
-        values = df.select(F.inline(pairs)).groupBy("column_name", "value").agg(F.count("*").alias("n"))
-        stats = values.groupBy("column_name").agg(
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-            F.count("value").alias("distinct_count"),
-        )
-    else:
+    parts = []
+    sketched = [f for _, f in fields if f.name not in exact]
+    if sketched:
         wide = df.agg(*[
             F.struct(
                 F.count_if(F.col(f"`{f.name}`").isNull()).alias("null_count"),
                 F.approx_count_distinct(_comparable(f)).alias("distinct_count"),
             ).alias(f.name)
-            for _, f in fields
+            for f in sketched
         ])
         rows = F.array(*[
-            F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("s")) for _, f in fields
+            F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("s")) for f in sketched
         ])
-        stats = wide.select(F.inline(rows)).select("column_name", "s.null_count", "s.distinct_count")
+        parts.append(wide.select(F.inline(rows)).select("column_name", "s.null_count", "s.distinct_count"))
+    for _, f in fields:
+        if f.name in exact:
+            values = df.select(_comparable(f).alias("value")).groupBy("value").agg(F.count("*").alias("n"))
+            parts.append(values.agg(
+                F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+                F.count("value").alias("distinct_count")).select(F.lit(f.name).alias("column_name"), "null_count", "distinct_count"))
+    stats = reduce(DataFrame.unionByName, parts)
     fact = facts[F.col("column_name")]
     return stats.select(
         "column_name", fact["ordinal"].alias("ordinal"), fact["data_type"].alias("data_type"),
