@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import run_folder
 from .words import slices
 
 
@@ -33,6 +34,22 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Rows of ids of this many bytes in all are sent to every executor; more are joined by shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def sent_if_small(ids: DataFrame, row_bytes: int = 8) -> DataFrame:
+    """``ids``, a written table, marked for broadcast where its counted rows are few."""
+    return F.broadcast(ids) if row_bytes * ids.count() <= BROADCAST_BYTES else ids
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: lineage ends here and survives lost executors."""
+    folder = run_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 

@@ -20,8 +20,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import run_folder
-from .tables import free_name
+from .tables import free_name, sent_if_small, written
 
 SPAN, GRAM = 10, 6
 WINDOW = SPAN - GRAM + 1
@@ -75,13 +74,10 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 def find_hits(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id``, ``row_key`` and, per row with a hit, hit words and items; equal rows share one result.
 
-    The item windows are written to the shared folder, so their size is known to the
-    planner when it decides on a broadcast.
+    The item windows and the documents under suspicion are written to the shared folder, so
+    their size is known when a join is planned.
     """
-    spark = documents.sparkSession
-    folder = run_folder(spark, "item-windows")
-    item_windows(benchmark).write.parquet(folder)
-    windows = spark.read.parquet(folder)
+    windows = written(item_windows(benchmark), "item-windows")
     lengths = sorted(r["size"] for r in windows.where(F.col("size") < SPAN).select("size").distinct().collect())
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"))
@@ -89,15 +85,13 @@ def find_hits(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     prints = hashed.select("doc_id", "row_key", F.explode(F.expr(
         f"array_distinct(concat({', '.join([_minima(), *map(_whole, lengths)])}))")).alias("print"))
     known = windows.select("print").distinct()
-    suspects = prints.join(known, "print", "left_semi").select("doc_id", "row_key").distinct()
+    suspects = written(prints.join(known, "print", "left_semi").select("doc_id", "row_key").distinct(), "suspects")
 
     same = F.col("d.row_key").eqNullSafe(F.col("s.row_key")) & F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
-    texts = rows.alias("d").join(suspects.alias("s"), same, "left_semi").distinct()
+    texts = rows.alias("d").join(sent_if_small(suspects, 16).alias("s"), same, "left_semi").distinct()
     cut = _windows(_hashed(texts.select("doc_id", "row_key", _words("text").alias("words"))), lengths, "doc_id", "row_key")
     hits = cut.join(windows.select("print", "said", "size").distinct(), ["print", "said", "size"], "left_semi")
-    hits_folder = run_folder(spark, "window-hits")
-    hits.write.parquet(hits_folder)
-    hits = spark.read.parquet(hits_folder)
+    hits = written(hits, "window-hits")
 
     covered = hits.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("at", "size")).alias("spans")).select(
         "doc_id", "row_key", F.expr(
