@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.hashing import fingerprint
 from tidegate.operators.integrity import file_checksums
 from tidegate.operators.registry import active_definition, flatten_definitions, registry_lookup
-from tidegate.session import path_exists
+from tidegate.session import path_exists, run_folder
 from tidegate.sources.documents import DEFINITION_SCHEMA
 from tidegate.sources.tables import scan_parquet
 
@@ -34,6 +34,7 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._base: dict[str, DataFrame] = {}
+        self._measured: DataFrame | None = None
 
     def base(self, name: str) -> DataFrame:
         """A test table; its schema is read from the files once per query."""
@@ -71,8 +72,16 @@ class Tables:
     def file_markers(self) -> DataFrame:
         return self.base("labels").where("quality = 1").select("doc_id")
 
-    def session_markers(self) -> DataFrame:
-        return self.files().where(
+    def measured(self) -> DataFrame:
+        """Every file with size and checksum and without its text, written once per query."""
+        if self._measured is None:
+            folder = run_folder(self.spark, "measured")
+            file_checksums(self.files()).write.parquet(folder)
+            self._measured = self.spark.read.parquet(folder)
+        return self._measured
+
+    def session_markers(self, files: DataFrame | None = None) -> DataFrame:
+        return (self.files() if files is None else files).where(
             "(agency_no + session_no) % 7 = 1 OR (agency_no + session_no) % 3 = 0"
         ).selectExpr(
             "agency", "session", "CASE WHEN (agency_no + session_no) % 7 = 1 THEN 'rejected' ELSE 'done' END AS kind"
@@ -80,15 +89,15 @@ class Tables:
 
     def blocklist(self) -> DataFrame:
         toxic = self.base("labels").where("toxic = 1").select("doc_id")
-        return self.base("documents").join(toxic, "doc_id").select(F.sha2("text", 256).alias("sha256")).distinct()
+        return self.measured().join(toxic, "doc_id").select("sha256").distinct()
 
     def members(self) -> DataFrame:
         """Each file's checksum, without its text."""
-        return file_checksums(self.files()).select("agency", "session", F.col("file_name").alias("member"), "sha256")
+        return self.measured().select("agency", "session", F.col("file_name").alias("member"), "sha256")
 
     def manifests(self) -> DataFrame:
         """One manifest per session, some broken on purpose, with its two entries."""
-        k = self.files().groupBy("agency", "session").agg(
+        k = self.measured().groupBy("agency", "session").agg(
             (F.min("agency_no") * 5 + F.min("session_no")).alias("k"), F.sum("size").alias("bytes"))
         return k.selectExpr(
             "agency", "session", "'1.0' AS manifest_version", "'sha256' AS checksum_algorithm", "'gzip' AS compression_type",

@@ -148,7 +148,8 @@ def quarantine_content(t: Tables):
 def _routed(t: Tables):
     checked = integrity.validate_manifests(t.manifests(), t.archives(), "hub")
     verdicts = integrity.quarantine_content(t.members(), t.blocklist())
-    return integrity.route_transfers(t.files().select("agency", "session").distinct(), t.session_markers(), checked, verdicts)
+    narrow = t.measured()
+    return integrity.route_transfers(narrow.select("agency", "session").distinct(), t.session_markers(narrow), checked, verdicts)
 
 
 @check("route_transfers", "SELECT agency, session, status, reason FROM routed")
