@@ -115,6 +115,16 @@ def test_narrowing_inside_the_time_limit(spark):
     assert time.time() - started < 40 and [r["status"] for r in done] == ["failed"] and "ActionTimeout" in done[0]["error"]
 
 
+def test_run_folders_go_when_they_are_no_longer_needed(spark, tmp_path, monkeypatch):
+    from tidegate import session
+
+    monkeypatch.setattr(session, "_run_folders", [])
+    first, second = session.run_folder(spark, "a"), session.run_folder(spark, "b")
+    spark.range(3).write.parquet(first)
+    assert session.remove_run_folders(spark) == 1 and not session.path_exists(spark, first)
+    assert second != first and session.remove_run_folders(spark) == 0
+
+
 def test_jdbc_options():
     source = tables.JdbcSource("db", "core", "reader", partition_column="id", lower_bound=0, upper_bound=10**9, num_partitions=200)
     options = source.options("dot", "contract_data", 120)

@@ -47,9 +47,26 @@ def shared_root(spark: SparkSession) -> str:
     return folder
 
 
+_run_folders: list[str] = []
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; the writer creates it."""
-    return f"{shared_root(spark)}/tidegate/{label}-{uuid.uuid4().hex}"
+    _run_folders.append(f"{shared_root(spark)}/tidegate/{label}-{uuid.uuid4().hex}")
+    return _run_folders[-1]
+
+
+def remove_run_folders(spark: SparkSession) -> int:
+    """Delete what ``run_folder`` named in this process, once its results are read or stored elsewhere.
+
+    DataFrames that read from such folders must not be used afterwards. Returns
+    how many folders were there.
+    """
+    removed = 0
+    while _run_folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_run_folders.pop())
+        removed += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return removed
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
