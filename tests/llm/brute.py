@@ -108,14 +108,14 @@ def contamination(text, items):
 
 # Near duplicates
 
-def shingle_set(text):
+def shingle_set(text, size):
     words = SPACED.findall(lower(text))
-    return frozenset(tuple(words[i:i + 4]) for i in range(max(1, len(words) - 3))) if words else frozenset()
+    return frozenset(tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, size=5):
     """Set size and component of each (doc_id, text) row; every pair is compared."""
-    sets = [(i, shingle_set(t)) for i, t in rows]
+    sets = [(i, shingle_set(t, size)) for i, t in rows]
     parent = {i: i for i, _ in sets if i is not None}
 
     def find(x):

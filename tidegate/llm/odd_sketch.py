@@ -1,7 +1,7 @@
 """Near duplicates by MinHash bands, odd sketches and exact confirmation.
 
-A text's set holds its distinct shingles of ``SHINGLE`` lower-cased words, or its whole word
-sequence when it is shorter. Two texts are linked when their sets overlap to ``SIMILARITY``
+A text's set holds its distinct shingles of a number of lower-cased words (five, unless the
+caller says otherwise), or its whole word sequence when it is shorter. Two texts are linked when their sets overlap to ``SIMILARITY``
 percent or more; components of linked texts share the smallest id.
 
 1. One pass over the texts makes, per document, ``SAMPLES`` MinHash samples, their hashes in
@@ -32,18 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import run_folder
-from .tables import map_slices
+from .tables import map_slices, sent_if_small, written
 from .words import Words, mix, windows
 
-SHINGLE, SIMILARITY = 4, 80
+SHINGLE, SIMILARITY = 5, 80
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Estimated similarity below which a pair is not confirmed: five deviations of 128 samples below 0.8, and more for bits that meet.
-ESTIMATE_LIMIT = 0.55
+ESTIMATE_LIMIT = 0.45
 #: Members, and shingles, of one block.
-BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 STRIP = 64
 
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -99,10 +98,10 @@ def estimate(different_bits: np.ndarray) -> np.ndarray:
 FEATURES = "doc_id bigint, n_shingles bigint, sum_1 bigint, sum_2 bigint, bands array<bigint>, sketch binary"
 
 
-def features(documents: DataFrame) -> DataFrame:
+def features(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
     """Set size, set checksums, bands and sketch of every document."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = sketches(*shingles(batch.column(1)))
+        made = sketches(*shingles(batch.column(1), words))
         rows = batch.num_rows
         bands = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * BANDS), pa.array(made["bands"].view(np.int64).ravel()))
         return pa.RecordBatch.from_pydict({
@@ -112,9 +111,12 @@ def features(documents: DataFrame) -> DataFrame:
     return map_slices(rows, work, FEATURES)
 
 
-def _bits(column) -> np.ndarray:
-    """Sketches of an Arrow binary column as rows of 64-bit words."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+def _words(column: pa.BinaryArray) -> list[np.ndarray]:
+    """The values of an Arrow binary column as arrays of 64-bit words, without a copy."""
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return [whole[a:b].view(np.uint64) for a, b in zip(bounds, bounds[1:])]
 
 
 def _linked(left: np.ndarray, right: np.ndarray) -> bool:
@@ -156,7 +158,7 @@ def join_block(block: np.ndarray, bits: np.ndarray, sets: list[np.ndarray]) -> n
 
 
 def _groups(batches, keys: int):
-    """Tables of the rows of one key each, from batches sorted by their first ``keys`` columns."""
+    """The rows of one key each, from batches sorted by their first ``keys`` columns; a copy, so that batches can go."""
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
@@ -170,22 +172,21 @@ def _groups(batches, keys: int):
                 continue
             key = tuple(int(column[start]) for column in columns)
             if held and key != last:
-                yield pa.Table.from_batches(held)
+                yield pa.concat_batches(held)
                 held = []
             held.append(batch.slice(start, stop - start))
             last = key
     if held:
-        yield pa.Table.from_batches(held)
+        yield pa.concat_batches(held)
 
 
 def _stars(batches):
     """Links from the first member of each component to its others, group by group."""
     left, right = [], []
     for group in _groups(batches, 3):
-        group = group.combine_chunks()
-        node = group["doc_id"].to_numpy()
-        sets = [np.frombuffer(s, np.uint64) for s in group["keys"].to_pylist()]
-        label = join_block(group["block"].to_numpy(), _bits(group["sketch"]), sets)
+        node = group.column("doc_id").to_numpy()
+        sets, bits = (_words(group.column(name)) for name in ("keys", "sketch"))
+        label = join_block(group.column("block").to_numpy(), np.stack(bits), sets)
         joined = np.flatnonzero(label != np.arange(len(label)))
         left.append(node[label[joined]])
         right.append(node[joined])
@@ -196,44 +197,29 @@ def _stars(batches):
         yield pa.RecordBatch.from_pydict({"a": np.concatenate(left), "b": np.concatenate(right)})
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: lineage ends here and survives lost executors."""
-    folder = run_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
-
-
 def components(links: DataFrame) -> DataFrame:
     """Smallest reachable node of every linked node, by smallest-neighbour steps and pointer jumps; columns a, b."""
-    edges = _written(links.where("a <> b").selectExpr("a", "b").union(links.where("a <> b").selectExpr("b", "a")).distinct(), "links")
-    labels = _written(edges.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("component")).withColumnRenamed("a", "node"), "labels")
+    edges = written(links.where("a <> b").selectExpr("a", "b").union(links.where("a <> b").selectExpr("b", "a")).distinct(), "links")
+    labels = written(edges.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("component")).withColumnRenamed("a", "node"), "labels")
     while True:
         near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
         step = labels.join(near.withColumnRenamed("a", "node"), "node").select(
             "node", F.col("component").alias("before"), F.least("component", "near").alias("middle"))
         jump = labels.select(F.col("node").alias("middle"), F.col("component").alias("beyond"))
-        moved = _written(step.join(jump, "middle", "left").select(
+        moved = written(step.join(jump, "middle", "left").select(
             "node", "before", F.least("middle", "beyond").alias("component")), "labels")
         labels = moved.select("node", "component")
         if moved.where("before <> component").isEmpty():
             return labels
 
 
-#: Ids of this many bytes in all are sent to every executor; more are joined by shuffle.
-BROADCAST_IDS = 32 << 20
-
-
-def _small(ids: DataFrame, column: str) -> DataFrame:
-    return F.broadcast(ids) if 8 * ids.count() <= BROADCAST_IDS else ids
-
-
-def find_links(documents: DataFrame, sketched: DataFrame) -> DataFrame:
+def find_links(documents: DataFrame, sketched: DataFrame, words: int = SHINGLE) -> DataFrame:
     """Confirmed links (a, b) between class representatives, enough to connect every component."""
     banded = sketched.select("doc_id", "n_shingles", F.posexplode("bands")).select(
         "doc_id", "n_shingles", F.xxhash64("pos", "col").alias("band"))
     leaders = banded.groupBy("band").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader <> last")
     met = banded.join(leaders.select("band", "leader"), "band").select("leader", "doc_id", "n_shingles").distinct()
-    met = _written(met, "groups")
+    met = written(met, "groups")
     blocks = met.groupBy("leader").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     dealt = met.join(blocks, "leader").select(
@@ -242,47 +228,47 @@ def find_links(documents: DataFrame, sketched: DataFrame) -> DataFrame:
         "leader", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "doc_id", "block")
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        row, keys, rows = shingles(batch.column(1))
+        row, keys, rows = shingles(batch.column(1), words)
         first = np.searchsorted(row, np.arange(rows + 1))
         made = sketches(row, keys, rows)["bits"]
         return pa.RecordBatch.from_pydict({
             "doc_id": batch.column(0), "keys": pa.array([keys[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary()),
             "sketch": pa.array([b.tobytes() for b in made], pa.binary())})
-    nodes = met.select("doc_id").distinct()
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(_small(nodes, "doc_id"), "doc_id", "left_semi")
+    nodes = written(met.select("doc_id").distinct(), "nodes")
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(sent_if_small(nodes), "doc_id", "left_semi")
     held = map_slices(texts.select("doc_id", "text"), sets, "doc_id bigint, keys binary, sketch binary").where("length(keys) > 0")
     order = ["leader", "low", "high"]
     rows = dealt.join(held, "doc_id").select(*order, "doc_id", "block", "keys", "sketch")
     return rows.repartition(*order).sortWithinPartitions(*order, "doc_id").mapInArrow(_stars, "a bigint, b bigint")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """``doc_id``, set size, component and whether the document stays, for every row."""
-    made = _written(features(documents), "features")
+def near_duplicates(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """``doc_id``, set size, component and whether the document stays, for every row; sets of ``words``-word shingles."""
+    made = written(features(documents, words), "features")
     usable = made.where("doc_id IS NOT NULL AND n_shingles > 0")
     same = ["n_shingles", "sum_1", "sum_2"]
     classes = usable.groupBy(*same).agg(F.min("doc_id").alias("class_id"))
-    member = _written(made.select("doc_id", *same).join(classes, same, "left").select(
+    member = written(made.select("doc_id", *same).join(classes, same, "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")), "classes")
     chosen = member.select("class_id").where("class_id IS NOT NULL").distinct().withColumnRenamed("class_id", "doc_id")
-    links = find_links(documents, usable.join(chosen, "doc_id", "left_semi"))
+    links = find_links(documents, usable.join(chosen, "doc_id", "left_semi"), words)
     # An id on several rows ties their classes together.
     tied = member.where("class_id IS NOT NULL").groupBy("doc_id").agg(F.min("class_id").alias("a"), F.max("class_id").alias("b")).where("a <> b")
-    joined = components(_written(links.union(tied.select("a", "b")), "stars"))
+    joined = components(written(links.union(tied.select("a", "b")), "stars"))
     found = member.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
     component = F.coalesce("component", "class_id", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
-def first_of_group(documents: DataFrame) -> DataFrame:
+def first_of_group(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
     """The documents, all columns, with one row of each group of near duplicates; rows without an id stay."""
-    gone = _written(near_duplicates(documents).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "gone")
-    left = documents.join(_small(gone, "doc_id"), "doc_id", "left_anti").select(*documents.columns)
+    gone = written(near_duplicates(documents, words).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "gone")
+    left = documents.join(sent_if_small(gone), "doc_id", "left_anti").select(*documents.columns)
     repeated = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = _written(repeated, "repeated")
+    repeated = written(repeated, "repeated")
     if repeated.isEmpty():
         return left
-    few = _small(repeated, "doc_id")
+    few = sent_if_small(repeated)
     return left.join(few, "doc_id", "left_anti").select(*documents.columns).unionByName(
         left.join(few, "doc_id", "left_semi").select(*documents.columns).dropDuplicates(["doc_id"]))

@@ -17,7 +17,7 @@ QUERIES = {
     "op6_noisy_or": lambda spark, sf_dir: toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
     "op7_winnowing": lambda spark, sf_dir: winnowing.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
     "op8_repetition": lambda spark, sf_dir: repetition.quality_rules(read(spark, sf_dir, "documents")),
-    "op9_odd_sketch": lambda spark, sf_dir: odd_sketch.near_duplicates(read(spark, sf_dir, "documents")),
+    "op9_odd_sketch": lambda spark, sf_dir: odd_sketch.near_duplicates(read(spark, sf_dir, "documents"), words=4),
     "op10_neighbour_vote": lambda spark, sf_dir: neighbours.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
 }
 ORACLES: dict[str, str] = {"op7_winnowing": winnowing.ORACLE}
