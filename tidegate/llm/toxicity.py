@@ -39,9 +39,9 @@ _ENDS[list(b".!?\n")] = True
 
 
 class Sentences:
-    """Distinct feature buckets of every sentence of a text column."""
+    """Distinct feature buckets of every sentence of a text column, or those of them that are ``used``."""
 
-    def __init__(self, column):
+    def __init__(self, column, used: np.ndarray | None = None):
         words = Words(column, NOT_ALNUM)
         ends = np.zeros(len(words.data) + 1, np.int64)
         np.cumsum(_ENDS[words.data], out=ends[1:])
@@ -56,7 +56,10 @@ class Sentences:
         shift, size, made = np.uint64(64 - BUCKET_BITS), words.end - words.start, []
         for prefix, hashes in zip((None, *PREFIXES), hash_prefixes(words.data, words.start, words.end, (None, *PREFIXES))):
             long = slice(None) if prefix is None else size > prefix
-            made.append((sentence[long] << BUCKET_BITS) | (mix(hashes[long] + np.uint64(prefix or 0)) >> shift).astype(np.int64))
+            owner, bucket = sentence[long], (mix(hashes[long] + np.uint64(prefix or 0)) >> shift).astype(np.int64)
+            if used is not None:
+                owner, bucket = owner[used[bucket]], bucket[used[bucket]]
+            made.append((owner << BUCKET_BITS) | bucket)
         pairs = np.unique(np.concatenate(made))
         self.sentence, self.bucket = pairs >> BUCKET_BITS, pairs & ((1 << BUCKET_BITS) - 1)
 
@@ -65,7 +68,11 @@ class Model:
     """Word weights and a bias; ``scores`` gives sentence and document scores."""
 
     def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
+        self.weights, self.used, self.bias = weights, weights != 0, bias
+
+    def bags(self, column) -> Sentences:
+        """Sentences with the features that weigh anything."""
+        return Sentences(column, self.used)
 
     def scores(self, bags: Sentences) -> tuple[np.ndarray, np.ndarray]:
         logit = self.bias + np.bincount(bags.sentence, weights=self.weights[bags.bucket], minlength=bags.count)
@@ -98,10 +105,9 @@ def fit(texts, labels: np.ndarray, importance: np.ndarray) -> Model:
     w = np.where(used, np.maximum(0, start), 0.0)
     sentences, buckets, rows, first, count = [], [], [], 0, 0
     for part in parts:
-        bags = Sentences(part.column(0))
-        keep = used[bags.bucket]
-        sentences.append(bags.sentence[keep] + count)
-        buckets.append(bags.bucket[keep])
+        bags = Sentences(part.column(0), used)
+        sentences.append(bags.sentence + count)
+        buckets.append(bags.bucket)
         rows.append(bags.row + first)
         first, count = first + part.num_rows, count + bags.count
     sentence, bucket, row = np.concatenate(sentences), np.concatenate(buckets), np.concatenate(rows)
@@ -134,7 +140,7 @@ def score_documents(documents: DataFrame, model: Model) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "score": shared.value.scores(Sentences(batch.column(1)))[1]})
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "score": shared.value.scores(shared.value.bags(batch.column(1)))[1]})
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return map_slices(rows, work, "doc_id bigint, score double")
 
@@ -144,7 +150,7 @@ def offending_sentences(documents: DataFrame, model: Model, least: float = 0.5)
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bags = Sentences(batch.column(1))
+        bags = shared.value.bags(batch.column(1))
         scores = shared.value.scores(bags)[0]
         found = np.flatnonzero(scores >= least)
         chars, owner = char_counts(bags.data), bags.row[found]
