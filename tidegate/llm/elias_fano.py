@@ -36,15 +36,25 @@ def _unpack(words: np.ndarray, index: np.ndarray, width: int) -> np.ndarray:
     return (low | high) & _U((1 << width) - 1)
 
 
+#: Place of the k-th set bit of a byte, at byte * 8 + k.
+_IN_BYTE = np.zeros(2048, np.int64)
+for _byte in range(256):
+    for _k, _place in enumerate(i for i in range(8) if _byte >> i & 1):
+        _IN_BYTE[_byte * 8 + _k] = _place
+_ONES, _TOPS = _U(0x0101010101010101), _U(0x8080808080808080)
+
+
 def _select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Place of the set bit with ``rank`` set bits before it."""
-    place, rank = np.zeros(len(word), np.uint64), rank.astype(np.uint64)
-    for size in (32, 16, 8, 4, 2, 1):
-        count = np.bitwise_count((word >> place) & _U((1 << size) - 1)).astype(np.uint64)
-        beyond = rank >= count
-        rank -= np.where(beyond, count, _U(0))
-        place += np.where(beyond, _U(size), _U(0))
-    return place.astype(np.int64)
+    rank = rank.astype(np.uint64)
+    pairs = word - ((word >> _U(1)) & _U(0x5555555555555555))
+    fours = (pairs & _U(0x3333333333333333)) + ((pairs >> _U(2)) & _U(0x3333333333333333))
+    upto = ((fours + (fours >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _ONES  # byte i: set bits of bytes 0 to i
+    passed = (((rank * _ONES) | _TOPS) - upto) & _TOPS  # bytes that end before the bit
+    place = np.bitwise_count(passed).astype(np.uint64) * _U(8)
+    before = ((upto << _U(8)) >> place) & _U(255)
+    inside = ((word >> place) & _U(255)) * _U(8) + (rank - before)
+    return place.astype(np.int64) + _IN_BYTE[inside.astype(np.int64)]
 
 
 def encode(values: np.ndarray, universe: int) -> np.ndarray:

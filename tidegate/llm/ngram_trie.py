@@ -46,7 +46,7 @@ from .elias_fano import Sequence, _pack, _unpack, encode
 from .tables import crc_rest
 from .words import Words, slices
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 24 << 20
 MIN_COUNT = 2
 DISCOUNT = 0.75
 LM_SLICE = 6 << 20
@@ -342,11 +342,11 @@ class Trie:
     # whole texts
 
     def resolve(self, column) -> dict[str, np.ndarray]:
-        """Tokens of a text column with word id and count, and their pairs with the token before."""
+        """Tokens of a text column: row, word id, and place in ``count``, which has the counts of distinct words."""
         tokens = Tokens(column)
         distinct, inverse = _distinct(tokens.hash)
         ids, counts = self.look_up(distinct)
-        return {"rows": tokens.rows, "row": tokens.row, "id": ids[inverse], "count": counts[inverse]}
+        return {"rows": tokens.rows, "row": tokens.row, "id": ids[inverse], "count": counts, "word": inverse}
 
     def pairs_of(self, found: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of tokens that end a pair of known words, their distinct keys, and the key of each place."""
@@ -367,11 +367,11 @@ class Trie:
     def score(self, column) -> dict[str, np.ndarray]:
         """Token counts and log10 probabilities of each text."""
         found = self.resolve(column)
-        ids, row, rows, count = found["id"], found["row"], found["rows"], found["count"]
-        known = count > 0
-        base = np.log10((count + 0.1) / (self.tokens + 0.1 * (self.words + 1)))
+        ids, row, rows, count, word = found["id"], found["row"], found["rows"], found["count"], found["word"]
+        known = ids >= 0
+        base = np.log10((count + 0.1) / (self.tokens + 0.1 * (self.words + 1)))[word]
         if self.tokens:
-            p = np.where(known, count - self.discount, self.discount * self.words) / self.tokens
+            p = (np.where(count > 0, count - self.discount, self.discount * self.words) / self.tokens)[word]
         else:
             p = np.ones(len(ids))
         if self.words:
