@@ -121,9 +121,10 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns, that share no window with the benchmark."""
     key = free_name(documents, "row_key")
     keyed = documents.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))).alias("d")
-    hits = find_hits(documents, benchmark).select(F.col("doc_id").alias("hit_id"), F.col("row_key").alias("hit_key")).alias("h")
+    hits = find_hits(documents, benchmark).select(F.col("doc_id").alias("hit_id"), F.col("row_key").alias("hit_key"))
+    few = sent_if_small(written(hits, "contaminated"), 16).alias("h")
     same = F.col(f"d.{key}").eqNullSafe(F.col("h.hit_key")) & F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("h.hit_id"))
-    return keyed.join(hits, same, "left_anti").select(*documents.columns)
+    return keyed.join(few, same, "left_anti").select(*documents.columns)
 
 
 _SQL_WORDS = (r"list_filter(regexp_split_to_array(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
