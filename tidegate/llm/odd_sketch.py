@@ -213,14 +213,23 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def once_per_id(df: DataFrame, repeated: DataFrame, key: list[str]) -> DataFrame:
+    """``df`` without repeated ``key``s, which only ids in the written table ``repeated`` can have; other rows do not move."""
+    if repeated.isEmpty():
+        return df
+    few = sent_if_small(repeated)
+    once = df.join(few, "doc_id", "left_anti").select(*df.columns)
+    return once.unionByName(df.join(few, "doc_id", "left_semi").select(*df.columns).dropDuplicates(key))
+
+
 def find_links(documents: DataFrame, sketched: DataFrame, words: int = SHINGLE) -> DataFrame:
     """Confirmed links (a, b) between class representatives, enough to connect every component."""
-    banded = sketched.select("doc_id", "n_shingles", F.posexplode("bands")).select(
-        "doc_id", "n_shingles", F.xxhash64("pos", "col").alias("band"))
+    banded = sketched.select("doc_id", F.posexplode("bands")).select("doc_id", F.xxhash64("pos", "col").alias("band"))
     leaders = banded.groupBy("band").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader <> last")
-    met = banded.join(leaders.select("band", "leader"), "band").select("leader", "doc_id", "n_shingles").distinct()
+    met = banded.join(leaders.select("band", "leader"), "band").select("leader", "doc_id").distinct()
     met = written(met, "groups")
-    blocks = met.groupBy("leader").agg(
+    sizes = sketched.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"), F.count("*").alias("rows"))
+    blocks = met.join(sizes, "doc_id").groupBy("leader").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     dealt = met.join(blocks, "leader").select(
         "leader", "doc_id", "blocks", F.expr("CAST(pmod(xxhash64(doc_id), blocks) AS INT)").alias("block"))
@@ -237,6 +246,7 @@ def find_links(documents: DataFrame, sketched: DataFrame, words: int = SHINGLE)
     nodes = written(met.select("doc_id").distinct(), "nodes")
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(sent_if_small(nodes), "doc_id", "left_semi")
     held = map_slices(texts.select("doc_id", "text"), sets, "doc_id bigint, keys binary, sketch binary").where("length(keys) > 0")
+    held = once_per_id(held, written(sizes.where("rows > 1").select("doc_id"), "repeated"), ["doc_id", "keys"])
     order = ["leader", "low", "high"]
     rows = dealt.join(held, "doc_id").select(*order, "doc_id", "block", "keys", "sketch")
     return rows.repartition(*order).sortWithinPartitions(*order, "doc_id").mapInArrow(_stars, "a bigint, b bigint")
@@ -266,9 +276,20 @@ def first_of_group(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
     gone = written(near_duplicates(documents, words).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "gone")
     left = documents.join(sent_if_small(gone), "doc_id", "left_anti").select(*documents.columns)
     repeated = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = written(repeated, "repeated")
-    if repeated.isEmpty():
-        return left
-    few = sent_if_small(repeated)
-    return left.join(few, "doc_id", "left_anti").select(*documents.columns).unionByName(
-        left.join(few, "doc_id", "left_semi").select(*documents.columns).dropDuplicates(["doc_id"]))
+    return once_per_id(left, written(repeated, "repeated"), ["doc_id"])
+
+
+#: ``near_duplicates`` with shingles of four words, by comparing all documents that share one.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS said
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.said = b.said AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * common >= 80 * (p.n + q.n - common)),
+r(doc_id, root) AS (SELECT x, x FROM e UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.doc_id),
+c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""

@@ -20,4 +20,4 @@ QUERIES = {
     "op9_odd_sketch": lambda spark, sf_dir: odd_sketch.near_duplicates(read(spark, sf_dir, "documents"), words=4),
     "op10_neighbour_vote": lambda spark, sf_dir: neighbours.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
 }
-ORACLES: dict[str, str] = {"op7_winnowing": winnowing.ORACLE}
+ORACLES: dict[str, str] = {"op7_winnowing": winnowing.ORACLE, "op9_odd_sketch": odd_sketch.ORACLE}
