@@ -28,10 +28,10 @@ from .words import NOT_ALNUM, Words, char_counts, hash_prefixes, mix, slices
 
 BUCKET_BITS = 20
 PREFIXES = (4, 5, 6, 7)
-SAMPLE = {0: 3000, 1: 1500}
-MIN_DOCUMENTS, EVIDENCE = 4, 3.0
-STEPS, RATE, DECAY = 200, 0.1, 2e-3
-START_BIAS = -7.0
+SAMPLE = {0: 6000, 1: 1500}
+MIN_DOCUMENTS, EVIDENCE = 4, 3.5
+STEPS, RATE, DECAY = 200, 0.3, 1e-2
+START_BIAS = -9.0
 FIT_SLICE = 1 << 20
 
 _ENDS = np.zeros(256, bool)
