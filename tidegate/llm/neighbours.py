@@ -9,9 +9,9 @@ label with weight ``max(cosine, 0) ** POWER``.
 
 The sample has at most about ``SAMPLE`` texts a label, so the broadcast has a fixed bound.
 Votes are weighted back to the share of each label. A null, empty or unlike text has no
-neighbour and scores the share of label 1; without labels every score is 0. Ties in
-similarity go to the smaller place in the sample, which is sorted by id. Repeated rows
-score alike; columns other than id and text are ignored.
+neighbour and scores the share of label 1; without labels every score is 0. Which of
+several equally near texts is the K-th depends on their places in the sample alone, which is
+sorted by id, so runs agree. Repeated rows score alike; columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .labelled import labelled_sample
 from .tables import crc_rest, free_name, map_slices
-from .words import SPACES, Words
+from .words import SPACES, Words, slices
 
 SAMPLE = {0: 1500, 1: 1500}
 WORD_BITS, SHAPE_BITS = 12, 12
@@ -31,6 +31,7 @@ RANK, K, POWER = 48, 25, 4
 #: Least share of votes of a text that is not rejected.
 ACCEPTED = 0.7
 BLOCK = 512
+FIT_SLICE = 1 << 20
 FEATURES = (1 << WORD_BITS) + (1 << SHAPE_BITS)
 
 
@@ -62,12 +63,25 @@ def features(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     return keys // FEATURES, keys % FEATURES, 1 + np.log(count), words.rows
 
 
+def sample_features(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """``features`` of a long column, made slice by slice."""
+    column = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    made, rows = [], 0
+    for part in slices(pa.RecordBatch.from_pydict({"text": column}), limit=FIT_SLICE):
+        row, feature, value, count = features(part.column(0))
+        made.append((row + rows, feature, value.astype(np.float32)))
+        rows += count
+    if not made:
+        return *features(column)[:3], 0
+    return *(np.concatenate(x) for x in zip(*made)), rows
+
+
 class Model:
     """Directions, labelled vectors, their labels and vote weights."""
 
     def __init__(self, texts, labels: np.ndarray, importance: np.ndarray):
         self.prior = float((labels * importance).sum() / importance.sum()) if len(labels) else 0.0
-        row, feature, value, rows = features(texts)
+        row, feature, value, rows = found = sample_features(texts)
         seen = np.bincount(feature, minlength=FEATURES)
         idf = np.where(seen > 0, np.log((1 + rows) / (1 + seen)) + 1, 0)
         self.directions = idf[:, None].astype(np.float32)
@@ -84,12 +98,12 @@ class Model:
                 basis = np.linalg.qr(matrix @ np.linalg.qr(matrix.T @ basis)[0])[0]
             right = np.linalg.svd(basis.T @ matrix, full_matrices=False)[2][:rank]
             self.directions = (idf[:, None] * right.T).astype(np.float32)
-        self.vectors = self.project(texts)
+        self.vectors = self.project(found)
         self.labels, self.importance = labels.astype(np.float32), importance.astype(np.float32)
 
-    def project(self, texts) -> np.ndarray:
-        """Unit vectors of the texts in the latent space; zero where nothing is known."""
-        row, feature, value, rows = features(texts)
+    def project(self, found: tuple[np.ndarray, np.ndarray, np.ndarray, int]) -> np.ndarray:
+        """Unit vectors in the latent space of texts given by their features; zero where nothing is known."""
+        row, feature, value, rows = found
         out = np.zeros((rows, self.directions.shape[1]), np.float32)
         step = 1 << 17
         for begin in range(0, len(row), step):  # blocks of features bound the memory of a long text
@@ -101,7 +115,7 @@ class Model:
         return np.divide(out, size, out=np.zeros_like(out), where=size > 0)
 
     def scores(self, texts) -> np.ndarray:
-        vectors, out = self.project(texts), []
+        vectors, out = self.project(features(texts)), []
         if not len(self.labels):
             return np.zeros(len(vectors))
         k = min(K, len(self.labels))
