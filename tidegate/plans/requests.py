@@ -16,7 +16,7 @@ from ..operators.governance import policy_decision, request_decision
 from ..operators.idempotency import plan_extracts
 from ..session import run_folder
 from ..sinks.transfers import write_audit_log
-from .extracts import MARKER_SCHEMA, SUMMARY_SCHEMA, Contract, read_extract_markers, run_contracts
+from .extracts import SUMMARY_SCHEMA, Contract, read_extract_markers, run_contracts
 
 #: Contracts whose outcomes and markers are committed together.
 CONTRACTS_PER_COMMIT = 200
