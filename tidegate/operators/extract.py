@@ -167,8 +167,12 @@ def topk_extract(
     lead = F.col("by_0").desc_nulls_last() if descending else F.col("by_0").asc_nulls_last()
     order = [lead, *[F.col(name).asc_nulls_last() for name in names[1:]], F.col("scanned").asc()]
     first = _place(rows.withColumn("scanned", F.monotonically_increasing_id()), order, "place").where(F.col("place") < row_limit)
+    # Dealing out reads its input twice, so what the tasks keep of the table is written first.
+    folder = run_folder(df.sparkSession, "kept")
+    first.drop("place").write.parquet(folder)
+    first = df.sparkSession.read.parquet(folder)
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _place(first.drop("place").repartitionByRange(ranges, *order), order, "place").withColumn("part", F.spark_partition_id())
+    dealt = _place(first.repartitionByRange(ranges, *order), order, "place").withColumn("part", F.spark_partition_id())
     # Range bounds come from a sample and would differ in a second run of the plan, so the ranges are written once.
     folder = run_folder(df.sparkSession, "ranges")
     dealt.write.parquet(folder)
