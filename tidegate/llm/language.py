@@ -171,10 +171,8 @@ def passages(labelled: DataFrame) -> dict[str, str]:
 
 def predict_language(documents: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` of every text."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        names, scores = shared.value.predict(batch.column(1))
+        names, scores = model.predict(batch.column(1))
         return pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "lang_pred": pa.array(names, pa.string()), "score": scores})
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return map_slices(rows, work, "doc_id bigint, lang_pred string, score double")

@@ -138,11 +138,10 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality") -> Mo
 
 def score_documents(documents: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """``documents`` with the vote of every text; a column of that name is replaced."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
     rows = documents.drop(name)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = pa.array(shared.value.scores(batch.column(batch.schema.get_field_index(text))), pa.float64())
+        made = pa.array(model.scores(batch.column(batch.schema.get_field_index(text))), pa.float64())
         return pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, name])
     schema = rows.withColumn(name, F.lit(0.0)).schema
     return map_slices(rows, work, schema, text)

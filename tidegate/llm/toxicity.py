@@ -137,21 +137,17 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> Mode
 
 def score_documents(documents: DataFrame, model: Model) -> DataFrame:
     """``doc_id`` and the noisy-or score of every text."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "score": shared.value.scores(shared.value.bags(batch.column(1)))[1]})
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "score": model.scores(model.bags(batch.column(1)))[1]})
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return map_slices(rows, work, "doc_id bigint, score double")
 
 
 def offending_sentences(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """Sentences that score ``least`` or more: id, code point bounds from first to last word, score."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bags = shared.value.bags(batch.column(1))
-        scores = shared.value.scores(bags)[0]
+        bags = model.bags(batch.column(1))
+        scores = model.scores(bags)[0]
         found = np.flatnonzero(scores >= least)
         chars, owner = char_counts(bags.data), bags.row[found]
         origin = chars[bags.offsets[owner]]
