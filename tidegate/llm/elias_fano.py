@@ -107,9 +107,13 @@ class Sequence:
         """First index and end of the values with the given high bits."""
         beyond = high >= len(self.bitmap) * 64 - self.n
         inside = np.where(beyond, 0, high)
-        begin = np.where(inside > 0, self._select0(np.maximum(inside - 1, 0)) + 1 - inside, 0)
-        end = np.minimum(self._select0(inside) - inside, self.n)
-        return np.where(beyond, self.n, begin), np.where(beyond, self.n, end)
+        place = np.where(inside > 0, self._select0(np.maximum(inside - 1, 0)) + 1, 0)
+        left = ~self.bitmap[place >> 6] >> (place & 63).astype(np.uint64)
+        stop = place + np.bitwise_count(~left & (left - _U(1)))  # the next zero, mostly in the same word
+        far = np.flatnonzero(left == 0)
+        stop[far] = self._select0(inside[far])
+        end = np.minimum(stop - inside, self.n)
+        return np.where(beyond, self.n, place - inside), np.where(beyond, self.n, end)
 
     def _search(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Index of the first value at or above each target, the end of its bucket, and its low bits."""

@@ -11,7 +11,8 @@ three levels of files in the shared folder, which scoring tasks memory-map:
 
 Within a level each parent's range is lifted above the range before it, so the whole level is
 one ascending Elias-Fano sequence; a child is found by successor search relative to its context.
-Pairs and triples seen once are pruned, their mass stays with the back-off weights::
+Pairs and triples counted less than ``min_count`` times are pruned, their mass stays with the
+back-off weights; with ``min_count`` 1, as the registered query has it, all are kept::
 
     p(c | a b) = max(n(abc) - D, 0) / n(ab) + L(ab) p(c | b)
     p(c | b)   = max(n(bc) - D, 0) / n(b) + L(b) p(c),   p(c) = (n(c) - D1) / N,  unseen: D1 V / N
@@ -388,7 +389,7 @@ class Trie:
             pairs, inverse = _distinct(before[context - 1])
             p[context] *= self.pair_backoff(pairs)[inverse]
             third, pairs, ranks = self.triples_of(found, at, pair, start)
-            order = np.lexsort((ranks, pairs))
+            order = np.argsort(pairs)
             made = np.empty(len(third))
             made[order] = self.find_triples(pairs[order], ranks[order])
             p[third] += made
@@ -457,7 +458,7 @@ def _build_words(trie: Trie, texts: DataFrame) -> None:
     trie.split = np.array(sorted(s for s in split if s >> 32 < max(1, trie.words)), np.uint64)
 
 
-def _build_pairs(trie: Trie, texts: DataFrame) -> None:
+def _build_pairs(trie: Trie, texts: DataFrame, min_count: int) -> None:
     def count(column, counter: _Counter) -> None:
         _, keys, inverse = trie.pairs_of(trie.resolve(column))
         counts = np.bincount(inverse, minlength=len(keys)).astype(np.uint64)
@@ -467,7 +468,7 @@ def _build_pairs(trie: Trie, texts: DataFrame) -> None:
     def build(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
         keys, counts = _merged(table)
-        keys, counts = keys[counts >= MIN_COUNT], counts[counts >= MIN_COUNT].astype(np.int64)
+        keys, counts = keys[counts >= min_count], counts[counts >= min_count].astype(np.int64)
         if not len(keys):
             return _line(shard, 0)
         low, high = trie.parents(shard)
@@ -494,7 +495,7 @@ def _build_pairs(trie: Trie, texts: DataFrame) -> None:
         trie.spread[word] = (int(trie.first_pair[parts[0]]), max(1e-9, 1 - float(mass[parts].sum())))
 
 
-def _build_triples(trie: Trie, texts: DataFrame) -> None:
+def _build_triples(trie: Trie, texts: DataFrame, min_count: int) -> None:
     def count(column, counter: _Counter) -> None:
         found = trie.resolve(column)
         at, keys, inverse = trie.pairs_of(found)
@@ -511,7 +512,7 @@ def _build_triples(trie: Trie, texts: DataFrame) -> None:
         packed, width = trie.sections("pairs", shard)[3:5]
         pairs = int(trie.first_pair[shard + 1] - trie.first_pair[shard])
         whole = _unpack(packed, np.arange(pairs), int(width[0])).astype(float)
-        keys, counts = keys[counts >= MIN_COUNT], counts[counts >= MIN_COUNT].astype(np.int64)
+        keys, counts = keys[counts >= min_count], counts[counts >= min_count].astype(np.int64)
         parent = (keys >> np.uint64(32)).astype(np.int64)
         share = (counts - DISCOUNT) / whole[parent]
         codes, book = quantise(share)
@@ -534,15 +535,15 @@ def _build_triples(trie: Trie, texts: DataFrame) -> None:
     _counted(texts, count).unionByName(every).groupBy("shard").applyInArrow(build, _BUILT).collect()
 
 
-def train(texts: DataFrame) -> Trie:
-    """Count the texts of column ``text`` and write the levels to the shared folder."""
+def train(texts: DataFrame, min_count: int = MIN_COUNT) -> Trie:
+    """Count the texts of column ``text`` and write the levels, less pairs and triples below ``min_count``, to the shared folder."""
     texts = texts.select("text")
     size = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     trie = Trie(local_path(run_folder(texts.sparkSession, "ngram-trie")), max(1, -(-size // SHARD_BYTES)))
     _build_words(trie, texts)
     if trie.words:
-        _build_pairs(trie, texts)
-        _build_triples(trie, texts)
+        _build_pairs(trie, texts, min_count)
+        _build_triples(trie, texts, min_count)
     return trie
 
 
@@ -556,10 +557,10 @@ def score_texts(documents: DataFrame, trie: Trie) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
-def language_model_scores(documents: DataFrame) -> DataFrame:
+def language_model_scores(documents: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """Scores of all documents under a model of those whose id's crc32 modulo 10 is not 0."""
     rest = crc_rest("doc_id", 10)
-    trie = train(documents.where(rest != 0))
+    trie = train(documents.where(rest != 0), min_count)
     return score_texts(documents, trie).select(
         "doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
         F.lit(trie.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

@@ -8,7 +8,7 @@ from . import html_blocks, language, neighbours, ngram_trie, odd_sketch, packing
 from .tables import read
 
 QUERIES = {
-    "op1_ngram_trie": lambda spark, sf_dir: ngram_trie.language_model_scores(read(spark, sf_dir, "documents")),
+    "op1_ngram_trie": lambda spark, sf_dir: ngram_trie.language_model_scores(read(spark, sf_dir, "documents"), min_count=1),
     "op2_cross_parsing": lambda spark, sf_dir: language.language_id(read(spark, sf_dir, "documents")),
     "op3_vector_packing": lambda spark, sf_dir: packing.packed_digest(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
