@@ -5,8 +5,9 @@ from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pytest
 
-from tidegate.llm import queries
+from tidegate.llm import pii, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -42,3 +43,21 @@ def test_language_model_keeps_what_is_seen_once(spark):
     want = dict(whole_model(rows))
     assert got.keys() == want.keys()
     assert np.allclose([got[i] for i in want], list(want.values()), rtol=0.005)
+
+
+@pytest.mark.parametrize("account", [
+    "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "NO93 8601 1117 947",
+    "MT84 MALT 0110 0001 2345 MTLC AST0 01S"])
+@pytest.mark.parametrize("after", ["", ".", " BIC COBADEFFXXX", " BIC X", " 2024-05-01", " 12 34", " EUR 100", " OR CALL US", " AND MORE WORDS IN CAPITALS FOLLOW", " and"])
+def test_accounts_before_other_words(account, after):
+    text = f"Pay to {account}{after}"
+    assert [s for s in pii.text_spans(text) if s[0] == "iban"] == [("iban", 7, 7 + len(account))]
+    assert pii.redact(text, [s for s in pii.text_spans(text) if s[0] == "iban"]) == f"Pay to <IBAN>{after}"
+
+
+def test_accounts_of_unlisted_countries_and_none():
+    spans = lambda text: [s for s in pii.text_spans(text) if s[0] == "iban"]
+    assert spans("ZZ22 3704 0044 0532 0130 00 BIC X") == [("iban", 0, 27)]  # the longest end that passes
+    assert spans("DE88 3704 0044 0532 0130 00 BIC X") == [] and spans("ZZ72 WORD") == [] and spans("QQ11 A B C D E F G H I J K L M N O") == []
+    two = "DE89370400440532013000 GB82WEST12345698765432 X"
+    assert spans(two) == [("iban", 0, 22), ("iban", 23, 45)]

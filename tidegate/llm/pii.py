@@ -8,7 +8,8 @@ the left and right, and validators keep or drop what they found:
 * ``ip``: four groups of digits, each at most 255;
 * ``card``: 12 to 19 digits, single blanks or hyphens between, with a right check digit;
 * ``phone``: a plus sign and 9 to 15 digits with the usual punctuation;
-* ``iban``: two letters, two check digits and 11 to 30 more that pass the modulo 97 test;
+* ``iban``: two letters, two check digits and as many more as the country has, which pass the modulo 97
+  test; for letters that are no registered country 11 to 30 more, the longest that ends a word and passes;
 * ``key``: access key ids that begin with a fixed cue;
 * ``secret``: the value after a cue such as ``password=`` or ``token =``.
 * ``userinfo``: the user and password part of an address with a scheme.
@@ -42,6 +43,13 @@ _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an account by country.
+_IBAN_LENGTH = {code: int(length) for length, codes in (line.split(":") for line in (
+    "15:NO", "16:BE", "18:DK FI FK FO GL NL SD", "19:MK SI", "20:AT BA EE KZ LT LU MN XK", "21:CH HR LI LV",
+    "22:BG BH CR DE GB GE IE ME RS VA", "23:AE GI IL IQ OM SO TL", "24:AD CZ ES MD PK RO SA SE SK TN VG", "25:LY PT ST",
+    "26:IS TR", "27:BI DJ FR GR IT MC MR SM", "28:AL AZ BY CY DO GT HN HU LB NI PL SV", "29:BR EG PS QA UA",
+    "30:JO KW MU YE", "31:MT SC", "32:LC", "33:RU")) for code in codes.split()}
+_IBAN_OF = {n: re.compile(rf"[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in set(_IBAN_LENGTH.values())}
 _KEY = re.compile(r"A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])")
 _ASSIGNED = re.compile(r"\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9+/_.-]{12,})")
 _USERINFO = re.compile(r"[A-Za-z0-9._%+~-]+:[^\s/@:]+(?=@)")
@@ -61,6 +69,19 @@ def _iban_valid(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def _iban_end(text: str, at: int) -> int:
+    """End of the account that begins at ``at``; -1 if there is none."""
+    length = _IBAN_LENGTH.get(text[at:at + 2])
+    if not (m := (_IBAN_OF[length] if length else _IBAN).match(text, at)):
+        return -1
+    end = len(m[0])
+    while not length and end > 0 and not _iban_valid(m[0][:end]):
+        end = m[0].rfind(" ", 0, end)
+    if end < 0 or len(m[0][:end].replace(" ", "")) < 15 or not _iban_valid(m[0][:end]):
+        return -1
+    return at + end
+
+
 def _automaton():
     found = ahocorasick.Automaton()
     for digit in "0123456789":
@@ -98,9 +119,8 @@ def text_spans(text: str | None, automaton=None) -> list[tuple[str, int, int]]:
                 take("card", at, m.end(), 12 <= len(digits) <= 19 and _luhn(digits))
             if at > done["phone"] and text[at - 1] == "+" and (m := _PHONE.match(text, at - 1)):
                 take("phone", at - 1, m.end(), 9 <= sum("0" <= c <= "9" for c in m[0]) <= 15)
-            if at >= max(2, done["iban"] + 2) and (at == 2 or not text[at - 3].isalnum()) and (m := _IBAN.match(text, at - 2)):
-                if _iban_valid(m[0]):
-                    take("iban", at - 2, m.end())
+            if at >= max(2, done["iban"] + 2) and (at == 2 or not text[at - 3].isalnum()) and (end := _iban_end(text, at - 2)) > 0:
+                take("iban", at - 2, end)
         elif anchor == "at":
             start = at
             while start > done["email"] and text[start - 1] in _LOCAL:
