@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pytest
 
-from tidegate.llm import pii, queries
+from tidegate.llm import html_blocks, pii, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -61,3 +61,23 @@ def test_accounts_of_unlisted_countries_and_none():
     assert spans("DE88 3704 0044 0532 0130 00 BIC X") == [] and spans("ZZ72 WORD") == [] and spans("QQ11 A B C D E F G H I J K L M N O") == []
     two = "DE89370400440532013000 GB82WEST12345698765432 X"
     assert spans(two) == [("iban", 0, 22), ("iban", 23, 45)]
+
+
+PROSE = ("This is the text of the article and it is one that was written for you by the people who have it. " * 3).strip()
+BODY = f"<div><h1>Head</h1><p>{PROSE}</p><p>Short.</p><p>{PROSE}</p></div>"
+TEXT = f"Head\n{PROSE}\nShort.\n{PROSE}"
+TEASERS = "".join(f"<article><h2>Other {i}</h2><p>One | two</p></article>" for i in range(4))
+
+
+@pytest.mark.parametrize("page,text", [
+    (BODY, TEXT), (BODY + TEASERS, TEXT), (TEASERS + BODY, TEXT),  # no mark, teasers after and before the body
+    (f"<nav><a href='/'>Home</a></nav>{BODY}<article class='comment-body'><p>{PROSE}</p></article>", TEXT),
+    (f"{BODY}<article id='comment-7'><p>{PROSE}</p></article><article class='promo card'><p>{PROSE}</p></article>", TEXT),
+    (f"<article>{BODY}<article class='comment'><p>{PROSE}</p></article></article>", TEXT),
+    (f"{BODY}<main class='comments'><p>{PROSE}</p></main>", TEXT),
+    (f"<article class='post no-comments has-sidebar'>{BODY}</article>", TEXT), (f"<article class='post social'>{BODY}</article>", TEXT),
+    (f"<main class='with-sidebar'>{BODY}</main>", TEXT), (f"<article>{BODY}</article><p>By me</p>", TEXT),
+    (f"<div><p>{PROSE}</p></div>" + "<article><p>Goal for us.</p></article>" * 40, "\n".join([PROSE] + ["Goal for us."] * 40)),
+])
+def test_marks_are_a_feature(page, text):
+    assert html_blocks.main_text(page) == text

@@ -4,8 +4,11 @@ A page is cut into blocks at block-level tags. The first pass decides a block by
 density, length and link density, and by containers that never hold article text (menus,
 headers, footers, sidebars, notices, adverts, forms, comments). Blocks too short or too mixed to
 decide stay open; in the second pass an open block takes the label of the nearest decided
-neighbours before and after it. Where the page marks its article, only blocks inside the mark
-count, and an article without any decided block is kept whole.
+neighbours before and after it. A mark is a feature: blocks inside ``article`` or ``main`` stay open
+at any stop-word density, and they and the others look for neighbours among their own; marks without any
+decided block are kept whole if they hold no less text than is good outside. Text outside ``article`` is judged
+as on a page without marks; only ``main``, of which a page shows one, excludes what is outside. A mark with
+the name of such a container (``<article class="comment">``) is one, unless nothing else on the page is text.
 
 Character references are decoded, white space inside a block becomes one blank, and kept
 blocks are joined by one line break in page order; nothing else is dropped or cut. Unclosed
@@ -49,9 +52,10 @@ _BREAKS = frozenset(
     "frame frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot "
     "th thead tr ul".split())
 _CONTAINERS = _BREAKS - frozenset("p hr body html h1 h2 h3 h4 h5 h6".split())
-_ARTICLE = frozenset(("article", "main"))
+_MARKS = {"article": 1, "main": 2}
 _NEVER = frozenset("nav footer aside form menu dialog head button fieldset".split())
 _NEVER_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+_WITHOUT = frozenset("has hide no with without".split())  # before a name: about the page, not the mark
 _NEVER_NAME = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
     "hidden login menu modal nav navbar navigation newsletter notice pagination popup promo promotion related share sharing sidebar "
@@ -59,15 +63,24 @@ _NEVER_NAME = frozenset(
 
 
 class Block:
-    """Text of one block, how many of its characters are linked, and where it stands."""
+    """Text of one block, how many of its characters are linked, and where it stands; ``article`` as in ``_MARKS``."""
 
     __slots__ = ("text", "linked", "never", "article")
 
-    def __init__(self, text: str, linked: int, never: bool, article: bool):
+    def __init__(self, text: str, linked: int, never: bool, article: int):
         self.text, self.linked, self.never, self.article = text, linked, never, article
 
 
-def _never(tag: str, attrs: str, article: bool) -> bool:
+def _named(value: str, mark: bool) -> bool:
+    """Whether a class or id names a container without article text."""
+    for part in value.lower().split() if mark else [value.lower()]:
+        names = re.split(r"[^a-z0-9]+", part)
+        if not (mark and names[0] in _WITHOUT) and not _NEVER_NAME.isdisjoint(names):
+            return True
+    return False
+
+
+def _never(tag: str, attrs: str, article: int, named: bool) -> bool:
     if tag in _NEVER or tag == "header" and not article:
         return True
     for name, *values in _ATTRIBUTE.findall(attrs):
@@ -78,23 +91,23 @@ def _never(tag: str, attrs: str, article: bool) -> bool:
         elif name == "role":
             if value.strip().lower() in _NEVER_ROLE:
                 return True
-        elif tag not in _ARTICLE and not _NEVER_NAME.isdisjoint(re.split(r"[^a-z0-9]+", value.lower())):
+        elif (named or tag not in _MARKS) and _named(value, tag in _MARKS):
             return True
     return re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs) is not None
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page in order."""
+def blocks_of(page: str, named: bool = True) -> list[Block]:
+    """The blocks of a page in order; with ``named``, marks are tested by name like other containers."""
     found: list[Block] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, bool, int]] = []
     linked = at = 0
     in_link = own = False
 
     def flush() -> None:
         nonlocal linked, own
         text = " ".join("".join(parts).split())
-        never, article = stack[-1][1:] if stack else (False, False)
+        never, article = stack[-1][1:] if stack else (False, 0)
         if text:
             found.append(Block(text, linked, never or own, article))
         parts.clear()
@@ -121,26 +134,26 @@ def blocks_of(page: str) -> list[Block]:
         elif tag in _BREAKS or tag == "button":
             flush()
             in_link = False
-            never, article = stack[-1][1:] if stack else (False, False)
+            never, article = stack[-1][1:] if stack else (False, 0)
             if tag not in _CONTAINERS and tag != "button" or token["attrs"].rstrip().endswith("/"):
-                own = not token["close"] and _never(tag, token["attrs"], article)
+                own = not token["close"] and _never(tag, token["attrs"], article, named)
             elif token["close"]:
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == tag:
                         del stack[depth:]
                         break
             else:
-                stack.append((tag, never or _never(tag, token["attrs"], article), article or tag in _ARTICLE))
+                stack.append((tag, never or _never(tag, token["attrs"], article, named), max(article, _MARKS.get(tag, 0))))
     add(page[at:])
     flush()
     return found
 
 
-def _first_pass(block: Block) -> bool | None:
-    """True: article text, False: not, None: open."""
+def _first_pass(block: Block, main: bool) -> bool | None:
+    """True: article text, False: not, None: open; ``main``: the page has text in ``main``."""
     size = len(block.text)
     density = block.linked / size
-    if block.never or density > LINK_DENSITY or (size < LONG and "©" in block.text):
+    if block.never or main and block.article < 2 or density > LINK_DENSITY or (size < LONG and "©" in block.text):
         return False
     if size < SHORT:
         return False if block.linked else None
@@ -171,16 +184,28 @@ def _second_pass(labels: list[bool | None], fallback: bool) -> list[bool]:
     return final
 
 
+def _kept(blocks: list[Block]) -> list[bool]:
+    """Which blocks are article text."""
+    main = any(b.article == 2 and not b.never for b in blocks)
+    labels = [_first_pass(b, main) for b in blocks]
+    inside = [b.article > 0 and not b.never and (b.article == 2 or not main) for b in blocks]
+    marked = sum(len(b.text) for b, label, own in zip(blocks, labels, inside) if own and label is not False)
+    good = sum(len(b.text) for b, label, own in zip(blocks, labels, inside) if label and not own)
+    within = iter(_second_pass([x for x, own in zip(labels, inside) if own], fallback=marked >= good))
+    beside = iter(_second_pass([x for x, own in zip(labels, inside) if not own], fallback=False))
+    return [next(within if own else beside) for own in inside]
+
+
 def main_text(page: str | None) -> str:
     """The article text of one page."""
     if not page:
         return ""
-    blocks = blocks_of(page)
-    marked = any(b.article and not b.never for b in blocks)
-    if marked:
-        blocks = [b for b in blocks if b.article and not b.never]
-    kept = _second_pass([_first_pass(b) for b in blocks], fallback=marked)
-    return "\n".join(b.text for b, keep in zip(blocks, kept) if keep)
+    for named in (True, False):
+        blocks = blocks_of(page, named)
+        keep = _kept(blocks)
+        if any(keep):
+            break
+    return "\n".join(b.text for b, kept in zip(blocks, keep) if kept)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
