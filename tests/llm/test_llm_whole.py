@@ -81,3 +81,21 @@ TEASERS = "".join(f"<article><h2>Other {i}</h2><p>One | two</p></article>" for i
 ])
 def test_marks_are_a_feature(page, text):
     assert html_blocks.main_text(page) == text
+
+
+@pytest.mark.parametrize("prose", [
+    "Gemeenten bouwen volgend jaar duizenden woningen langs nieuwe spoorlijnen, zegt minister Jansen tegenover onze krant. " * 2,
+    "Rada miasta przyjęła wczoraj nowy plan zagospodarowania przestrzennego, który obejmuje wszystkie dzielnice nad rzeką. " * 2,
+    "Городской совет вчера принял новый план развития, который охватывает все районы вдоль реки и новые линии метро. " * 2,
+    "市议会昨天通过了新的发展规划,覆盖沿河所有城区以及新的地铁线路。" * 5])
+def test_pages_in_other_languages(prose):
+    prose = prose.strip()
+    page = f"<nav><a href='/'>Start</a></nav><div><h1>Nieuws</h1><p>{prose}</p><p>{prose}</p></div><footer>{prose}</footer>"
+    assert html_blocks.main_text(page) == f"Nieuws\n{prose}\n{prose}"
+
+
+def test_short_blocks_with_a_linked_word():
+    link = "<p>See the <a href='/r'>report</a> of last week.</p>"
+    for page in (f"<article><p>{PROSE}</p>{link}<p>{PROSE}</p></article>", f"<div><p>{PROSE}</p>{link}<p>{PROSE}</p></div>"):
+        assert html_blocks.main_text(page) == f"{PROSE}\nSee the report of last week.\n{PROSE}"
+    assert html_blocks.main_text(f"<p>{PROSE}</p><p><a href='/'>Next</a> page</p>") == PROSE

@@ -10,6 +10,10 @@ decided block are kept whole if they hold no less text than is good outside. Tex
 as on a page without marks; only ``main``, of which a page shows one, excludes what is outside. A mark with
 the name of such a container (``<article class="comment">``) is one, unless nothing else on the page is text.
 
+``STOP_WORDS`` are English, German, French and Spanish. Where no block of a page reaches ``STOP_HIGH``, they
+say nothing about it (another language), and blocks of ``SHORT`` characters or more are text by length and link
+density alone.
+
 Character references are decoded, white space inside a block becomes one blank, and kept
 blocks are joined by one line break in page order; nothing else is dropped or cut. Unclosed
 comments, scripts and styles reach to the end of the page. A null, empty or markup-only page
@@ -149,19 +153,27 @@ def blocks_of(page: str, named: bool = True) -> list[Block]:
     return found
 
 
-def _first_pass(block: Block, main: bool) -> bool | None:
-    """True: article text, False: not, None: open; ``main``: the page has text in ``main``."""
-    size = len(block.text)
-    density = block.linked / size
-    if block.never or main and block.article < 2 or density > LINK_DENSITY or (size < LONG and "©" in block.text):
-        return False
-    if size < SHORT:
-        return False if block.linked else None
+def _stop_density(block: Block) -> float:
     words = re.findall(r"\w+", block.text.lower())
-    stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if size >= LONG and stop >= STOP_HIGH:
-        return True
-    return None if stop >= STOP_LOW or block.article else False
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def _first_pass(blocks: list[Block], main: bool) -> list[bool | None]:
+    """True: article text, False: not, None: open; ``main``: the page has text in ``main``."""
+    out = [block.never or main and block.article < 2 or block.linked > LINK_DENSITY * len(block.text)
+           or len(block.text) < LONG and "©" in block.text for block in blocks]
+    stop = [0.0 if no or len(b.text) < SHORT else _stop_density(b) for b, no in zip(blocks, out)]
+    foreign = max(stop, default=0.0) < STOP_HIGH
+    labels: list[bool | None] = []
+    for block, no, share in zip(blocks, out, stop):
+        size = len(block.text)
+        if no or size < SHORT:
+            labels.append(False if no else None)
+        elif foreign or size >= LONG and share >= STOP_HIGH:
+            labels.append(True)
+        else:
+            labels.append(None if share >= STOP_LOW or block.article else False)
+    return labels
 
 
 def _second_pass(labels: list[bool | None], fallback: bool) -> list[bool]:
@@ -187,7 +199,7 @@ def _second_pass(labels: list[bool | None], fallback: bool) -> list[bool]:
 def _kept(blocks: list[Block]) -> list[bool]:
     """Which blocks are article text."""
     main = any(b.article == 2 and not b.never for b in blocks)
-    labels = [_first_pass(b, main) for b in blocks]
+    labels = _first_pass(blocks, main)
     inside = [b.article > 0 and not b.never and (b.article == 2 or not main) for b in blocks]
     marked = sum(len(b.text) for b, label, own in zip(blocks, labels, inside) if own and label is not False)
     good = sum(len(b.text) for b, label, own in zip(blocks, labels, inside) if label and not own)
