@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import pytest
 
-from tidegate.llm import html_blocks, pii, queries
+from tidegate.llm import html_blocks, odd_sketch, pii, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -99,3 +99,15 @@ def test_short_blocks_with_a_linked_word():
     for page in (f"<article><p>{PROSE}</p>{link}<p>{PROSE}</p></article>", f"<div><p>{PROSE}</p>{link}<p>{PROSE}</p></div>"):
         assert html_blocks.main_text(page) == f"{PROSE}\nSee the report of last week.\n{PROSE}"
     assert html_blocks.main_text(f"<p>{PROSE}</p><p><a href='/'>Next</a> page</p>") == PROSE
+
+
+def test_unlike_texts_of_one_id_stay(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(1, one), (7, one), (7, two), (7, two), (8, two), (9, three), (9, f"{three} more"), (9, None), (None, one), (5, "kept"), (5, "as well")]
+    left = odd_sketch.first_of_group(brute.documents(spark, rows))
+    assert len(left.columns) == 12
+    kept = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr)
+    texts = [t for _, t in kept]
+    assert (1, one) in kept and (7, one) not in kept and (None, one) in kept
+    assert texts.count(two) == 1 and texts.count(three) + texts.count(f"{three} more") == 1
+    assert (9, None) in kept and (5, "kept") in kept and (5, "as well") in kept and len(kept) == 7

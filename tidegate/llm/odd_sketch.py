@@ -21,8 +21,8 @@ percent or more; components of linked texts share the smallest id.
 Pairs at the limit of similarity miss all bands with probability (1 - 0.8^4)^32, about 5e-8.
 
 A null or empty text has an empty set and no links. Rows with a null id are returned with a
-null component and not kept, and link nothing. Rows that share an id are one document: their
-links add up. Columns other than id and text are ignored.
+null component and not kept, and link nothing. Rows that share an id are one document to
+``near_duplicates``: their links add up. Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import map_slices, sent_if_small, written
+from .tables import free_name, map_slices, sent_if_small, written
 from .words import Words, mix, windows
 
 SHINGLE, SIMILARITY = 5, 80
@@ -271,12 +271,34 @@ def near_duplicates(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
                         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
+def _keyed(documents: DataFrame, repeated: DataFrame, key: str) -> DataFrame:
+    """``documents`` with a key per row; of ids in ``repeated`` one row of each text, with keys of their own after the first."""
+    keyed = documents.withColumn(key, F.col("doc_id").cast("bigint"))
+    if repeated.isEmpty():
+        return keyed
+    few, names = sent_if_small(repeated), documents.columns
+    row = F.struct(*(documents[c] for c in names))
+    texts = documents.join(few, "doc_id", "left_semi").groupBy("doc_id", "text").agg(
+        F.min_by(row, F.struct(F.xxhash64(F.to_json(row)), F.to_json(row))).alias("row"))
+    texts = written(texts.select("row", F.xxhash64("doc_id", "text").alias("mark")), "repeated-texts")
+    first = texts.groupBy(F.col("row.doc_id").alias("doc_id")).agg(F.min("mark").alias("first"))
+    own = F.expr("CASE WHEN mark = first THEN CAST(row.doc_id AS BIGINT) ELSE (mark & 4611686018427387903) | 4611686018427387904 END")
+    texts = texts.join(first, F.col("row.doc_id") == F.col("doc_id")).select(*(F.col("row")[c].alias(c) for c in names), own.alias(key))
+    return keyed.join(few, "doc_id", "left_anti").select(*keyed.columns).unionByName(texts)
+
+
 def first_of_group(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """The documents, all columns, with one row of each group of near duplicates; rows without an id stay."""
-    gone = written(near_duplicates(documents, words).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "gone")
-    left = documents.join(sent_if_small(gone), "doc_id", "left_anti").select(*documents.columns)
-    repeated = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    return once_per_id(left, written(repeated, "repeated"), ["doc_id"])
+    """The documents, all columns, with one row of each group of near duplicates; rows without an id stay.
+
+    Rows that share an id and the text are one row, the first by a hash of all columns. Rows that share an id but
+    not the text are documents of their own: each stays unless its own text has a near duplicate that stays.
+    """
+    ids = documents.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    key = free_name(documents, "row_key")
+    keyed = _keyed(documents, written(ids, "repeated"), key)
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), words)
+    gone = written(found.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(key)).distinct(), "gone")
+    return keyed.join(sent_if_small(gone), key, "left_anti").select(*documents.columns)
 
 
 #: ``near_duplicates`` with shingles of four words, by comparing all documents that share one.
