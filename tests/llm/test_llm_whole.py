@@ -7,7 +7,8 @@ import brute
 import numpy as np
 import pytest
 
-from tidegate.llm import html_blocks, odd_sketch, pii, queries
+import public_tokenizers
+from tidegate.llm import html_blocks, odd_sketch, packing, pii, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -111,3 +112,12 @@ def test_unlike_texts_of_one_id_stay(spark):
     assert (1, one) in kept and (7, one) not in kept and (None, one) in kept
     assert texts.count(two) == 1 and texts.count(three) + texts.count(f"{three} more") == 1
     assert (9, None) in kept and (5, "kept") in kept and (5, "as well") in kept and len(kept) == 7
+
+
+def test_groups_are_sized_by_pieces(spark, monkeypatch):
+    """Few long documents fill as many groups as many short ones."""
+    monkeypatch.setattr(packing, "GROUP", 16)
+    docs = spark.createDataFrame([(i, f"word{i} and more " * 10_000) for i in range(4)], "doc_id bigint, text string").repartition(1)
+    got = packing.packed_digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()
+    sizes = np.unique([r["sequence_id"] >> 32 for r in got], return_counts=True)[1]
+    assert len(got) > 100 and len(sizes) == -(-len(got) // 16) and sizes.max() <= 17

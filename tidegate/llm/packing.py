@@ -6,10 +6,12 @@ documents and attention cost (the sum of squared piece lengths). Pieces are plac
 order of length; among the sequences that can take a piece under every capacity, the one is
 chosen whose weighted residual after placement has the smallest norm (``rule="norm"``), or whose
 residual has the largest weighted dot product with the piece (``rule="dot"``). If none can, a
-new sequence begins.
+new sequence begins. A capacity left unset cannot bind: a piece has a token at least, and the sum of
+squares is at most the square of the sum. The registered query and the pipeline set tokens only, so
+their choice is best fit by tokens, and the other two only weigh a little among sequences.
 
-Pieces are dealt evenly over groups of about ``GROUP`` documents that are packed apart, so no
-task holds more, whatever the input. Only lengths move; ids need not.
+Pieces are dealt evenly over groups of about ``GROUP`` pieces that are packed apart, so no
+task holds more, whatever the length of the documents. Only lengths move; ids need not.
 
 A null or empty text is the closing id alone. Repeated rows are packed each for themselves;
 an empty table gives an empty result. A piece that alone exceeds a capacity other than tokens
@@ -32,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import map_slices
+from .tables import map_slices, written
 
 END_ID = 2
 SEQUENCE_TOKENS = 1024
@@ -117,13 +119,13 @@ def best_fit(lengths: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarra
     return sequence, offset
 
 
-def pack(pieces: DataFrame, documents: int, limits: Limits = Limits()) -> DataFrame:
+def pack(pieces: DataFrame, count: int, limits: Limits = Limits()) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; columns of these names are replaced.
 
-    ``documents`` is the number of documents, which sets the number of groups.
+    ``count`` is the number of pieces, which sets the number of groups.
     """
     rows = pieces.drop("sequence_id", "offset")
-    groups = max(1, -(-documents // GROUP))
+    groups = max(1, -(-count // GROUP))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), schema) if schema else None
@@ -144,5 +146,5 @@ def pack(pieces: DataFrame, documents: int, limits: Limits = Limits()) -> DataFr
 def packed_digest(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Every piece with the checksum of its ids and its place."""
     pieces = cut_pieces(documents, ranks_path, pattern)
-    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(narrow, documents.count())
+    narrow = written(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    return pack(narrow, narrow.count())
