@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import public_tokenizers
-from tidegate.llm import html_blocks, odd_sketch, packing, pii, queries
+from tidegate.llm import html_blocks, language, odd_sketch, packing, pii, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -121,3 +121,12 @@ def test_groups_are_sized_by_pieces(spark, monkeypatch):
     got = packing.packed_digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()
     sizes = np.unique([r["sequence_id"] >> 32 for r in got], return_counts=True)[1]
     assert len(got) > 100 and len(sizes) == -(-len(got) // 16) and sizes.max() <= 17
+
+
+def test_language_sample_is_filled_with_distinct_text(spark):
+    bound = language.PASSAGES * language.PASSAGE_CHARS
+    rows = [(i, f"short text number {i:06d} of many others".ljust(40, "x"), "aa") for i in range(4000)]
+    rows += [(9000 + i, "copy " * 100, "bb") for i in range(4000)] + [(20_000 + i, f"other {i:05d} " * 40, "bb") for i in range(200)]
+    made = language.passages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert bound <= len(made["aa"]) <= 1.05 * bound and bound <= len(made["bb"]) <= 1.05 * bound
+    assert made["bb"].count("copy " * 100) <= 1

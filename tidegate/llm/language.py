@@ -6,8 +6,8 @@ of the sample, and the next phrase begins where the match ends. The fewer phrase
 needs, weighted by the cost log2(sample size) of pointing into the sample, the closer it
 is to the language; the language with the cheapest parse wins.
 
-The sample is drawn from all passages of the labelled training text, by a hash of the
-passage's place, up to ``PASSAGES`` passages of ``PASSAGE_CHARS`` characters a language.
+The sample is drawn from the distinct passages (of ``PASSAGE_CHARS`` characters, or a shorter text's) of the
+labelled training text, by a hash of the passage, up to ``PASSAGES`` times ``PASSAGE_CHARS`` characters a language.
 The number of learned languages is the number of distinct labels.
 
 Texts are lower-cased; runs of bytes that are no letters become one blank. All texts of a
@@ -154,19 +154,30 @@ class Model:
 def passages(labelled: DataFrame) -> dict[str, str]:
     """A bounded sample of the labelled text of each language, as one text; columns doc_id, text, lang."""
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}
+    parts = known.select("lang", "text", F.explode(F.expr(f"sequence(0, (length(text) - 1) div {PASSAGE_CHARS})")).alias("part")).select(
+        "lang", F.expr(f"substring(text, CAST(part * {PASSAGE_CHARS} + 1 AS INT), {PASSAGE_CHARS})").alias("passage"))
+    parts = parts.withColumn("draw", F.pmod(F.xxhash64("passage"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    # Copies add nothing, so shares are of distinct passages: their characters by hash, without a shuffle of the texts.
+    marks = parts.select("lang", "draw", F.xxhash64("passage", F.lit(1)).alias("mark"), F.length("passage").alias("n")).distinct()
+    sizes = {r["lang"]: r["n"] for r in marks.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     if not sizes:
         return {}
     # Twice the wanted share, so that the bound is reached and not left to chance.
-    share = F.create_map(*(F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, 2.0 * PASSAGES * PASSAGE_CHARS / n))))
-    parts = known.select("lang", "doc_id", "text", F.explode(F.expr(f"sequence(0, (length(text) - 1) div {PASSAGE_CHARS})")).alias("part"))
-    drawn = (parts.withColumn("draw", F.pmod(F.xxhash64("doc_id", "part"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-             .where(F.col("draw") < share[F.col("lang")])
-             .select("lang", "draw", F.expr(f"substring(text, CAST(part * {PASSAGE_CHARS} + 1 AS INT), {PASSAGE_CHARS})").alias("passage")))
+    bound = PASSAGES * PASSAGE_CHARS
+    share = F.create_map(*(F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, 2.0 * bound / n))))
     found: dict[str, list[tuple[float, str]]] = {}
-    for r in drawn.collect():
+    for r in parts.where(F.col("draw") < share[F.col("lang")]).distinct().collect():
         found.setdefault(r["lang"], []).append((r["draw"], r["passage"]))
-    return {name: " ".join(p for _, p in sorted(set(rows))[:PASSAGES]) for name, rows in found.items()}
+    sample: dict[str, str] = {}
+    for name, rows in found.items():
+        chosen, left = [], bound
+        for _, passage in sorted(rows):
+            if left <= 0:
+                break
+            chosen.append(passage[:left])
+            left -= len(passage)
+        sample[name] = " ".join(chosen)
+    return sample
 
 
 def predict_language(documents: DataFrame, model: Model) -> DataFrame:
