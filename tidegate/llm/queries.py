@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import html_blocks, language, neighbours, ngram_trie, odd_sketch, packing, pii, repetition, toxicity, winnowing
+from . import (
+    hard_negatives, html_blocks, importance, language, neighbours, ngram_trie, odd_sketch, packing, pii, prefix_join, repetition, toxicity, winnowing)
 from .tables import read
 
 QUERIES = {
@@ -19,5 +20,9 @@ QUERIES = {
     "op8_repetition": lambda spark, sf_dir: repetition.quality_rules(read(spark, sf_dir, "documents")),
     "op9_odd_sketch": lambda spark, sf_dir: odd_sketch.near_duplicates(read(spark, sf_dir, "documents"), words=4),
     "op10_neighbour_vote": lambda spark, sf_dir: neighbours.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
+    "op11_prefix_join": lambda spark, sf_dir: prefix_join.similar_documents(read(spark, sf_dir, "documents"), words=4, percent=85),
+    "op12_importance": lambda spark, sf_dir: importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")),
+    "op13_cover_tree": lambda spark, sf_dir: hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings")),
 }
-ORACLES: dict[str, str] = {"op7_winnowing": winnowing.ORACLE, "op9_odd_sketch": odd_sketch.ORACLE}
+ORACLES: dict[str, str] = {"op7_winnowing": winnowing.ORACLE, "op9_odd_sketch": odd_sketch.ORACLE, "op11_prefix_join": prefix_join.ORACLE,
+                           "op12_importance": importance.ORACLE, "op13_cover_tree": hard_negatives.ORACLE}
