@@ -185,9 +185,9 @@ def table(spark, rows):
     return spark.createDataFrame(made, "vec_id bigint, embedding array<float>, label int, vector string, tree int")
 
 
-@pytest.mark.parametrize("block,leaf,anchors", [(4096, 128, 4096), (90, 4, 3)])
-def test_hard_negatives(spark, monkeypatch, block, leaf, anchors):
-    for name, value in (("BLOCK", block), ("LEAF", leaf), ("ANCHORS", anchors)):
+@pytest.mark.parametrize("block,leaf,least,anchors", [(4096, 1024, 256, 4096), (90, 4, 2, 3)])
+def test_hard_negatives(spark, monkeypatch, block, leaf, least, anchors):
+    for name, value in (("BLOCK", block), ("LEAF", leaf), ("LEAST", least), ("ANCHORS", anchors)):
         monkeypatch.setattr(hard_negatives, name, value)
     rows = vector_rows()
     got = sorted(map(tuple, hard_negatives.hard_negatives(table(spark, rows)).collect()))
@@ -215,7 +215,7 @@ def test_tree_covers_its_rows_and_skips():
         "vectors": vectors[made["order"]].tobytes(), "longest": made["longest"]}
     tree, scored = hard_negatives.Tree(row), []
     query = vectors[3]
-    found = tree.search(query, lambda rows: scored.append(rows) or np.ones(rows.stop - rows.start, bool), [(-np.inf, np.inf)], 5)[0]
+    found = tree.search(query, lambda rows: scored.append(len(rows)) or np.ones(len(rows), bool), [(-np.inf, np.inf)], 5)[0]
     every = sorted((-int(v @ query), i) for i, v in enumerate(vectors))
     assert found == every[:5]
-    assert sum(r.stop - r.start for r in scored) < len(vectors) // 2
+    assert sum(scored) < len(vectors) // 2

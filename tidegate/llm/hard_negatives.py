@@ -8,7 +8,7 @@ is ``LOWEST`` to 100 percent of the positive's.
 1. Rows are dealt by a hash of the id into blocks of about ``BLOCK``, each with a cover tree. Vectors get one more component that gives all
    of them the length of the longest, so the inner product falls as the distance grows. A node of covering radius r has
    children of radius r / ``SPREAD`` at most, each centre outside the others' balls; every node keeps the
-   measured distance to the farthest row below it. The trees are written to the shared folder, one row a tree.
+   measured distance to the farthest row below it. Children of fewer than ``LEAST`` rows share leaves of ``LEAF``. The trees are written to the shared folder, one row a tree.
 2. Anchors and trees meet in cells of one tree and at most ``ANCHORS`` anchors. A search goes down the
    tree best first: a node's centre and radius bound the inner products below it from both sides, nodes outside
    every open window are skipped, and rows of a leaf are scored exactly. The first search looks for the highest
@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from .tables import sent_if_small, written
 
 SCALE, POSITIVES, NEGATIVES, LOWEST = 256, 5, 5, 80
-#: Rows of one tree, and of a leaf; ratio of covering radii between levels; anchors of a cell.
-BLOCK, LEAF, SPREAD, ANCHORS = 4096, 128, 1.3, 4096
+#: Rows of one tree, of a leaf, and of a child that gets a node of its own; ratio of covering radii between levels; anchors of a cell.
+BLOCK, LEAF, LEAST, SPREAD, ANCHORS = 4096, 1024, 256, 1.3, 4096
 
 VECTOR = "vec_id bigint, label bigint, vector binary"
 TREE = ("tree bigint, vec_id binary, label binary, vectors binary, centre binary, radius binary, "
@@ -75,14 +75,14 @@ def build_tree(vectors: np.ndarray) -> dict[str, np.ndarray]:
         middle = centre[node]
         while True:
             inside = distance <= reach
-            (groups if inside.sum() > 1 else loose).append((middle, left[inside]))
+            (groups if inside.sum() >= LEAST else loose).append((middle, left[inside]))
             left = left[~inside]
             if not len(left):
                 break
             middle = int(left[0])
             distance = np.linalg.norm(points[left] - points[middle], axis=1)
         if loose:
-            # Rows that cover nobody else: leaves of up to LEAF rows around the node's own centre.
+            # Rows that cover few others: leaves of up to LEAF rows around the node's own centre.
             alone = np.concatenate([rows for _, rows in loose])
             groups += [(centre[node], alone[i:i + LEAF]) for i in range(0, len(alone), LEAF)]
         if len(groups) == 1:
@@ -128,7 +128,7 @@ class Tree:
     def search(self, query: np.ndarray, usable, windows: list[tuple[float, float]], k: int) -> list[list[tuple[int, int]]]:
         """The first ``k`` usable rows of every window (low, high) of scores, as (-score, id) in order."""
         found: list[list[tuple[int, int]]] = [[] for _ in windows]
-        floor = [low for low, _ in windows]
+        floor, highest = [low for low, _ in windows], max(high for _, high in windows)
         least, most = self.bounds(query, np.zeros(1, np.int64))
         heap = [(-most[0], 0, least[0])]
         while heap:
@@ -143,14 +143,16 @@ class Tree:
                 for item in zip(*(x.tolist() for x in self.bounds(query, nodes)), nodes.tolist()):
                     heapq.heappush(heap, (-item[1], item[2], item[0]))
                 continue
-            rows = slice(self.start[node], self.stop[node])
-            score, able = self.vectors[rows] @ query, usable(rows)
+            score = self.vectors[self.start[node]:self.stop[node]] @ query
+            hit = np.flatnonzero((score >= min(floor)) & (score <= highest))
+            hit = hit[usable(self.start[node] + hit)]
+            score, row = score[hit], self.vec_id[self.start[node] + hit]
             for i, (_, high) in enumerate(windows):
-                hit = np.flatnonzero(able & (score >= floor[i]) & (score <= high))
-                if len(hit):
-                    if len(hit) > k:
-                        hit = hit[np.lexsort((self.vec_id[rows][hit], -score[hit]))[:k]]
-                    made = zip((-score[hit]).astype(np.int64).tolist(), self.vec_id[rows][hit].tolist())
+                best = np.flatnonzero((score >= floor[i]) & (score <= high)) if len(hit) else hit
+                if len(best):
+                    if len(best) > k:
+                        best = best[np.lexsort((row[best], -score[best]))[:k]]
+                    made = zip((-score[best]).astype(np.int64).tolist(), row[best].tolist())
                     found[i] = sorted([*found[i], *made])[:k]
                     if len(found[i]) == k:
                         floor[i] = -found[i][-1][0]
