@@ -4,7 +4,7 @@ A text's set holds its distinct runs of ``words`` lower-cased words, or its whol
 it is shorter. Two texts are linked when their sets overlap to ``percent`` percent or more (Jaccard);
 components of linked texts share the smallest id.
 
-1. One pass makes the size and two checksums of every set. Texts with equal sets are one class,
+1. One pass makes the size, two checksums and the sizes of ``PARTS`` parts of every set. Texts with equal sets are one class,
    named by its smallest id; only that text goes on.
 2. N-grams are put in one order, rare before frequent. Tasks merge their n-grams and send them in
    packed ranges; document frequencies are counted over all of them. The order needs only n-grams
@@ -15,9 +15,10 @@ components of linked texts share the smallest id.
    has it among its still fewer first. Prefixes are joined on n-grams, through the smallest member
    (by a hash) of each n-gram's documents: all n-grams with the same smallest member form a group.
 4. A group is dealt into cells of ``BLOCK`` members. In a cell each member looks up the others by prefix
-   n-grams; sizes, the place of the first shared n-gram and the sizes of the parts into which ``PIVOTS``
-   pivots cut both remainders bound the overlap from above, and what is left is verified on full
-   sets: once, in the one group that the pair's first shared n-gram belongs to, and only
+   n-grams; sizes, the place of the first shared n-gram and the differences of the parts bound the overlap from
+   above. Only the sets of members that fit another are sent to the cells. There the suffix filter
+   compares the parts, by ``PIVOTS`` pivots, of what follows the first shared n-gram, and what is left is verified on
+   full sets: once, in the one group that the pair's first shared n-gram belongs to, and only
    while its texts are in different components.
 5. Where a group has more than ``BLOCK`` members, they are first compared with its smallest member alone,
    each set moving once, for up to ``ROUNDS`` rounds of other smallest members. What that has joined
@@ -53,7 +54,7 @@ COMMON = 1 << 20
 RANGE = 1 << 21
 #: Members, and n-grams, of one side of a cell.
 BLOCK, BLOCK_GRAMS = 1024, 1 << 19
-ROUNDS, PIVOTS = 4, 16
+ROUNDS, PIVOTS, PARTS = 4, 16, 128
 
 
 def _ceil(above, below: int):
@@ -76,46 +77,60 @@ def least_overlap(left, right, percent: int):
 
 # Frequencies
 
-def _packed(grams: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
-    """Distinct hashes and their counts, a row a range."""
-    found, counts = np.unique(grams, return_counts=True)
-    part = (((found >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
-    edges = np.flatnonzero(np.diff(part, prepend=-1, append=ranges))
+def gram_keys(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of a hash, by its upper half, and its lower half: what is counted and joined instead of the hash.
+
+    A range holds about ``RANGE`` n-grams however many there are, so few of them agree in the lower
+    half. Those that do only make an n-gram look more frequent, or bring together a pair that the filters part.
+    """
+    part = ((hashes >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    return (part << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+
+
+def _packed(keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Distinct keys and their counts, a row a range."""
+    found, counts = np.unique(keys, return_counts=True)
+    part = (found >> np.uint64(32)).astype(np.int64)
+    edges = [*np.flatnonzero(np.diff(part, prepend=-1)), len(part)]
     for start, stop in zip(edges, edges[1:]):
         yield pa.RecordBatch.from_pydict({
-            "part": part[start:start + 1].astype(np.int64), "grams": pa.array([found[start:stop].tobytes()], pa.binary()),
+            "part": part[start:start + 1], "grams": pa.array([found[start:stop].astype(np.uint32).tobytes()], pa.binary()),
             "counts": pa.array([counts[start:stop].astype(np.uint32).tobytes()], pa.binary())})
 
 
-def _summed(table: pa.Table) -> pa.Table:
-    """Frequency of every hash of one range that occurs in four texts or more."""
-    grams = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")])
-    counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("counts")])
-    order = np.argsort(grams, kind="stable")
-    grams, counts = grams[order], counts[order]
-    first = np.flatnonzero(np.diff(grams, prepend=grams[:1] ^ np.uint64(1)))
-    total = np.add.reduceat(counts.astype(np.int64), first)
-    much = total >= 4
-    return pa.table({"gram": grams[first][much].view(np.int64), "power": np.log2(total[much]).astype(np.int32)})
-
+def key_counts(rows: DataFrame, keys, least: int) -> DataFrame:
+    """Keys that occur ``least`` times or more, with the power of two of their number; ``keys`` makes them of a batch.
 
-def common_grams(texts: DataFrame, total: int, words: int, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent n-grams, sorted, and the power of two of each one's document frequency; at most ``most``."""
-    ranges = max(1, math.ceil(total / RANGE))
-
-    def run(batches):
+    Every task adds up its keys before it sends them, four bytes each, to the task of their range.
+    """
+    def send(batches):
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch):
-                held.append(shingles(part.column(0), words)[1])
-                size += len(held[-1])
+            for made in keys(batch):
+                held.append(made)
+                size += len(made)
                 if size > RANGE:
-                    yield from _packed(np.concatenate(held), ranges)
+                    yield from _packed(np.concatenate(held))
                     held, size = [], 0
         if size:
-            yield from _packed(np.concatenate(held), ranges)
-    sent = texts.select("text").mapInArrow(run, "part bigint, grams binary, counts binary")
-    found = written(sent.groupBy("part").applyInArrow(_summed, "gram bigint, power int"), "frequencies")
+            yield from _packed(np.concatenate(held))
+
+    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        found, counts = (np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table.column(c)]) for c in ("grams", "counts"))
+        order = np.argsort(found, kind="stable")
+        found, counts = found[order], counts[order].astype(np.int64)
+        first = np.flatnonzero(np.diff(found.astype(np.int64), prepend=-1))
+        total = np.add.reduceat(counts, first)
+        gram = (found[first][total >= least].astype(np.uint64) | np.uint64(key[0].as_py() << 32)).view(np.int64)
+        return pa.table({"gram": gram, "power": np.log2(total[total >= least]).astype(np.int32)})
+    sent = rows.mapInArrow(send, "part bigint, grams binary, counts binary")
+    return sent.groupBy("part").applyInArrow(add, "gram bigint, power int")
+
+
+def common_grams(texts: DataFrame, ranges: int, words: int, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the most frequent n-grams, sorted, and the power of two of each one's document frequency; at most ``most``."""
+    keys = lambda batch: (gram_keys(shingles(part.column(0), words)[1], ranges) for part in slices(batch))
+    found = written(key_counts(texts.select("text"), keys, 4), "frequencies")
     sizes = {r["power"]: r["count"] for r in found.groupBy("power").count().collect()}
     floor, kept = 64, 0
     while floor > 2 and kept + sizes.get(floor - 1, 0) <= most:
@@ -126,18 +141,74 @@ def common_grams(texts: DataFrame, total: int, words: int, most: int = COMMON) -
     return grams[order], rows.column("power").to_numpy().astype(np.int8)[order]
 
 
-def ordered(row: np.ndarray, keys: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """``keys`` of each row rare first: by power of frequency, then by hash; ``row`` and ``keys`` ascend."""
+def part_sizes(row: np.ndarray, hashes: np.ndarray, rows: int) -> list[bytes]:
+    """Members of each set in each of ``PARTS`` parts, two bytes each.
+
+    Sets that share enough members differ by few of them in every part. A part of 65535 members or more
+    counts as 65535, which brings sets no farther apart.
+    """
+    out = np.bincount(row * PARTS + (mix(hashes) >> np.uint64(64 - 7)).astype(np.int64), minlength=rows * PARTS)
+    return [x.tobytes() for x in np.minimum(out, 0xFFFF).astype(np.uint16).reshape(rows, PARTS)]
+
+
+def ordered(row: np.ndarray, hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray], ranges: int) -> np.ndarray:
+    """``hashes`` of each row rare first: by power of frequency, then by hash; ``row`` and ``hashes`` ascend."""
     grams, power = common
     if not len(grams):
-        return keys
+        return hashes
+    keys = gram_keys(hashes, ranges)
     at = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
     level = np.where(grams[at] == keys, power[at], 0)
-    return keys[np.lexsort((level, row))]
+    return hashes[np.lexsort((level, row))]
 
 
 # Cells
 
+class Sides:
+    """What the filters read of the members of one cell: sizes, places of the group's n-grams, sizes of ``PARTS`` parts of the sets."""
+
+    def __init__(self, size: np.ndarray, grams: list[np.ndarray], places: list[np.ndarray], parts: np.ndarray, percent: int):
+        self.size, self.parts, self.percent = size, parts, percent
+        many = np.array([len(g) for g in grams])
+        self.first = np.cumsum(many) - many
+        self.owner, self.place = np.repeat(np.arange(len(size)), many), np.concatenate(places)
+        _, self.gram = np.unique(np.concatenate(grams), return_inverse=True)
+        self.mark = np.zeros(len(self.gram) + 1, np.int64)
+
+    def fits(self, x: int, usable: np.ndarray) -> np.ndarray:
+        """Members among ``usable`` that sizes, first places and parts allow to be linked with ``x``."""
+        own = slice(self.first[x], self.first[x + 1] if x + 1 < len(self.first) else len(self.gram))
+        self.mark[self.gram[own]] = self.place[own] + 1
+        hit = np.flatnonzero((self.mark[self.gram] > 0) & usable[self.owner])
+        y, at = np.unique(self.owner[hit], return_index=True)
+        p, q = self.mark[self.gram[hit[at]]] - 1, self.place[hit[at]]
+        self.mark[self.gram[own]] = 0
+        y = y[within(int(self.size[x]), self.size[y], p, q, self.percent)]
+        apart = np.abs(self.parts[y] - self.parts[x]).sum(axis=1)
+        return y[apart <= self.size[x] + self.size[y] - 2 * least_overlap(self.size[x], self.size[y], self.percent)]
+
+
+def within(n: int, m: np.ndarray, p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` members may be linked if the first they share are at places ``p`` and ``q``."""
+    keep = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    short_place = np.where(m < n, q, np.where(m > n, p, np.minimum(p, q)))
+    keep &= short_place < index_length(np.minimum(n, m), percent)
+    return keep & (np.minimum(n - p, m - q) >= least_overlap(n, m, percent))
+
+
+def fitting(sides: Sides, component: np.ndarray, block: np.ndarray, leader: int | None) -> np.ndarray:
+    """Places of the members that fit another member of another component (and block, in a cell of two)."""
+    across = leader is None and block.min() != block.max()
+    found = np.zeros(len(component), bool)
+    for x in range(len(component)) if leader is None else [leader]:
+        usable = component != component[x]
+        usable &= (block != block[x]) if across else (np.arange(len(component)) > x) | (leader is not None)
+        y = sides.fits(x, usable) if usable.any() else []
+        if len(y):
+            found[y] = found[x] = True
+    return np.flatnonzero(found)
+
+
 class Cell:
     """Members of one cell, their sets in the common order, and what the filters read."""
 
@@ -176,10 +247,7 @@ class Cell:
         self.mark[self.gram[own]] = 0
         p, q = self.place[here], self.place[there]
         least = least_overlap(n, m, self.percent)
-        keep = self.mine[there] & self.mine[here] & (100 * np.minimum(n, m) >= self.percent * np.maximum(n, m))
-        short, short_place = np.minimum(n, m), np.where(m < n, q, np.where(m > n, p, np.minimum(p, q)))
-        keep &= short_place < index_length(short, self.percent)
-        keep &= np.minimum(n - p, m - q) >= least
+        keep = self.mine[there] & self.mine[here] & within(n, m, p, q, self.percent)
         y, here, there, least, p, q, m = (a[keep] for a in (y, here, there, least, p, q, m))
         apart = np.abs(self.after[here] - self.after[there]).sum(axis=1)
         return y[p + q + apart <= n + m - 2 * least]
@@ -222,15 +290,34 @@ def join_cell(sets: list[np.ndarray], mine: list[np.ndarray], component: np.ndar
     return label
 
 
+def _leader(rows: pa.RecordBatch) -> int | None:
+    """Place of the group's smallest member, if it is in the cell."""
+    at = np.flatnonzero(rows.column("node").to_numpy() == rows.column("leader")[0].as_py())
+    return int(at[0]) if len(at) else None
+
+
+def _arrays(column) -> list[np.ndarray]:
+    flat, bounds = column.flatten().to_numpy(), column.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(bounds - bounds[0], bounds[1:] - bounds[0])]
+
+
+def _fitting_cells(batches, percent: int, led: bool):
+    """Members that may be linked with another, cell by cell; columns leader, low, high, node, ..."""
+    for rows in _groups(batches, 3):
+        node, component, block, size = (rows.column(c).to_numpy() for c in ("node", "component", "block", "size"))
+        parts = np.frombuffer(b"".join(x.as_py() for x in rows.column("parts")), np.uint16).reshape(len(node), -1).astype(np.int64)
+        sides = Sides(size.astype(np.int64), _arrays(rows.column("grams")), _arrays(rows.column("places")), parts, percent)
+        kept = fitting(sides, component, block, _leader(rows) if led else None)
+        yield pa.RecordBatch.from_pydict({"leader": rows.column("leader").to_numpy()[kept], "node": node[kept]})
+
+
 def _cells(batches, percent: int, led: bool):
-    """Links from the first member of each component to its others, cell by cell; columns group, low, high, node, ..."""
+    """Links between components, cell by cell; columns leader, low, high, node, ..."""
     for rows in _groups(batches, 3):
-        node, component = (rows.column(name).to_numpy() for name in ("node", "component"))
-        mine = [np.array(x, np.int64) for x in rows.column("mine").to_pylist()]
-        at = np.flatnonzero(node == rows.column("leader")[0].as_py())
-        if led and not len(at):
+        leader, component, block = _leader(rows) if led else None, rows.column("component").to_numpy(), rows.column("block").to_numpy()
+        if led and leader is None:
             continue
-        label = join_cell(_words(rows.column("keys")), mine, component, rows.column("block").to_numpy(), percent, int(at[0]) if led else None)
+        label = join_cell(_words(rows.column("keys")), _arrays(rows.column("places")), component, block, percent, leader)
         _, first, given = np.unique(component, return_index=True, return_inverse=True)
         joined = np.flatnonzero(label != first[given])
         yield pa.RecordBatch.from_pydict({"a": component[label[joined]], "b": component[joined]})
@@ -238,38 +325,36 @@ def _cells(batches, percent: int, led: bool):
 
 # Join
 
-def _postings(texts: DataFrame, words: int, percent: int, common) -> DataFrame:
+def _postings(texts: DataFrame, words: int, percent: int, common, ranges: int) -> DataFrame:
     """Prefix n-grams of every set: gram, node, size, place."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        row, keys, rows = shingles(batch.column(1), words)
-        keys = ordered(row, keys, common)
+        row, hashes, rows = shingles(batch.column(1), words)
+        hashes = ordered(row, hashes, common, ranges)
         size = np.bincount(row, minlength=rows)
         place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
         kept = place < probe_length(size, percent)[row]
         return pa.RecordBatch.from_pydict({
-            "gram": keys[kept].view(np.int64), "node": batch.column(0).to_numpy()[row[kept]],
+            "gram": gram_keys(hashes[kept], ranges).view(np.int64), "node": batch.column(0).to_numpy()[row[kept]],
             "size": size[row[kept]].astype(np.int32), "place": place[kept].astype(np.int32)})
     return map_slices(texts.select("node", "text"), work, "gram bigint, node bigint, size int, place int")
 
 
-def _sets(texts: DataFrame, words: int, common) -> DataFrame:
+def _sets(texts: DataFrame, words: int, common, ranges: int) -> DataFrame:
     """Whole sets in the common order, eight bytes an n-gram."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        row, keys, rows = shingles(batch.column(1), words)
-        keys, first = ordered(row, keys, common), np.searchsorted(row, np.arange(rows + 1))
+        row, hashes, rows = shingles(batch.column(1), words)
+        hashes, first = ordered(row, hashes, common, ranges), np.searchsorted(row, np.arange(rows + 1))
         return pa.RecordBatch.from_pydict({
-            "node": batch.column(0), "keys": pa.array([keys[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())})
+            "node": batch.column(0), "keys": pa.array([hashes[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())})
     return map_slices(texts.select("node", "text"), work, "node bigint, keys binary")
 
 
-def _live(postings: DataFrame, percent: int, seed: int) -> DataFrame:
+def _led(live: DataFrame, seed: int) -> DataFrame:
     """Members of n-grams whose documents are in several components, with the n-gram's smallest member by a hash."""
-    index = F.expr(f"place < size - CAST(ceil(2 * {percent} * CAST(size AS BIGINT) / {100 + percent}) AS INT) + 1")
-    grams = postings.groupBy("gram").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.max(index).alias("indexed"),
-        F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node"))["node"].alias("leader")).where("low <> high AND indexed")
-    grams = written(grams.select("gram", "leader"), "grams")
-    return join_back(postings, sent_if_small(grams, 16), ["gram"], "inner")
+    smallest = F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node"))["node"] if seed else F.min("node")
+    grams = live.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), smallest.alias("leader"))
+    grams = written(grams.where("low <> high").select("gram", "leader"), "grams")
+    return join_back(live, sent_if_small(grams, 16), ["gram"], "inner")
 
 
 def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -278,51 +363,62 @@ def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     return join_back(rows, labels, ["component"]).withColumn("component", F.coalesce("joined", "component")).drop("joined")
 
 
-def find_links(texts: DataFrame, total: int, words: int, percent: int) -> DataFrame:
-    """Links (a, b) between the ``node``s of ``texts``, all of different sets, enough to connect every component."""
-    common = common_grams(texts, total, words)
-    live = written(_postings(texts, words, percent, common), "postings").withColumn("component", F.col("node"))
-    sets, found = None, []
+def _blocks(size: str, which=None):
+    """Blocks of the rows of a group, or of those ``which`` holds for."""
+    which = F.lit(True) if which is None else which
+    return F.greatest(F.ceil(F.count_if(which) / BLOCK), F.ceil(F.sum(F.when(which, F.col(size)).otherwise(0)) / BLOCK_GRAMS), F.lit(1)).cast("int")
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members of groups with the number of blocks for all, for those of the smallest member's component and for the rest."""
+    mains = members.where("leader = node").select("leader", F.col("component").alias("main"))
+    members = join_back(members, mains, ["leader"], "inner").withColumn("rest", F.col("component") != F.col("main"))
+    groups = members.groupBy("leader").agg(
+        _blocks("size").alias("blocks"), _blocks("size", ~F.col("rest")).alias("mains"), _blocks("size", F.col("rest")).alias("rests"))
+    return join_back(members, groups, ["leader"], "inner")
+
+
+def _in_cells(dealt: DataFrame, led: bool) -> DataFrame:
+    """Rows of members a cell (leader, low, high): all with the smallest member, or all pairs but those of its component."""
+    if led:
+        rows = dealt.where("blocks > 1").withColumn("block", F.expr("CAST(pmod(xxhash64(node), blocks) AS INT)"))
+        return rows.withColumn("low", F.explode(F.expr("IF(node = leader, sequence(0, blocks - 1), array(block))"))).withColumn("high", F.col("low"))
+    place = F.expr("IF(blocks = 1, 0, IF(rest, mains + CAST(pmod(xxhash64(node), rests) AS INT), CAST(pmod(xxhash64(node), mains) AS INT)))")
+    others = F.expr("IF(blocks = 1, array(0), IF(rest, sequence(0, mains + rests - 1), sequence(mains, mains + rests - 1)))")
+    return dealt.withColumn("block", place).withColumn("other", F.explode(others)).withColumns(
+        {"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+
+
+def find_links(texts: DataFrame, parts: DataFrame, total: int, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between the ``node``s of ``texts``, all of different sets, enough to connect every component.
+
+    ``parts`` has the sizes of the parts of each node's set, ``total`` is the number of n-grams in all.
+    """
+    ranges = max(1, math.ceil(total / RANGE))
+    common = common_grams(texts, ranges, words)
+    postings = written(_postings(texts, words, percent, common, ranges), "postings")
+    shared = written(key_counts(postings.select("gram"), lambda batch: [batch.column(0).to_numpy().view(np.uint64)], 2).select("gram"), "shared")
+    live = join_back(postings, sent_if_small(shared), ["gram"], "left_semi").withColumn("component", F.col("node"))
+    order, found = ["leader", "low", "high"], None
     for attempt in range(ROUNDS + 1):
-        live = written(_live(live, percent, attempt), "live")
-        met = live.groupBy("leader", "node", "component", "size").agg(F.array_sort(F.collect_list("place")).alias("mine"))
-        met = written(met, "groups")
-        if sets is None:
-            nodes = written(met.select("node").distinct(), "nodes")
-            sets = written(_sets(texts.join(sent_if_small(nodes), "node", "left_semi"), words, common), "sets")
-        leaders = met.where("leader = node").select("leader", F.col("component").alias("main"))
-        shares = join_back(met, leaders, ["leader"], "inner").withColumn("rest", F.col("component") != F.col("main"))
-        blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_GRAMS), F.lit(1)).cast("int")
-        groups = shares.groupBy("leader").agg(
-            blocks(F.count("*"), F.sum("size")).alias("blocks"),
-            blocks(F.count_if(~F.col("rest")), F.sum(F.when(~F.col("rest"), F.col("size")).otherwise(0))).alias("mains"),
-            blocks(F.count_if("rest"), F.sum(F.when(F.col("rest"), F.col("size")).otherwise(0))).alias("rests"))
-        dealt = written(join_back(shares, groups, ["leader"], "inner"), "shares")
+        live = written(_led(live, attempt), "live")
+        met = live.groupBy("leader", "node", "component", "size").agg(F.array_sort(F.collect_list(F.struct("place", "gram"))).alias("mine"))
+        met = met.select("leader", "node", "component", "size", F.col("mine.place").alias("places"), F.col("mine.gram").alias("grams"))
+        dealt = written(_dealt(written(met, "groups")), "dealt")
         led = attempt < ROUNDS and not dealt.where("blocks > 1").isEmpty()
-        if led:
-            place = F.expr("CAST(pmod(xxhash64(node), blocks) AS INT)")
-            cells = dealt.where("blocks > 1").withColumn("block", place).withColumn(
-                "low", F.explode(F.expr("IF(node = leader, sequence(0, blocks - 1), array(block))"))).withColumn("high", F.col("low"))
-        else:
-            place = F.expr("IF(blocks = 1, 0, IF(rest, mains + CAST(pmod(xxhash64(node), rests) AS INT), CAST(pmod(xxhash64(node), mains) AS INT)))")
-            cells = dealt.withColumn("block", place).withColumn("other", F.explode(F.expr(
-                "IF(blocks = 1, array(0), IF(rest, sequence(0, mains + rests - 1), sequence(mains, mains + rests - 1)))"))).withColumns(
-                {"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        order = ["leader", "low", "high"]
-        rows = cells.join(sets, "node").select(*order, "node", "component", "block", "mine", "keys")
+        light = _in_cells(dealt, led).join(parts, "node").select(*order, "node", "component", "block", "size", "places", "grams", "parts")
+        light = light.repartition(*order).sortWithinPartitions(*order, "node")
+        able = written(light.mapInArrow(lambda batches, led=led: _fitting_cells(batches, percent, led), "leader bigint, node bigint").distinct(), "able")
+        rows = join_back(_in_cells(dealt, led).drop("grams"), sent_if_small(able, 16), ["leader", "node"], "left_semi")
+        nodes = written(able.select("node").distinct(), "nodes")
+        sets = _sets(texts.join(sent_if_small(nodes), "node", "left_semi"), words, common, ranges)
+        rows = rows.join(sets, "node").select(*order, "node", "component", "block", "places", "keys")
         rows = rows.repartition(*order).sortWithinPartitions(*order, "node")
         links = written(rows.mapInArrow(lambda batches, led=led: _cells(batches, percent, led), "a bigint, b bigint").distinct(), "links")
-        found.append(links)
+        found = links if found is None else found.unionByName(links)
         if not led:
-            break
-        if not links.isEmpty():
-            live = _labelled(live.drop("leader"), links)
-        else:
-            live = live.drop("leader")
-    out = found[0]
-    for links in found[1:]:
-        out = out.unionByName(links)
-    return out
+            return found
+        live = live.drop("leader") if links.isEmpty() else _labelled(live.drop("leader"), links)
 
 
 def _nodes(documents: DataFrame) -> tuple[DataFrame, bool]:
@@ -350,9 +446,9 @@ def similar_documents(documents: DataFrame, words: int = SHINGLE, percent: int =
                 out[filled] = np.add.reduceat(mix(keys + np.uint64(salt)), (np.cumsum(size) - size)[filled])
         return pa.RecordBatch.from_pydict({
             "doc_id": batch.column(0), "node": batch.column(1), "n_shingles": size.astype(np.int64),
-            "sum_1": sums[0].view(np.int64), "sum_2": sums[1].view(np.int64)})
+            "sum_1": sums[0].view(np.int64), "sum_2": sums[1].view(np.int64), "parts": pa.array(part_sizes(row, keys, count), pa.binary())})
     made = written(map_slices(rows.select("doc_id", "node", "text"), work,
-                              "doc_id bigint, node bigint, n_shingles bigint, sum_1 bigint, sum_2 bigint"), "sets")
+                              "doc_id bigint, node bigint, n_shingles bigint, sum_1 bigint, sum_2 bigint, parts binary"), "sums")
     same = ["n_shingles", "sum_1", "sum_2"]
     classes = made.where("node IS NOT NULL AND n_shingles > 0").groupBy(*same).agg(F.min("node").alias("class_id"))
     classes = written(classes, "classes")
@@ -360,7 +456,8 @@ def similar_documents(documents: DataFrame, words: int = SHINGLE, percent: int =
     member = written(join_back(made, classes, same).select(
         "doc_id", "node", "n_shingles", F.when(F.col("node").isNotNull(), F.col("class_id")).alias("class_id")), "members")
     chosen = sent_if_small(classes.select(F.col("class_id").alias("node")))
-    links = find_links(rows.join(chosen, "node", "left_semi").select("node", "text"), total, words, percent)
+    texts, parts = (df.join(chosen, "node", "left_semi") for df in (rows.select("node", "text"), made.select("node", "parts")))
+    links = find_links(texts, parts, total, words, percent)
     if repeated:
         # Equal rows of a repeated id hold one text; its nodes are one document.
         tied = member.where("class_id IS NOT NULL").groupBy("doc_id").agg(F.collect_set("class_id").alias("all")).where("size(all) > 1")
