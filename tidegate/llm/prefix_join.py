@@ -354,7 +354,7 @@ def _led(live: DataFrame, seed: int) -> DataFrame:
     smallest = F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node"))["node"] if seed else F.min("node")
     grams = live.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), smallest.alias("leader"))
     grams = written(grams.where("low <> high").select("gram", "leader"), "grams")
-    return join_back(live, sent_if_small(grams, 16), ["gram"], "inner")
+    return join_back(live, sent_if_small(grams, 64), ["gram"], "inner")
 
 
 def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -398,7 +398,7 @@ def find_links(texts: DataFrame, parts: DataFrame, total: int, words: int, perce
     common = common_grams(texts, ranges, words)
     postings = written(_postings(texts, words, percent, common, ranges), "postings")
     shared = written(key_counts(postings.select("gram"), lambda batch: [batch.column(0).to_numpy().view(np.uint64)], 2).select("gram"), "shared")
-    live = join_back(postings, sent_if_small(shared), ["gram"], "left_semi").withColumn("component", F.col("node"))
+    live = join_back(postings, sent_if_small(shared, 48), ["gram"], "left_semi").withColumn("component", F.col("node"))
     order, found = ["leader", "low", "high"], None
     for attempt in range(ROUNDS + 1):
         live = written(_led(live, attempt), "live")
@@ -409,9 +409,9 @@ def find_links(texts: DataFrame, parts: DataFrame, total: int, words: int, perce
         light = _in_cells(dealt, led).join(parts, "node").select(*order, "node", "component", "block", "size", "places", "grams", "parts")
         light = light.repartition(*order).sortWithinPartitions(*order, "node")
         able = written(light.mapInArrow(lambda batches, led=led: _fitting_cells(batches, percent, led), "leader bigint, node bigint").distinct(), "able")
-        rows = join_back(_in_cells(dealt, led).drop("grams"), sent_if_small(able, 16), ["leader", "node"], "left_semi")
+        rows = join_back(_in_cells(dealt, led).drop("grams"), sent_if_small(able, 64), ["leader", "node"], "left_semi")
         nodes = written(able.select("node").distinct(), "nodes")
-        sets = _sets(texts.join(sent_if_small(nodes), "node", "left_semi"), words, common, ranges)
+        sets = _sets(texts.join(sent_if_small(nodes, 48), "node", "left_semi"), words, common, ranges)
         rows = rows.join(sets, "node").select(*order, "node", "component", "block", "places", "keys")
         rows = rows.repartition(*order).sortWithinPartitions(*order, "node")
         links = written(rows.mapInArrow(lambda batches, led=led: _cells(batches, percent, led), "a bigint, b bigint").distinct(), "links")
@@ -455,7 +455,7 @@ def similar_documents(documents: DataFrame, words: int = SHINGLE, percent: int =
     total = classes.agg(F.sum("n_shingles")).first()[0] or 0
     member = written(join_back(made, classes, same).select(
         "doc_id", "node", "n_shingles", F.when(F.col("node").isNotNull(), F.col("class_id")).alias("class_id")), "members")
-    chosen = sent_if_small(classes.select(F.col("class_id").alias("node")))
+    chosen = sent_if_small(classes.select(F.col("class_id").alias("node")), 48)
     texts, parts = (df.join(chosen, "node", "left_semi") for df in (rows.select("node", "text"), made.select("node", "parts")))
     links = find_links(texts, parts, total, words, percent)
     if repeated:
