@@ -15,11 +15,12 @@ task holds more, whatever the length of the documents. Only lengths move; ids ne
 
 A null or empty text is the closing id alone. Repeated rows are packed each for themselves;
 an empty table gives an empty result. A piece that alone exceeds a capacity other than tokens
-gets a sequence of its own.
+gets a sequence of its own. Pieces of one length go by id, then by their place in the document. A long text
+is encoded whole and leaves one row a piece. Columns other than id and text are ignored, whatever their names.
 
 The ids come from the rank file of the vocabulary, which the library reads several times
-faster than its JSON form; tests hold them against the JSON form. Strings of special tokens
-in a text are ordinary text.
+faster than its JSON form, and from its special tokens: the string of one is that token, as the JSON
+form has it. Tests hold ids against the JSON form.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from pyspark.sql import functions as F
 from .tables import map_slices, written
 
 END_ID = 2
+#: Special tokens of the vocabulary, which its rank file leaves out.
+SPECIAL = {"<|endoftext|>": 50256}
 SEQUENCE_TOKENS = 1024
 GROUP = 8192
 
@@ -55,13 +58,13 @@ class Limits:
         return np.array([self.tokens, self.documents or self.tokens, self.attention or self.tokens ** 2], float)
 
 
-def load_encoder(ranks_path: str, pattern: str):
-    """An encoder over a rank file; ``pattern`` splits a text before merging."""
+def load_encoder(ranks_path: str, pattern: str, special: dict[str, int] = SPECIAL):
+    """An encoder over a rank file; ``pattern`` splits a text before merging, between the strings of special tokens."""
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
 def cut_pieces(documents: DataFrame, ranks_path: str, pattern: str, tokens: int = SEQUENCE_TOKENS) -> DataFrame:
@@ -73,7 +76,7 @@ def cut_pieces(documents: DataFrame, ranks_path: str, pattern: str, tokens: int
             encoders.append(load_encoder(ranks_path, pattern))
         owner, piece, start, length, ids = [], [], [], [], []
         for i, text in enumerate(batch.column(1).to_pylist()):
-            whole = np.array([*encoders[0].encode_ordinary(text or ""), END_ID], "<u4")
+            whole = np.array([*encoders[0].encode(text or "", allowed_special="all"), END_ID], "<u4")
             edges = [0, *range((len(whole) - 1) % tokens + 1, len(whole) + 1, tokens)]
             for n, (a, b) in enumerate(zip(edges, edges[1:])):
                 owner.append(i)
