@@ -7,8 +7,15 @@ decide stay open; in the second pass an open block takes the label of the neares
 neighbours before and after it. A mark is a feature: blocks inside ``article`` or ``main`` stay open
 at any stop-word density, and they and the others look for neighbours among their own; marks without any
 decided block are kept whole if they hold no less text than is good outside. Text outside ``article`` is judged
-as on a page without marks; only ``main``, of which a page shows one, excludes what is outside. A mark with
-the name of such a container (``<article class="comment">``) is one, unless nothing else on the page is text.
+as on a page without marks; only ``main``, of which a page shows one, excludes what is outside.
+
+A class or id names such a container if each of its words does, or may stand beside one that does (``_BESIDE_NAME``):
+``sidebar-left`` and ``post-comments``, but not ``has-sidebar``, ``notice-board`` or ``social-science``. Names and forms are
+doubted: they say nothing of a container that holds most of the page's unlinked text together with its title or ``main``,
+nor on a page that has no text outside of them.
+
+Where no block of a page is long and dense enough to be decided, blocks of ``SHORT`` characters are decided by the highest
+stop-word density the page offers; a page of shorter blocks alone has no text.
 
 ``STOP_WORDS`` are English, German, French and Spanish. Where no block of a page reaches ``STOP_HIGH``, they
 say nothing about it (another language), and blocks of ``SHORT`` characters or more are text by length and link
@@ -16,9 +23,10 @@ density alone.
 
 Character references are decoded, white space inside a block becomes one blank, and kept
 blocks are joined by one line break in page order; nothing else is dropped or cut. Unclosed
-comments, scripts and styles reach to the end of the page. A null, empty or markup-only page
-has an empty text. Repeated rows give equal results; columns other than id, url and html
-are ignored.
+comments, scripts, styles and titles reach to the end of the page. A null, empty or markup-only page
+has an empty text, and an empty table gives no rows. Long pages are read in one pass over their tags. Repeated rows
+give equal results; ties of distance go to the good neighbour; columns other than id, url and html are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -43,9 +51,12 @@ STOP_WORDS = frozenset(
     "au aux avec ce ces dans de des du elle en est et il la le les mais ne on ou par pas pour que qui sur un une "
     "al como con de del el en es las lo los más no para pero por que se su sus un una y".split())
 
-_OPAQUE = "script|style|noscript|template|textarea|svg|math|iframe|object|select|title"
+_RAW = "script|style|textarea|iframe|title"  # to their end tag, or the end of the page
+_OPAQUE = "noscript|template|svg|math|object|select"  # only with an end tag
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_OPAQUE})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(?:svg|math)(?=[\s/])[^>]*/>"
+    rf"|<({_OPAQUE})(?=[\s/>])[^>]*>.*?</\2\s*>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[a-zA-Z/!?][^>]*(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"(class|id|role|style)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -59,63 +70,76 @@ _CONTAINERS = _BREAKS - frozenset("p hr body html h1 h2 h3 h4 h5 h6".split())
 _MARKS = {"article": 1, "main": 2}
 _NEVER = frozenset("nav footer aside form menu dialog head button fieldset".split())
 _NEVER_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_WITHOUT = frozenset("has hide no with without".split())  # before a name: about the page, not the mark
+_WITHOUT = frozenset("has hide no with without".split())  # before a name: about the page, not the container
 _NEVER_NAME = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
     "hidden login menu modal nav navbar navigation newsletter notice pagination popup promo promotion related share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar widget".split())
+# Words that may stand beside a name above; any other makes it the name of something else (a notice board, social science).
+_BESIDE_NAME = frozenset(
+    "a aside area article articles bar bars block body bottom box button buttons card cards class cloud col column columns container content "
+    "count desktop drop dropdown element email fixed floating form global grid group head header holder horizontal icon icons id image "
+    "img inner inline item items js label large layout left level link links list lists lower main media medium message mini mobile module "
+    "more new off outer overlay page panel policy post posts primary reader readers region replies reply right row secondary section "
+    "site slot small square stack sticky strip sub tab table tag tags text thread title toggle tools top unit upper user users vertical "
+    "view views wide window wrap wrapper zone".split())
 
 
 class Block:
-    """Text of one block, how many of its characters are linked, and where it stands; ``article`` as in ``_MARKS``."""
+    """Text of one block, how many of its characters are linked, and where it stands.
 
-    __slots__ = ("text", "linked", "never", "article")
+    ``article`` is as in ``_MARKS``. ``never`` says that a container around it holds no article text; ``doubted`` lists the
+    containers that only a name or a form says so of.
+    """
 
-    def __init__(self, text: str, linked: int, never: bool, article: int):
-        self.text, self.linked, self.never, self.article = text, linked, never, article
+    __slots__ = ("text", "linked", "never", "article", "doubted", "title")
 
+    def __init__(self, text: str, linked: int, never: bool, article: int, doubted: frozenset[int], title: bool):
+        self.text, self.linked, self.never, self.article, self.doubted, self.title = text, linked, never, article, doubted, title
 
-def _named(value: str, mark: bool) -> bool:
-    """Whether a class or id names a container without article text."""
-    for part in value.lower().split() if mark else [value.lower()]:
-        names = re.split(r"[^a-z0-9]+", part)
-        if not (mark and names[0] in _WITHOUT) and not _NEVER_NAME.isdisjoint(names):
+
+def _named(value: str) -> bool:
+    """Whether a class or id names a container without article text; each name counts as a whole."""
+    for part in value.lower().split():
+        names = [n for n in re.split(r"[^a-z0-9]+", part) if n]
+        known = [n in _NEVER_NAME for n in names]
+        if not any(known) or not _WITHOUT.isdisjoint(names[:known.index(True)]):
+            continue
+        if all(k or n in _BESIDE_NAME or n.isdigit() for n, k in zip(names, known)):
             return True
     return False
 
 
-def _never(tag: str, attrs: str, article: int, named: bool) -> bool:
-    if tag in _NEVER or tag == "header" and not article:
-        return True
+def _never(tag: str, attrs: str, article: int) -> tuple[bool, bool]:
+    """Whether a container holds no article text, and whether it may be so by its name or as a form."""
+    sure, doubted = tag in _NEVER and tag != "form" or tag == "header" and not article, tag == "form"
     for name, *values in _ATTRIBUTE.findall(attrs):
         value, name = "".join(values), name.lower()
         if name == "style":
-            if _HIDDEN.search(value):
-                return True
+            sure = sure or _HIDDEN.search(value) is not None
         elif name == "role":
-            if value.strip().lower() in _NEVER_ROLE:
-                return True
-        elif (named or tag not in _MARKS) and _named(value, tag in _MARKS):
-            return True
-    return re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs) is not None
+            sure = sure or value.strip().lower() in _NEVER_ROLE
+        else:
+            doubted = doubted or _named(value)
+    return sure or re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs) is not None, doubted
 
 
-def blocks_of(page: str, named: bool = True) -> list[Block]:
-    """The blocks of a page in order; with ``named``, marks are tested by name like other containers."""
+def blocks_of(page: str) -> list[Block]:
+    """The blocks of a page in order."""
     found: list[Block] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, int]] = []
-    linked = at = 0
-    in_link = own = False
+    stack: list[tuple[str, bool, int, frozenset[int]]] = []
+    linked = at = places = 0
+    in_link = own = title = False
 
     def flush() -> None:
-        nonlocal linked, own
+        nonlocal linked, own, title
         text = " ".join("".join(parts).split())
-        never, article = stack[-1][1:] if stack else (False, 0)
+        never, article, doubted = stack[-1][1:] if stack else (False, 0, frozenset())
         if text:
-            found.append(Block(text, linked, never or own, article))
+            found.append(Block(text, linked, never or own, article, doubted, title))
         parts.clear()
-        linked, own = 0, False
+        linked, own, title = 0, False, False
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -138,21 +162,37 @@ def blocks_of(page: str, named: bool = True) -> list[Block]:
         elif tag in _BREAKS or tag == "button":
             flush()
             in_link = False
-            never, article = stack[-1][1:] if stack else (False, 0)
+            never, article, doubted = stack[-1][1:] if stack else (False, 0, frozenset())
             if tag not in _CONTAINERS and tag != "button" or token["attrs"].rstrip().endswith("/"):
-                own = not token["close"] and _never(tag, token["attrs"], article, named)
+                own, title = not token["close"] and any(_never(tag, token["attrs"], article)), tag == "h1" and not token["close"]
             elif token["close"]:
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == tag:
                         del stack[depth:]
                         break
             else:
-                stack.append((tag, never or _never(tag, token["attrs"], article, named), max(article, _MARKS.get(tag, 0))))
+                sure, doubt = _never(tag, token["attrs"], article)
+                places += 1
+                stack.append((tag, never or sure, max(article, _MARKS.get(tag, 0)), doubted | {places} if doubt else doubted))
     add(page[at:])
     flush()
     return found
 
 
+def _wrappers(blocks: list[Block]) -> set[int]:
+    """Doubted containers that are the page's frame: most of its unlinked text is inside, with its title or ``main``."""
+    size = {i: 0 for b in blocks for i in b.doubted}
+    framed = {i for b in blocks if b.title or b.article == 2 for i in b.doubted}
+    total = 0
+    for block in blocks:
+        if not block.never:
+            free = max(0, len(block.text) - block.linked)
+            total += free
+            for i in block.doubted:
+                size[i] += free
+    return {i for i in framed if 2 * size[i] > total}
+
+
 def _stop_density(block: Block) -> float:
     words = re.findall(r"\w+", block.text.lower())
     return sum(w in STOP_WORDS for w in words) / max(1, len(words))
@@ -173,6 +213,12 @@ def _first_pass(blocks: list[Block], main: bool) -> list[bool | None]:
             labels.append(True)
         else:
             labels.append(None if share >= STOP_LOW or block.article else False)
+    if True not in labels:
+        # A page of short paragraphs: those of the highest density there is stand for the long ones.
+        for least in (STOP_HIGH, STOP_LOW):
+            labels = [True if label is None and len(b.text) >= SHORT and share >= least else label for b, label, share in zip(blocks, labels, stop)]
+            if True in labels:
+                break
     return labels
 
 
@@ -212,8 +258,12 @@ def main_text(page: str | None) -> str:
     """The article text of one page."""
     if not page:
         return ""
-    for named in (True, False):
-        blocks = blocks_of(page, named)
+    blocks = blocks_of(page)
+    sure, frame = [b.never for b in blocks], _wrappers(blocks)
+    keep: list[bool] = []
+    for doubts in (True, False):
+        for block, never in zip(blocks, sure):
+            block.never = never or doubts and not block.doubted <= frame
         keep = _kept(blocks)
         if any(keep):
             break
