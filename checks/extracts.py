@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegate.contracts import ExtractSpec, parse_filters
 from tidegate.operators import aggregates, extract
-from tidegate.plans.extracts import run_extracts
+from tidegate.plans.shared import extract_all
 from tidegate.session import run_folder
 from tidegate.sources import tables as sources
 
@@ -159,19 +159,15 @@ def key_uniqueness(t: Tables):
     return aggregates.key_uniqueness(t.base("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-def _segment_specs(t: Tables) -> list[ExtractSpec]:
+def _segment_contracts(t: Tables):
     """One contract per agency in use, and one of them twice."""
-    labels = [r["label"] for r in sources.enum_domain(t.base("customer"), "c_mktsegment").collect()]
-    return [
-        ExtractSpec.from_dict({
-            "template_id": "dot_contract_extract_v1", "row_limit": 100_000, "timeout_seconds": 300,
-            "params": {
-                "schema": "dot", "table": "contract_data", "order_by": "contract_value desc",
-                "filters": {"contract_value": {"min": 200000}, "agency_code": {"equal": label}},
-                "select_fields": ["contract_id", "vendor_name", "contract_value"],
-            },
-        }) for label in [*labels, labels[0]]
-    ]
+    labels = sources.enum_domain(t.base("customer"), "c_mktsegment")
+    labels = labels.withColumn("contract_id", F.col("label")).unionByName(
+        labels.agg(F.min("label").alias("label")).withColumn("contract_id", F.concat("label", F.lit(" again"))))
+    return labels.selectExpr(
+        "contract_id", "'dot_contract_extract_v1' AS template_id", "CAST(100000 AS BIGINT) AS row_limit", "CAST(300 AS BIGINT) AS timeout_seconds",
+        """concat('{"schema":"dot","table":"contract_data","order_by":"contract_value desc","filters":{"contract_value":{"min":200000},',
+            '"agency_code":{"equal":"', label, '"}},"select_fields":["contract_id","vendor_name","contract_value"]}') AS params""")
 
 
 _SEGMENT_CANON = """concat('{"filters":{"agency_code":{"equal":"', agency_code, '"},"contract_value":{"min":200000}},',
@@ -190,8 +186,8 @@ _SEGMENT_CANON = """concat('{"filters":{"agency_code":{"equal":"', agency_code,
           FROM contracts WHERE contract_value >= 200000 GROUP BY agency_code) s
     JOIN (VALUES (false), (true)) v(skipped) ON NOT skipped OR agency_code = (SELECT min(c_mktsegment) FROM customer)""")
 def extract_summary(t: Tables):
-    summary = run_extracts(
-        t.spark, _segment_specs(t), lambda schema, table: t.contracts(), run_folder(t.spark, "extracts"), "run-1",
+    summary = extract_all(
+        t.spark, _segment_contracts(t), lambda schema, table: t.contracts(), run_folder(t.spark, "extracts"), "run-1",
         lambda schema, table: ("contract_id",))
     return summary.select(
         "fingerprint", "marker_key", "output_key", "row_count", (F.col("file_size_bytes") > 0).alias("has_bytes"),

@@ -244,12 +244,8 @@ def file_request_decision(t: Tables):
     return decided.select("request_id", "decision", joined("violations"), "object_key", "file_name")
 
 
-_FEW_LIMITS = {"requested_row_limit": "CASE WHEN c_custkey % 2 = 0 THEN 40 ELSE 700 END", "requested_timeout_seconds": "60"}
-
-
-_FEW_SQL = f"""(SELECT r.c_custkey, r.request_id, r.params, {_ROWS} AS row_limit, {_ALL_CODES} AS codes
-    FROM (SELECT * REPLACE (CAST({_FEW_LIMITS['requested_row_limit']} AS BIGINT) AS requested_row_limit, CAST(60 AS BIGINT) AS requested_timeout_seconds)
-          FROM requests) r LEFT JOIN active d ON lower(trim(r.dataproduct_id)) = d.dataproduct_id)"""
+_RUN_SQL = f"""(SELECT r.c_custkey, r.request_id, r.params, {_ROWS} AS row_limit, {_TIME} AS timeout_seconds, {_ALL_CODES} AS codes
+    FROM requests r LEFT JOIN active d ON lower(trim(r.dataproduct_id)) = d.dataproduct_id)"""
 
 
 @check("run_requests", f"""
@@ -260,13 +256,12 @@ _FEW_SQL = f"""(SELECT r.c_custkey, r.request_id, r.params, {_ROWS} AS row_limit
                 ELSE least(d.row_limit, (SELECT count(*) FROM contracts WHERE contract_value >= 1000)) END END AS row_count,
            CASE WHEN len(codes) = 0 THEN CASE WHEN f.first_id = d.request_id THEN 'extract_data,pipeline_start,policy_check' ELSE 'pipeline_start,policy_check' END
                 ELSE 'pipeline_start' END AS events
-    FROM {_FEW_SQL} d LEFT JOIN (SELECT params, row_limit, min(request_id) AS first_id FROM {_FEW_SQL} WHERE len(codes) = 0 GROUP BY params, row_limit) f
-      ON d.params = f.params AND d.row_limit = f.row_limit""")
+    FROM {_RUN_SQL} d LEFT JOIN (SELECT params, row_limit, timeout_seconds, min(request_id) AS first_id FROM {_RUN_SQL} WHERE len(codes) = 0
+                                 GROUP BY params, row_limit, timeout_seconds) f
+      ON d.params = f.params AND d.row_limit = f.row_limit AND d.timeout_seconds = f.timeout_seconds""")
 def run_requests(t: Tables):
-    """Requests of a few distinct limits, so that each contract is asked for many times."""
-    few = t.requests().withColumns({name: F.expr(f"CAST({value} AS BIGINT)") for name, value in _FEW_LIMITS.items()})
     root = run_folder(t.spark, "request-extracts")
-    outcome = run_all(t.spark, few, t.active(), lambda schema, table: t.contracts(), root, "run-1", "dot", "hub", audit_path=f"{root}/audit")
+    outcome = run_all(t.spark, t.requests(), t.active(), lambda schema, table: t.contracts(), root, "run-1", "dot", "hub", audit_path=f"{root}/audit")
     log = t.spark.read.schema("transfer_session_id string, event_type string, outcome string").json(f"{root}/audit")
     events = log.groupBy(F.col("transfer_session_id").alias("request_id")).agg(joined(F.array_sort(F.collect_set("event_type")), "events"))
     return outcome.join(events, "request_id").select(

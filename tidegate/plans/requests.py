@@ -2,38 +2,19 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator
-from itertools import batched
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import ContractError, ExtractSpec
 from ..functions.hashing import SourceIdentity, fingerprint
 from ..operators.audit import audit_events
 from ..operators.governance import policy_decision, request_decision
 from ..operators.idempotency import plan_extracts
 from ..session import run_folder
 from ..sinks.transfers import write_audit_log
-from .extracts import SUMMARY_SCHEMA, Contract, read_extract_markers, run_contracts
-
-#: Contracts whose outcomes and markers are committed together.
-CONTRACTS_PER_COMMIT = 200
-
-
-def _contracts(rows: DataFrame) -> Iterator[Contract]:
-    """The contracts of rows, read partition by partition."""
-    for row in rows.toLocalIterator():
-        keys = (row["fingerprint"], row["marker_key"], row["output_key"])
-        try:
-            spec = ExtractSpec.from_dict({
-                "params": json.loads(row["params"]), "template_id": row["effective_template_id"],
-                "row_limit": row["effective_row_limit"], "timeout_seconds": row["effective_timeout_seconds"]})
-            yield Contract(*keys, spec)
-        except ContractError as exc:
-            yield Contract(*keys, None, f"{type(exc).__name__}: {exc}")
-
+from .extracts import read_extract_markers
+from .shared import run_shared
 
 def request_events(outcome: DataFrame, agency: str, receiver: str) -> DataFrame:
     """The audit events a sender leaves for each request: start, policy, and the extract where one was run."""
@@ -55,15 +36,14 @@ def request_events(outcome: DataFrame, agency: str, receiver: str) -> DataFrame:
 def run_requests(
     spark: SparkSession, requests: DataFrame, active: DataFrame, table: Callable[[str, str], DataFrame], root: str, session: str,
     agency: str, receiver: str = "", table_key: Callable[[str, str], tuple[str, ...]] = lambda schema, name: (),
-    output_format: str = "csv", parallel: int = 4, audit_path: str | None = None,
+    output_format: str = "csv", audit_path: str | None = None,
 ) -> DataFrame:
     """Decide all requests, run each accepted contract once, and return one row per request.
 
     ``decision`` is ``accepted``, ``rejected`` (``first_violation`` says why) or ``denied`` by policy.
     Requests with the same contract share one extract; ``action`` says which of them ran it.
-    Contracts with a marker from an earlier run are not run again. Requests stay a table;
-    only contracts to run come to the driver, where each becomes a Spark job, and their
-    outcomes go back to the shared folder a batch at a time.
+    Contracts with a marker from an earlier run are not run again. Requests and contracts stay
+    tables; contracts of one layout share a scan, whatever their number (``plans.shared``).
     """
     decided = request_decision(requests, active)
     policy = policy_decision(F.col("requesting_agency"), F.lit(1))
@@ -80,10 +60,11 @@ def run_requests(
         "template_id": F.col("effective_template_id"), "session": F.lit(session)})
     plan_extracts(accepted, read_extract_markers(spark, root), ["request_id"]).write.parquet(f"{folder}/planned")
     planned = spark.read.parquet(f"{folder}/planned")
-    spark.createDataFrame([], SUMMARY_SCHEMA).write.parquet(f"{folder}/outcomes")
-    for contracts in batched(_contracts(planned.where("action = 'run'")), CONTRACTS_PER_COMMIT):
-        run_contracts(spark, list(contracts), table, root, table_key, output_format, parallel).write.mode("append").parquet(f"{folder}/outcomes")
-    known = planned.select("request_id", "fingerprint", "action").join(spark.read.parquet(f"{folder}/outcomes").select(
+    contracts = planned.where("action = 'run'").select(
+        "fingerprint", "marker_key", "output_key", "template_id", "params", F.col("effective_row_limit").alias("row_limit"),
+        F.col("effective_timeout_seconds").alias("timeout_seconds"))
+    outcomes = run_shared(spark, contracts, table, root, table_key, output_format)
+    known = planned.select("request_id", "fingerprint", "action").join(outcomes.select(
         "fingerprint", "output_key", "row_count", "status", "error"), "fingerprint", "left")
     finished = F.when(F.col("action") == "skip_done", F.lit("skipped")).otherwise(F.col("status"))
     outcome = decided.select(*shown).join(known.withColumn("status", finished), "request_id", "left")
