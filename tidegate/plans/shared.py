@@ -107,7 +107,7 @@ def _fields_of(spec: ExtractSpec, schema: T.StructType) -> dict[str, Any]:
         raise ContractError("unknown_order_field", f"field '{spec.order_field}' does not exist in the table")
     layout = {"schema": spec.schema, "table": spec.table, "equal": sorted(equal), "range": sorted(ranges), "select": shown,
               "order": spec.order_field, "descending": spec.descending}
-    return {"layout": json.dumps(layout), "shape": json.dumps([sorted(equal.items()), sorted(ranges.items())]), "empty": empty,
+    return {"layout": json.dumps(layout), "shape": json.dumps([empty, sorted(equal.items()), sorted(ranges.items())]), "empty": empty,
             "equal": equal, "ranges": ranges}
 
 
