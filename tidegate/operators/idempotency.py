@@ -15,8 +15,12 @@ def unprocessed_files(files: DataFrame, markers: DataFrame, key: list[str]) -> D
 
 
 def already_processed(work: DataFrame, markers: DataFrame, key: list[str]) -> DataFrame:
-    """Work whose key has a marker of any kind."""
-    return join_back(work, markers.select(*key).distinct(), key, "left_semi")
+    """Work whose key has a marker of any kind.
+
+    The keys of the work are combined and move to the markers; a marker table bucketed by the key is read as it lies.
+    """
+    done = work.select(*key).distinct().join(markers.select(*key), key, "left_semi")
+    return join_back(work, done, key, "left_semi")
 
 
 def marker_union(done: DataFrame, rejected: DataFrame, key: list[str]) -> DataFrame:
@@ -73,5 +77,5 @@ def plan_extracts(requests: DataFrame, markers: DataFrame, order: list[str], ses
 
 
 def plan_transfers(sessions: DataFrame, markers: DataFrame) -> DataFrame:
-    """Landing sessions still to process: those neither done nor rejected."""
-    return sessions.join(markers.select("agency", "session").distinct(), ["agency", "session"], "left_anti")
+    """Landing sessions still to process: those neither done nor rejected. A bucketed marker table does not move."""
+    return sessions.join(markers.select("agency", "session"), ["agency", "session"], "left_anti")

@@ -139,7 +139,7 @@ def receive_transfers(
     markers = read_markers(spark, markers_path).where("kind IN ('done', 'rejected')").select(*KEY, "kind")
     folder = run_folder(spark, "receive")
     sessions = listing.select(*KEY).distinct()
-    route = already_processed(sessions, markers, KEY).join(markers.groupBy(*KEY).agg(F.max("kind").alias("reason")), KEY)
+    route = already_processed(sessions, markers, KEY).join(markers, KEY).groupBy(*KEY).agg(F.max("kind").alias("reason"))
     route.select(*KEY, F.lit("already_processed").alias("status"), "reason").write.parquet(f"{folder}/outcome/wave=-1")
     pending = listing.join(plan_transfers(sessions, markers), KEY, "left_semi")
     for wave, files in _waves(pending, KEY, f"{folder}/pending", wave_transfers):
