@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidegate.operators import audit
 from tidegate.session import run_folder
 from tidegate.streaming import batches, jobs as job_stream
 
@@ -62,22 +61,25 @@ def stream_session_timeline(t: Tables):
         return batches.start(source.writeStream.foreachBatch(store), f"{out}/checkpoint")
 
     _arrive(events, "CAST(3 - least(3, day(timestamp) div 8) AS INT)", f"{out}/arrived", run)
-    parts = batches.read_batches(t.spark, f"{out}/table", batches.ddl(events.groupBy("transfer_session_id").agg(
-        *audit.timeline_columns(["timestamp", "event_id"]))))
-    return audit.merge_timelines(parts).withColumns({"first_ts": text_time("first_ts"), "last_ts": text_time("last_ts")})
+    return batches.read_timelines(events, f"{out}/table").withColumns({"first_ts": text_time("first_ts"), "last_ts": text_time("last_ts")})
 
 
 @check("stream_store_idempotent", "SELECT agency, session, count(*) AS members, CAST(sum(size) AS BIGINT) AS bytes FROM files GROUP BY agency, session")
 def stream_store_idempotent(t: Tables):
+    """The checkpoint is lost after the third part; the new one takes all parts again, in one batch."""
     files, out = t.files().select("doc_id", "agency", "session", "size"), run_folder(t.spark, "store")
-    store = batches.store_batches(lambda df: df, f"{out}/table")
+    store = batches.commit_batches(f"{out}/table")
 
-    def run(checkpoint: str = "checkpoint"):
+    def run(checkpoint: str):
         source = batches.folder_stream(t.spark, f"{out}/arrived", files.schema)
-        return batches.start(source.writeStream.foreachBatch(store), f"{out}/{checkpoint}")
-
-    _arrive(files, "doc_id % 4", f"{out}/arrived", run)
-    stored = batches.read_batches(t.spark, f"{out}/table", batches.ddl(files))
+        _drain(batches.start(source.writeStream.foreachBatch(store), f"{out}/{checkpoint}"))
+
+    for i in range(4):
+        files.where(f"doc_id % 4 = {i}").write.mode("append").parquet(f"{out}/arrived")
+        if i % 2 == 0:
+            run("checkpoint")
+    run("checkpoint-after-loss")
+    stored = batches.read_commits(t.spark, f"{out}/table", batches.ddl(files))
     return stored.groupBy("agency", "session").agg(F.count("*").alias("members"), F.sum("size").alias("bytes"))
 
 
@@ -91,4 +93,4 @@ def stream_job_state(t: Tables):
         return batches.start(source.writeStream.foreachBatch(advance), f"{out}/checkpoint")
 
     _arrive(events, "CAST(least(seq, 3) AS INT)", f"{out}/arrived", run)
-    return batches.latest_per_key(batches.read_batches(t.spark, f"{out}/table", job_stream.STATE_SCHEMA), ["job"])
+    return job_stream.read_job_states(t.spark, f"{out}/table")

@@ -1,11 +1,13 @@
 """Streams that stop and go on."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
 from tidegate.operators import audit
 from tidegate.streaming import batches, jobs
+from tidegate.streaming.levels import GRACE, Levels
 
 
 def drain(writer, checkpoint):
@@ -50,8 +52,7 @@ def test_late_events_count(spark, tmp_path):
     arrivals(spark, tmp_path, schema, parts, lambda s: s.writeStream.foreachBatch(batches.timeline_batches(out)))
     rows = [r for part in parts for r in part]
     whole = spark.createDataFrame(rows, schema)
-    columns = batches.ddl(whole.groupBy("transfer_session_id").agg(*audit.timeline_columns(["timestamp", "event_id"])))
-    merged = audit.merge_timelines(batches.read_batches(spark, out, columns))
+    merged = batches.read_timelines(whole, out)
     assert sorted(merged.collect()) == sorted(audit.session_timeline(whole).collect())
     assert merged.agg(F.sum("events")).first()[0] == 10
 
@@ -65,8 +66,7 @@ def test_job_state_over_batches_with_a_hot_job(spark, tmp_path):
         [(1, 2, "pending"), (2, 2, "sent"), (1, 3, "sent"), (7, 9_001, "sent")], [(2, 3, "running"), (2, 4, "other"), (2, 5, "sent")]]
     advance = jobs.job_state_batches(out)
     arrivals(spark, tmp_path, schema, parts, lambda s: s.writeStream.foreachBatch(advance))
-    state = lambda: {r["job"]: (r["status"], r["seq"]) for r in batches.latest_per_key(
-        batches.read_batches(spark, out, jobs.STATE_SCHEMA), ["job"]).collect()}
+    state = lambda: {r["job"]: (r["status"], r["seq"]) for r in jobs.read_job_states(spark, out).collect()}
     expected = {1: ("sent", 3), 2: ("sent", 5), 3: ("cancelled", 1), 7: ("failed", 9_000)}
     assert state() == expected
     advance(spark.createDataFrame(parts[1], schema), 1)  # a replayed batch decides as it did
@@ -100,3 +100,95 @@ def test_compaction_keeps_the_newest_state(spark, tmp_path):
     batches.compact_batches(spark, out, schema, ["k"], small)
     rows = batches.read_batches(spark, small, schema).collect()
     assert {(r["k"], r["v"], r["batch_id"]) for r in rows} == {("a", 2, 1), ("b", 1, 1)}
+
+
+def live_spans(table, spark):
+    return [last - first + 1 for first, last in table.parts(spark)]
+
+
+def test_parts_double_and_old_ones_go(spark, tmp_path):
+    table = Levels(str(tmp_path / "t"), "k bigint, v bigint", ("k",), lambda rows: batches.latest_per_key(rows, ["k"]), 4)
+    for i in range(13):
+        table.store(spark.range(3).selectExpr("id AS k", f"{i} * 10 + id AS v"), i)
+        assert sum(live_spans(table, spark)) == i + 1 and len(live_spans(table, spark)) == bin(i + 1).count("1")
+    assert live_spans(table, spark) == [8, 4, 1]
+    assert len(os.listdir(table.path)) <= 4 + 2 * GRACE
+    assert sorted(map(tuple, table.merged(spark).select("k", "v").collect())) == [(0, 120), (1, 121), (2, 122)]
+
+
+def test_replayed_and_half_written_parts(spark, tmp_path):
+    table = Levels(str(tmp_path / "t"), "k bigint, n bigint", ("k",), lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n")), 4)
+    rows = spark.range(5).selectExpr("id AS k", "1 AS n")
+    for i in (0, 1, 1, 2, 3):
+        table.store(rows, i)
+    os.remove(f"{table.path}/{0:012d}-{3:012d}/_SUCCESS")  # the writer of batch 3 was lost
+    assert live_spans(table, spark) == [2, 1]
+    for i in (3, 3, 1, 0):  # taken again; batches that others have followed are not
+        table.store(rows, i)
+    assert sorted(map(tuple, table.merged(spark).collect())) == [(k, 4) for k in range(5)]
+
+
+def test_only_touched_folders_are_read(spark, tmp_path):
+    table = Levels(str(tmp_path / "t"), "k bigint, n bigint", ("k",), lambda rows: rows.groupBy("k").agg(F.max("n").alias("n")))
+    assert table.read(spark).count() == 0 and table.next_id(spark) == 0
+    table.store(spark.range(1_000).selectExpr("CAST(id AS INT) AS k", "id AS n"), 0)
+    one = table.read(spark, touched=spark.createDataFrame([(7,)], "k int"))
+    assert 0 < one.count() < 100 and one.where("k = 7").count() == 1
+    assert table.read(spark, touched=spark.createDataFrame([], "k int")).count() == 0
+
+
+def test_rows_read_do_not_grow_with_the_age_of_the_stream(spark, tmp_path):
+    out, schema = str(tmp_path / "out"), "job bigint, seq bigint, status string"
+    advance, table, read, parts = jobs.job_state_batches(out), jobs.job_levels(out), {}, {}
+    jobs_in_hand = spark.createDataFrame([(job,) for job in range(8)], "job bigint")
+    for i in [0, 1, 2, 3, 20, 21, 22, 23, 200, 201, 202, 203]:
+        status = {0: "pending", 2: "running", 21: "sent"}.get(i, "running")
+        for _ in range(2 if i == 21 else 1):  # the second time it is a replay
+            advance(spark.createDataFrame([(job, i, status) for job in range(8)], schema), i)
+        read[i], parts[i] = table.read(spark, i + 1, jobs_in_hand).count(), len(table.parts(spark))
+    assert {(r["status"], r["seq"]) for r in jobs.read_job_states(spark, out).collect()} == {("sent", 21)}
+    assert max(read[i] for i in read if i >= 200) <= max(read[i] for i in read if 20 <= i < 30) <= 3 * 8
+    assert max(parts.values()) <= 8
+
+
+def test_timelines_have_a_row_a_level(spark, tmp_path):
+    out, schema = str(tmp_path / "out"), "transfer_session_id string, timestamp timestamp, event_id bigint, outcome string, bytes_transferred bigint"
+    rows = [[("s", dt.datetime(2024, 1, 1, minute=(7 * i) % 60), i, "success" if i % 3 else "failure", i if i % 2 else None)] for i in range(7)]
+    store = batches.timeline_batches(out)
+    for i, part in enumerate(rows):
+        store(spark.createDataFrame(part, schema), i)
+    store(spark.createDataFrame(rows[6], schema), 6)
+    whole = spark.createDataFrame([r for part in rows for r in part], schema)
+    assert batches.read_timelines(whole, out).collect() == audit.session_timeline(whole).collect()
+    assert batches.timeline_levels(out, whole).read(spark).count() == 3  # 4 + 2 + 1
+
+
+def test_contents_are_stored_once_without_the_checkpoint(spark, tmp_path):
+    folder, out, schema = str(tmp_path / "arrived"), str(tmp_path / "out"), "k string, size bigint"
+    store, stored = batches.commit_batches(out), lambda: sorted(map(str, batches.read_commits(spark, out, schema).collect()))
+
+    def run(checkpoint, files_per_batch):
+        source = batches.folder_stream(spark, folder, spark.createDataFrame([], schema).schema, files_per_batch)
+        drain(source.writeStream.foreachBatch(store), str(tmp_path / checkpoint))
+    assert stored() == []
+    parts = [[("a", 1), ("b", None), ("a", 1)], [("c", 3), (None, None)], [("b", None), ("d", 4)], [("e", 5)]]
+    for rows in parts[:3]:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        run("first", 1)
+    before, commits = stored(), len(os.listdir(f"{out}/data"))
+    run("second", 2)  # all again, in other batches
+    assert stored() == before and len(os.listdir(f"{out}/data")) <= commits + 1
+    spark.createDataFrame(parts[3], schema).write.mode("append").parquet(folder)
+    run("third", 100)
+    assert stored() == sorted(map(str, spark.createDataFrame([r for part in parts for r in part], schema).distinct().collect()))
+
+
+def test_data_without_a_commit_is_written_over(spark, tmp_path):
+    out, schema = str(tmp_path / "out"), "k string, size bigint"
+    store, rows = batches.commit_batches(out, ["k"]), spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], schema)
+    store(rows, 0)
+    uncommitted = spark.read.parquet(f"{out}/data/commit=0")
+    uncommitted.write.parquet(f"{out}/data/commit=1")  # a writer that was lost before its commit
+    assert batches.read_commits(spark, out, schema).count() == 2
+    store(spark.createDataFrame([("c", 1), ("b", 9)], schema), 1)
+    assert sorted(map(tuple, batches.read_commits(spark, out, schema).collect())) == [("a", 1), ("b", 1), ("c", 1)]

@@ -119,14 +119,18 @@ def session_timeline(events: DataFrame, order: tuple[str, ...] = ("timestamp", "
     return _with_duration(events.groupBy("transfer_session_id").agg(*timeline_columns(list(order))))
 
 
-def merge_timelines(parts: DataFrame) -> DataFrame:
-    """Timelines of sessions from the timelines of their parts."""
-    merged = parts.groupBy("transfer_session_id").agg(
+def merge_parts(parts: DataFrame) -> DataFrame:
+    """Parts of sessions put together into larger parts with the same columns."""
+    return parts.groupBy("transfer_session_id").agg(
         F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("events").alias("events"),
-        F.sum("failures").alias("failures"), F.sum("bytes").alias("bytes"),
+        F.sum("failures").alias("failures"), F.sum("bytes").alias("bytes"), F.max("last_position").alias("last_position"),
         F.max_by("final_outcome", "last_position").alias("final_outcome"),
     )
-    return _with_duration(merged)
+
+
+def merge_timelines(parts: DataFrame) -> DataFrame:
+    """Timelines of sessions from the timelines of their parts."""
+    return _with_duration(merge_parts(parts))
 
 
 def session_completeness(events: DataFrame, expected: tuple[str, ...] = tuple(EVENT_STAGES)) -> DataFrame:

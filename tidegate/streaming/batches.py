@@ -1,7 +1,8 @@
-"""Streams whose sink is a table with one folder per micro-batch.
+"""Streams whose sink is a table.
 
-A batch writes ``batch_id=N`` by overwriting it, so a batch that is replayed
-after a failure leaves the table as it was.
+In a table with one folder per micro-batch a batch writes ``batch_id=N`` by overwriting it, so a batch that is replayed
+after a failure leaves the table as it was. Tables that are read again by every
+batch are kept in ``levels``.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators.audit import timeline_columns
-from ..session import path_exists
+from ..operators.audit import merge_parts, merge_timelines, timeline_columns
+from ..session import path_exists, run_folder
 from ..sources.files import FILE_SCHEMA
+from .levels import Levels
 
 
 def table_stream(spark: SparkSession, root: str, table: str, files_per_batch: int = 1_000) -> DataFrame:
@@ -90,13 +92,68 @@ def dedup_within_watermark(requests: DataFrame, key: str, time: str, delay: str)
     return requests.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def timeline_levels(path: str, events: DataFrame, order: tuple[str, ...] = ("timestamp", "event_id")) -> Levels:
+    """The stored timelines of events with the columns of ``events``, which may be a stream."""
+    parts = events.groupBy("transfer_session_id").agg(*timeline_columns(list(order)))
+    return Levels(path, ddl(parts), ("transfer_session_id",), merge_parts)
+
+
 def timeline_batches(path: str, order: tuple[str, ...] = ("timestamp", "event_id")) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores each micro-batch's part of every session's timeline.
 
-    ``merge_timelines`` puts the parts together when they are read. There is no
-    watermark, so an event counts however late it comes.
+    Parts are merged as they are written, so a session has at most one row a level.
+    There is no watermark: an event counts however late it comes.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        parts = batch.groupBy("transfer_session_id").agg(*timeline_columns(list(order)))
+        timeline_levels(path, batch, order).store(parts, batch_id)
+    return store
+
+
+def read_timelines(events: DataFrame, path: str, order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
+    """The stored timelines, one row a session."""
+    return merge_timelines(timeline_levels(path, events, order).read(events.sparkSession))
+
+
+def _commit_levels(path: str) -> Levels:
+    return Levels(f"{path}/commits", "content_key string", ("content_key",), lambda rows: rows.select("content_key").distinct())
+
+
+def commit_batches(path: str, keys: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that stores every content once, whatever becomes of the checkpoint.
+
+    A row's content key is a checksum of its ``keys``, or of all its columns. Rows
+    whose key is committed are left out; the others are written, and then
+    their keys are committed. Commits are numbered by the table and not by the
+    stream, so neither a lost checkpoint nor other cuts between batches
+    store anything twice. Data without a commit is not read and is written over by the next attempt.
+    Rows of one batch with the same key are one, the first by their JSON text.
+    One stream at a time may write to a table.
     """
-    return store_batches(lambda batch: batch.groupBy("transfer_session_id").agg(*timeline_columns(list(order))), path)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark, commits, folder = batch.sparkSession, _commit_levels(path), run_folder(batch.sparkSession, "commit")
+        content = F.to_json(F.struct(*(keys or batch.columns)))
+        row = F.struct(*batch.columns)
+        keyed = batch.groupBy(F.sha2(content, 256).alias("content_key")).agg(F.min_by(row, F.to_json(row)).alias("row"))
+        keyed.write.parquet(folder)
+        keyed = spark.read.schema(keyed.schema).parquet(folder)
+        known = commits.read(spark, touched=keyed).select("content_key")
+        fresh = keyed.join(known, "content_key", "left_anti")
+        number = commits.next_id(spark)
+        place = f"{path}/data/commit={number}"
+        fresh.write.mode("overwrite").parquet(place)
+        written = spark.read.schema(keyed.schema).parquet(place)
+        if not written.isEmpty():
+            commits.store(written.select("content_key"), number)
+    return store
+
+
+def read_commits(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The committed rows; an empty table before the first commit."""
+    if not path_exists(spark, f"{path}/data"):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"content_key string, row struct<{schema}>, commit bigint").parquet(f"{path}/data")
+    return rows.where(F.col("commit") < _commit_levels(path).next_id(spark)).select("row.*")
 
 
 def latest_per_key(changes: DataFrame, keys: list[str]) -> DataFrame:
