@@ -58,6 +58,34 @@ def column_profile(t: Tables):
     return sources.column_profile(orders, exact=orders.columns)
 
 
+@check("column_profile_merged", " UNION ALL ".join(
+    f"""SELECT '{name}' AS column_name, {i} AS ordinal, count(*) - count({name}) AS null_count, true AS within_bound FROM orders"""
+    for i, (name, _) in enumerate(_ORDER_COLUMNS, start=1)))
+def column_profile_merged(t: Tables):
+    """Sketches of two parts of a table, stored and merged, within 3 % (about four standard deviations) of the exact counts."""
+    orders, folder = t.base("orders"), run_folder(t.spark, "sketches")
+    for part in ("o_orderkey % 3 = 0", "o_orderkey % 3 <> 0 OR o_orderkey IS NULL"):
+        sources.profile_sketches(orders.where(part)).write.mode("append").parquet(folder)
+    merged = sources.merge_profiles(t.spark.read.parquet(folder))
+    exact = sources.column_profile(orders, exact=orders.columns).select("column_name", F.col("distinct_count").alias("exact"))
+    return merged.join(exact, "column_name").select(
+        "column_name", "ordinal", "null_count", (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.03 * F.col("exact")).alias("within_bound"))
+
+
+_CUT_COLUMNS = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_custkey"]
+
+
+@check("scan_jdbc_parts", " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, count(*) AS total, 1 AS least, 1 AS most FROM orders" for name in _CUT_COLUMNS))
+def scan_jdbc_parts(t: Tables):
+    """Equal-depth predicates applied to the table: each row meets exactly one."""
+    orders = t.base("orders").withColumn("o_custkey", F.expr("CASE WHEN o_custkey % 4 = 0 THEN NULL ELSE o_custkey END"))
+    met = {name: sources.partition_predicates(orders, name, 16, "`", "") for name in _CUT_COLUMNS}
+    hits = {name: sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in found), F.lit(0)) for name, found in met.items()}
+    rows = orders.select(F.inline(F.array(*[F.struct(F.lit(name).alias("column_name"), n.alias("hits")) for name, n in hits.items()])))
+    return rows.groupBy("column_name").agg(F.count("*").alias("total"), F.min("hits").alias("least"), F.max("hits").alias("most"))
+
+
 @check("enum_domain", "SELECT DISTINCT event_type AS label FROM events WHERE event_type IS NOT NULL")
 def enum_domain(t: Tables):
     return sources.enum_domain(t.base("events"), "event_type")

@@ -85,6 +85,31 @@ def resolve_file_request(t: Tables):
     return file_sources.resolve_file_request(requests, "uri", "wanted").drop("uri", "wanted")
 
 
+_WANTED_SQL = """CASE doc_id % 5 WHEN 0 THEN concat('s3://store-', doc_id % 4, '/', regexp_replace(key, '[^/]*$', ''))
+    WHEN 1 THEN concat('s3://store-', doc_id % 4, '/', key, '.gone') WHEN 2 THEN concat('s3://store-', doc_id % 3, '/', key)
+    WHEN 3 THEN regexp_replace(concat('s3://store-', doc_id % 4, '/', key), '/[^/]*$', '') ELSE concat('s3://store-', doc_id % 4, '/', key) END"""
+
+
+@check("locate_objects", f"""
+    SELECT * FROM (WITH l AS (SELECT concat('store-', doc_id % 4) AS bucket, key, min(size) AS size FROM objects
+               WHERE NOT ends_with(key, '/') AND NOT ends_with(key, '.done') GROUP BY ALL),
+         w AS (SELECT doc_id, split_part(uri, '/', 3) AS bucket, regexp_replace(uri, '^s3://[^/]+/?', '') AS k
+               FROM (SELECT doc_id, {_WANTED_SQL} AS uri FROM objects)),
+         folders AS (SELECT bucket, k, count(l.key) AS n, min(l.key) AS only FROM (SELECT DISTINCT bucket, k FROM w) d
+                     JOIN l USING (bucket) WHERE starts_with(l.key, concat(rtrim(k, '/'), '/')) GROUP BY bucket, k)
+    SELECT doc_id, CASE WHEN w.k = '' THEN 'invalid' WHEN e.key IS NOT NULL OR f.n = 1 THEN 'ok' WHEN f.n > 1 THEN 'several_objects' ELSE 'object_absent' END AS status,
+           CASE WHEN w.k = '' THEN NULL WHEN e.key IS NOT NULL THEN e.key WHEN f.n = 1 THEN f.only END AS source_key,
+           CASE WHEN w.k = '' THEN NULL WHEN e.key IS NOT NULL THEN e.size WHEN f.n = 1 THEN o.size END AS source_size
+    FROM w LEFT JOIN l e ON e.bucket = w.bucket AND e.key = w.k LEFT JOIN folders f ON f.bucket = w.bucket AND f.k = w.k
+    LEFT JOIN l o ON o.bucket = f.bucket AND o.key = f.only)""")
+def locate_objects(t: Tables):
+    objects = t.objects()
+    requests = objects.select("doc_id", F.expr(_WANTED_SQL).alias("uri"), F.lit(None).cast("string").alias("wanted"))
+    listing = objects.select(F.expr("concat('store-', doc_id % 4)").alias("bucket"), "key", "size")
+    located = file_sources.locate_objects(file_sources.resolve_file_request(requests, "uri", "wanted"), listing)
+    return located.select("doc_id", "status", "source_key", "source_size")
+
+
 @check("storage_paths", """
     SELECT doc_id, concat('file_mode/transfers/', session, '/', file_name) AS file_path,
            concat('query_mode/transfers/', session, '/', file_name) AS query_path,

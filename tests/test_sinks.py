@@ -4,8 +4,10 @@ import csv
 import glob
 import json
 import time
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.contracts import ContractError, ExtractSpec
@@ -136,6 +138,29 @@ def test_jdbc_options():
         tables.JdbcSource("db", "core", "u", partition_column="id").options("s", "t", 1)
 
 
+def test_jdbc_predicates_cut_by_equal_depth(spark):
+    rows = spark.range(40_000).selectExpr(
+        "CAST(pow(id / 1000.0, 4) AS BIGINT) AS skewed", "CASE WHEN id % 5 = 0 THEN NULL ELSE pow(id, 3) END AS gaps",
+        "concat('it''s ', substr(sha2(CAST(id AS STRING), 256), 1, 9)) AS text", "CAST(if(id % 2 = 0, id, 0) AS DECIMAL(20,3)) AS hot",
+        "timestamp_micros(id * id * 1000) AS at", "date_add(DATE '2020-01-01', CAST(sqrt(id) AS INT)) AS day", "CAST(NULL AS STRING) AS nothing",
+        "if(id % 100 = 0, CAST('NaN' AS DOUBLE), CAST(id AS DOUBLE)) AS nan")
+    for name in rows.columns:
+        predicates = tables.partition_predicates(rows, name, 10, "`", "")
+        counts = rows.agg(*[F.count_if(F.expr(p)).alias(f"p{i}") for i, p in enumerate(predicates)]).first()
+        assert sum(counts) == 40_000, name
+        if name in ("text", "at", "gaps", "nan", "day"):
+            held = counts[:-1]
+            assert len(held) == 10 and max(held) <= 1.5 * sum(held) / 10, (name, counts)
+    assert tables.partition_predicates(rows, "nothing", 10) == ['"nothing" IS NOT NULL', '"nothing" IS NULL']
+    assert tables.partition_predicates(rows.limit(0), "gaps", 4) == ['"gaps" IS NOT NULL', '"gaps" IS NULL']
+    outside = spark.createDataFrame([(-1.0,), (1e300,), (None,)], "gaps double")
+    found = tables.partition_predicates(rows, "gaps", 10, "`", "")
+    assert [sum(outside.where(p).count() for p in found), outside.where(found[-1]).count()] == [3, 1]
+    assert ' COLLATE "C" ' in tables.partition_predicates(rows, "text", 3)[0]
+    with pytest.raises(ContractError):
+        tables.JdbcSource("db", "core", "u", partition_column="id", lower_bound=0, upper_bound=9, predicates=("a",)).options("s", "t", 1)
+
+
 def test_table_names(spark):
     assert tables.split_table_name(" a.b ") == ("a", "b") and tables.split_table_name("b", "a") == ("a", "b")
     for bad in ("b", ".b", "a."):
@@ -152,6 +177,21 @@ def test_profile_sketch_agrees_on_small_data(spark):
     assert shown(("n", "s")) == shown(()) == shown(("s",)) == {"n": (1, 2), "s": (0, 2)}
 
 
+def test_profiles_of_parts_merge(spark):
+    schema = "a bigint, `b.c` string, n double, m map<string,int>"
+    parts = [[(i % 700, f"x{i}", None, {"k": i % 3}) for i in range(k * 500, k * 500 + 600)] for k in range(4)]
+    sketches = [tables.profile_sketches(spark.createDataFrame(rows, schema)) for rows in [*parts, []]]
+    merged = tables.merge_profiles(reduce(DataFrame.unionByName, sketches))
+    shown = {r["column_name"]: (r["ordinal"], r["null_count"], r["distinct_count"]) for r in merged.collect()}
+    assert shown["n"] == (3, 2_400, 0) and shown["m"] == (4, 0, 3)
+    for name, count in (("a", 700), ("b.c", 2_100)):
+        assert abs(shown[name][2] - count) <= 0.03 * count
+    whole = spark.createDataFrame([r for rows in parts for r in rows], schema)
+    exact = tables.column_profile(whole, whole.columns)
+    assert {r["column_name"]: r["distinct_count"] for r in exact.collect()} == {"a": 700, "b.c": 2_100, "n": 0, "m": 3}
+    assert {r["distinct_count"] for r in tables.column_profile(whole.limit(0), whole.columns).collect()} == {0}
+
+
 def test_synthetic_rows_do_not_depend_on_partitioning(spark):
     columns = [{"name": n, "type": t} for n, t in (
         ("contract_id", "uuid"), ("piid", "varchar"), ("vendor_name", "text"), ("vendor_duns", "text"), ("contract_value", "numeric"),

@@ -169,12 +169,19 @@ def test_folders_with_odd_names(spark, tmp_path, agency, session):
     assert [(r["agency"], r["session"], r["member"]) for r in spark.read.parquet(target).collect()] == [(agency, session, "data.csv")]
 
 
-def test_files_listing_and_too_large(spark, tmp_path, monkeypatch):
-    (tmp_path / "a.bin").write_bytes(b"12345")
-    (tmp_path / "b.bin").write_bytes(b"1" * 50)
-    monkeypatch.setattr(sources, "MAX_FILE_BYTES", 10)
-    got = {os.path.basename(r["key"]): (r["size"], r["content"], r["status"]) for r in sources.read_files(spark, str(tmp_path)).collect()}
-    assert got["a.bin"] == (5, bytearray(b"12345"), "ok") and got["b.bin"] == (50, None, "too_large")
+def test_requested_objects_are_looked_up(spark):
+    listing = spark.createDataFrame(
+        [("b", "in/f.csv", 1), ("b", "in/f.csv", 1), ("b", "in/f.csv.done", 1), ("b", "in/", 0), ("b", "two/x", 2), ("b", "two/y/z", 3),
+         ("b", "both", 4), ("b", "both/x", 5), ("c", "in/g", 6), ("b", "top", 7), (None, "in/h", 8)], "bucket string, key string, size bigint")
+    wanted = {"s3://b/in/f.csv": ("ok", "in/f.csv"), "s3://b/in/": ("ok", "in/f.csv"), "s3://b/in": ("ok", "in/f.csv"), "s3://b/two/": ("several_objects", None),
+              "s3://b/two/y": ("ok", "two/y/z"), "s3://b/both": ("ok", "both"), "s3://b/both/": ("ok", "both/x"), "s3://b/in/g": ("object_absent", None),
+              "s3://b/in/f.csv.done": ("object_absent", None), "s3://b/top": ("ok", "top"), "s3://b/top/": ("object_absent", None), "s3://b": ("invalid", None),
+              "s3://b/i": ("object_absent", None), None: ("missing_path", None)}
+    requests = spark.createDataFrame([(uri, None) for uri in [*wanted, *wanted]], "uri string, name string")
+    located = sources.locate_objects(sources.resolve_file_request(requests, "uri", "name"), listing)
+    assert located.count() == 2 * len(wanted)
+    assert {r["uri"]: (r["status"], r["source_key"]) for r in located.collect()} == wanted
+    assert sources.locate_objects(sources.resolve_file_request(requests, "uri", "name"), listing.limit(0)).where("status = 'ok'").count() == 0
 
 
 @pytest.mark.parametrize("part_bytes", [7, 32 << 20])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import MARKER_SUFFIX, base_name, marker_directory, parse_object_uri
 from ..functions.text import clean, is_blank
+from ..plans.skew import join_back
 
 MANIFEST_SCHEMA = (
     "manifest_version string, transfer_session_id string, sender_agency string, receiver_agency string, "
@@ -24,8 +25,6 @@ MANIFEST_SCHEMA = (
     "zip_file_name:string, zip_file_size_bytes:bigint>>, corrupt string"
 )
 
-# binaryFile holds one file per row; larger files are routed as too_large.
-MAX_FILE_BYTES = (1 << 31) - 1 - (1 << 20)
 # A member is a run of rows of at most this many bytes each.
 PART_BYTES = 32 << 20
 _BATCH_BYTES = 64 << 20
@@ -51,19 +50,6 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str | None = No
         F.col("path").alias("key"), F.col("length").alias("size"), "modificationTime")
 
 
-def read_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
-    """Files with their bytes; a file too large for one row keeps its size and a null content."""
-    files = _binary_files(spark, path, glob)
-    small = files.where(F.col("length") <= MAX_FILE_BYTES).select(
-        F.col("path").alias("key"), F.col("length").alias("size"), "content", F.lit("ok").alias("status")
-    )
-    large = files.where(F.col("length") > MAX_FILE_BYTES).select(
-        F.col("path").alias("key"), F.col("length").alias("size"), F.lit(None).cast("binary").alias("content"),
-        F.lit("too_large").alias("status"),
-    )
-    return small.unionByName(large)
-
-
 def scan_files(listing: DataFrame, prefix: str, key: str = "key") -> DataFrame:
     """The files of a listing that lie below a prefix: no folder keys, no markers, not the prefix itself."""
     path = F.col(key)
@@ -105,6 +91,37 @@ def resolve_file_request(requests: DataFrame, uri: str, override: str, status: s
     )
 
 
+def locate_objects(located: DataFrame, listing: DataFrame, status: str = "status", bucket: str = "bucket", key: str = "key") -> DataFrame:
+    """Which object of a listing each resolved request means; adds ``source_key`` and ``source_size``.
+
+    A request that names an object has it. One that names a folder, with or without
+    its slash, has the object below it if there is one only; ``several_objects``
+    if there are more, and ``object_absent`` if there is none. An object comes before
+    a folder of the same name. Folder keys and markers are no objects, and a key
+    listed twice is one object, of the lesser size. Requests that were not
+    resolved keep their status.
+    """
+    path, parts = F.col(key), F.split(F.col(key), "/")
+    folders = F.when(F.size(parts) > 1, F.transform(
+        F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))).otherwise(F.array())
+    objects = listing.where(~path.endswith("/") & ~path.endswith(MARKER_SUFFIX)).select(
+        F.col(bucket).alias("bucket"), F.struct(path.alias("key"), F.col("size").alias("size")).alias("__object"),
+        F.explode(F.concat(F.array(path), folders)).alias("__name"))
+    same = F.col("__object.key") == F.col("__name")
+    below = F.when(~same, F.col("__object"))
+    # A line per object and folder, whatever the number of objects below it.
+    named = objects.groupBy("bucket", "__name").agg(
+        F.min(F.when(same, F.col("__object"))).alias("__exact"), F.min(below).alias("__least"), F.max(below).alias("__most"))
+    rows = join_back(located.withColumn("__name", F.regexp_replace("object_key", "/$", "")), named, ["bucket", "__name"])
+    one = F.when(F.col("__least.key") == F.col("__most.key"), F.col("__least"))
+    found = F.when(F.col("object_key").endswith("/"), one).otherwise(F.coalesce("__exact", one))
+    outcome = F.when(F.col(status) != "ok", F.col(status)).when(F.col("__found").isNotNull(), F.lit("ok")).when(
+        F.col("__least").isNotNull(), F.lit("several_objects")).otherwise(F.lit("object_absent"))
+    return rows.withColumn("__found", found).withColumns({
+        status: outcome, "source_key": F.col("__found.key"), "source_size": F.col("__found.size"),
+    }).drop("__name", "__exact", "__least", "__most", "__found")
+
+
 def archive_field_names(files):
     """Manifest entries under their standard names, whichever names the archive entry uses."""
     return F.transform(files, lambda f: F.struct(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,8 +65,9 @@ def scan_parquet(spark: SparkSession, root: str, table: str) -> DataFrame:
 class JdbcSource:
     """Connection and partitioning of a database table.
 
-    A big table needs ``partition_column`` with its bounds: without it Spark
-    would read everything through one connection in one task.
+    A big table needs ``predicates``, from ``partition_predicates``, or a
+    ``partition_column`` with its bounds: without them Spark would read
+    everything through one connection in one task.
     """
 
     host: str
@@ -77,6 +81,7 @@ class JdbcSource:
     upper_bound: str | int | None = None
     num_partitions: int = 64
     fetch_size: int = 10_000
+    predicates: tuple[str, ...] = ()
 
     def options(self, schema: str, table: str, timeout_seconds: int) -> dict[str, str]:
         engine = self.engine.strip().lower()
@@ -93,6 +98,8 @@ class JdbcSource:
             "pushDownPredicate": "true",
             "pushDownLimit": "true",
         }
+        if self.partition_column is not None and self.predicates:
+            raise ContractError("jdbc_bounds_conflict", "predicates and partition_column exclude each other")
         if self.partition_column is not None:
             if self.lower_bound is None or self.upper_bound is None:
                 raise ContractError("jdbc_bounds_missing", "partition_column needs lower_bound and upper_bound")
@@ -106,7 +113,61 @@ class JdbcSource:
 
 
 def scan_jdbc(spark: SparkSession, source: JdbcSource, schema: str, table: str, timeout_seconds: int = 60) -> DataFrame:
-    return spark.read.format("jdbc").options(**source.options(schema, table, timeout_seconds)).load()
+    options = source.options(schema, table, timeout_seconds)
+    if not source.predicates:
+        return spark.read.format("jdbc").options(**options).load()
+    url, name = options.pop("url"), options.pop("dbtable")
+    return spark.read.jdbc(url, name, predicates=list(source.predicates), properties=options)
+
+
+#: Rows that the bounds of partitions are chosen from, about; the sample is all that reaches the driver.
+BOUND_SAMPLE = 20_000
+
+
+def _literal(value) -> str | None:
+    """SQL form of a bound that means the same to every engine, or None."""
+    if isinstance(value, bool) or value is None or value != value:
+        return None
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ', timespec='microseconds')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, float):
+        return repr(value) if math.isfinite(value) else None
+    if isinstance(value, (int, Decimal)):
+        return format(value, "f") if isinstance(value, Decimal) else str(value)
+    if isinstance(value, str) and value.isprintable() and "\\" not in value:
+        return "'" + value.replace("'", "''") + "'"
+    return None
+
+
+def partition_predicates(rows: DataFrame, column: str, parts: int, quote: str = '"', collation: str = ' COLLATE "C"') -> list[str]:
+    """Predicates for ``JdbcSource`` that cut a table by equal depth, so that a skewed column gives even tasks.
+
+    ``rows`` holds the column, of any orderable type, as an earlier extract or a
+    sample that the database drew. The bounds are quantiles of about
+    ``BOUND_SAMPLE`` of them. Every row meets exactly one predicate: the ends are
+    open, and nulls have one of their own. A value that many rows share is
+    not split, as no predicate on the column can do that. Text is compared by code point, whatever the table's collation.
+    """
+    values = rows.select(F.col(f"`{column}`").alias("v")).where(F.col("v").isNotNull())
+    kind = rows.schema[column].dataType
+    total = values.count()
+    drawn = values.sample(fraction=min(1.0, BOUND_SAMPLE / max(total, 1)), seed=7) if total > BOUND_SAMPLE else values
+    sample = sorted(v for v in (r["v"] for r in drawn.collect()) if v == v)
+    name = f"{quote}{column.replace(quote, quote * 2)}{quote}"
+    term = name + collation if isinstance(kind, T.StringType) else name
+    bounds: list[str] = []
+    for i in range(1, parts):
+        value = sample[i * len(sample) // parts] if sample else None
+        literal = _literal(value)
+        # The least value opens no part of its own, and a value opens one part only.
+        if literal is not None and value != sample[0] and literal not in bounds[-1:]:
+            bounds.append(literal)
+    if not bounds:
+        return [f"{name} IS NOT NULL", f"{name} IS NULL"]
+    inner = [f"{term} >= {low} AND {term} < {high}" for low, high in zip(bounds, bounds[1:])]
+    return [f"{term} < {bounds[0]}", *inner, f"{term} >= {bounds[-1]}", f"{name} IS NULL"]
 
 
 def table_inventory(tables: dict[str, DataFrame]) -> DataFrame:
@@ -130,51 +191,68 @@ def table_preview(df: DataFrame, key: list[str], n: int) -> DataFrame:
     return df.orderBy(*key).limit(n).withColumn("total_rows", total)
 
 
+#: Size of a distinct-count sketch: 2^14 cells, a relative error of 0.8 % (one standard deviation).
+SKETCH_BITS = 14
+SKETCH_SCHEMA = "column_name string, ordinal int, data_type string, nullable boolean, null_count bigint, sketch binary"
+
+
+def profile_sketches(df: DataFrame) -> DataFrame:
+    """A line per column with its null count and a sketch of its distinct values, from one scan.
+
+    The lines of parts of a table can be stored; ``merge_profiles`` makes the
+    table's profile of them, so a grown table is profiled from its new parts.
+    """
+    fields = df.schema.fields
+    if not fields:
+        return df.sparkSession.createDataFrame([], SKETCH_SCHEMA)
+    wide = df.agg(*[
+        F.struct(
+            F.count_if(F.col(f"`{f.name}`").isNull()).alias("null_count"),
+            F.hll_sketch_agg(_comparable(f), F.lit(SKETCH_BITS)).alias("sketch"),
+        ).alias(f"s{position}")
+        for position, f in enumerate(fields, start=1)
+    ])
+    rows = F.array(*[
+        F.struct(
+            F.lit(f.name).alias("column_name"), F.lit(position).alias("ordinal"), F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit(f.nullable).alias("nullable"), F.col(f"s{position}.null_count"), F.col(f"s{position}.sketch"))
+        for position, f in enumerate(fields, start=1)
+    ])
+    return wide.select(F.inline(rows))
+
+
+def merge_profiles(sketches: DataFrame) -> DataFrame:
+    """The profile of all parts whose sketches are given; a column is nullable if it is so in any part."""
+    return sketches.groupBy("column_name", "ordinal", "data_type").agg(
+        F.bool_or("nullable").alias("nullable"), F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_count"))
+
+
 def column_profile(df: DataFrame, exact: Sequence[str] = ()) -> DataFrame:
     """Position, type, nullability, null count and distinct count of every column.
 
     One pass of sketches counts all columns. The columns named in ``exact`` are
-    counted exactly, each by a scan of that column alone, whose repeated values
-    are combined on the map side.
+    counted exactly, together in one more scan, whose repeated values are
+    combined on the map side.
     """
-    fields = list(enumerate(df.schema.fields, start=1))
-    facts = F.create_map(*[
-        item
-        for position, f in fields
-        for item in (
-            F.lit(f.name),
-            F.struct(
-                F.lit(position).alias("ordinal"), F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.lit(f.nullable).alias("nullable"),
-            ),
-        )
-    ])
+    facts = ["column_name", "ordinal", "data_type", "nullable"]
+    named = [(position, f) for position, f in enumerate(df.schema.fields, start=1) if f.name in exact]
+    rest = [f"`{f.name}`" for f in df.schema.fields if f.name not in exact]
     parts = []
-    sketched = [f for _, f in fields if f.name not in exact]
-    if sketched:
-        wide = df.agg(*[
-            F.struct(
-                F.count_if(F.col(f"`{f.name}`").isNull()).alias("null_count"),
-                F.approx_count_distinct(_comparable(f)).alias("distinct_count"),
-            ).alias(f.name)
-            for f in sketched
-        ])
-        rows = F.array(*[
-            F.struct(F.lit(f.name).alias("column_name"), F.col(f"`{f.name}`").alias("s")) for f in sketched
-        ])
-        parts.append(wide.select(F.inline(rows)).select("column_name", "s.null_count", "s.distinct_count"))
-    for _, f in fields:
-        if f.name in exact:
-            values = df.select(_comparable(f).alias("value")).groupBy("value").agg(F.count("*").alias("n"))
-            parts.append(values.agg(
-                F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-                F.count("value").alias("distinct_count")).select(F.lit(f.name).alias("column_name"), "null_count", "distinct_count"))
-    stats = reduce(DataFrame.unionByName, parts)
-    fact = facts[F.col("column_name")]
-    return stats.select(
-        "column_name", fact["ordinal"].alias("ordinal"), fact["data_type"].alias("data_type"),
-        fact["nullable"].alias("nullable"), "null_count", "distinct_count",
-    )
+    if rest:
+        places = F.create_map(*[F.lit(x) for position, f in enumerate(df.schema.fields, start=1) for x in (f.name, position)])
+        parts.append(merge_profiles(profile_sketches(df.select(*rest))).withColumn("ordinal", places[F.col("column_name")]))
+    if named:
+        values = df.select(F.inline(F.array(*[
+            F.struct(F.lit(position).alias("ordinal"), _comparable(f).alias("value")) for position, f in named])))
+        counted = values.groupBy("ordinal", "value").agg(F.count("*").alias("n")).groupBy("ordinal").agg(
+            F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls"), F.count("value").alias("distinct_count"))
+        lines = df.sparkSession.createDataFrame(
+            [(f.name, position, f.dataType.simpleString(), f.nullable) for position, f in named], "column_name string, ordinal int, data_type string, nullable boolean")
+        zero = F.lit(0).cast("bigint")
+        parts.append(lines.join(counted, "ordinal", "left").select(
+            *facts, F.coalesce("nulls", zero).alias("null_count"), F.coalesce("distinct_count", zero).alias("distinct_count")))
+    return reduce(DataFrame.unionByName, parts).select(*facts, "null_count", "distinct_count")
 
 
 def _comparable(field: T.StructField):
