@@ -93,6 +93,40 @@ def test_near_duplicates(spark):
     assert sorted(i for i in ids if i is not None) == sorted(kept) and ids.count(None) == 2
 
 
+def counted_moves(monkeypatch):
+    """Counts of the set rows that each pass of comparisons moves."""
+    moves, compared = [], odd_sketch._compared
+    monkeypatch.setattr(odd_sketch, "_compared", lambda dealt, held: moves.append(dealt.count()) or compared(dealt, held))
+    return moves
+
+
+def test_a_large_group_moves_each_set_a_few_times(spark, monkeypatch):
+    """A document is in a group for each leader it shares a band with, about three here, and moves once in each, not once a block."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(n, " ".join([*base[:i], f"x{n}", *base[i + 1:]])) for n in range(600) for i in [(37 * n) % 200]]
+    monkeypatch.setattr(odd_sketch, "BLOCK", 50)
+    moves = counted_moves(monkeypatch)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    assert ordered(odd_sketch.near_duplicates(docs).collect()) == brute.near_duplicates(rows)
+    assert len(moves) == 1 and moves[0] < 4 * len(rows)  # there are 12 blocks
+
+
+def test_members_apart_from_the_leader_meet_all_cells(spark, monkeypatch):
+    """Chains that lead away from the leader's text, so that members link across cells only."""
+    rows, base = [], [f"w{i}" for i in range(120)]
+    for chain in range(3):
+        text = list(base)
+        for step in range(60):
+            text[(step * 7 + chain * 40) % 120] = f"c{chain}s{step}"
+            rows.append((chain * 1_000 + step, " ".join(text)))
+    monkeypatch.setattr(odd_sketch, "BLOCK", 8)
+    moves = counted_moves(monkeypatch)
+    docs = spark.createDataFrame(rows + rows[50:55], "doc_id bigint, text string")
+    expected = brute.near_duplicates(rows)
+    found = odd_sketch.near_duplicates(docs).distinct()
+    assert ordered(found.collect()) == expected and len(moves) == 2 and len({c for _, _, c, _ in expected}) < len(rows)
+
+
 def test_near_duplicates_in_blocks(spark, monkeypatch):
     """A large group of near copies, none of which all others resemble, compared block by block."""
     draw = np.random.default_rng(2)

@@ -12,10 +12,12 @@ percent or more; components of linked texts share the smallest id.
    limit lies far below the similarity wanted, and every pair above it is confirmed on full sets.
 3. Buckets are not expanded into pairs. All buckets with the same smallest member form one
    group, so a document is in few groups, however many bands it shares. A group is cut into
-   blocks of ``BLOCK`` members, and each pair of blocks is one task: it compares sketches,
-   confirms pairs from the most to the least alike on full sets, and only while the two are in
-   different components. A group of copies costs about one confirmation a member, and no
-   possible link is left out. Only one link a member leaves the task.
+   cells of ``BLOCK`` members, each with the group's smallest member as its leader. A task
+   compares the sketches of a cell, confirms pairs from the most to the least alike on full sets, and only
+   while the two are in different components. Members that no cell connects with the leader are then
+   compared with all cells, in blocks. No possible link is left out. A group of copies costs about one
+   confirmation a member and moves each set once; each further ``BLOCK`` of unconnected
+   members moves it once more. Only one link a member leaves the task.
 4. Components are joined over all groups by smallest-neighbour steps and pointer jumps.
 
 Pairs at the limit of similarity miss all bands with probability (1 - 0.8^4)^32, about 5e-8.
@@ -181,20 +183,32 @@ def _groups(batches, keys: int):
 
 
 def _stars(batches):
-    """Links from the first member of each component to its others, group by group."""
-    left, right = [], []
+    """Group by group, links from the first member of each component to its others.
+
+    Where the group is a cell of a larger one, a row (doc_id, null, leader) names each member that is
+    not connected with the leader here.
+    """
+    made, held = [], 0
     for group in _groups(batches, 3):
         node = group.column("doc_id").to_numpy()
         sets, bits = (_words(group.column(name)) for name in ("keys", "sketch"))
         label = join_block(group.column("block").to_numpy(), np.stack(bits), sets)
         joined = np.flatnonzero(label != np.arange(len(label)))
-        left.append(node[label[joined]])
-        right.append(node[joined])
-        if sum(map(len, left)) > 1 << 16:
-            yield pa.RecordBatch.from_pydict({"a": np.concatenate(left), "b": np.concatenate(right)})
-            left, right = [], []
-    if left:
-        yield pa.RecordBatch.from_pydict({"a": np.concatenate(left), "b": np.concatenate(right)})
+        left, right, lead = node[label[joined]], node[joined], np.full(len(joined), -1)
+        leader = group.column("leader")[0].as_py()
+        if group.column("cells")[0].as_py() > 1:
+            led = np.isin(label, label[node == leader])
+            apart = np.setdiff1d(node, node[led])
+            left, right, lead = (np.concatenate(x) for x in ((left, apart), (right, np.full(len(apart), -1)), (lead, np.full(len(apart), leader))))
+        is_link = np.arange(len(left)) < len(joined)
+        made.append(pa.RecordBatch.from_arrays(
+            [pa.array(left), pa.array(right, mask=~is_link), pa.array(lead, mask=is_link)], names=["a", "b", "leader"]))
+        held += len(left)
+        if held > 1 << 16:
+            yield pa.concat_batches(made)
+            made, held = [], 0
+    if made:
+        yield pa.concat_batches(made)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -222,20 +236,16 @@ def once_per_id(df: DataFrame, repeated: DataFrame, key: list[str]) -> DataFrame
     return once.unionByName(df.join(few, "doc_id", "left_semi").select(*df.columns).dropDuplicates(key))
 
 
-def find_links(documents: DataFrame, sketched: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """Confirmed links (a, b) between class representatives, enough to connect every component."""
-    banded = sketched.select("doc_id", F.posexplode("bands")).select("doc_id", F.xxhash64("pos", "col").alias("band"))
-    leaders = banded.groupBy("band").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader <> last")
-    met = banded.join(leaders.select("band", "leader"), "band").select("leader", "doc_id").distinct()
-    met = written(met, "groups")
-    sizes = sketched.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"), F.count("*").alias("rows"))
-    blocks = met.join(sizes, "doc_id").groupBy("leader").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    dealt = met.join(blocks, "leader").select(
-        "leader", "doc_id", "blocks", F.expr("CAST(pmod(xxhash64(doc_id), blocks) AS INT)").alias("block"))
-    dealt = dealt.select("leader", "doc_id", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).select(
-        "leader", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "doc_id", "block")
+def _blocks():
+    return F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+
+
+def _place(blocks: str):
+    return F.expr(f"CAST(pmod(xxhash64(doc_id), {blocks}) AS INT)")
 
+
+def _sets(documents: DataFrame, nodes: DataFrame, repeated: DataFrame, words: int) -> DataFrame:
+    """``doc_id``, set and sketch of the documents in the written table ``nodes``."""
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         row, keys, rows = shingles(batch.column(1), words)
         first = np.searchsorted(row, np.arange(rows + 1))
@@ -243,13 +253,52 @@ def find_links(documents: DataFrame, sketched: DataFrame, words: int = SHINGLE)
         return pa.RecordBatch.from_pydict({
             "doc_id": batch.column(0), "keys": pa.array([keys[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary()),
             "sketch": pa.array([b.tobytes() for b in made], pa.binary())})
-    nodes = written(met.select("doc_id").distinct(), "nodes")
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(sent_if_small(nodes), "doc_id", "left_semi")
     held = map_slices(texts.select("doc_id", "text"), sets, "doc_id bigint, keys binary, sketch binary").where("length(keys) > 0")
-    held = once_per_id(held, written(sizes.where("rows > 1").select("doc_id"), "repeated"), ["doc_id", "keys"])
+    return once_per_id(held, repeated, ["doc_id", "keys"])
+
+
+def _compared(dealt: DataFrame, held: DataFrame) -> DataFrame:
+    """What ``_stars`` finds in each (leader, low, high) of ``dealt``."""
     order = ["leader", "low", "high"]
-    rows = dealt.join(held, "doc_id").select(*order, "doc_id", "block", "keys", "sketch")
-    return rows.repartition(*order).sortWithinPartitions(*order, "doc_id").mapInArrow(_stars, "a bigint, b bigint")
+    rows = dealt.join(held, "doc_id").select(*order, "doc_id", "block", "cells", "keys", "sketch")
+    return rows.repartition(*order).sortWithinPartitions(*order, "doc_id").mapInArrow(_stars, "a bigint, b bigint, leader bigint")
+
+
+def find_links(documents: DataFrame, sketched: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """Confirmed links (a, b) between class representatives, enough to connect every component.
+
+    A group is cut into cells, and its leader is in each of them. Members of a cell are compared with each other. What is
+    connected with the leader needs no comparison with what is so in other cells. The members that
+    are not are then compared with all cells, in blocks. A set therefore moves once in its group, and once more for each
+    block of members that no cell connects with the leader.
+    """
+    banded = sketched.select("doc_id", F.posexplode("bands")).select("doc_id", F.xxhash64("pos", "col").alias("band"))
+    leaders = banded.groupBy("band").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last")).where("leader <> last")
+    met = banded.join(leaders.select("band", "leader"), "band").select("leader", "doc_id").distinct()
+    met = written(met, "groups")
+    sizes = sketched.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"), F.count("*").alias("rows"))
+    large = written(met.join(sizes, "doc_id").groupBy("leader").agg(_blocks().alias("cells")).where("cells > 1"), "large-groups")
+    placed = met.join(sent_if_small(large, 16), "leader", "left").select("leader", "doc_id", F.coalesce("cells", F.lit(1)).alias("cells"))
+    cells = F.when(F.col("doc_id") == F.col("leader"), F.sequence(F.lit(0), F.col("cells") - 1)).otherwise(F.array(_place("cells")))
+    dealt = placed.select("leader", "doc_id", "cells", F.explode(cells).alias("low")).withColumns({"high": F.lit(-1), "block": F.lit(0)})
+
+    nodes = written(met.select("doc_id").distinct(), "nodes")
+    repeated = written(sizes.where("rows > 1").select("doc_id"), "repeated")
+    found = written(_compared(dealt, _sets(documents, nodes, repeated, words)), "cells")
+    links = found.where("leader IS NULL").select("a", "b")
+    apart = written(found.where("leader IS NOT NULL").select("leader", F.col("a").alias("doc_id")), "apart")
+    if apart.isEmpty():
+        return links
+    open_groups = written(apart.join(sizes, "doc_id").groupBy("leader").agg(_blocks().alias("blocks")).join(large, "leader"), "open-groups")
+    sent = sent_if_small(open_groups, 24)
+    members = met.join(sent, "leader").select(
+        "leader", "doc_id", _place("cells").alias("low"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("high"), F.lit(0).alias("block"))
+    others = apart.join(sent, "leader").select(
+        "leader", "doc_id", F.explode(F.expr("sequence(0, cells - 1)")).alias("low"), _place("blocks").alias("high"), F.lit(1).alias("block"))
+    across = members.unionByName(others).withColumn("cells", F.lit(1))
+    again = written(members.select("doc_id").distinct(), "open-nodes")
+    return links.union(_compared(across, _sets(documents, again, repeated, words)).select("a", "b"))
 
 
 def near_duplicates(documents: DataFrame, words: int = SHINGLE) -> DataFrame:
