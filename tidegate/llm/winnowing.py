@@ -20,7 +20,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import free_name, sent_if_small, written
+from .tables import BROADCAST_BYTES, free_name, sent_if_small, written
 
 SPAN, GRAM = 10, 6
 WINDOW = SPAN - GRAM + 1
@@ -71,49 +71,65 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return long.unionByName(short).select("item_id", "size", "print", "said").distinct()
 
 
-def find_hits(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id``, ``row_key`` and, per row with a hit, hit words and items; equal rows share one result.
+def _sent(windows: DataFrame) -> DataFrame:
+    """Written windows, marked for broadcast where their measured text is small; adaptive execution splits hot windows beyond."""
+    size = windows.agg(F.sum(F.octet_length("said") + F.lit(64)).alias("n")).first()["n"] or 0
+    return F.broadcast(windows) if size <= BROADCAST_BYTES else windows
 
-    The item windows and the documents under suspicion are written to the shared folder, so
-    their size is known when a join is planned.
+
+def _survey(keyed: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Per document: doc_id, row_key, n_words, n_rows (equal rows of one task) and whether an item shares a fingerprint.
+
+    The only pass that splits every text. A document's first line is not a fingerprint but its own
+    key, so documents without a window are there too and no key is shared by all of them.
     """
-    windows = written(item_windows(benchmark), "item-windows")
-    lengths = sorted(r["size"] for r in windows.where(F.col("size") < SPAN).select("size").distinct().collect())
+    known = written(windows.select("print").distinct(), "item-prints")
+    hashed = _hashed(keyed.select("doc_id", "row_key", F.spark_partition_id().alias("part"), _words("text").alias("words")))
+    cut = ", ".join([_minima(), *map(_whole, lengths)])
+    prints = hashed.select("doc_id", "row_key", "part", F.size("words").cast("bigint").alias("n_words"),
+                           F.posexplode(F.expr(f"concat(array(xxhash64(row_key, part)), array_distinct(concat({cut})))")).alias("place", "print"))
+    met = prints.join(sent_if_small(known).withColumn("met", F.lit(True)), "print", "left")
+    return met.groupBy("doc_id", "row_key", "part", "n_words").agg(
+        F.count_if(F.col("place") == 0).alias("n_rows"), F.coalesce(F.bool_or("met"), F.lit(False)).alias("suspect")).drop("part")
+
 
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"))
-    hashed = _hashed(rows.select("doc_id", "row_key", _words("text").alias("words")))
-    prints = hashed.select("doc_id", "row_key", F.explode(F.expr(
-        f"array_distinct(concat({', '.join([_minima(), *map(_whole, lengths)])}))")).alias("print"))
-    known = windows.select("print").distinct()
-    suspects = written(prints.join(known, "print", "left_semi").select("doc_id", "row_key").distinct(), "suspects")
+def _same(left: str, right: str):
+    return F.col(f"{left}.row_key").eqNullSafe(F.col(f"{right}.row_key")) & F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id"))
 
-    same = F.col("d.row_key").eqNullSafe(F.col("s.row_key")) & F.col("d.doc_id").eqNullSafe(F.col("s.doc_id"))
-    texts = rows.alias("d").join(sent_if_small(suspects, 16).alias("s"), same, "left_semi").distinct()
+
+def window_hits(documents: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The survey of all documents, the item windows, and the places of item windows in documents; equal rows share theirs.
+
+    All three are written to the shared folder, so their size is known when a join is planned.
+    Texts are read twice: every one for the survey, those under suspicion again for their windows.
+    """
+    windows = written(item_windows(benchmark), "item-windows")
+    lengths = sorted(r["size"] for r in windows.where(F.col("size") < SPAN).select("size").distinct().collect())
+    keyed = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"))
+    survey = written(_survey(keyed, windows, lengths), "survey")
+    suspects = written(survey.where("suspect").select("doc_id", "row_key").distinct(), "suspects")
+    texts = keyed.alias("d").join(sent_if_small(suspects, 16).alias("s"), _same("d", "s"), "left_semi").distinct()
     cut = _windows(_hashed(texts.select("doc_id", "row_key", _words("text").alias("words"))), lengths, "doc_id", "row_key")
-    hits = cut.join(windows.select("print", "said", "size").distinct(), ["print", "said", "size"], "left_semi")
-    hits = written(hits, "window-hits")
+    plain = written(windows.select("print", "said", "size").distinct(), "plain-windows")
+    return survey, windows, written(cut.join(_sent(plain), ["print", "said", "size"], "left_semi"), "window-hits")
+
 
+def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Words, hit words and items of every document."""
+    survey, windows, hits = window_hits(documents, benchmark)
     covered = hits.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("at", "size")).alias("spans")).select(
         "doc_id", "row_key", F.expr(
             "CAST(size(array_distinct(flatten(transform(spans, s -> sequence(s.at, s.at + s.size - 1))))) AS BIGINT)").alias("n_hit"))
     named = hits.select("doc_id", "row_key", "print", "said").distinct().join(
-        windows.select("item_id", "print", "said"), ["print", "said"]).where("item_id IS NOT NULL")
+        _sent(windows).select("item_id", "print", "said"), ["print", "said"]).where("item_id IS NOT NULL")
     items = named.select("doc_id", "row_key", F.col("item_id").cast("string").alias("item_id")).distinct().groupBy(
         "doc_id", "row_key").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
-    both = covered.alias("d").join(items.alias("s"), same, "left")
-    return both.select("d.doc_id", "d.row_key", "n_hit", F.coalesce("items", F.expr("CAST(array() AS array<string>)")).alias("items"))
-
-
-def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Words, hit words and items of every document."""
-    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_key"),
-                            F.size(_words("text")).cast("bigint").alias("n_words"))
-    same = F.col("d.row_key").eqNullSafe(F.col("h.row_key")) & F.col("d.doc_id").eqNullSafe(F.col("h.doc_id"))
-    found = rows.alias("d").join(find_hits(documents, benchmark).alias("h"), same, "left")
+    found = survey.alias("d").join(covered.alias("h"), _same("d", "h"), "left").join(items.alias("s"), _same("d", "s"), "left")
     listed = F.coalesce("items", F.expr("CAST(array() AS array<string>)"))
-    return found.select(
-        "d.doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.size(listed).cast("bigint").alias("n_items"), F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
+    one = found.select("d.doc_id", "n_words", "n_hit", listed.alias("items"), F.explode(F.expr("array_repeat(0, CAST(n_rows AS INT))")))
+    return one.select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
 
 
@@ -121,7 +137,7 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns, that share no window with the benchmark."""
     key = free_name(documents, "row_key")
     keyed = documents.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))).alias("d")
-    hits = find_hits(documents, benchmark).select(F.col("doc_id").alias("hit_id"), F.col("row_key").alias("hit_key"))
+    hits = window_hits(documents, benchmark)[2].select(F.col("doc_id").alias("hit_id"), F.col("row_key").alias("hit_key")).distinct()
     few = sent_if_small(written(hits, "contaminated"), 16).alias("h")
     same = F.col(f"d.{key}").eqNullSafe(F.col("h.hit_key")) & F.col("d.doc_id").cast("bigint").eqNullSafe(F.col("h.hit_id"))
     return keyed.join(few, same, "left_anti").select(*documents.columns)
