@@ -39,15 +39,13 @@ def stream_new_files(t: Tables):
 def stream_dedup_requests(t: Tables):
     job_stream.use_state_store(t.spark)
     rows, out = t.fingerprints().select("fingerprint", "c_custkey"), run_folder(t.spark, "dedup")
-    store = batches.store_batches(lambda df: df, f"{out}/table")
 
     def run():
         source = batches.folder_stream(t.spark, f"{out}/arrived", rows.schema)
-        firsts = batches.first_arrivals(source, "fingerprint", ["c_custkey"])
-        return batches.start(firsts.writeStream.outputMode("update").foreachBatch(store), f"{out}/checkpoint")
+        return batches.start(batches.first_arrivals(source, "fingerprint", ["c_custkey"], f"{out}/table"), f"{out}/checkpoint")
 
     _arrive(rows, "c_custkey % 4", f"{out}/arrived", run)
-    return batches.read_batches(t.spark, f"{out}/table", batches.ddl(rows)).select("fingerprint", "c_custkey")
+    return batches.read_commits(t.spark, f"{out}/table", batches.ddl(rows)).select("fingerprint", "c_custkey")
 
 
 @check("stream_session_timeline", "SELECT * FROM timeline")

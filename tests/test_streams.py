@@ -39,10 +39,31 @@ def arrivals(spark, tmp_path, schema, parts, writer):
 def test_first_arrivals_are_remembered(spark, tmp_path):
     jobs.use_state_store(spark)
     out, schema = str(tmp_path / "out"), "fingerprint string, at bigint"
-    store = batches.store_batches(lambda df: df, out)
-    arrivals(spark, tmp_path, schema, [[("a", 2), ("a", 1), ("b", 3)], [("b", 1), ("c", 5), ("c", 6)], [("a", 0)]], lambda s: batches.first_arrivals(
-        s, "fingerprint", ["at"]).writeStream.outputMode("update").foreachBatch(store))
-    assert sorted((r["fingerprint"], r["at"]) for r in batches.read_batches(spark, out, schema).collect()) == [("a", 1), ("b", 3), ("c", 5)]
+    parts = [[("a", 2), ("a", 1), ("b", 3), (None, 1)], [("b", 1), ("c", 5), ("c", 6), (None, 0)], [("a", 0)]]
+    arrivals(spark, tmp_path, schema, parts, lambda s: batches.first_arrivals(s, "fingerprint", ["at"], out))
+    stored = {(r["fingerprint"], r["at"]) for r in batches.read_commits(spark, out, schema).collect()}
+    assert stored == {("a", 1), ("b", 3), ("c", 5), (None, 1)}
+
+
+def test_memory_of_arrivals_is_bounded(spark, tmp_path):
+    """Keys leave the state after the delay, and copies of them are refused still."""
+    jobs.use_state_store(spark)
+    folder, out, schema = str(tmp_path / "arrived"), str(tmp_path / "out"), "fingerprint string, at bigint"
+    held, parts = [], [[(f"k{b}-{i}", b) for i in range(200)] + [(f"k{max(0, b - 2)}-{i}", b) for i in range(100)] for b in range(6)]
+    for rows in parts:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(folder)
+        stream = batches.folder_stream(spark, folder, spark.createDataFrame([], schema).schema)
+        query = batches.start(batches.first_arrivals(stream, "fingerprint", ["at"], out, "1 millisecond"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        held.append(max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]))
+    # 300 rows a batch: never more than the batch in hand and the one before it, of 1,800 in all.
+    assert max(held) <= 600
+    whole = spark.createDataFrame([r for part in parts for r in part], schema)
+    stored = batches.read_commits(spark, out, schema)
+    assert sorted(stored.collect()) == sorted(whole.groupBy("fingerprint").agg(F.min("at").alias("at")).collect())
+    # A lost checkpoint takes all arrivals again and stores none of them.
+    drain(batches.first_arrivals(batches.folder_stream(spark, folder, whole.schema), "fingerprint", ["at"], out), str(tmp_path / "new"))
+    assert batches.read_commits(spark, out, schema).count() == 1_200
 
 
 def test_late_events_count(spark, tmp_path):

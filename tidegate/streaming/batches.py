@@ -71,20 +71,25 @@ def store_batches(transform: Callable[[DataFrame], DataFrame], path: str) -> Cal
     return store
 
 
-def first_arrivals(requests: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first request of each key, for all time, as it arrives; of one micro-batch the first in ``order``.
+def drop_recent_copies(requests: DataFrame, keys: list[str], delay: str) -> DataFrame:
+    """Drop rows whose keys arrived within the delay, so that few copies reach the table of all keys.
 
-    The state store remembers the first row of each key and is read by key, so
-    a micro-batch costs what it holds and not what came before. Copies are
-    combined on the map side.
+    The state holds keys and no rows, and keys leave it once the delay has passed. Time is that of arrival: no request
+    is late, however old its own times are. A copy after the delay passes and is for ``commit_batches`` to refuse.
     """
-    stamped = requests.withColumn("arrived", F.current_timestamp())
-    position = F.struct("arrived", *order)
-    firsts = stamped.groupBy(key).agg(
-        F.min_by(F.struct(*[name for name in requests.columns if name != key]), position).alias("first"), F.min("arrived").alias("arrived"))
-    # A key that was known before keeps its earlier time.
-    return firsts.where(F.col("arrived") == F.current_timestamp()).select(
-        *[F.col(key) if name == key else F.col(f"first.`{name}`").alias(name) for name in requests.columns])
+    stamped = requests.withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", delay)
+    return stamped.dropDuplicatesWithinWatermark(keys).drop("__arrived")
+
+
+def first_arrivals(requests: DataFrame, key: str, order: list[str], path: str, delay: str = "1 hour") -> DataStreamWriter:
+    """Store the first request of each key, for all time, as it arrives; of one micro-batch the first in ``order``.
+
+    Two tiers remember: the state store what came within the delay, by key and order, and the table of commits below
+    ``path`` every key. A micro-batch reads only the folders its keys fall into, so neither memory nor the
+    work of a batch grows with the stream's age. ``read_commits`` reads the result.
+    """
+    recent = drop_recent_copies(requests, [key, *(name for name in order if name != key)], delay)
+    return recent.writeStream.outputMode("append").foreachBatch(commit_batches(path, [key], order))
 
 
 def dedup_within_watermark(requests: DataFrame, key: str, time: str, delay: str) -> DataFrame:
@@ -119,7 +124,7 @@ def _commit_levels(path: str) -> Levels:
     return Levels(f"{path}/commits", "content_key string", ("content_key",), lambda rows: rows.select("content_key").distinct())
 
 
-def commit_batches(path: str, keys: list[str] | None = None) -> Callable[[DataFrame, int], None]:
+def commit_batches(path: str, keys: list[str] | None = None, order: list[str] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that stores every content once, whatever becomes of the checkpoint.
 
     A row's content key is a checksum of its ``keys``, or of all its columns. Rows
@@ -127,14 +132,14 @@ def commit_batches(path: str, keys: list[str] | None = None) -> Callable[[DataFr
     their keys are committed. Commits are numbered by the table and not by the
     stream, so neither a lost checkpoint nor other cuts between batches
     store anything twice. Data without a commit is not read and is written over by the next attempt.
-    Rows of one batch with the same key are one, the first by their JSON text.
+    Rows of one batch with the same key are one, the first in ``order`` and then by their JSON text.
     One stream at a time may write to a table.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
         spark, commits, folder = batch.sparkSession, _commit_levels(path), run_folder(batch.sparkSession, "commit")
         content = F.to_json(F.struct(*(keys or batch.columns)))
         row = F.struct(*batch.columns)
-        keyed = batch.groupBy(F.sha2(content, 256).alias("content_key")).agg(F.min_by(row, F.to_json(row)).alias("row"))
+        keyed = batch.groupBy(F.sha2(content, 256).alias("content_key")).agg(F.min_by(row, F.struct(*(order or []), F.to_json(row))).alias("row"))
         keyed.write.parquet(folder)
         keyed = spark.read.schema(keyed.schema).parquet(folder)
         known = commits.read(spark, touched=keyed).select("content_key")
