@@ -1,9 +1,12 @@
 """Operators with exact results against brute force, on whole small tables and odd rows."""
 
+import os
+import resource
 import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -167,6 +170,27 @@ def test_language_model_needs_files(spark):
         ngram_trie.local_path("hdfs://name/folder")
 
 
+def test_trie_holds_few_mappings(spark, monkeypatch):
+    """More than 200 shards a level under a limit of 64 more descriptors and of 16 mapped shards."""
+    texts = [" ".join(f"w{(i * j) % 701}" for j in range(1, 60)) for i in range(1, 120)]
+    monkeypatch.setattr(ngram_trie, "SHARD_BYTES", 100)
+    trie = ngram_trie.train(brute.documents(spark, list(enumerate(texts))), 1)
+    assert trie.shards > 200
+    column = pa.array([*texts, "w1 unseen w2", None, ""])
+    whole = trie.score(column)
+    mapped = len(trie.opened)
+    trie.opened.clear()
+    monkeypatch.setattr(ngram_trie, "OPEN", 16)
+    limit = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (len(os.listdir("/proc/self/fd")) + 64, limit[1]))
+    try:
+        few = trie.score(column)
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, limit)
+    assert mapped > 200 and len(trie.opened) <= 16
+    assert all((whole[name] == few[name]).all() for name in whole)
+
+
 @pytest.mark.parametrize("source", [table, odd])
 def test_packing(spark, source):
     df = source(spark)

@@ -21,7 +21,8 @@ Levels are cut into shards of about ``SHARD_BYTES`` of training text: words by h
 triples by the first word, and a first word that holds more than half a shard by the second word
 too. Counts are summed per task before they move, as sorted and compressed arrays, one row a
 shard; each shard is built by one task and written under a temporary name, so a repeated task
-changes nothing. The driver sees one line a shard. Words with equal hashes count as one
+changes nothing. The driver sees the sizes of each shard and the words that are split. A task maps the
+shards it needs, at most ``OPEN`` at a time. Words with equal hashes count as one
 (n^2 / 2^65 expected pairs among n distinct words); a vocabulary of 2^32 words or more is refused.
 
 A null or empty text is one end token. Repeated rows count and score each for themselves; rows with
@@ -31,7 +32,9 @@ folder must be a mounted file system, as memory mapping needs files.
 
 from __future__ import annotations
 
+import mmap
 import os
+import sys
 import uuid
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
@@ -44,7 +47,7 @@ from pyspark.sql import functions as F
 
 from ..session import run_folder
 from .elias_fano import Sequence, _pack, _unpack, encode
-from .tables import crc_rest
+from .tables import crc_rest, written
 from .words import Words, slices
 
 SHARD_BYTES = 24 << 20
@@ -52,6 +55,8 @@ MIN_COUNT = 2
 DISCOUNT = 0.75
 LM_SLICE = 6 << 20
 FLUSH = 2 << 20
+#: Shards that a task keeps mapped; the one unused longest goes first.
+OPEN = 512
 _END = np.uint64(0x2545F4914F6CDD1D)
 _CODES = 4096
 _LOW32 = np.uint64(0xFFFFFFFF)
@@ -83,8 +88,10 @@ def write_sections(path: str, sections: list[np.ndarray]) -> None:
 
 
 def open_sections(path: str) -> list[np.ndarray]:
-    """The sections of a file, memory-mapped."""
-    words = np.memmap(path, np.uint64, "r").view(np.ndarray)
+    """The sections of a file, memory-mapped; where Python can, the mapping holds no file descriptor."""
+    with open(path, "rb") as file:
+        held = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, **({"trackfd": False} if sys.version_info >= (3, 13) else {}))
+    words = np.frombuffer(held, np.uint64)
     count = int(words[0])
     edges = np.cumsum(np.concatenate([[1 + count], words[1:1 + count].astype(np.int64)]))
     return [words[a:b] for a, b in zip(edges, edges[1:])]
@@ -222,7 +229,7 @@ class Level:
 
 
 class Trie:
-    """The levels of a model below one folder; opened shards stay mapped as long as the object."""
+    """The levels of a model below one folder; up to ``OPEN`` shards stay mapped."""
 
     def __init__(self, folder: str, shards: int):
         self.folder, self.shards = folder, shards
@@ -242,14 +249,17 @@ class Trie:
 
     def sections(self, level: str, shard: int) -> list:
         key = (level, shard)
-        if key not in self.opened:
+        parts = self.opened.pop(key, None)
+        if parts is None:
             parts = open_sections(self.path(level, shard))
             if level == "words":
                 parts = [Sequence(parts[0]), parts[1], int(parts[2][0])]
             else:
                 parts = [Level(*parts[:4]), *parts[4:]]
-            self.opened[key] = parts
-        return self.opened[key]
+            while len(self.opened) >= OPEN:
+                del self.opened[next(iter(self.opened))]
+        self.opened[key] = parts  # the last in order is the one used last
+        return parts
 
     # words
 
@@ -411,6 +421,13 @@ def _counted(texts: DataFrame, count) -> DataFrame:
     return texts.mapInArrow(run, _Counter.SCHEMA)
 
 
+def _built(counts: DataFrame, shards: int, build) -> DataFrame:
+    """The lines of ``build(table)`` for every shard, written; with as many tasks as shards where the session has fewer."""
+    if shards > int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        counts = counts.repartition(shards, "shard")
+    return written(counts.groupBy("shard").applyInArrow(build, _BUILT), "trie-lines")
+
+
 _BUILT = "shard int, n bigint, tokens bigint, once bigint, twice bigint, mass double, hot array<struct<id:bigint,count:bigint>>"
 
 
@@ -432,12 +449,13 @@ def _build_words(trie: Trie, texts: DataFrame) -> None:
         keys, counts = _merged(table)
         width = int(counts.max()).bit_length()
         write_sections(trie.path("words", shard), [encode(keys, 1 << 64), _pack(counts, width), np.array([width], np.uint64)])
-        # Words of more than a hundredth of the shard may be hot; the driver knows the total.
+        # Words of more than a hundredth of the shard may be hot; whether they are follows from the total.
         top = np.flatnonzero(counts > max(1, int(counts.sum()) // 100))
         return _line(shard, len(keys), int(counts.sum()), int((counts == 1).sum()), int((counts == 2).sum()),
                      hot=zip(top.tolist(), counts[top].tolist()))
 
-    lines = _counted(texts, count).groupBy("shard").applyInArrow(build, _BUILT).collect()
+    built = _built(_counted(texts, count), trie.shards, build)
+    lines = built.drop("hot").collect()
     sizes = np.zeros(trie.shards, np.int64)
     for line in lines:
         sizes[line["shard"]] = line["n"]
@@ -449,12 +467,12 @@ def _build_words(trie: Trie, texts: DataFrame) -> None:
     trie.discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
 
     split = {int(first) << 32 for first, n in zip(trie.first_id, sizes) if n} | {0}
-    for line in lines:
-        for hot in line["hot"]:
-            parts = -(-hot["count"] * trie.shards // max(1, trie.tokens))
-            if 2 * hot["count"] * trie.shards > trie.tokens:
-                word = int(trie.first_id[line["shard"]]) + hot["id"]
-                split |= {(word << 32) + trie.words * k // parts for k in range(parts)} | {(word + 1) << 32}
+    # A word of more than half a shard's tokens: at most two a shard in all, whatever the vocabulary.
+    hot_words = built.select("shard", F.inline("hot")).where(F.col("count") * (2 * trie.shards) > trie.tokens).collect()
+    for line in hot_words:
+        parts = -(-line["count"] * trie.shards // trie.tokens)
+        word = int(trie.first_id[line["shard"]]) + line["id"]
+        split |= {(word << 32) + trie.words * k // parts for k in range(parts)} | {(word + 1) << 32}
     trie.split = np.array(sorted(s for s in split if s >> 32 < max(1, trie.words)), np.uint64)
 
 
@@ -483,7 +501,7 @@ def _build_pairs(trie: Trie, texts: DataFrame, min_count: int) -> None:
             _pack(counts.astype(np.uint64), width), np.array([width], np.uint64)])
         return _line(shard, len(keys), mass=float(mass[0]))
 
-    lines = _counted(texts, count).groupBy("shard").applyInArrow(build, _BUILT).collect()
+    lines = _built(_counted(texts, count), len(trie.split), build).select("shard", "n", "mass").collect()
     sizes = np.zeros(len(trie.split), np.int64)
     mass = np.zeros(len(trie.split))
     for line in lines:
@@ -532,7 +550,7 @@ def _build_triples(trie: Trie, texts: DataFrame, min_count: int) -> None:
     blank = np.zeros(0, np.uint64)
     empty = (0, _squeeze(blank), _squeeze(blank))
     every = spark.createDataFrame([(s, *empty) for s, in filled], _Counter.SCHEMA)
-    _counted(texts, count).unionByName(every).groupBy("shard").applyInArrow(build, _BUILT).collect()
+    _built(_counted(texts, count).unionByName(every), len(trie.split), build)
 
 
 def train(texts: DataFrame, min_count: int = MIN_COUNT) -> Trie:
