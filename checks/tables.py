@@ -127,7 +127,10 @@ class Tables:
 
     def definition_docs(self, broken: bool = False) -> DataFrame:
         """Product definitions as nested documents; ``broken`` adds one fault to half of them."""
-        parts = self.base("part").selectExpr("*", "p_partkey % 40 AS n", f"{'p_partkey % 30' if broken else '-1'} AS b")
+        # A definition is many times the size of its part: deal the parts out whatever the number of table files.
+        parts = self.base("part").select("p_partkey", "p_name", "p_size").repartition(
+            self.spark.sparkContext.defaultParallelism, "p_partkey")
+        parts = parts.selectExpr("*", "p_partkey % 40 AS n", f"{'p_partkey % 30' if broken else '-1'} AS b")
         param = "named_struct('name', '{0}', 'type', '{1}', 'description', '', 'allowed_values', {2}, 'min', {3}, 'max', {4})"
 
         def p(name: str, kind: str, allowed: str = "'[]'", low: str = "CAST(NULL AS DOUBLE)",

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from checks.tables import Tables
 from tidegate.operators import governance, registry
 from tidegate.sources import documents
 
@@ -101,6 +102,23 @@ def test_allowed_values_keep_their_types(spark, load, allowed, value, fine):
     assert checked["bad_values"] == ([] if fine else ["schema"])
 
 
+def test_types_of_fields_come_from_one_walk(spark):
+    """Paths into the whole document, one per rule, walk it again and again."""
+    df = spark.createDataFrame([(json.dumps(definition()),)], "raw string").select("raw", F.from_json("raw", documents.DEFINITION_SCHEMA).alias("d"))
+    checked = registry.definition_schema_check(df.select("raw", "d.*"), "raw")
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get") < 40
+    assert checked.columns == ["raw", *df.select("d.*").columns, "violations"] and checked.first()["violations"] == []
+
+
+def test_definitions_are_dealt_out(spark, tmp_path):
+    """One small file of parts must not be one task of definitions."""
+    rows = spark.range(0, 400, 1, 1).selectExpr("id AS p_partkey", "concat('part ', id) AS p_name", "CAST(id % 7 AS INT) AS p_size")
+    rows.write.parquet(f"{tmp_path}/part.parquet")
+    texts = Tables(spark, str(tmp_path)).definition_texts(broken=True)
+    assert texts.select(F.spark_partition_id().alias("task")).distinct().count() > 1
+
+
 def test_valid_definition_has_no_violations(load):
     checked = registry.definition_schema_check(load(definition()))
     assert checked.first()["violations"] == []

@@ -158,28 +158,62 @@ def _params(name: str, col: Column, at_least: int) -> list[tuple[str, Column]]:
     ]
 
 
-def _kind(document: Column, path: str) -> Column:
+def _kinds(value: Column) -> Column:
+    """JSON type of every field of an object; null where ``value`` is none."""
+    return F.transform_values(F.try_variant_get(value, "$", "map<string,variant>"), lambda _, field: F.schema_of_variant(field))
+
+
+def _with_kinds(definitions: DataFrame, raw: str) -> DataFrame:
+    """``definitions`` with the types of all checked fields, from one walk over each document.
+
+    Columns are named ``__kinds:`` and the path of a section, nested object or list of objects.
+    """
+    sections = [path for path in SECTION_FIELDS if path != "$"]
+    added = definitions.withColumn("__doc", F.try_parse_json(F.col(raw))).withColumn(
+        "__at:$", F.try_variant_get("__doc", "$", "map<string,variant>"))
+    added = added.withColumns({f"__at:{path}": F.try_variant_get(
+        F.col("__at:$")[path[2:]], "$", "map<string,variant>") for path in sections})
+
+    def at(path: str) -> Column:
+        section, _, name = path.partition(".")
+        return F.col(f"`__at:$.{section}`")[name]
+    types = lambda path: F.transform_values(F.col(f"`__at:{path}`"), lambda _, field: F.schema_of_variant(field))
+    # The type of a section names all below it, of which its own columns hold the types.
+    tops = F.transform_values(F.col("`__at:$`"), lambda _, field: F.when(
+        F.try_variant_get(field, "$", "map<string,variant>").isNotNull(), F.lit("OBJECT")).otherwise(F.schema_of_variant(field)))
+    return added.withColumns({
+        "__kinds:$": tops, **{f"__kinds:{path}": types(path) for path in sections},
+        **{f"__kinds:$.{path}": _kinds(at(path)) for path in OBJECT_KINDS},
+        **{f"__kinds:$.{path}": F.transform(F.try_variant_get(at(path), "$", "array<variant>"), _kinds) for path in LIST_KINDS},
+    }).drop("__doc", "__at:$", *[f"__at:{path}" for path in sections])
+
+
+def _kinds_at(path: str) -> Column:
+    return F.col(f"`__kinds:{path}`")
+
+
+def _kind(path: str) -> Column:
     """JSON type of a field; null where it is absent."""
-    return F.schema_of_variant(F.try_variant_get(document, f"$.{path}", "variant"))
+    parent, _, name = f"$.{path}".rpartition(".")
+    return _kinds_at(parent)[name]
 
 
-def _extra_keys(value: Column, allowed) -> Column:
-    keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-    return F.coalesce(F.size(F.array_except(keys, F.array(*[F.lit(name) for name in allowed]))) > 0, F.lit(False))
+def _extra_keys(kinds: Column, allowed) -> Column:
+    extra = F.array_except(F.map_keys(kinds), F.array(*[F.lit(name) for name in allowed]))
+    return F.coalesce(F.size(extra) > 0, F.lit(False))
 
 
-def _document_rules(document: Column) -> list[tuple[str, Column]]:
+def _document_rules() -> list[tuple[str, Column]]:
     """Unexpected keys and wrong types of every section, nested object and list item of a document."""
-    at = lambda path: F.try_variant_get(document, f"$.{path}", "variant")
-    rules = [(f"{'document' if path == '$' else path[2:]}:unexpected_key", _extra_keys(document if path == "$" else at(path[2:]), allowed))
+    rules = [(f"{'document' if path == '$' else path[2:]}:unexpected_key", _extra_keys(_kinds_at(path), allowed))
              for path, allowed in SECTION_FIELDS.items()]
-    rules += [(f"{path}:unexpected_key", _extra_keys(at(path), fields)) for path, fields in OBJECT_KINDS.items()]
+    rules += [(f"{path}:unexpected_key", _extra_keys(_kinds_at(f"$.{path}"), fields)) for path, fields in OBJECT_KINDS.items()]
     for path, fields in LIST_KINDS.items():
-        items = F.try_variant_get(document, f"$.{path}", "array<variant>")
+        items = _kinds_at(f"$.{path}")
         rules.append((f"{path}:item_unexpected_key", F.exists(items, lambda item: _extra_keys(item, fields))))
         rules.append((f"{path}:item_kind", F.exists(items, lambda item: reduce(or_, [
-            ~F.coalesce(_kind(item, name).rlike(kind), F.lit(True)) for name, kind in fields.items()]))))
-    return rules + [(f"{path}:type", ~_kind(document, path).rlike(f"{kind}|^VOID$")) for path, kind in FIELD_KINDS.items()]
+            ~F.coalesce(item[name].rlike(kind), F.lit(True)) for name, kind in fields.items()]))))
+    return rules + [(f"{path}:type", ~_kind(path).rlike(f"{kind}|^VOID$")) for path, kind in FIELD_KINDS.items()]
 
 
 def definition_schema_check(definitions: DataFrame, raw: str | None = None) -> DataFrame:
@@ -192,8 +226,8 @@ def definition_schema_check(definitions: DataFrame, raw: str | None = None) -> D
     c = F.col
     rules: list[tuple[str, Column]] = []
     if raw is not None:
-        definitions = definitions.withColumn("__doc", F.try_parse_json(c(raw)))
-        rules += _document_rules(c("__doc"))
+        definitions = _with_kinds(definitions, raw)
+        rules += _document_rules()
     rules += _length("dataproduct_id", c("dataproduct_id"), 3)
     rules += [("dataproduct_id:pattern", ~c("dataproduct_id").rlike(ID_PATTERN))]
     rules += _length("name", c("name"), 3, 200)
@@ -263,6 +297,6 @@ def definition_schema_check(definitions: DataFrame, raw: str | None = None) -> D
                 notices[name], lambda address: ~address.rlike(EMAIL_PATTERN))),
         ]
     if raw is not None:
-        rules = [(code, broken & F.coalesce(_kind(c("__doc"), code[:-8]) == "VOID", F.lit(True)))
+        rules = [(code, broken & F.coalesce(_kind(code[:-8]) == "VOID", F.lit(True)))
                  if code.endswith(":missing") and code[:-8] in FIELD_KINDS else (code, broken) for code, broken in rules]
-    return definitions.withColumn("violations", violations(*rules)).drop("__doc")
+    return definitions.withColumn("violations", violations(*rules)).drop(*[n for n in definitions.columns if n.startswith("__kinds:")])
