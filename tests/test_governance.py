@@ -119,6 +119,16 @@ def test_definitions_are_dealt_out(spark, tmp_path):
     assert texts.select(F.spark_partition_id().alias("task")).distinct().count() > 1
 
 
+def test_active_definition_sorts_no_whole_definitions(spark, load):
+    """Keys and order are aggregated first; of the definitions only those in force are sorted."""
+    docs = [definition(version=f"1.{n}", dataproduct_id=f"dp_{n % 3}") for n in range(30)] + [definition(version="9.0", status="draft")]
+    flat = registry.flatten_definitions(load(*docs))
+    found = registry.active_definition(flat.unionByName(flat).unionByName(flat.withColumn("dataproduct_id", F.lit(None).cast("string"))))
+    assert {(r["dataproduct_id"], r["version"]) for r in found.collect()} == {("dp_0", "1.27"), ("dp_1", "1.28"), ("dp_2", "1.29"), ("dp_one", "9.0"), (None, "1.29")}
+    assert found.count() == 5 and found.columns == flat.columns
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_valid_definition_has_no_violations(load):
     checked = registry.definition_schema_check(load(definition()))
     assert checked.first()["violations"] == []

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import violations
 from ..functions.text import clean_lower
 from ..functions.versions import VERSION_PATTERN, version_key
-from ..plans.skew import first_per_key, join_back
+from ..plans.skew import first_of_wide_rows, join_back
 
 # Patterns and enumerations of a product definition.
 ID_PATTERN = "^[a-z0-9][a-z0-9_-]{2,63}$"
@@ -94,7 +94,7 @@ def active_definition(definitions: DataFrame) -> DataFrame:
     descending = F.transform(version_key(F.col("version")), lambda part: -part)
     unreadable = F.array(*[F.lit(1).cast("bigint")] * 3)
     order = [F.col("status") != "active", F.coalesce(descending, unreadable), F.col("path")]
-    return first_per_key(definitions, ["dataproduct_id"], [c.alias(f"o{i}") for i, c in enumerate(order)])
+    return first_of_wide_rows(definitions, ["dataproduct_id"], [c.alias(f"o{i}") for i, c in enumerate(order)])
 
 
 def duplicate_definitions(definitions: DataFrame) -> DataFrame:

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import run_folder
+
 _KEY_HASH = "__key_hash"
+#: Marks of this many bytes in all are sent to every executor; more are joined by shuffle.
+_SENT_BYTES = 32 << 20
 
 
 def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -35,3 +39,24 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     rest = [name for name in df.columns if name not in keys]
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
     return picked.select(*keys, *[F.col(f"__row.`{name}`").alias(name) for name in rest]).select(*df.columns)
+
+
+def first_of_wide_rows(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """``first_per_key`` of rows much wider than their keys and order, written to the shared folder.
+
+    An aggregation whose buffer holds a whole row sorts whole rows in every task.
+    Here keys and order alone are aggregated; a hash of each key's first order,
+    written and counted, then picks the rows that are aggregated. Equal hashes
+    let some more rows through and change nothing. What is left has a known size,
+    so a join on it broadcasts it, if it is small, and not its other side.
+    """
+    def written(rows: DataFrame) -> DataFrame:
+        folder = run_folder(df.sparkSession, "firsts")
+        rows.write.parquet(folder)
+        return df.sparkSession.read.schema(rows.schema).parquet(folder)
+
+    firsts = df.select(*keys, F.struct(*order).alias("__order")).groupBy(*keys).agg(F.min("__order").alias("__order"))
+    marks = written(firsts.select(F.xxhash64(*keys, "__order").alias("__mark")))
+    marks = F.broadcast(marks) if 8 * marks.count() <= _SENT_BYTES else marks
+    picked = df.join(marks, F.xxhash64(*keys, F.struct(*order)) == F.col("__mark"), "left_semi")
+    return written(first_per_key(picked, keys, order))
