@@ -8,6 +8,7 @@ import json
 import os
 import tarfile
 
+import pyarrow as pa
 import pytest
 
 from tidegate.operators.aggregates import status_counts
@@ -157,6 +158,17 @@ def test_members_come_in_parts(spark, monkeypatch):
     assert whole["n", None]["status"] == "no_content" and whole["bad", None]["status"] == "unreadable"
 
 
+def test_archives_leave_in_batches_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(sources, "ARROW_BYTES", 10_000)
+    made = []
+    rows = ((n, made.append(n) or b"x" * 3_000) for n in range(20))
+    sizes = []
+    for batch in sources.arrow_batches(rows, pa.schema([("k", pa.int64()), ("archive", pa.binary())]), "archive"):
+        sizes.append(batch.num_rows)
+        assert len(made) == sum(sizes)  # nothing is made ahead
+    assert sizes == [4] * 5
+
+
 @pytest.mark.parametrize("agency, session", [("north east", "s 2"), ("a+b", "50% off"), ("büro", "%41 é")])
 def test_folders_with_odd_names(spark, tmp_path, agency, session):
     landing, target, markers = (str(tmp_path / name) for name in ("landing", "target", "markers"))

@@ -8,13 +8,13 @@ import hashlib
 import io
 import tarfile
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import target_path
 from ..session import path_exists, run_folder
-from ..sources.files import archive_field_names_out
+from ..sources.files import archive_field_names_out, arrow_batches
 
 MARKER_SCHEMA = "agency string, session string, kind string, detail string"
 #: Buckets of the marker table and of the target table; a table keeps the number it was made with.
@@ -22,7 +22,7 @@ MARKER_BUCKETS, TARGET_BUCKETS = 64, 256
 
 
 def pack_archives(files: DataFrame, keys: list[str], name: str = "file_name", content: str = "content") -> DataFrame:
-    """A tar.gz per file, byte-equal on every run because it carries no time."""
+    """A tar.gz per file, byte-equal on every run because it carries no time. A worker holds one batch as it came and few archives."""
     def pack(body: bytes, member: str) -> bytes:
         buffer = io.BytesIO()
         with gzip.GzipFile(fileobj=buffer, mode="wb", compresslevel=6, mtime=0) as packed, tarfile.open(fileobj=packed, mode="w") as tar:
@@ -31,15 +31,17 @@ def pack_archives(files: DataFrame, keys: list[str], name: str = "file_name", co
             tar.addfile(info, io.BytesIO(body))
         return buffer.getvalue()
 
-    def pack_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [pack(body, member) for body, member in zip(batch[content], batch[name])]
-            yield batch[[*keys, name]].assign(archive=packed)
+            kept = list(range(batch.num_columns - 1))
+            rows = ((*(batch.column(c)[i].as_py() for c in kept), pack(batch.column(len(kept))[i].as_py(), batch.column(len(kept) - 1)[i].as_py()))
+                    for i in range(batch.num_rows))
+            yield from arrow_batches(rows, pa.schema([*list(batch.schema)[:-1], pa.field("archive", pa.binary())]), "archive")
 
     fields = files.select(*keys, name).schema.fields
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", archive binary"
     narrow = files.select(*keys, name, F.col(content).cast("binary").alias(content))
-    return narrow.mapInPandas(pack_batches, schema)
+    return narrow.mapInArrow(pack_batches, schema)
 
 
 def manifest_json(manifests: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +29,12 @@ MANIFEST_SCHEMA = (
 # A member is a run of rows of at most this many bytes each.
 PART_BYTES = 32 << 20
 _BATCH_BYTES = 64 << 20
+#: Content of one batch of members of archives held in a column, and of one batch of archives.
+ARROW_BYTES = 4 << 20
 MEMBER_COLUMNS = ["member", "part", "size", "sha256", "content", "status"]
 MEMBER_SCHEMA = "member string, part bigint, size bigint, sha256 string, content binary, status string"
+MEMBER_FIELDS = [pa.field(name, kind) for name, kind in zip(
+    MEMBER_COLUMNS, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()))]
 
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -215,21 +220,39 @@ def member_schema(archives: DataFrame, keys: list[str]) -> str:
     return f"{kept}, {MEMBER_SCHEMA}"
 
 
+def arrow_batches(rows: Iterator[tuple], schema: pa.Schema, content: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut by the bytes of their content, made of rows one at a time."""
+    kept, held, at = [], 0, schema.get_field_index(content)
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(values, field.type) for values, field in zip(zip(*kept), schema)], schema=schema)
+    for row in rows:
+        kept.append(row)
+        held += 200 + len(row[at] or b"")
+        if held >= ARROW_BYTES:
+            yield batch()
+            kept, held = [], 0
+    if kept:
+        yield batch()
+
+
 def expand_archives(archives: DataFrame, keys: list[str], content: str = "content") -> DataFrame:
     """Regular files of each tar.gz held in a column, as rows of ``member_rows``.
 
-    An archive is not splittable, so the work is parallel across archives.
+    An archive is not splittable, so the work is parallel across archives. A worker holds
+    an incoming batch as it came, the archive in hand and about ``ARROW_BYTES`` of members.
     """
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for i in range(batch.num_rows):
+            *key, data = (column[i].as_py() for column in batch.columns)
+            found = member_rows(io.BytesIO(data)) if data is not None else [(None, None, None, None, None, "no_content")]
+            for row in found:
+                yield *key, *row
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for *key, data in batch[[*keys, content]].itertuples(index=False, name=None):
-                found = member_rows(io.BytesIO(data)) if data is not None else [(None, None, None, None, None, "no_content")]
-                for row in found:
-                    yield *key, *row
-
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from batched_rows(rows(batches), [*keys, *MEMBER_COLUMNS])
-    return archives.select(*keys, content).mapInPandas(expand, member_schema(archives, keys))
+            yield from arrow_batches(rows(batch), pa.schema([*list(batch.schema)[:-1], *MEMBER_FIELDS]), "content")
+    return archives.select(*keys, content).mapInArrow(expand, member_schema(archives, keys))
 
 
 def whole_members(rows: DataFrame) -> DataFrame:
