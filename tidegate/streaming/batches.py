@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..operators.audit import merge_parts, merge_timelines, timeline_columns
 from ..session import path_exists, run_folder
 from ..sources.files import FILE_SCHEMA
-from .levels import Levels
+from .levels import Levels, has_parts
 
 
 def table_stream(spark: SparkSession, root: str, table: str, files_per_batch: int = 1_000) -> DataFrame:
@@ -53,10 +53,12 @@ def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
-    """All batches with their id; an empty table before the first batch."""
+    """All batches with their id, or the live parts of a table of doubling parts; an empty table before the first batch."""
     full = f"{schema}, batch_id bigint"
     if not path_exists(spark, path):
         return spark.createDataFrame([], full)
+    if has_parts(spark, path):
+        return Levels(path, schema, (), lambda rows: rows).read(spark)
     return spark.read.schema(full).option("basePath", path).parquet(path)
 
 

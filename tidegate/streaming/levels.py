@@ -9,6 +9,7 @@ the folders they fall into and no others.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -24,6 +25,13 @@ GRACE = 4
 Part = tuple[int, int]
 
 
+def has_parts(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds parts of such a table, and not a folder a batch."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    return any(re.fullmatch("[0-9]{12,}-[0-9]{12,}", status.getPath().getName()) for status in found)
+
+
 @dataclass(frozen=True)
 class Levels:
     """A table below ``path`` with at most one row a key in each of its parts.
