@@ -92,6 +92,22 @@ def test_common_grams_count_all_texts(spark):
     assert len(prefix_join.common_grams(texts, 1, 4, most=1)[0]) == 0
 
 
+def test_prefixes_that_one_text_has_are_not_stored(spark, monkeypatch):
+    """Of the prefixes only n-grams of several texts are written, whatever the number of ranges they are dealt over."""
+    stored, keep = {}, prefix_join.written
+
+    def written(df, label):
+        stored[label] = keep(df, label)
+        return stored[label]
+    monkeypatch.setattr(prefix_join, "written", written)
+    monkeypatch.setattr(prefix_join, "RANGE", 64)
+    text = " ".join(f"s{k}" for k in range(60))
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(40)] + [(100, text), (101, text + " more")]
+    got = prefix_join.similar_documents(brute.documents(spark, rows).repartition(3), 4, 85).collect()
+    assert Counter(map(tuple, got)) == linked_components(rows, 4, 85)
+    assert {r["node"] for r in stored["postings"].collect()} == {100, 101}
+
+
 # Importance resampling
 
 def importance_rows(rows, target, longest, percent=10, buckets=10_000):

@@ -12,7 +12,8 @@ components of linked texts share the smallest id.
    entries, come last by power; all others come first, and the hash decides within a power. Any order
    is right for the filters; this one keeps shared lines and passages out of prefixes.
 3. Linked sets share an n-gram among the first n - ceil(percent n / 100) + 1 of each, and the shorter
-   has it among its still fewer first. Prefixes are joined on n-grams, through the smallest member
+   has it among its still fewer first. Prefixes move once, packed, to where n-grams of one set only are
+   dropped; the others are joined on n-grams, through the smallest member
    (by a hash) of each n-gram's documents: all n-grams with the same smallest member form a group.
 4. A group is dealt into cells of ``BLOCK`` members. In a cell each member looks up the others by prefix
    n-grams; sizes, the place of the first shared n-gram and the differences of the parts bound the overlap from
@@ -325,18 +326,52 @@ def _cells(batches, percent: int, led: bool):
 
 # Join
 
-def _postings(texts: DataFrame, words: int, percent: int, common, ranges: int) -> DataFrame:
-    """Prefix n-grams of every set: gram, node, size, place."""
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _shared_postings(texts: DataFrame, words: int, percent: int, common, ranges: int) -> DataFrame:
+    """Prefix n-grams that more than one posting has: gram, node, size, place.
+
+    Postings move once, in packed columns, to the task of their range, which drops those of one set only.
+    """
+    kinds = {"grams": np.uint32, "nodes": np.int64, "sizes": np.int32, "places": np.int32}
+
+    def postings(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         row, hashes, rows = shingles(batch.column(1), words)
         hashes = ordered(row, hashes, common, ranges)
         size = np.bincount(row, minlength=rows)
         place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
         kept = place < probe_length(size, percent)[row]
-        return pa.RecordBatch.from_pydict({
-            "gram": gram_keys(hashes[kept], ranges).view(np.int64), "node": batch.column(0).to_numpy()[row[kept]],
-            "size": size[row[kept]].astype(np.int32), "place": place[kept].astype(np.int32)})
-    return map_slices(texts.select("node", "text"), work, "gram bigint, node bigint, size int, place int")
+        keys, row = gram_keys(hashes[kept], ranges), row[kept]
+        return (keys >> np.uint64(32)).astype(np.int64), keys, batch.column(0).to_numpy()[row], size[row], place[kept]
+
+    def packed(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        part, *columns = (np.concatenate(made) for made in zip(*held))
+        order = np.argsort(part, kind="stable")
+        part, columns = part[order], [made[order].astype(kind) for made, kind in zip(columns, kinds.values())]
+        edges = [*np.flatnonzero(np.diff(part, prepend=-1)), len(part)]
+        for start, stop in zip(edges, edges[1:]):
+            yield pa.RecordBatch.from_pydict({"part": part[start:start + 1], **{
+                name: pa.array([made[start:stop].tobytes()], pa.binary()) for name, made in zip(kinds, columns)}})
+
+    def send(batches):
+        held, size = [], 0
+        for batch in batches:
+            for cut in slices(batch):
+                held.append(postings(cut))
+                size += len(held[-1][0])
+                if size > RANGE // 2:
+                    yield from packed(held)
+                    held, size = [], 0
+        if size:
+            yield from packed(held)
+
+    def shared(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        grams, *rest = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(c)]) for c, kind in kinds.items())
+        order = np.argsort(grams, kind="stable")
+        same = np.diff(grams[order].astype(np.int64)) == 0
+        order = order[np.append(same, False) | np.insert(same, 0, False)]
+        gram = (grams[order].astype(np.uint64) | np.uint64(key[0].as_py() << 32)).view(np.int64)
+        return pa.table({"gram": gram, **{name: made[order] for name, made in zip(("node", "size", "place"), rest)}})
+    sent = texts.select("node", "text").mapInArrow(send, "part bigint, grams binary, nodes binary, sizes binary, places binary")
+    return sent.groupBy("part").applyInArrow(shared, "gram bigint, node bigint, size int, place int")
 
 
 def _sets(texts: DataFrame, words: int, common, ranges: int) -> DataFrame:
@@ -354,7 +389,8 @@ def _led(live: DataFrame, seed: int) -> DataFrame:
     smallest = F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node"))["node"] if seed else F.min("node")
     grams = live.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), smallest.alias("leader"))
     grams = written(grams.where("low <> high").select("gram", "leader"), "grams")
-    return join_back(live, sent_if_small(grams, 64), ["gram"], "inner")
+    # Both sides are tables that no aggregation dealt out: a hash of the key would only be moved along.
+    return live.join(sent_if_small(grams, 64), "gram")
 
 
 def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -396,9 +432,7 @@ def find_links(texts: DataFrame, parts: DataFrame, total: int, words: int, perce
     """
     ranges = max(1, math.ceil(total / RANGE))
     common = common_grams(texts, ranges, words)
-    postings = written(_postings(texts, words, percent, common, ranges), "postings")
-    shared = written(key_counts(postings.select("gram"), lambda batch: [batch.column(0).to_numpy().view(np.uint64)], 2).select("gram"), "shared")
-    live = join_back(postings, sent_if_small(shared, 48), ["gram"], "left_semi").withColumn("component", F.col("node"))
+    live = written(_shared_postings(texts, words, percent, common, ranges), "postings").withColumn("component", F.col("node"))
     order, found = ["leader", "low", "high"], None
     for attempt in range(ROUNDS + 1):
         live = written(_led(live, attempt), "live")
