@@ -108,6 +108,24 @@ def test_prefixes_that_one_text_has_are_not_stored(spark, monkeypatch):
     assert {r["node"] for r in stored["postings"].collect()} == {100, 101}
 
 
+def test_rounds_end_when_one_joins_nothing(spark, monkeypatch):
+    """Groups of several blocks whose texts share passages and are unlike: one round, then all are compared in the same groups."""
+    labels, keep = [], prefix_join.written
+
+    def written(df, label):
+        labels.append(label)
+        return keep(df, label)
+    monkeypatch.setattr(prefix_join, "written", written)
+    monkeypatch.setattr(prefix_join, "BLOCK", 4)
+    draw = random.Random(8)
+    passages = [" ".join(f"p{k}x{i}" for i in range(30)) for k in range(20)]
+    chosen = {tuple(sorted(draw.sample(range(20), 3))) for _ in range(60)}
+    rows = [(i, " ".join(passages[k] for k in mine)) for i, mine in enumerate(sorted(chosen))]
+    got = prefix_join.similar_documents(brute.documents(spark, rows), 4, 85).collect()
+    assert Counter(map(tuple, got)) == linked_components(rows, 4, 85) == Counter((i, 87, i) for i, _ in rows)
+    assert labels.count("groups") == 1 and labels.count("links") == 2
+
+
 # Importance resampling
 
 def importance_rows(rows, target, longest, percent=10, buckets=10_000):

@@ -21,9 +21,9 @@ components of linked texts share the smallest id.
    compares the parts, by ``PIVOTS`` pivots, of what follows the first shared n-gram, and what is left is verified on
    full sets: once, in the one group that the pair's first shared n-gram belongs to, and only
    while its texts are in different components.
-5. Where a group has more than ``BLOCK`` members, they are first compared with its smallest member alone,
-   each set moving once, for up to ``ROUNDS`` rounds of other smallest members. What that has joined
-   meets only the members still apart; a pair that a round refused may be verified again.
+5. Where a group has more than ``BLOCK`` members, they are first compared with its smallest and up to ``LEADERS`` more
+   alone, each set moving once, for up to ``ROUNDS`` rounds of other smallest members, while a round joins any. What that
+   has joined meets only the members still apart; a pair that a round refused may be verified again.
 6. Components are joined over all groups by smallest-neighbour steps and pointer jumps.
 
 A null or empty text has an empty set and no links. Rows with a null id have a null component and
@@ -55,7 +55,7 @@ COMMON = 1 << 20
 RANGE = 1 << 21
 #: Members, and n-grams, of one side of a cell.
 BLOCK, BLOCK_GRAMS = 1024, 1 << 19
-ROUNDS, PIVOTS, PARTS = 4, 16, 128
+ROUNDS, LEADERS, PIVOTS, PARTS = 4, 3, 16, 128
 
 
 def _ceil(above, below: int):
@@ -197,13 +197,13 @@ def within(n: int, m: np.ndarray, p: np.ndarray, q: np.ndarray, percent: int) ->
     return keep & (np.minimum(n - p, m - q) >= least_overlap(n, m, percent))
 
 
-def fitting(sides: Sides, component: np.ndarray, block: np.ndarray, leader: int | None) -> np.ndarray:
+def fitting(sides: Sides, component: np.ndarray, block: np.ndarray, leaders: np.ndarray | None) -> np.ndarray:
     """Places of the members that fit another member of another component (and block, in a cell of two)."""
-    across = leader is None and block.min() != block.max()
+    across = leaders is None and block.min() != block.max()
     found = np.zeros(len(component), bool)
-    for x in range(len(component)) if leader is None else [leader]:
+    for x in range(len(component)) if leaders is None else leaders:
         usable = component != component[x]
-        usable &= (block != block[x]) if across else (np.arange(len(component)) > x) | (leader is not None)
+        usable &= (block != block[x]) if across else (np.arange(len(component)) > x) | (leaders is not None)
         y = sides.fits(x, usable) if usable.any() else []
         if len(y):
             found[y] = found[x] = True
@@ -269,19 +269,19 @@ class Cell:
 
 
 def join_cell(sets: list[np.ndarray], mine: list[np.ndarray], component: np.ndarray, block: np.ndarray, percent: int,
-              leader: int | None = None) -> np.ndarray:
+              leaders: np.ndarray | None = None) -> np.ndarray:
     """Component, as the place of its first member, of every member; members start joined by ``component``.
 
-    Members of two blocks are compared across, those of one block with each other, and with a
-    ``leader`` it alone is compared with all.
+    Members of two blocks are compared across, those of one block with each other, and with
+    ``leaders`` they alone are compared with all.
     """
     cell = Cell(sets, mine, percent)
     _, first, label = np.unique(component, return_index=True, return_inverse=True)
     label = first[label]
-    across = leader is None and block.min() != block.max()
-    for x in range(len(sets)) if leader is None else [leader]:
+    across = leaders is None and block.min() != block.max()
+    for x in range(len(sets)) if leaders is None else leaders:
         usable = label != label[x]
-        usable &= (block != block[x]) if across else (np.arange(len(sets)) > x) | (leader is not None)
+        usable &= (block != block[x]) if across else (np.arange(len(sets)) > x) | (leaders is not None)
         if not usable.any():
             continue
         for y in cell.linked(x, cell.candidates(x, usable)):
@@ -291,10 +291,9 @@ def join_cell(sets: list[np.ndarray], mine: list[np.ndarray], component: np.ndar
     return label
 
 
-def _leader(rows: pa.RecordBatch) -> int | None:
-    """Place of the group's smallest member, if it is in the cell."""
-    at = np.flatnonzero(rows.column("node").to_numpy() == rows.column("leader")[0].as_py())
-    return int(at[0]) if len(at) else None
+def _leaders(rows: pa.RecordBatch) -> np.ndarray:
+    """Places of the members that are compared with all of their group."""
+    return np.flatnonzero(rows.column("leads").to_numpy(zero_copy_only=False))
 
 
 def _arrays(column) -> list[np.ndarray]:
@@ -308,17 +307,17 @@ def _fitting_cells(batches, percent: int, led: bool):
         node, component, block, size = (rows.column(c).to_numpy() for c in ("node", "component", "block", "size"))
         parts = np.frombuffer(b"".join(x.as_py() for x in rows.column("parts")), np.uint16).reshape(len(node), -1).astype(np.int64)
         sides = Sides(size.astype(np.int64), _arrays(rows.column("grams")), _arrays(rows.column("places")), parts, percent)
-        kept = fitting(sides, component, block, _leader(rows) if led else None)
+        kept = fitting(sides, component, block, _leaders(rows) if led else None)
         yield pa.RecordBatch.from_pydict({"leader": rows.column("leader").to_numpy()[kept], "node": node[kept]})
 
 
 def _cells(batches, percent: int, led: bool):
     """Links between components, cell by cell; columns leader, low, high, node, ..."""
     for rows in _groups(batches, 3):
-        leader, component, block = _leader(rows) if led else None, rows.column("component").to_numpy(), rows.column("block").to_numpy()
-        if led and leader is None:
+        leaders, component, block = _leaders(rows) if led else None, rows.column("component").to_numpy(), rows.column("block").to_numpy()
+        if led and not len(leaders):
             continue
-        label = join_cell(_words(rows.column("keys")), _arrays(rows.column("places")), component, block, percent, leader)
+        label = join_cell(_words(rows.column("keys")), _arrays(rows.column("places")), component, block, percent, leaders)
         _, first, given = np.unique(component, return_index=True, return_inverse=True)
         joined = np.flatnonzero(label != first[given])
         yield pa.RecordBatch.from_pydict({"a": component[label[joined]], "b": component[joined]})
@@ -385,10 +384,13 @@ def _sets(texts: DataFrame, words: int, common, ranges: int) -> DataFrame:
 
 
 def _led(live: DataFrame, seed: int) -> DataFrame:
-    """Members of n-grams whose documents are in several components, with the n-gram's smallest member by a hash."""
-    smallest = F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node"))["node"] if seed else F.min("node")
-    grams = live.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), smallest.alias("leader"))
-    grams = written(grams.where("low <> high").select("gram", "leader"), "grams")
+    """Members of n-grams whose documents are in several components, with the n-gram's smallest member by a hash, and its component."""
+    leader, main = F.min("node"), F.min("node")  # at first every node is a component
+    if seed:
+        smallest = F.min(F.struct(F.xxhash64("node", F.lit(seed)), "node", "component"))
+        leader, main = smallest["node"], smallest["component"]
+    grams = live.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), leader.alias("leader"), main.alias("main"))
+    grams = written(grams.where("low <> high").select("gram", "leader", "main"), "grams")
     # Both sides are tables that no aggregation dealt out: a hash of the key would only be moved along.
     return live.join(sent_if_small(grams, 64), "gram")
 
@@ -405,20 +407,28 @@ def _blocks(size: str, which=None):
     return F.greatest(F.ceil(F.count_if(which) / BLOCK), F.ceil(F.sum(F.when(which, F.col(size)).otherwise(0)) / BLOCK_GRAMS), F.lit(1)).cast("int")
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """Members of groups with the number of blocks for all, for those of the smallest member's component and for the rest."""
-    mains = members.where("leader = node").select("leader", F.col("component").alias("main"))
-    members = join_back(members, mains, ["leader"], "inner").withColumn("rest", F.col("component") != F.col("main"))
+def _dealt(members: DataFrame, seed: int) -> tuple[DataFrame, bool]:
+    """Members of groups with the number of blocks for all, for those of the smallest member's component and for the rest.
+
+    ``leads`` marks the smallest member and up to ``LEADERS`` others of a group of several blocks. Also whether there is such a group.
+    """
+    members = members.withColumn("rest", F.col("component") != F.col("main"))
+    mark = F.xxhash64("node", F.lit(seed + ROUNDS))
+    drawn = [F.min(F.when(F.pmod(mark, F.lit(LEADERS)) == i, F.struct(mark, "node")))["node"] for i in range(LEADERS)]
     groups = members.groupBy("leader").agg(
-        _blocks("size").alias("blocks"), _blocks("size", ~F.col("rest")).alias("mains"), _blocks("size", F.col("rest")).alias("rests"))
-    return join_back(members, groups, ["leader"], "inner")
+        _blocks("size").alias("blocks"), _blocks("size", ~F.col("rest")).alias("mains"), _blocks("size", F.col("rest")).alias("rests"),
+        F.array("leader", *drawn).alias("drawn"))
+    large = written(groups.where("blocks > 1"), "large-groups")
+    dealt = join_back(members, sent_if_small(large, 128), ["leader"]).withColumns({
+        "blocks": F.coalesce("blocks", F.lit(1)), "leads": F.coalesce(F.array_contains("drawn", F.col("node")), F.lit(False))})
+    return dealt.drop("drawn"), not large.isEmpty()
 
 
 def _in_cells(dealt: DataFrame, led: bool) -> DataFrame:
-    """Rows of members a cell (leader, low, high): all with the smallest member, or all pairs but those of its component."""
+    """Rows of members a cell (leader, low, high): all with those that lead, or all pairs but those of the smallest member's component."""
     if led:
         rows = dealt.where("blocks > 1").withColumn("block", F.expr("CAST(pmod(xxhash64(node), blocks) AS INT)"))
-        return rows.withColumn("low", F.explode(F.expr("IF(node = leader, sequence(0, blocks - 1), array(block))"))).withColumn("high", F.col("low"))
+        return rows.withColumn("low", F.explode(F.expr("IF(leads, sequence(0, blocks - 1), array(block))"))).withColumn("high", F.col("low"))
     place = F.expr("IF(blocks = 1, 0, IF(rest, mains + CAST(pmod(xxhash64(node), rests) AS INT), CAST(pmod(xxhash64(node), mains) AS INT)))")
     others = F.expr("IF(blocks = 1, array(0), IF(rest, sequence(0, mains + rests - 1), sequence(mains, mains + rests - 1)))")
     return dealt.withColumn("block", place).withColumn("other", F.explode(others)).withColumns(
@@ -434,25 +444,32 @@ def find_links(texts: DataFrame, parts: DataFrame, total: int, words: int, perce
     common = common_grams(texts, ranges, words)
     live = written(_shared_postings(texts, words, percent, common, ranges), "postings").withColumn("component", F.col("node"))
     order, found = ["leader", "low", "high"], None
-    for attempt in range(ROUNDS + 1):
-        live = written(_led(live, attempt), "live")
-        met = live.groupBy("leader", "node", "component", "size").agg(F.array_sort(F.collect_list(F.struct("place", "gram"))).alias("mine"))
-        met = met.select("leader", "node", "component", "size", F.col("mine.place").alias("places"), F.col("mine.gram").alias("grams"))
-        dealt = written(_dealt(written(met, "groups")), "dealt")
-        led = attempt < ROUNDS and not dealt.where("blocks > 1").isEmpty()
-        light = _in_cells(dealt, led).join(parts, "node").select(*order, "node", "component", "block", "size", "places", "grams", "parts")
+
+    def compared(dealt: DataFrame, led: bool) -> DataFrame:
+        light = _in_cells(dealt, led).join(parts, "node").select(*order, "node", "component", "block", "leads", "size", "places", "grams", "parts")
         light = light.repartition(*order).sortWithinPartitions(*order, "node")
-        able = written(light.mapInArrow(lambda batches, led=led: _fitting_cells(batches, percent, led), "leader bigint, node bigint").distinct(), "able")
-        rows = join_back(_in_cells(dealt, led).drop("grams"), sent_if_small(able, 64), ["leader", "node"], "left_semi")
-        nodes = written(able.select("node").distinct(), "nodes")
-        sets = _sets(texts.join(sent_if_small(nodes, 48), "node", "left_semi"), words, common, ranges)
-        rows = rows.join(sets, "node").select(*order, "node", "component", "block", "places", "keys")
+        able = written(light.mapInArrow(lambda batches: _fitting_cells(batches, percent, led), "leader bigint, node bigint").distinct(), "able")
+        able = sent_if_small(able, 64)
+        rows = join_back(_in_cells(dealt, led).drop("grams"), able, ["leader", "node"], "left_semi")
+        sets = _sets(texts.join(able.select("node"), "node", "left_semi"), words, common, ranges)
+        rows = rows.join(sets, "node").select(*order, "node", "component", "block", "leads", "places", "keys")
         rows = rows.repartition(*order).sortWithinPartitions(*order, "node")
-        links = written(rows.mapInArrow(lambda batches, led=led: _cells(batches, percent, led), "a bigint, b bigint").distinct(), "links")
-        found = links if found is None else found.unionByName(links)
-        if not led:
-            return found
-        live = live.drop("leader") if links.isEmpty() else _labelled(live.drop("leader"), links)
+        return written(rows.mapInArrow(lambda batches: _cells(batches, percent, led), "a bigint, b bigint"), "links")
+
+    for attempt in range(ROUNDS + 1):
+        live = written(_led(live, attempt), "live")
+        met = live.groupBy("leader", "main", "node", "component", "size").agg(F.array_sort(F.collect_list(F.struct("place", "gram"))).alias("mine"))
+        met = met.select("leader", "main", "node", "component", "size", F.col("mine.place").alias("places"), F.col("mine.gram").alias("grams"))
+        dealt, large = _dealt(written(met, "groups"), attempt)
+        if large and attempt < ROUNDS:
+            links = compared(dealt, True)
+            if not links.isEmpty():
+                found = links if found is None else found.unionByName(links)
+                live = _labelled(live.drop("leader", "main"), links)
+                continue
+        # Nothing was joined since these groups were made, so they hold for the comparison of all members as well.
+        links = compared(dealt, False)
+        return links if found is None else found.unionByName(links)
 
 
 def _nodes(documents: DataFrame) -> tuple[DataFrame, bool]:
