@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import run_folder
 
 _KEY_HASH = "__key_hash"
+_ROW = "__row"
 #: Marks of this many bytes in all are sent to every executor; more are joined by shuffle.
 _SENT_BYTES = 32 << 20
 
@@ -46,17 +49,27 @@ def first_of_wide_rows(df: DataFrame, keys: list[str], order: list) -> DataFrame
 
     An aggregation whose buffer holds a whole row sorts whole rows in every task.
     Here keys and order alone are aggregated; a hash of each key's first order,
-    written and counted, then picks the rows that are aggregated. Equal hashes
-    let some more rows through and change nothing. What is left has a known size,
-    so a join on it broadcasts it, if it is small, and not its other side.
+    written and counted, then picks the rows, which are written as they come.
+    Only where more rows than keys were picked (equal orders, equal hashes) are they
+    numbered and picked once more by the number. Whole rows are never sorted or
+    aggregated, whatever the number of keys. What is left has a known size, so a
+    join on it broadcasts it, if it is small, and not its other side.
     """
     def written(rows: DataFrame) -> DataFrame:
         folder = run_folder(df.sparkSession, "firsts")
         rows.write.parquet(folder)
         return df.sparkSession.read.schema(rows.schema).parquet(folder)
 
-    firsts = df.select(*keys, F.struct(*order).alias("__order")).groupBy(*keys).agg(F.min("__order").alias("__order"))
-    marks = written(firsts.select(F.xxhash64(*keys, "__order").alias("__mark")))
-    marks = F.broadcast(marks) if 8 * marks.count() <= _SENT_BYTES else marks
-    picked = df.join(marks, F.xxhash64(*keys, F.struct(*order)) == F.col("__mark"), "left_semi")
-    return written(first_per_key(picked, keys, order))
+    def picked(rows: DataFrame, order: list, mark: Callable[[Column], Column]) -> tuple[DataFrame, int]:
+        firsts = rows.select(*keys, F.struct(*order).alias("__order")).groupBy(*keys).agg(F.min("__order").alias("__order"))
+        marks = written(firsts.select(mark(F.col("__order")).alias("__mark")))
+        n = marks.count()
+        # Beyond that size the marks become hash tables, one a partition, so the rows need no order to meet them.
+        marks = F.broadcast(marks) if 8 * n <= _SENT_BYTES else marks.hint("shuffle_hash")
+        return rows.join(marks, mark(F.struct(*order)) == F.col("__mark"), "left_semi"), n
+
+    rows, n = picked(df, order, lambda order: F.xxhash64(*keys, order))
+    rows = written(rows.withColumn(_ROW, F.monotonically_increasing_id()))
+    if rows.count() > n:
+        rows = written(picked(rows, [*order, F.col(_ROW)], lambda order: order[_ROW])[0])
+    return rows.select(*df.columns)
